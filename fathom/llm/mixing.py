@@ -86,7 +86,7 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[i
 
 
 def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
-    """The mix itself: rows with the columns of `docs`, once per epoch, and the text on the cut shortened to its first words.
+    """The mix itself: rows with the columns of `docs`, once per epoch, and the text on the cut shortened to its first words (and n_chars with it).
 
     Documents that the mix takes nothing of are absent. Each document's share is found on (doc_id, source, size) and
     joined back by doc_id, so doc_id must identify rows; rows with a null doc_id or of a repeated one take the share
@@ -104,4 +104,7 @@ def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0, weig
     led = F.col("text").rlike(r"^[\x20\x09-\x0D]").cast("int")
     first = F.regexp_replace(F.array_join(F.slice(pieces, F.lit(1), F.col("_words").cast("int") + led), ""), r"[\x20\x09-\x0D]++$", "")
     text = F.when((F.col("_words") < 0) | (F.col("_words") >= F.col("_size")), F.col("text")).otherwise(first)
-    return both.withColumn("text", text).select(*names)
+    both = both.withColumn("text", text)
+    if "n_chars" in names:
+        both = both.withColumn("n_chars", F.when((F.col("_words") < 0) | (F.col("_words") >= F.col("_size")), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
+    return both.select(*names)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fathom.llm import html, mixing, quality, spm, warc
+from fathom.llm import chunks, html, jaccard, lines, mixing, pivots, quality, spm, suffix, warc
 from fathom.llm.common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -20,14 +21,35 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.chunk_report(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.encoded(table(spark, sf_dir, "documents"), tokenizer_path(), ids=False)
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), 4, "0.85")
+
+
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -36,7 +58,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op4_sentencepiece, op7_warc, op9_quality_rules, op10_html_text)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_embedding_near_dedup, op3_substring_dedup, op4_sentencepiece, op5_ngram_jaccard_join, op6_suffix_array_dedup, op7_warc, op8_line_dedup, op9_quality_rules, op10_html_text)}
 
 ORACLE_SQL = {
     "op1_mix_sources": r"""
