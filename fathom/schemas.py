@@ -9,8 +9,13 @@ from pyspark.sql import types as T
 from fathom.functions.timeutil import GPS_EPOCH, LEAP_SECONDS
 
 
+_TYPES = {"double": T.DoubleType, "float": T.FloatType, "long": T.LongType, "int": T.IntegerType, "short": T.ShortType, "byte": T.ByteType, "string": T.StringType, "boolean": T.BooleanType, "timestamp": T.TimestampType}
+
+
 def _of(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """A flat schema from "name type" or "name type not null", comma-separated; needs no session."""
+    parts = [x.split() for x in text.split(",")]
+    return T.StructType([T.StructField(p[0], _TYPES[p[1]](), len(p) == 2) for p in parts])
 
 
 _ENDS = ", ".join(f"{a}{k} double" for k in (0, 1) for a in ("head", "pitch", "roll", "east", "north", "up"))
@@ -29,20 +34,19 @@ SCHEMAS: dict[str, T.StructType] = {
     "merge_job": _of("child_type string, parent_type string, signature string"),
 }
 
-_TIME = T.StructType.fromDDL("common double, instrument double, start_count int, status string")
 _SCALAR = "string"  # one number or a list of one
 
-#: One event of an event log or pin file.
-EVENT = T.StructType.fromDDL(
-    "event string, event_id int, sequence int, type string, uid string,"
-    " time struct<common: double, instrument: double, start_count: int, status: string>,"
-    " observations struct<"
+#: One event of an event log or pin file, as DDL.
+EVENT = (
+    "struct<event: string, event_id: int, sequence: int, type: string, uid: string,"
+    " time: struct<common: double, instrument: double, start_count: int, status: string>,"
+    " observations: struct<"
     "AHRS: struct<h: double, p: double, r: double, time: struct<common: double>>,"
     " GNSS: struct<hae: double, latitude: double, longitude: double, sdx: double, sdy: double, sdz: double, q: int, time: struct<common: double>>,"
     " NOV_HEADING: struct<h: double, p: double, gpst: double>,"
     " NOV_INS: struct<h: double, p: double, r: double, latitude: double, longitude: double, hae: double, vx: double, vy: double, vz: double>,"
     " NOV_RANGE: struct<raw: string>>,"
-    f" range struct<cn: string, `range`: double, tat: double, diag: struct<dbv: {_SCALAR}, snr: {_SCALAR}, xc: {_SCALAR}>>"
+    f" range: struct<cn: string, `range`: double, tat: double, diag: struct<dbv: {_SCALAR}, snr: {_SCALAR}, xc: {_SCALAR}>>>"
 )
 
 #: The first instant of GNSS time in Unix seconds.

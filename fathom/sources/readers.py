@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fathom.functions.text import GLONASS, GPS, SYSTEMS, hex_to_long, tracking_word
 from fathom.functions.timeutil import gps_to_utc, rinex_time
@@ -12,13 +11,16 @@ from fathom.schemas import EVENT, SCHEMAS
 
 # ---------------------------------------------------------------- events
 
+#: A pin file's object: an event by entry name.
+PIN_ENTRIES = f"map<string, {EVENT}>"
+
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, line, text) of text files, lines numbered from 0 in file order.
 
     A file is read whole, since line order is what pairs its events; files are many and small.
     """
-    whole = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     return whole.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
 
 
@@ -38,7 +40,7 @@ def read_pin_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     raw = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content")
     utf8 = F.expr("if(is_valid_utf8(cast(content as string)), cast(content as string), decode(content, 'ISO-8859-1'))")
-    events = raw.select("file", F.from_json(utf8, T.MapType(T.StringType(), EVENT)).alias("entries")).select("file", F.explode("entries").alias("name", "event"))
+    events = raw.select("file", F.from_json(utf8, PIN_ENTRIES).alias("entries")).select("file", F.explode("entries").alias("name", "event"))
     return events.where((F.col("name") == "interrogation") | (F.col("event.event") == "range"))
 
 
@@ -174,14 +176,16 @@ def first_usable_cast(casts: list[tuple[str, DataFrame]]) -> DataFrame:
     return out.join(F.broadcast(best), out["_rank"] == best["_best"]).select("source", "depth", "speed")
 
 
-_ITERATION = r"^#Inversion-type\s+(\d+)\s+\S+\s+\S+\s+(\d+),?\s+\S+\s+\S+\s+([-+\d.eE]+)\s+\S+\s+\S+\s+\S+\s+([-+\d.eE]+)%?,?\s+\S+\s+\S+\s+(\d+),?\s+\S+\s+\S+\s+([-+\d.eE]+),?\s+\S+\s+\S+\s+([-+\d.eE]+)"
+#: Places of the values in an iteration line, split at white space.
+_ITERATION = {"inv_type": (1, "int"), "iteration": (4, "int"), "rms_tt": (7, "double"), "used_percent": (11, "double"), "reject": (14, "int"), "max_dx": (17, "double"), "hgt": (20, "double")}
 
 
 def read_iterations(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The iteration lines of model logs: file, inv_type, iteration, rms_tt, used_percent, reject, max_dx, hgt."""
-    lines = read_lines(spark, path).where(F.col("text").rlike(_ITERATION))
-    names = [("inv_type", "int"), ("iteration", "int"), ("rms_tt", "double"), ("used_percent", "double"), ("reject", "int"), ("max_dx", "double"), ("hgt", "double")]
-    return lines.select("file", "line", *[F.regexp_extract("text", _ITERATION, i + 1).try_cast(t).alias(n) for i, (n, t) in enumerate(names)])
+    """The iteration lines of model logs: file, line, inv_type, iteration, rms_tt, used_percent, reject, max_dx, hgt."""
+    parts = F.split(F.trim("text"), r"\s+")
+    lines = read_lines(spark, path).where(F.col("text").startswith("#Inversion-type"))
+    out = lines.select("file", "line", *[F.regexp_replace(F.get(parts, F.lit(i)), "[%,]", "").try_cast(t).alias(n) for n, (i, t) in _ITERATION.items()])
+    return out.dropna(subset=["inv_type", "iteration"])
 
 
 def read_summary(spark: SparkSession, path: str | list[str]) -> DataFrame:
