@@ -137,25 +137,34 @@ def similar_documents(docs: DataFrame, k: int = 4, similarity: str = "0.85") ->
     info = found.df.where("kind = 0").select(F.col("a").alias("id"), "n_shingles", "digest")
     first = info.groupBy("digest").agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
     copies = info.where("n_shingles > 0").join(first.where("n > 1"), "digest").where("id != first_id").select(F.col("id").alias("b"), F.col("first_id").alias("a"))
-    pairs = found.df.where("kind = 2").select("a", "b")
-    for c in ("a", "b"):
-        stand_in = copies.select(F.col("b").alias(c), F.col("a").alias("first"))
-        pairs = pairs.join(stand_in, c, "left").withColumn(c, F.coalesce("first", c)).drop("first")
-    sizes = lambda c: info.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n_{c}"))
-    pairs = pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = found.df.where("kind = 2").select("a", "b", "n")
     num, den = s.numerator, s.denominator
-    pairs = pairs.join(sizes("a"), "a").join(sizes("b"), "b").where(f"least(n_a, n_b) * {den} >= greatest(n_a, n_b) * {num}").select("a", "b").distinct()
+    known: dict[str, set] = {}
+
+    def set_of(text: str) -> set:
+        """A text's set; the last few stay, since a leader's comes with many others."""
+        if text not in known:
+            if sum(map(len, known)) > 1_000_000:
+                known.clear()
+            known[text] = shingle_set(text, k)
+        return known[text]
 
     def same(x: str, y: str) -> bool:
-        p, q = shingle_set(x, k), shingle_set(y, k)
+        p, q = set_of(x), set_of(y)
+        if not p or den * min(len(p), len(q)) < num * max(len(p), len(q)):
+            return False
         both = len(p & q)
-        return both > 0 and den * both >= num * (len(p) + len(q) - both)
+        return den * both >= num * (len(p) + len(q) - both)
 
     def keys_of(text: str) -> np.ndarray:
         raw = np.frombuffer(text.encode("utf-8"), np.uint8)
         return set_keys(word_shingles(raw, np.array([0, len(raw)]), k)[0], s)
 
-    label = groups(pairs, source, same, keys_of, copies)
+    def elements(texts: list[str]) -> list[np.ndarray]:
+        raw = [t.encode("utf-8") for t in texts]
+        return word_shingles(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))), k)
+
+    label = groups(pairs, source, same, keys_of, elements, s, copies)
     out = info.groupBy("id").agg(F.min("n_shingles").alias("n_shingles"))
     return out.join(label, "id", "left").select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 

@@ -1,22 +1,25 @@
 """Groups of near copies from shared keys, without ever pairing all members of a key.
 
-Items that share a key are candidates. In each key all members are compared with one leader: first within a task's own
-items, so that only one entry per key goes into the shuffle, and then among those. Candidates are verified exactly, and
-verified links joined by distributed union-find. If a comparison fails and the two are not joined by others, their
-shared keys are open: there every two members of different groups are compared in a second step. So the result is that
-of comparing all members of all keys.
+Items that share a key are candidates. In each key all members are paired with one leader, the member that shares most
+of its keys, so that a group's keys mostly have the same leader: first within a task's own items, so that only one entry
+per key goes into the shuffle, and then among those. Of each member's pairs the one with most keys is verified first,
+exactly; links are joined by distributed union-find; then pairs that are still apart are verified. Where a pair fails
+and stays apart, the keys that it shares are open: there every two members of different groups are compared, of short
+keys as pairs, of long ones in blocks that only return a spanning forest. So the result is that of comparing all
+members of all keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm.common import Written, components, mix, slices, text_buffers
+from fathom.llm.common import Written, components, local_forest, mix, slices, text_buffers
 from fathom.llm.packed import GATHERED, pack, runs, unpack
 
 #: From the bytes and offsets of some texts: items' rows (the text each came from), ids, keys' items, keys.
@@ -33,27 +36,43 @@ class Items:
         self.ids, self.info, self.of, self.keys = ids, info, of, keys
 
 
-def lead(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys and their smallest ids; and the distinct pairs (smallest id, other id of the key)."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
+def lead(keys: np.ndarray, ids: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys, their leaders (largest weight, then smallest id) and the leaders' weights; and the distinct pairs
+    (leader, other id of the key) with the number of keys."""
+    order = np.lexsort((ids, -weight, keys))
+    keys, ids, weight = keys[order], ids[order], weight[order]
     start, run = runs(keys)
     first = ids[start]
     a = first[run]
     other = ids != a
-    pairs = np.unique(np.stack([a[other], ids[other]], axis=1), axis=0) if other.any() else np.zeros((0, 2), np.int64)
-    return keys[start], first, pairs[:, 0], pairs[:, 1]
+    return keys[start], first, weight[start], *counted(a[other], ids[other], np.ones(int(other.sum()), np.int64))
+
+
+def counted(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs and the sums of their n."""
+    order = np.lexsort((b, a))
+    a, b, n = a[order], b[order], n[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    start = np.flatnonzero(new)
+    return a[start], b[start], np.add.reduceat(n, start) if len(start) else n
+
+
+def shared_keys(keys: np.ndarray, of: np.ndarray, n_items: int) -> np.ndarray:
+    """For each item the number of its keys that another item of this task has too."""
+    _, which, count = np.unique(keys, return_inverse=True, return_counts=True)
+    return np.bincount(of, weights=count[which] > 1, minlength=n_items).astype(np.int32)
 
 
 def candidates(source: DataFrame, emit: Emit, info: list[tuple[str, str, type]], n_buckets: int, name: str) -> Written:
-    """Written rows: kind 0 (a = item id, further columns by `info`: name, SQL type, NumPy type), kind 2 (pair a < b).
+    """Written rows: kind 0 (a = item id, further columns by `info`: name, SQL type, NumPy type), kind 2 (pair a, b with n, the keys in which a leads b).
 
     source has the columns id (long, not null) and text. A key's entries that reach a task are one per task that has
     seen the key, however many members it has there.
     """
     types = [np.int64, *(t for _, _, t in info)]
-    kinds = {0: types, 1: [np.uint64, np.int64], 2: [np.int64, np.int64]}
-    width = max(2, len(types))
+    kinds = {0: types, 1: [np.uint64, np.int64, np.int32], 2: [np.int64, np.int64, np.int64]}
+    width = max(3, len(types))
 
     def padded(batch: pa.RecordBatch) -> pa.RecordBatch:
         none = pa.nulls(len(batch), pa.binary())
@@ -67,9 +86,11 @@ def candidates(source: DataFrame, emit: Emit, info: list[tuple[str, str, type]],
             ids = np.concatenate([x.ids for x in held])
             columns = [np.concatenate([x.info[i] for x in held]) for i in range(len(info))]
             yield padded(pack(0, (mix(ids.view(np.uint64)) % np.uint64(n_buckets)).astype(np.int64), [ids, *columns]))
-            keys, first, a, b = lead(np.concatenate([x.keys for x in held]), np.concatenate([x.ids[x.of] for x in held]))
-            yield padded(pack(1, (mix(keys) % np.uint64(n_buckets)).astype(np.int64), [keys, first]))
-            yield padded(pack(2, (mix(a.view(np.uint64) ^ b.view(np.uint64)) % np.uint64(n_buckets)).astype(np.int64), [a, b]))
+            base = np.cumsum([0, *[len(x.ids) for x in held]])
+            all_keys, of = np.concatenate([x.keys for x in held]), np.concatenate([x.of + b for x, b in zip(held, base, strict=False)])
+            keys, first, weight, a, b, n = lead(all_keys, ids[of], shared_keys(all_keys, of, len(ids))[of])
+            yield padded(pack(1, (mix(keys) % np.uint64(n_buckets)).astype(np.int64), [keys, first, weight]))
+            yield padded(pack(2, (mix(a.view(np.uint64) ^ b.view(np.uint64)) % np.uint64(n_buckets)).astype(np.int64), [a, b, n]))
 
         for batch in batches:
             data, offs = text_buffers(batch.column(1))
@@ -84,11 +105,11 @@ def candidates(source: DataFrame, emit: Emit, info: list[tuple[str, str, type]],
         if held:
             yield from flush()
 
-    names = ["kind", "a", "b", *(n for n, _, _ in info)]
-    schema = ", ".join(["kind int", "a long", "b long", *(f"{n} {s}" for n, s, _ in info)])
+    names = ["kind", "a", "b", "n", *(n for n, _, _ in info)]
+    schema = ", ".join(["kind int", "a long", "b long", "n long", *(f"{n} {s}" for n, s, _ in info)])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(kind: int, a: np.ndarray, b: np.ndarray | None, more: list[np.ndarray] | None) -> pa.RecordBatch:
+        def rows(kind: int, a: np.ndarray, b: np.ndarray | None, n: np.ndarray | None, more: list[np.ndarray] | None) -> pa.RecordBatch:
             def column(x: np.ndarray) -> pa.Array:
                 if x.dtype.kind == "V":
                     size = x.dtype.itemsize
@@ -96,30 +117,28 @@ def candidates(source: DataFrame, emit: Emit, info: list[tuple[str, str, type]],
                 return pa.array(x)
 
             none = [pa.nulls(len(a), pa.binary() if np.dtype(t).kind == "V" else pa.from_numpy_dtype(t)) for _, _, t in info]
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b), *(none if more is None else map(column, more))], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), *(pa.nulls(len(a), pa.int64()) if x is None else pa.array(x) for x in (b, n)), *(none if more is None else map(column, more))], names=names)
 
-        keys, first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        new_keys, new_first, new_pairs, count = [], [], [], 0
+        entries = [np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        new: list[list[np.ndarray]] = []
+        pairs: list[list[np.ndarray]] = []
+        count = 0
 
         def settle() -> Iterator[pa.RecordBatch]:
-            nonlocal keys, first, new_keys, new_first, new_pairs, count
-            keys, first, a, b = lead(np.concatenate([keys, *new_keys]), np.concatenate([first, *new_first]))
-            pairs = np.unique(np.concatenate([np.stack([a, b], axis=1), *new_pairs]), axis=0)
-            new_keys, new_first, new_pairs, count = [], [], [], 0
-            if len(pairs):
-                yield rows(2, pairs[:, 0], pairs[:, 1], None)
+            nonlocal entries, new, pairs, count
+            *entries, a, b, n = lead(*(np.concatenate([x, *[c[i] for c in new]]) for i, x in enumerate(entries)))
+            a, b, n = counted(*(np.concatenate([x, *[c[i] for c in pairs]]) for i, x in enumerate((a, b, n))))
+            new, pairs, count = [], [], 0
+            if len(a):
+                yield rows(2, a, b, n, None)
 
         for batch in batches:
             for kind, columns in unpack(batch, kinds):
                 if kind == 0:
-                    yield rows(0, columns[0], None, columns[1:])
-                elif kind == 1:
-                    new_keys.append(columns[0])
-                    new_first.append(columns[1])
-                    count += len(columns[0])
-                else:
-                    new_pairs.append(np.stack(columns, axis=1))
-                    count += len(columns[0])
+                    yield rows(0, columns[0], None, None, columns[1:])
+                    continue
+                (new if kind == 1 else pairs).append(columns)
+                count += len(columns[0])
                 if count >= GATHERED:
                     yield from settle()
         if count:
@@ -130,39 +149,131 @@ def candidates(source: DataFrame, emit: Emit, info: list[tuple[str, str, type]],
     return Written(shared.repartition("bucket").mapInArrow(gather, schema), name)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, same: Callable[[str, str], bool], keys_of: Callable[[str], np.ndarray], name: str) -> Written:
-    """Written rows (a, b, linked, keys): keys are those that the two share if they are not linked."""
+def verified(pairs: DataFrame, texts: DataFrame, same: Callable[[str, str], bool], keys_of: Callable[[str], np.ndarray] | None, name: str) -> Written:
+    """Written rows (a, b, linked, keys): keys are those that the two share if they are not linked, null without keys_of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}  # keys of items that came lately; a leader comes with many others
         for batch in batches:
             linked, shared = [], []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for i, j, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ok = same(x, y)
                 linked.append(ok)
-                shared.append(None if ok else np.intersect1d(keys_of(x), keys_of(y)).view(np.int64).tolist())
+                if ok or keys_of is None:
+                    shared.append(None)
+                    continue
+                if len(known) > REMEMBERED:
+                    known.clear()
+                for k, t in ((i, x), (j, y)):
+                    if k not in known:
+                        known[k] = keys_of(t)
+                shared.append(np.intersect1d(known[i], known[j]).view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(shared, pa.list_(pa.int64()))], names=["a", "b", "linked", "keys"])
 
+    # Comparing costs far more than moving, so the work is dealt to as many tasks as shuffles have.
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
+    both = pairs.join(side("a"), "a").repartition(tasks, "b").join(side("b"), "b")
+    return Written(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean, keys array<long>"), name)
+
+
+#: Items whose keys a task remembers.
+REMEMBERED = 500
+
+#: Members of an open key up to which its pairs are listed; members of a block beyond it.
+SHORT = 32
+BLOCK = 512
+
+#: From some texts: for each the sorted distinct elements of its set, as 64-bit numbers.
+Elements = Callable[[list[str]], list[np.ndarray]]
+
+
+def block_links(ids: np.ndarray, sets: list[np.ndarray], group: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the left and right members of different groups; intersections by one product of 0/1 matrices."""
+    size = np.array([len(x) for x in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    _, element, count = np.unique(flat, return_inverse=True, return_counts=True)
+    use = count[element] > 1
+    number = np.cumsum(count > 1) - 1
+    both = np.zeros((len(left), len(right)), np.float32)
+    where_l, where_r = np.full(len(sets), -1), np.full(len(sets), -1)
+    where_l[left], where_r[right] = np.arange(len(left)), np.arange(len(right))
+    e, o = number[element[use]], owner[use]
+    order = np.argsort(e, kind="stable")
+    e, o = e[order], o[order]
+    n = int(e[-1]) + 1 if len(e) else 0
+    for lo in range(0, n, 4096):  # a slice of the elements at a time bounds memory
+        a, b = np.searchsorted(e, [lo, lo + 4096])
+        x, y = np.zeros((len(left), 4096), np.float32), np.zeros((len(right), 4096), np.float32)
+        ee, oo = e[a:b] - lo, o[a:b]
+        k = where_l[oo] >= 0
+        x[where_l[oo[k]], ee[k]] = 1
+        k = where_r[oo] >= 0
+        y[where_r[oo[k]], ee[k]] = 1
+        both += x @ y.T
+    shared = both.astype(np.int64)
+    union = size[left][:, None] + size[right][None, :] - shared
+    i, j = np.nonzero((shared > 0) & (similarity.denominator * shared >= similarity.numerator * union) & (group[left][:, None] != group[right][None, :]))
+    return ids[left[i]], ids[right[j]]
+
+
+def long_key_links(postings: DataFrame, texts: DataFrame, elements: Elements, similarity: Fraction) -> DataFrame:
+    """(a, b): links among members of long open keys, by clusters of members whose keys overlap.
+
+    postings has (key, id, group). A cluster's members are dealt to blocks, and pairs of blocks are compared.
+    """
+    least = postings.groupBy("key").agg(F.min("id").alias("b"))
+    cluster = components(postings.join(least, "key").where("id != b").select(F.col("id").alias("a"), "b").distinct())
+    members = Written(postings.select("id", "group").distinct().join(cluster, "id").select("id", "group", F.col("component_id").alias("cluster")), "members")
+    blocks = members.df.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = members.df.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "group").join(texts, "id")
+    kinds = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, group, block = (table.column(c).to_numpy() for c in ("id", "group", "block"))
+        sets = elements(table.column("text").to_pylist())
+        cross = table.column("lo")[0].as_py() != table.column("hi")[0].as_py()
+        left = np.flatnonzero(block == block.min()) if cross else np.arange(len(ids))
+        right = np.flatnonzero(block == block.max()) if cross else left
+        a, b = block_links(ids, sets, group, left, right, similarity)
+        if len(a):
+            a, b = local_forest(a, b)
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=kinds)
+
+    return dealt.groupBy("cluster", "lo", "hi").applyInArrow(run, "a long, b long")
+
+
+def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs whose ends are in different groups so far."""
     for c in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}")), c)
-    return Written(pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean, keys array<long>"), name)
+        pairs = pairs.join(found.select(F.col("id").alias(c), F.col("component_id").alias(f"{c}_group")), c, "left")
+    return pairs.where("coalesce(a_group, a) != coalesce(b_group, b)").drop("a_group", "b_group")
 
 
-def groups(pairs: DataFrame, texts: DataFrame, same: Callable[[str, str], bool], keys_of: Callable[[str], np.ndarray], known: DataFrame | None = None) -> DataFrame:
-    """(id, component_id) of all items that have a link, from distinct candidate pairs (a, b) and known links.
+def groups(pairs: DataFrame, texts: DataFrame, same: Callable[[str, str], bool], keys_of: Callable[[str], np.ndarray], elements: Elements, similarity: Fraction, known: DataFrame | None = None) -> DataFrame:
+    """(id, component_id) of all items that have a link, from candidate pairs (a, b, n) and known links (a, b).
 
-    texts (id, text) has every item of a pair once. keys_of gives a text's keys, the ones its candidates came from.
+    texts (id, text) has every item of a pair once. keys_of gives a text's keys, the ones its candidates came from;
+    same decides on two texts exactly, elements and similarity say the same in bulk.
     """
-    pairs_w = Written(pairs.select("a", "b"), "pairs")
+    pairs_w = Written(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
     ids = pairs_w.df.select(F.col("a").alias("id")).union(pairs_w.df.select("b")).distinct()
     own = Written(texts.join(ids, "id", "left_semi").select("id", "text"), "texts")
-    first = verified(pairs_w.df, own.df, same, keys_of, "verified")
-    links = first.df.where("linked").select("a", "b")
+    best = pairs_w.df.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
+    first = verified(best, own.df, same, keys_of, "verified").df
+    links = first.where("linked").select("a", "b")
     if known is not None:
         links = links.union(known.select("a", "b"))
     found = components(links)
-    label = lambda c: found.select(F.col("id").alias(c), F.col("component_id").alias(f"{c}_group"))
-    apart = first.df.where("not linked").join(label("a"), "a", "left").join(label("b"), "b", "left").where("coalesce(a_group, a) != coalesce(b_group, b)")
-    open_keys = Written(apart.select(F.explode("keys").alias("key")).distinct(), "open")
+    rest = apart(pairs_w.df.select("a", "b").join(first.select("a", "b"), ["a", "b"], "left_anti"), found)
+    second = verified(rest, own.df, same, keys_of, "verified").df
+    more = second.where("linked").select("a", "b")
+    if more.head(1):
+        links = links.union(more)
+        found = components(links)
+    failed = first.where("not linked").union(second.where("not linked"))
+    open_keys = Written(apart(failed, found).select(F.explode("keys").alias("key")).distinct(), "open")
     if not open_keys.df.head(1):
         return found
 
@@ -173,10 +284,15 @@ def groups(pairs: DataFrame, texts: DataFrame, same: Callable[[str, str], bool],
 
     postings = own.df.mapInArrow(keys_run, "id long, keys array<long>").select("id", F.explode("keys").alias("key")).join(open_keys.df, "key")
     postings = Written(postings.join(found, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("group")), "postings")
-    left = postings.df.select("key", F.col("id").alias("a"), F.col("group").alias("a_group"))
-    right = postings.df.select("key", F.col("id").alias("b"), F.col("group").alias("b_group"))
-    more = left.join(right, "key").where("a < b and a_group != b_group").select("a", "b").distinct().join(pairs_w.df, ["a", "b"], "left_anti")
-    second = verified(more, own.df, same, keys_of, "verified").df.where("linked").select("a", "b")
-    if not second.head(1):
-        return found
-    return components(links.union(second))
+    sizes = postings.df.groupBy("key").agg(F.count("*").alias("n"), F.min("group").alias("g"), F.max("group").alias("h")).where("g != h").select("key", "n")
+    sizes = Written(sizes, "sizes")
+    short = postings.df.join(sizes.df.where(F.col("n") <= SHORT), "key")
+    left = short.select("key", F.col("id").alias("a"), F.col("group").alias("a_group"))
+    right = short.select("key", F.col("id").alias("b"), F.col("group").alias("b_group"))
+    tried = failed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    crossed = left.join(right, "key").where("a < b and a_group != b_group").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    third = verified(crossed, own.df, same, None, "verified").df.where("linked").select("a", "b")
+    if sizes.df.where(F.col("n") > SHORT).head(1):
+        long_ = postings.df.join(sizes.df.where(F.col("n") > SHORT).select("key"), "key")
+        third = Written(third.union(long_key_links(long_, own.df, elements, similarity)), "links").df
+    return components(links.union(third)) if third.head(1) else found

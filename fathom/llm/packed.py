@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Records that a task gathers before it packs them; bounds its memory.
-GATHERED = 2_000_000
+GATHERED = 600_000
 
 
 def bucket_count(total_bytes: int, bytes_each: int = 4 << 20) -> int:
