@@ -49,7 +49,8 @@ def active_benchmarks(surveys: DataFrame, benchmarks: DataFrame) -> DataFrame:
     """(survey_id, benchmark_id): a benchmark that the survey lists, or that has no end or one at or after the survey's start."""
     listed = F.array_contains(surveys["benchmark_ids"], benchmarks["benchmark_id"])
     open_ = benchmarks["end"].isNull() | (benchmarks["end"] >= surveys["start"])
-    return F.broadcast(surveys).join(benchmarks, F.coalesce(listed, F.lit(False)) | open_).select("survey_id", "benchmark_id") if _few(surveys) else surveys.join(benchmarks, F.coalesce(listed, F.lit(False)) | open_).select("survey_id", "benchmark_id")
+    left = F.broadcast(surveys) if _few(surveys) else surveys
+    return left.join(benchmarks, F.coalesce(listed, F.lit(False)) | open_).select("survey_id", "benchmark_id")
 
 
 def _few(df: DataFrame) -> bool:

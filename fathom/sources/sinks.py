@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathom.functions.timeutil import day_file_name
-from fathom.operators.temporal import decimate, first_by
+from fathom.operators.temporal import decimate, first_by, hour_slice, of_year
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -46,8 +46,6 @@ def daily_observations(obs: DataFrame, marker: str, ts: str, year: int = 0, ever
 
     Decimation runs over the whole table before it is cut into slices, so no flag is lost at a slice's edge.
     """
-    from fathom.operators.temporal import hour_slice, of_year
-
     obs = of_year(obs, ts, year)
     millis = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / 1000).cast("long")
     obs = decimate(obs.withColumn("_ms", millis), [], "_ms", every_millis, ["sys", "sat", "obs"], "flags").drop("_ms") if every_millis > 0 else obs
