@@ -105,7 +105,7 @@ def smooth(positions: DataFrame, noise: float = 0.1) -> DataFrame:
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.dropna(subset=needed).sort_values(needed).reset_index(drop=True)
         if pdf.empty:
-            return pd.DataFrame({c.split()[0]: [] for c in SMOOTHED.split(", ")})
+            return pd.DataFrame({c.split()[0]: pd.Series(dtype=float if c.endswith("double") else object) for c in SMOOTHED.split(", ")})
         get = lambda *c: pdf[list(c)].to_numpy(float)
         x, var = smooth_track(get("time")[:, 0], get("ant_x", "ant_y", "ant_z"), get("ant_sigx", "ant_sigy", "ant_sigz"), get("east", "north", "up"), get("east_sig", "north_sig", "up_sig"), noise)
         return pd.DataFrame({"station": key[0], "day": key[1], "time": pdf["time"], **{f"ant_{a}": x[:, i] for i, a in enumerate("xyz")}, **{f"sig_{a}": np.sqrt(np.maximum(var[:, i], 0)) for i, a in enumerate("xyz")}})

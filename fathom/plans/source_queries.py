@@ -117,14 +117,14 @@ def range_messages(s: SparkSession, d: str) -> DataFrame:
     word = F.element_at(F.array(*[F.lit(w) for w, _, _ in _WORDS]), (F.col("l_suppkey") % 3 + 1).cast("int"))
     num = lambda c: F.format_string("%.3f", F.col(c).cast("double"))
     obs = F.concat_ws(",", F.col("l_linenumber").cast("string"), (F.col("l_partkey") % 7).cast("string"), num("l_extendedprice"), F.lit("0.1"), num("l_quantity"), F.lit("0.01"), num("l_discount"), num("l_tax"), F.lit("10.0"), word)
-    m = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_partkey", "l_suppkey", "l_linenumber", obs.alias("o")))).alias("os"))
+    m = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity", obs.alias("o")))).alias("os"))
     body = F.concat_ws(",", F.size("os").cast("string"), F.array_join(F.transform("os", lambda x: x["o"]), ","))
     body = F.when(F.col("l_orderkey") % 7 == 0, F.regexp_replace(body, r",[^,]*$", "")).otherwise(body)
     head = F.concat(F.lit("#RANGEA,USB1,0,90.0,FINESTEERING,"), (F.lit(2000) + F.col("l_orderkey") % 900).cast("string"), F.lit(","), (F.col("l_orderkey") % 604800).cast("string"), F.lit(".250,00000000,5103,16809;"))
     return m.select("l_orderkey", F.concat(head, body, F.lit("*1a2b3c4d")).alias("message"))
 
 
-_OBS = """o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber) AS rn, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
+_OBS = """o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_quantity) AS rn, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
     k AS (SELECT *, CASE l_suppkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 5 END AS sys, CASE l_suppkey % 3 WHEN 2 THEN 25 ELSE 0 END AS obs FROM o WHERE NOT (l_orderkey % 7 = 0 AND rn = n))"""
 
 
