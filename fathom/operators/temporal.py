@@ -55,10 +55,11 @@ def interpolate(left: DataFrame, right: DataFrame, keys: list[str], left_time: s
     r = right.groupBy(*keys, right_time).agg(*[F.min(v).alias(v) for v in values])
     r = r.select(*keys, F.col(right_time).alias("_t"), F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), F.col(right_time).alias("_rt"), *[F.col(v).cast("double").alias(f"_v_{v}") for v in values])
     w = Window.partitionBy(*keys).orderBy("_t")
-    before, after = w.rangeBetween(Window.unboundedPreceding, Window.currentRow), w.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    before = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy(*keys).orderBy(F.col("_t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     both = l.unionByName(r)
     names = ["_rt", *[f"_v_{v}" for v in values]]
-    both = both.select("*", *[F.last(c, ignorenulls=True).over(before).alias(f"{c}_a") for c in names], *[F.first(c, ignorenulls=True).over(after).alias(f"{c}_b") for c in names])
+    both = both.select("*", *[F.last(c, ignorenulls=True).over(before).alias(f"{c}_a") for c in names], *[F.last(c, ignorenulls=True).over(after).alias(f"{c}_b") for c in names])
     both = both.where("_row is not null and _rt_a is not null and _rt_b is not null")
     share = F.when(F.col("_rt_b") > F.col("_rt_a"), (F.col("_t") - F.col("_rt_a")) / (F.col("_rt_b") - F.col("_rt_a"))).otherwise(F.lit(0.0))
     return both.select("_row.*", *[(F.col(f"_v_{v}_a") + share * (F.col(f"_v_{v}_b") - F.col(f"_v_{v}_a"))).alias(v) for v in values])
@@ -82,8 +83,10 @@ def velocities(df: DataFrame, keys: list[str], order: list[str], time: str, colu
 def fill_both_ways(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
     """Nulls take the next value, and behind the last one the last value."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    onward, back = w.rowsBetween(Window.currentRow, Window.unboundedFollowing), w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = {c: F.coalesce(F.first(c, ignorenulls=True).over(onward), F.last(c, ignorenulls=True).over(back)) for c in columns}
+    # Looking back in reverse order is one pass; a frame that ends at the last row would be worked out anew for each row.
+    onward = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(onward), F.last(c, ignorenulls=True).over(back)) for c in columns}
     return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
@@ -104,8 +107,8 @@ def decimate(df: DataFrame, keys: list[str], millis: str, every: int, carry_keys
         return df
     kept = F.pmod(F.col(millis), F.lit(every)) == 0
     epochs = df.select(*keys, millis).distinct()
-    onward = Window.partitionBy(*keys).orderBy(millis).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    epochs = epochs.withColumn("_next", F.first(F.when(kept, F.col(millis)), ignorenulls=True).over(onward))
+    onward = Window.partitionBy(*keys).orderBy(F.col(millis).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    epochs = epochs.withColumn("_next", F.last(F.when(kept, F.col(millis)), ignorenulls=True).over(onward))
     skipped = df.where(~kept).join(epochs, [*keys, millis]).where("_next is not null")
     carried = skipped.groupBy(*keys, F.col("_next").alias(millis), *carry_keys).agg(F.bit_or(flags).alias("_bits"))
     out = df.where(kept).join(carried, [*keys, millis, *carry_keys], "left")
