@@ -83,8 +83,7 @@ def pin_files(s: SparkSession, d: str) -> str:
     e = shots(s, d).where("event_type in ('view', 'click')")
     name = F.when(F.col("event_type") == "view", "interrogation").otherwise(F.concat(F.lit("uid"), (F.col("event_id") % 3).cast("string")))
     first = temporal.first_by(e.withColumn("name", name), ["user_id", "name"], ["pingTime", "event_id"])
-    entry = first.select((F.col("user_id") % 500).alias("f"), "name", event_json(first).alias("json"))
-    entry = entry.groupBy("f", "name").agg(F.min("json").alias("json"))
+    entry = first.select(F.col("user_id").alias("f"), "name", event_json(first).alias("json"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "json"))), lambda x: F.concat(F.lit('"'), x["name"], F.lit('": '), x["json"])), ", ")
     return text_files(entry.groupBy("f").agg(F.concat(F.lit("{"), body, F.lit(', "junk": {"event": "other"}}')).alias("value")), "f", "value", [], "pins")
 
@@ -97,7 +96,7 @@ _PINS = f"""pin AS (SELECT user_id % 500 AS f, CASE WHEN event_type = 'view' THE
 @query("R2_pin_files", f"WITH {SHOTS}, {_PINS} SELECT f, name, event_id FROM pins")
 def _(s: SparkSession, d: str) -> DataFrame:
     p = readers.read_pin_files(s, pin_files(s, d))
-    return p.select(F.regexp_extract("file", r"f=(\d+)", 1).cast("long").alias("f"), "name", F.col("event.event_id").cast("long").alias("event_id"))
+    return p.select((F.regexp_extract("file", r"f=(\d+)", 1).cast("long") % 500).alias("f"), "name", F.col("event.event_id").cast("long").alias("event_id"))
 
 
 @query("R3_pin_messages", f"WITH {SHOTS}, {_PINS} SELECT DISTINCT '#RANGEA,USB1,0,90.0,FINESTEERING,2300,' || event_id || '.5,0000,5103,1000;0*00' AS message FROM pins WHERE event_id % 4 = 0")
