@@ -200,7 +200,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 
 def _part_lines(s: SparkSession, d: str, line: Column, before: list[str], name: str) -> str:
-    p = table(s, d, "part").where("p_partkey < 1000000").select((F.col("p_partkey") % 5).alias("f"), F.col("p_partkey").alias("k"), line.alias("value"))
+    p = table(s, d, "part").select((F.col("p_partkey") % 5).alias("f"), F.col("p_partkey").alias("k"), line.alias("value"))
     heads = s.range(5).select(F.col("id").alias("f"), F.posexplode(F.array(*[F.lit(x) for x in before])).alias("i", "value")).select("f", (F.col("i") - 1000).cast("long").alias("k"), "value") if before else None
     return text_files(p if heads is None else p.unionByName(heads), "f", "value", ["k"], name)
 

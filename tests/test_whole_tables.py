@@ -31,3 +31,10 @@ def many_users(spark, tmp_path_factory):
 @pytest.mark.parametrize("name", ["R2_pin_files", "R3_pin_messages"])
 def test_pin_files_of_many_users(spark, many_users, name):
     assert same_rows(spark, many_users, name, "events") > 50
+
+
+@pytest.mark.parametrize("name", ["R9_profile_text", "R10_ctd_csv", "R11_ctd_text"])
+def test_parts_of_large_keys(spark, tmp_path, name):
+    p = spark.read.parquet(f"{SF}/part.parquet")
+    p.unionByName(p.withColumn("p_partkey", F.col("p_partkey") + 1_000_000)).write.parquet(f"{tmp_path}/part.parquet")
+    assert same_rows(spark, str(tmp_path), name, "part") == 2 * p.count()
