@@ -18,53 +18,68 @@ _GEAR = np.random.default_rng(5).integers(0, 2**32, 256, dtype=np.uint32)
 
 @dataclass(frozen=True)
 class Cuts:
-    """Bytes of the shortest and longest chunk, bits of the hash that must be zero at a cut, and bytes that a run of repeated chunks must have to go.
+    """Bytes of the shortest and longest chunk, neighbouring chunks that are compared as one span, and bytes that a run of repeated spans must have to go.
 
-    A passage of over 50 words has about 300 bytes; its first and last chunk may reach out of it, the others are whole.
+    A cut depends on the least + 8 bytes before it and the least bytes after it alone (but for stretches of `most` bytes without
+    one), so two texts cut a passage alike from its first bytes on. A passage of over 50 words has about 250 bytes; what lies outside its first and last cut may stay.
     """
 
-    least: int = 16
+    least: int = 8
     most: int = 64
-    bits: int = 4
+    span: int = 3
     run: int = 150
 
 
 def gear(data: np.ndarray) -> np.ndarray:
-    """The gear hash after each byte, h = 2 h + table[byte] modulo 2**32: it depends on the last 32 bytes alone."""
+    """The gear hash after each byte, h = 2 h + table[byte] modulo 2**32 over the last 8 bytes."""
     h = _GEAR[data]
-    for k in (1, 2, 4, 8, 16):
+    for k in (1, 2, 4):
         more = np.zeros_like(h)
         more[k:] = h[:-k] << np.uint32(k)
         h = h + more
     return h
 
 
+def lowest(h: np.ndarray, width: int) -> np.ndarray:
+    """The least of each `width` neighbours in h."""
+    k = 1
+    while 2 * k <= width:
+        h, k = np.minimum(h[:-k], h[k:]), 2 * k
+    return np.minimum(h[: len(h) - (width - k)], h[width - k :])
+
+
 def chunk_ends(data: np.ndarray, cuts: Cuts) -> np.ndarray:
-    """Ends of the chunks of one text: at the first cut of the hash after `least` bytes, at `most` bytes without any."""
-    n = len(data)
-    places = np.flatnonzero(gear(data) >> np.uint32(32 - cuts.bits) == 0) + 1
-    out, at, i, m = [], 0, 0, len(places)
-    places_list = places.tolist()
-    while n - at > cuts.least:
-        while i < m and places_list[i] < at + cuts.least:
-            i += 1
-        at = min(places_list[i] if i < m else n, at + cuts.most, n)
-        out.append(at)
-    if at < n:
-        out.append(n)
-    return np.array(out, np.int64)
+    """Ends of the chunks of one text: where the hash is below its `least` neighbours on both sides, and in longer stretches at the lowest hash within `most` bytes."""
+    n, w = len(data), cuts.least
+    h = gear(data)
+    edge = np.full(w, 2**32 - 1, np.uint32)
+    around = lowest(np.concatenate((edge, h, edge)), w)
+    places = np.flatnonzero((h < around[:n]) & (h <= around[w + 1 :])) + 1
+    places = places[(places >= w) & (places < n)]
+    ends = np.append(places, n) if n else places
+    wide = np.flatnonzero(np.diff(ends, prepend=0) > cuts.most)
+    if not len(wide):
+        return ends.astype(np.int64)
+    more = []
+    for i in wide.tolist():
+        at, stop = int(ends[i - 1]) if i else 0, int(ends[i])
+        while stop - at > cuts.most:
+            part = h[at + w - 1 : min(at + cuts.most, stop - w)]
+            at += w + len(part) - 1 - int(np.argmin(part[::-1]))
+            more.append(at)
+    return np.sort(np.append(ends, np.array(more, np.int64)))
 
 
 def repeated_spans(docs: DataFrame, cuts: Cuts = Cuts()) -> DataFrame:  # noqa: B008
     """(doc_id, start, end, first_docs): runs of chunks of `docs` (doc_id, text) that stand in a document with a smaller doc_id.
 
-    Offsets are UTF-8 bytes. Chunks are compared by a digest of 128 bits. A run of neighbouring repeated chunks counts
-    if it has at least cuts.run bytes; first_docs are the smallest documents that have its chunks, sorted. Rows with a
+    Offsets are UTF-8 bytes. Spans of cuts.span chunks, one from each chunk on, are compared by a digest of 128 bits. A run of
+    overlapping repeated spans counts if it has at least cuts.run bytes; first_docs are the smallest documents that have its spans, sorted. Rows with a
     null doc_id are left out; rows of equal doc_id are one document's.
     """
     source = docs.where("doc_id is not null").select(docs["doc_id"].cast("long").alias("id"), "text")
     n_buckets = bucket_count(total_bytes(source, "text"))
-    kinds = {0: [np.uint64, np.uint64, np.int64, np.int64, np.int32]}
+    kinds = {0: [np.uint64, np.uint64, np.int64, np.int32, np.int32]}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -76,13 +91,14 @@ def repeated_spans(docs: DataFrame, cuts: Cuts = Cuts()) -> DataFrame:  # noqa:
                 part = data[offs[lo] : offs[hi]]
                 own = offs[lo : hi + 1] - offs[lo]
                 ends = [chunk_ends(part[own[i] : own[i + 1]], cuts) for i in range(hi - lo)]
-                size = np.array([len(e) for e in ends])
-                end = np.concatenate([np.zeros(0, np.int64), *ends])
-                start = np.concatenate([np.zeros(0, np.int64), *[np.concatenate(([0], e[:-1])) for e in ends if len(e)]])
+                spans = [(np.append(0, e[: -cuts.span]), e[cuts.span - 1 :] if len(e) >= cuts.span else e[-1:]) for e in ends if len(e)]
+                size = np.array([max(1, len(e) - cuts.span + 1) if len(e) else 0 for e in ends])
+                start = np.concatenate([np.zeros(0, np.int64), *[s for s, _ in spans]])
+                end = np.concatenate([np.zeros(0, np.int64), *[e for _, e in spans]])
                 base = np.repeat(own[:-1], size)
                 a = range_hash(prefix_hashes(part), start + base, end + base)
                 b = range_hash(prefix_hashes(part, _OTHER), start + base, end + base)
-                held.append((a, b, np.repeat(ids[lo:hi], size), start, (end - start).astype(np.int32)))
+                held.append((a, b, np.repeat(ids[lo:hi], size), start.astype(np.int32), (end - start).astype(np.int32)))
                 count += len(a)
                 if count >= GATHERED:
                     yield flush(held)
@@ -109,7 +125,7 @@ def repeated_spans(docs: DataFrame, cuts: Cuts = Cuts()) -> DataFrame:  # noqa:
         again = np.flatnonzero(doc != first)
         for lo in range(0, len(again), 100_000):
             at = again[lo : lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(start[at]), pa.array(size[at]), pa.array(first[at])], names=["doc_id", "start", "size", "first"])
+            yield pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(start[at].astype(np.int64)), pa.array(size[at]), pa.array(first[at])], names=["doc_id", "start", "size", "first"])
 
     packed = source.mapInArrow(cut, "kind int, bucket int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary")
     again = Written(packed.repartition("bucket").mapInArrow(match, "doc_id long, start long, size int, first long"), "chunks")
@@ -124,7 +140,7 @@ def repeated_spans(docs: DataFrame, cuts: Cuts = Cuts()) -> DataFrame:  # noqa:
                 start, size, first = (flat.field(k).to_numpy() for k in range(3))
                 stop = np.maximum.accumulate(start + size)
                 new = np.ones(len(start), bool)
-                new[1:] = start[1:] > stop[:-1]
+                new[1:] = start[1:] >= stop[:-1]
                 s, run = np.flatnonzero(new), np.cumsum(new) - 1
                 e = np.append(stop[s[1:] - 1], stop[-1])
                 for k in np.flatnonzero(e - start[s] >= cuts.run):

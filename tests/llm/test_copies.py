@@ -168,6 +168,19 @@ def test_chunks_find_shared_passages_and_leave_others_alone(spark):
     assert chunks.chunk_report(docs.limit(0)).count() == 0
 
 
+def test_chunks_find_passages_of_51_words_in_just_two_documents(spark):
+    rng = random.Random(12)
+    lengths = [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11]
+    word = lambda: "".join(rng.choices("etaoinshrdlucmfw", k=rng.choices(lengths, [6, 20, 22, 16, 12, 8, 6, 4, 2, 2, 1])[0]))
+    own = lambda n: " ".join(word() for _ in range(n))
+    passages = [own(51) for _ in range(400)]
+    rows = [(2 * i + k, own(30) + " " + p + " " + own(30)) for i, p in enumerate(passages) for k in (0, 1)]
+    got = {r["doc_id"]: r for r in chunks.chunk_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, p in enumerate(passages):
+        assert len(p) - 100 <= got[2 * i + 1]["n_removed"] <= len(p) + 16 and got[2 * i + 1]["first_docs"] == [2 * i]
+        assert got[2 * i]["n_removed"] == 0
+
+
 def test_chunks_resist_insertions():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 123, 4000).astype(np.uint8)
