@@ -57,6 +57,15 @@ def shots_to_positions(shots: DataFrame, keys: list[str], shot_id: str) -> DataF
     return velocities(both, keys, order, "time", ["east", "north", "up"])
 
 
+def prepare_shots(shots: DataFrame, shot_id: str) -> DataFrame:
+    """Both ends of each shot as POSITION; velocities come from the positions themselves, so they have no deviation and add nothing."""
+    p = shots_to_positions(shots, KEYS, shot_id)
+    axes = list(zip(("east", "north", "up"), "xyz", strict=True))
+    out = p.select(*KEYS, "time", *[F.col(a).alias(f"ant_{b}") for a, b in axes], *[F.col(f"{a}_std").alias(f"ant_sig{b}") for a, b in axes], *[F.col(f"v_{a}").alias(a) for a, _ in axes])
+    out = out.withColumns({f"{a}_sig": F.lit(None).cast("double") for a, _ in axes} | {c: F.lit(0.0) for c in ZEROS})
+    return out.select(*KEYS, *POSITION)
+
+
 # ---------------------------------------------------------------- smoothing
 
 
@@ -146,11 +155,12 @@ def compare_with_track(original: DataFrame, track: DataFrame, keys: list[str], i
 def refine_day(shots: DataFrame, imu: DataFrame | None, kin: DataFrame, shot_id: str, order: list[str], gate: float = 5000.0, radius: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """Whole refinement of all stations and days at once: (updated shots, smoothed track).
 
-    With inertial data its medians gate both tables; without (quality control) kinematic positions stand alone, ungated.
+    With inertial data its medians gate both tables; without (quality control) the shots' own positions take its place,
+    with deviations east_std0 ... up_std1, and nothing is gated.
     """
     kinematic = prepare_kinematic(kin, order)
     if imu is None:
-        positions = kinematic
+        positions = combine(prepare_shots(shots, shot_id), kinematic)
     else:
         inertial = prepare_inertial(imu, order)
         axes = ["ant_x", "ant_y", "ant_z"]

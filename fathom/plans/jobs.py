@@ -58,7 +58,7 @@ def survey_input(shots: DataFrame, survey_rows: DataFrame, survey_type: str, cen
 
 
 def quality_days(shots: DataFrame, kin: DataFrame, shot_id: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Quality control: refinement without inertial data; (updated shots, track)."""
+    """Quality control: refinement of shots from their own and kinematic positions, without inertial data; (updated shots, track)."""
     return refine.refine_day(shots, None, kin, shot_id, order)
 
 

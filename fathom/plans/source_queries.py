@@ -457,11 +457,13 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @query("K3_quality_refinement")
 def _(s: SparkSession, d: str) -> DataFrame:
-    """The variant without inertial data, compared with the positions it came from."""
-    p = refine.prepare_kinematic(_positions(s, d), ["time", "event_id"])
-    track = refine.smooth(p)
-    ids = p.withColumn("row", F.concat_ws("|", "station", "time"))
-    return refine.compare_with_track(ids, track, ["station", "day"], "row", 0.01)
+    """The variant without inertial data: shots updated from their own positions and kinematic ones, smoothed without a gate."""
+    e = of_type(shots(s, d), "view").withColumns({"station": (F.col("user_id") % 5).cast("string"), "day": F.to_date("ts")})
+    ends = {f"{a}1": F.col(f"{a}0") for a in ("east", "north", "up")} | {"isUpdated": F.lit(False)}
+    stds = {f"{a}_std{k}": F.nullif(F.col("xc") % n, F.lit(0)).cast("double") for a in ("east", "north", "up") for k, n in ((0, 3), (1, 5))}
+    e = e.withColumns(ends | stds).select("station", "day", "event_id", "pingTime", "returnTime", *ends, *[f"{a}0" for a in ("east", "north", "up")], *stds)
+    done, _track = jobs.quality_days(e, _positions(s, d), "event_id", ["time", "event_id"])
+    return done
 
 
 @query("K4_kernel_ridge")
