@@ -148,6 +148,23 @@ def test_lines_keep_one_of_each_group(corpus):
     assert lines.dedup_lines(corpus.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [10, 20, 30, 50, 100, 120, 200])
+def test_bands_of_lines_meet_at_the_threshold(n):
+    """3000 pairs of sets with n shingles in all, four fifths of them in both: few have no key in common, however short the line."""
+    rng = np.random.default_rng(n)
+    hashes = rng.integers(0, 2**64, (3000, n), dtype=np.uint64)
+    common_part, own = hashes[:, : n * 4 // 5], hashes[:, n * 4 // 5 :]
+    half = own.shape[1] // 2
+    sets = [s for c, o in zip(common_part, own, strict=True) for s in (np.append(c, o[:half]), np.append(c, o[half:]))]
+    found = [set() for _ in sets]
+    for k in range(0, len(sets), 1000):
+        some = sets[k : k + 1000]
+        keys, owner = lines.band_keys(np.concatenate(some), np.repeat(np.arange(len(some)), [len(s) for s in some]), len(some))
+        for key, i in zip(keys.tolist(), owner.tolist(), strict=True):
+            found[k + i].add(key)
+    assert sum(not (x & y) for x, y in zip(found[::2], found[1::2], strict=True)) <= 15
+
+
 def test_chunks_find_shared_passages_and_leave_others_alone(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
