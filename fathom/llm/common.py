@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one round of NumPy work takes (a longer text is taken alone).
@@ -35,19 +36,30 @@ def work_folder(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
         _own_folder[app] = "file://" + tempfile.mkdtemp(prefix="fathom-")
     return _own_folder[app]
 
 
+#: With this setting Spark removes a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Written:
-    """A DataFrame written as Parquet in the work folder, so its lineage ends there."""
+    """A DataFrame written as Parquet in the work folder, so its lineage ends there and its shuffle files can go at once."""
 
     def __init__(self, df: DataFrame, name: str):
         spark = df.sparkSession
         self.path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        before = spark.conf.get(CLEANUP, "false")
+        spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(self.path)
+        finally:
+            spark.conf.set(CLEANUP, before)
         self.df = spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
@@ -145,38 +157,136 @@ def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, rows
 
 
-def word_shingles(data: np.ndarray, offs: np.ndarray, k: int) -> list[np.ndarray]:
-    """For each row its sorted distinct 64-bit hashes of k-word shingles over A-Z lower-cased words.
+def lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte on as one number; zeros follow the last one."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+
+
+_BELOW = (np.uint64(1) << np.arange(0, 64, 8, dtype=np.uint64)) - np.uint64(1)
+#: Lanes of a span that are mixed in bulk; a span beyond them is hashed alone.
+LANES = 128
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of data[start:end] in which every eight bytes pass a mixer, so no algebra makes unlike spans equal."""
+    size = end - start
+    out = mix(size.astype(np.uint64) ^ _BASE)
+    every = lanes(data)
+    todo = np.arange(len(start))
+    for k in range(LANES):
+        left = size[todo] - 8 * k
+        x = every[start[todo] + 8 * k]
+        short = left < 8
+        x[short] &= _BELOW[left[short]]
+        out[todo] = mix(out[todo] ^ x)
+        todo = todo[left > 8]
+        if not len(todo):
+            break
+    for i in todo.tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
+def numbered(h: np.ndarray, same: Callable[[np.ndarray, np.ndarray], np.ndarray], exact: Callable[[], np.ndarray]) -> np.ndarray:
+    """A number for each element, equal where elements are equal, from their hashes.
+
+    same(i, j) compares elements i and j themselves; exact() numbers all without hashes, if ever unlike ones share one.
+    """
+    order = np.argsort(h)
+    new = np.ones(len(h), bool)
+    new[1:] = h[order[1:]] != h[order[:-1]]
+    run = np.cumsum(new) - 1
+    number = np.empty(len(h), np.int64)
+    number[order] = run
+    lead = order[new][run]
+    other = ~new
+    return number if same(order[other], lead[other]).all() else exact()
+
+
+def word_numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for each word data[start:end], equal where words are equal byte by byte."""
+    every, size = lanes(data), end - start
+
+    def same(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = size[i] == size[j]
+        todo = np.flatnonzero(out)
+        k = 0
+        while len(todo):
+            left = size[i[todo]] - 8 * k
+            x = every[start[i[todo]] + 8 * k] ^ every[start[j[todo]] + 8 * k]
+            short = left < 8
+            x[short] &= _BELOW[left[short]]
+            out[todo[x != 0]] = False
+            todo = todo[(left > 8) & (x == 0)]
+            k += 1
+        return out
+
+    def exact() -> np.ndarray:
+        known: dict[bytes, int] = {}
+        return np.array([known.setdefault(data[a:b].tobytes(), len(known)) for a, b in zip(start.tolist(), end.tolist(), strict=True)], np.int64)
+
+    return numbered(span_hashes(data, start, end), same, exact)
+
+
+def tuple_numbers(columns: list[np.ndarray]) -> np.ndarray:
+    """A number for each row of the columns (integers), equal where rows are equal."""
+    h = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        h = mix(h ^ c.astype(np.uint64)) + np.uint64(1)
+
+    def exact() -> np.ndarray:
+        return np.unique(np.stack(columns, axis=1), axis=0, return_inverse=True)[1].reshape(-1)
+
+    return numbered(h, lambda i, j: np.logical_and.reduce([c[i] == c[j] for c in columns]), exact)
+
+
+def distinct(owner: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs in order; both are below 2**32."""
+    both = np.sort(owner.astype(np.uint64) << np.uint64(32) | number.astype(np.uint64))
+    both = both[np.append(True, both[1:] != both[:-1])[: len(both)]]
+    return (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def shingle_places(rows: np.ndarray, n_rows: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First element, size and row of each shingle of k of a row's elements (all of them where a row has fewer)."""
+    count = np.bincount(rows, minlength=n_rows)
+    first = np.cumsum(count) - count
+    n = np.where(count >= k, count - k + 1, np.minimum(count, 1))
+    row = np.repeat(np.arange(n_rows), n)
+    at = first[row] + np.arange(len(row)) - (np.cumsum(n) - n)[row]
+    return at, np.minimum(count[row], k), row
+
+
+def word_shingles(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' distinct shingles of k words as (row, 64-bit hash), in order; A-Z are lowered.
 
     With fewer than k words the whole sequence counts as one shingle; without words there is none.
     """
     low = LOWER[data]
-    starts, ends, rows = word_spans(low, offs)
-    w = range_hash(prefix_hashes(low), starts, ends)
-    n_rows = len(offs) - 1
-    first = np.searchsorted(rows, np.arange(n_rows + 1))
-    if len(w) >= k:
-        m = len(w) - k + 1
-        h = np.zeros(m, np.uint64)
-        for i in range(k):
-            h = h * np.uint64(0xD6E8FEB86659FD93) + w[i : i + m]
-        h = mix(h)
-    else:
-        h = np.zeros(0, np.uint64)
-    out = []
-    for r in range(n_rows):
-        lo, hi = first[r], first[r + 1]
-        if hi - lo >= k:
-            out.append(np.unique(h[lo : hi - k + 1]))
-        elif hi > lo:
-            short = np.uint64(hi - lo)
-            for x in w[lo:hi]:
-                with np.errstate(over="ignore"):
-                    short = short * np.uint64(0xA24BAED4963EE407) + x
-            out.append(mix(np.array([short], np.uint64)))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
+    start, end, rows = word_spans(low, offs)
+    w = span_hashes(low, start, end)
+    at, size, row = shingle_places(rows, len(offs) - 1, k)
+    h = mix(size.astype(np.uint64))
+    for i in range(k):
+        use = slice(None) if (size > i).all() else size > i
+        h[use] = mix(h[use] ^ w[at[use] + i])
+    edges = np.searchsorted(row, np.arange(len(offs)))
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        h[lo:hi].sort()
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+    return row[new], h[new]
+
+
+def exact_word_shingles(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """As word_shingles(), but the second column numbers the shingles by their words themselves, within these rows alone."""
+    low = LOWER[data]
+    start, end, rows = word_spans(low, offs)
+    number = word_numbers(low, start, end)
+    at, size, row = shingle_places(rows, len(offs) - 1, k)
+    padded = np.append(number, np.full(k, -1))
+    return distinct(row, tuple_numbers([np.where(size > i, padded[at + i], -1) for i in range(k)]))
 
 
 # ---------------------------------------------------------------- components
@@ -185,43 +295,53 @@ def word_shingles(data: np.ndarray, offs: np.ndarray, k: int) -> list[np.ndarray
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a long, b long) by distributed union-find.
 
-    Each round hooks every node to its smallest neighbour, jumps along parents until all point to roots, and
-    rewrites the edges between roots; components at least halve in number. All steps are grouped minima and joins.
-    Returns (id, component_id) for every node of an edge; component_id is the component's smallest id.
-    Self-loops and repeated edges are harmless; edges with a null end are ignored.
+    Tasks first shrink their own edges to a forest. Then each round hooks every node to its smallest neighbour, jumps
+    along parents until all point to roots, and rewrites the edges between roots; components at least halve in number.
+    All steps are grouped minima and joins. Returns (id, component_id) for every node of an edge; component_id is the
+    component's smallest id. Self-loops and repeated edges are harmless; edges with a null end are ignored.
     """
-    spark = edges.sparkSession
-    edge = Written(edges.where("a is not null and b is not null").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+
+    def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = local_forest(*(c.to_numpy() for c in batch.columns))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
+
+    def step(df: DataFrame, name: str, what: str) -> tuple[Written, bool]:
+        """The rows without `what`, written, and whether it was true in any of them."""
+        seen = Observation()
+        out = Written(df.observe(seen, F.max(F.col(what).cast("int")).alias("n")).drop(what), name)
+        return out, bool(seen.get["n"])
+
+    some = edges.where("a is not null and b is not null").select("a", "b").mapInArrow(forest, "a long, b long")
+    edge, more = step(some.distinct().withColumn("any", F.lit(True)), "edges", "any")
     label = None
-    while True:
+    while more or label is None:
         both = edge.df.select(F.col("a").alias("id"), F.col("b").alias("to")).union(edge.df.select("b", "a"))
-        parent = Written(both.groupBy("id").agg(F.least(F.col("id"), F.min("to")).alias("root")), "parents")
-        while True:
+        parent, moved = Written(both.groupBy("id").agg(F.least(F.col("id"), F.min("to")).alias("root")), "parents"), True
+        while moved:
             up = parent.df.select(F.col("id").alias("root"), F.col("root").alias("next"))
-            jumped = Written(parent.df.join(up, "root").select("id", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved")), "parents")
+            jump = parent.df.join(up, "root").select("id", "root", "next").join(up.select(F.col("root").alias("next"), F.col("next").alias("last")), "next")
+            jumped, moved = step(jump.select("id", F.col("last").alias("root"), (F.col("last") != F.col("next")).alias("moved")), "parents", "moved")
             parent.drop()
             parent = jumped
-            if not parent.df.where("moved").head(1):
-                break
-            parent.df = parent.df.drop("moved")
-        step = parent.df.select("id", "root")
         if label is None:
-            label = Written(step, "labels")
+            label = parent
         else:
-            up = step.select(F.col("id").alias("root"), F.col("root").alias("next"))
+            up = parent.df.select(F.col("id").alias("root"), F.col("root").alias("next"))
             newer = Written(label.df.join(up, "root", "left").select("id", F.coalesce("next", "root").alias("root")), "labels")
             label.drop()
             label = newer
         ends = edge.df
         for c in ("a", "b"):
-            ends = ends.join(step.select(F.col("id").alias(c), F.col("root").alias(f"{c}_root")), c)
-        left = Written(ends.where("a_root != b_root").select(F.greatest("a_root", "b_root").alias("a"), F.least("a_root", "b_root").alias("b")).distinct(), "edges")
+            ends = ends.join(parent.df.select(F.col("id").alias(c), F.col("root").alias(f"{c}_root")), c)
+        left = ends.where("a_root != b_root").select(F.greatest("a_root", "b_root").alias("a"), F.least("a_root", "b_root").alias("b")).distinct()
+        left, more = step(left.withColumn("any", F.lit(True)), "edges", "any")
         edge.drop()
-        parent.drop()
+        if parent is not label:
+            parent.drop()
         edge = left
-        if not edge.df.head(1):
-            edge.drop()
-            return label.df.select("id", F.col("root").alias("component_id"))
+    edge.drop()
+    return label.df.select("id", F.col("root").alias("component_id"))
 
 
 def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

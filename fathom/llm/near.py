@@ -1,5 +1,7 @@
 """Groups of near copies from shared keys, without ever pairing all members of a key.
 
+An item is a text, or a line of one, with A-Z lowered and white-space runs as one space. Equal items meet by a 128-bit
+digest: a task sends each of its items once, and of all places where an item stands the first one represents it.
 Items that share a key are candidates. In each key all members are paired with one leader, the member that shares most
 of its keys, so that a group's keys mostly have the same leader: first within a task's own items, so that only one entry
 per key goes into the shuffle, and then among those. Of each member's pairs the one with most keys is verified first,
@@ -11,7 +13,9 @@ members of all keys.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from fractions import Fraction
 
 import numpy as np
@@ -19,33 +23,77 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm.common import Written, components, local_forest, mix, slices, text_buffers
-from fathom.llm.packed import GATHERED, pack, runs, unpack
+from fathom.llm.common import Written, components, local_forest, mix
+from fathom.llm.packed import GATHERED, bucket_count, pack, runs, total_bytes, unpack
 
-#: From the bytes and offsets of some texts: items' rows (the text each came from), ids, keys' items, keys.
-Emit = Callable[[np.ndarray, np.ndarray, np.ndarray], "Items"]
+#: Bytes of items that are worked on at once (a longer item is taken alone).
+SLICE = 1 << 20
+#: Members that are verified with one copy of their leader's text; members of an open key up to which its pairs are
+#: listed; members of a block beyond it.
+TEAM = 256
+SHORT = 32
+BLOCK = 512
 
 
-class Items:
-    """What emit() finds in a slice of rows.
+@dataclass(frozen=True)
+class Keys:
+    """of: the item of each key; keys; size: each item's size, for the caller.
 
-    ids: an id per item; info: a tuple of further columns per item, kept for the caller; of: the item of each key; keys.
+    An item may leave out free[item, f] of its keys of family f, chosen by the keys alone: items that link have another
+    key in common then. family is -1 for keys that may not go; without families none may.
     """
 
-    def __init__(self, ids: np.ndarray, info: tuple[np.ndarray, ...], of: np.ndarray, keys: np.ndarray):
-        self.ids, self.info, self.of, self.keys = ids, info, of, keys
+    of: np.ndarray
+    keys: np.ndarray
+    size: np.ndarray
+    family: np.ndarray | None = None
+    free: np.ndarray | None = None
 
 
-def lead(keys: np.ndarray, ids: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys, their leaders (largest weight, then smallest id) and the leaders' weights; and the distinct pairs
-    (leader, other id of the key) with the number of keys."""
-    order = np.lexsort((ids, -weight, keys))
-    keys, ids, weight = keys[order], ids[order], weight[order]
-    start, run = runs(keys)
-    first = ids[start]
-    a = first[run]
-    other = ids != a
-    return keys[start], first, weight[start], *counted(a[other], ids[other], np.ones(int(other.sum()), np.int64))
+@dataclass(frozen=True)
+class Scheme:
+    """How items are made and compared.
+
+    parts: a text's parts, each of which is an item. keys: the keys of items. numbers: from items, the distinct (item, element) in order, elements numbered exactly within these items.
+    Items link where intersection >= similarity * union of their elements, and they have one in common.
+    """
+
+    parts: Callable[[bytes], list[bytes]]
+    keys: Callable[[list[bytes]], Keys]
+    numbers: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+    similarity: Fraction
+
+
+def normal(part: bytes) -> bytes:
+    """A-Z lowered, runs of the six white-space bytes as one space, none at the ends."""
+    return b" ".join(part.lower().split())
+
+
+def digest(item: bytes) -> bytes:
+    return hashlib.blake2b(item, digest_size=16).digest()
+
+
+def id_of(digests: np.ndarray) -> np.ndarray:
+    """63 bits of each digest (V16)."""
+    return (digests.view(np.uint64).reshape(-1, 2)[:, 0] >> np.uint64(1)).astype(np.int64)
+
+
+def identity(item: bytes) -> tuple[int, int]:
+    """The columns a and b of an item: id_of() its digest, and the digest's second half."""
+    d = digest(item)
+    return int.from_bytes(d[:8], "little") >> 1, int.from_bytes(d[8:], "little", signed=True)
+
+
+def sliced(items: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of items of about SLICE bytes."""
+    lo, size = 0, 0
+    for i, x in enumerate(items):
+        if size and size + len(x) > SLICE:
+            yield lo, i
+            lo, size = i, 0
+        size += len(x)
+    if lo < len(items):
+        yield lo, len(items)
 
 
 def counted(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,147 +106,271 @@ def counted(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np
     return a[start], b[start], np.add.reduceat(n, start) if len(start) else n
 
 
-def shared_keys(keys: np.ndarray, of: np.ndarray, n_items: int) -> np.ndarray:
-    """For each item the number of its keys that another item of this task has too."""
-    _, which, count = np.unique(keys, return_inverse=True, return_counts=True)
-    return np.bincount(of, weights=count[which] > 1, minlength=n_items).astype(np.int32)
-
-
-def candidates(source: DataFrame, emit: Emit, info: list[tuple[str, str, type]], n_buckets: int, name: str) -> Written:
-    """Written rows: kind 0 (a = item id, further columns by `info`: name, SQL type, NumPy type), kind 2 (pair a, b with n, the keys in which a leads b).
+def lead(keys: np.ndarray, ids: np.ndarray, weight: np.ndarray | None = None, of: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Distinct keys, their leaders (largest weight, then smallest id) and the leaders' weights; and the distinct pairs
+    (leader, other id of the key) with the number of keys.
 
-    source has the columns id (long, not null) and text. A key's entries that reach a task are one per task that has
-    seen the key, however many members it has there.
+    In place of weights there may be the number of each key's item: its weight is the number of its keys that others have.
     """
-    types = [np.int64, *(t for _, _, t in info)]
-    kinds = {0: types, 1: [np.uint64, np.int64, np.int32], 2: [np.int64, np.int64, np.int64]}
-    width = max(3, len(types))
-
-    def padded(batch: pa.RecordBatch) -> pa.RecordBatch:
+    order = np.argsort(keys)
+    keys, ids = keys[order], ids[order]
+    start, run = runs(keys)
+    if not len(start):
+        return keys, ids, np.zeros(0, np.uint8), ids, ids, ids
+    if weight is None:
+        shared = np.diff(np.append(start, len(keys)))[run] > 1
+        weight = np.minimum(np.bincount(of[order], weights=shared)[of[order]], 255).astype(np.uint8)
+    else:
+        weight = weight[order]
+    top = np.maximum.reduceat(weight, start)
+    first = np.minimum.reduceat(np.where(weight == top[run], ids, np.iinfo(np.int64).max), start)
+    a = first[run]
+    other = ids != a
+    return keys[start], first, top, *counted(a[other], ids[other], np.ones(int(other.sum()), np.int64))
+
+
+FIRST, ENTRY, PAIR, AGAIN = 0, 1, 2, 3
+KINDS = {
+    FIRST: ["V16", np.int64, np.int32, np.int32],
+    ENTRY: [np.uint64, np.int64, np.uint8],
+    PAIR: [np.int64, np.int64, np.int64],
+    AGAIN: ["V16", np.int64, np.int32, np.int32],
+}
+WIDTH = max(map(len, KINDS.values()))
+PACKED = "kind int, bucket int, " + ", ".join(f"c{i} binary" for i in range(WIDTH))
+#: kind FIRST and AGAIN: item id, rest of its digest, its place (doc_id, part; ~part if another row has that place too), its
+#: size, and for FIRST its node (the id, or another number if an unlike item has the same id); kind PAIR: nodes a and b, and
+#: the n keys in which a leads b.
+FOUND = "kind int, a long, b long, n long, doc_id long, part int, size int, node long"
+
+
+def firsts(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For rows (item's columns, doc_id, part) the order by them, and in it: each item's first row, and rows that repeat a place."""
+    order = np.lexsort(columns[::-1])
+    same = [np.concatenate(([False], c[order][1:] == c[order][:-1])) for c in columns]
+    again = np.logical_and.reduce(same[:-2])
+    return ~again, again & same[-2] & same[-1], order
+
+
+def candidates(source: DataFrame, scheme: Scheme, name: str) -> Written:
+    """Written rows of FOUND for all items of source (id long, not null; text) that have a word."""
+    n_buckets = bucket_count(total_bytes(source, "text"))
+    dealt = lambda h: (h % np.uint64(n_buckets)).astype(np.int64)
+
+    def row(kind: int, bucket: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+        batch = pack(kind, bucket, columns)
         none = pa.nulls(len(batch), pa.binary())
-        return pa.RecordBatch.from_arrays([*batch.columns, *[none] * (2 + width - batch.num_columns)], names=["kind", "bucket", *(f"c{i}" for i in range(width))])
+        return pa.RecordBatch.from_arrays([*batch.columns, *[none] * (WIDTH - len(columns))], names=["kind", "bucket", *(f"c{i}" for i in range(WIDTH))])
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[Items] = []
-        count = 0
+        known: dict[bytes, int] = {}  # digests of the items that this task has gathered
+        places: list[list[int]] = [[], [], []]  # item, doc_id, part
+        fresh: list[bytes] = []
+        made: list[tuple[np.ndarray, np.ndarray]] = []  # items and their keys
+        sizes: list[np.ndarray] = []
+        held = fresh_bytes = 0
+
+        def make() -> None:
+            nonlocal held, fresh_bytes
+            base = len(known) - len(fresh)
+            for lo, hi in sliced(fresh):
+                found = scheme.keys(fresh[lo:hi])
+                made.append((found.of + base + lo, found.keys))
+                sizes.append(found.size.astype(np.int32))
+                held += len(found.keys)
+            fresh.clear()
+            fresh_bytes = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            ids = np.concatenate([x.ids for x in held])
-            columns = [np.concatenate([x.info[i] for x in held]) for i in range(len(info))]
-            yield padded(pack(0, (mix(ids.view(np.uint64)) % np.uint64(n_buckets)).astype(np.int64), [ids, *columns]))
-            base = np.cumsum([0, *[len(x.ids) for x in held]])
-            all_keys, of = np.concatenate([x.keys for x in held]), np.concatenate([x.of + b for x, b in zip(held, base, strict=False)])
-            keys, first, weight, a, b, n = lead(all_keys, ids[of], shared_keys(all_keys, of, len(ids))[of])
-            yield padded(pack(1, (mix(keys) % np.uint64(n_buckets)).astype(np.int64), [keys, first, weight]))
-            yield padded(pack(2, (mix(a.view(np.uint64) ^ b.view(np.uint64)) % np.uint64(n_buckets)).astype(np.int64), [a, b, n]))
+            item, doc, part = (np.array(x, np.int64) for x in places)
+            digests, size = np.frombuffer(b"".join(known), "V16"), np.concatenate(sizes)
+            new, twin, order = firsts(item, doc, part)
+            item, doc, part = item[order], doc[order], np.where(twin, ~part[order], part[order]).astype(np.int32)
+            ids = id_of(digests)
+            for kind, at, where in ((FIRST, new, ids[item[new]]), (AGAIN, ~new, doc[~new])):
+                yield row(kind, dealt(mix(where.view(np.uint64))), [digests[item[at]], doc[at], part[at], size[item[at]]])
+            of, keys = np.concatenate([i for i, _ in made]), np.concatenate([k for _, k in made])
+            keys, first, weight, a, b, n = lead(keys, ids[of], of=of)
+            yield row(ENTRY, dealt(keys), [keys, first, weight])
+            yield row(PAIR, dealt(mix(a.view(np.uint64) ^ b.view(np.uint64))), [a, b, n])
 
         for batch in batches:
-            data, offs = text_buffers(batch.column(1))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for lo, hi in slices(offs):
-                found = emit(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo], ids[lo:hi])
-                held.append(found)
-                count += len(found.keys) + len(found.ids)
-                if count >= GATHERED:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                for number, part in enumerate(scheme.parts(text.as_py() or b"")):
+                    item = normal(part)
+                    if not item:
+                        continue
+                    d = digest(item)
+                    if d not in known:
+                        known[d] = len(known)
+                        fresh.append(item)
+                        fresh_bytes += len(item)
+                    for column, x in zip(places, (known[d], doc, number), strict=True):
+                        column.append(x)
+                if fresh_bytes >= SLICE:
+                    make()
+                if held + len(places[0]) >= GATHERED:
+                    make()
                     yield from flush()
-                    held, count = [], 0
-        if held:
+                    known, places, made, sizes, held = {}, [[], [], []], [], [], 0
+        if places[0]:
+            make()
             yield from flush()
 
-    names = ["kind", "a", "b", "n", *(n for n, _, _ in info)]
-    schema = ", ".join(["kind int", "a long", "b long", "n long", *(f"{n} {s}" for n, s, _ in info)])
+    def rows(kind: int, **columns: np.ndarray) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        fields = [f.split() for f in FOUND.split(", ")]
+        types = {"int": pa.int32(), "long": pa.int64()}
+        columns["kind"] = np.full(n, kind)
+        return pa.RecordBatch.from_arrays([pa.array(columns[f], types[t]) if f in columns else pa.nulls(n, types[t]) for f, t in fields], names=[f for f, _ in fields])
+
+    def items(kind: int, digests: np.ndarray, doc: np.ndarray, part: np.ndarray, size: np.ndarray, **more: np.ndarray) -> pa.RecordBatch:
+        return rows(kind, a=id_of(digests), b=digests.view(np.int64).reshape(-1, 2)[:, 1], doc_id=doc, part=part, size=size, **more)
+
+    def settle(kind: int, parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        """Of one bucket."""
+        columns = [np.concatenate([p[i] for p in parts]) for i in range(len(KINDS[kind]))]
+        if kind == AGAIN:
+            yield items(AGAIN, *columns)
+        elif kind == FIRST:
+            digests, doc, part, size = columns
+            words = digests.view(np.uint64).reshape(-1, 2)
+            new, twin, order = firsts(words[:, 0], words[:, 1], doc, part)
+            digests, doc, part, size, words = digests[order], doc[order], np.where(twin, ~part[order], part[order]), size[order], words[order]
+            yield items(AGAIN, digests[~new], doc[~new], part[~new], size[~new])
+            digests, doc, part, size, words = digests[new], doc[new], part[new], size[new], words[new]
+            node = id_of(digests)
+            twin = np.zeros(len(node), bool)
+            twin[1:] = node[1:] == node[:-1]  # unlike items with one id: those after the first are told apart
+            node[twin] = (mix(words[twin, 1] ^ words[twin, 0]) >> np.uint64(1)).astype(np.int64)
+            yield items(FIRST, digests, doc, part, size, node=node)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(kind: int, a: np.ndarray, b: np.ndarray | None, n: np.ndarray | None, more: list[np.ndarray] | None) -> pa.RecordBatch:
-            def column(x: np.ndarray) -> pa.Array:
-                if x.dtype.kind == "V":
-                    size = x.dtype.itemsize
-                    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(np.arange(len(x) + 1, dtype=np.int32) * size), pa.py_buffer(np.ascontiguousarray(x).tobytes())])
-                return pa.array(x)
-
-            none = [pa.nulls(len(a), pa.binary() if np.dtype(t).kind == "V" else pa.from_numpy_dtype(t)) for _, _, t in info]
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), *(pa.nulls(len(a), pa.int64()) if x is None else pa.array(x) for x in (b, n)), *(none if more is None else map(column, more))], names=names)
-
-        entries = [np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
-        new: list[list[np.ndarray]] = []
-        pairs: list[list[np.ndarray]] = []
-        count = 0
-
-        def settle() -> Iterator[pa.RecordBatch]:
-            nonlocal entries, new, pairs, count
-            *entries, a, b, n = lead(*(np.concatenate([x, *[c[i] for c in new]]) for i, x in enumerate(entries)))
-            a, b, n = counted(*(np.concatenate([x, *[c[i] for c in pairs]]) for i, x in enumerate((a, b, n))))
-            new, pairs, count = [], [], 0
-            if len(a):
-                yield rows(2, a, b, n, None)
+        """The packed rows come in the order of their buckets; each bucket is settled before the next."""
+        current = -1
+        parts: dict[int, list[list[np.ndarray]]] = {}
+
+        def bucket_done() -> Iterator[pa.RecordBatch]:
+            for kind in (FIRST, AGAIN):
+                if parts.get(kind):
+                    yield from settle(kind, parts[kind])
+            pairs = parts.get(PAIR, [])
+            if parts.get(ENTRY):
+                columns = (np.concatenate([p[i] for p in parts[ENTRY]]) for i in range(3))
+                pairs = [*pairs, list(lead(*columns)[3:])]
+            if pairs:
+                a, b, n = counted(*(np.concatenate([p[i] for p in pairs]) for i in range(3)))
+                yield rows(PAIR, a=a, b=b, n=n)
+            parts.clear()
 
         for batch in batches:
-            for kind, columns in unpack(batch, kinds):
-                if kind == 0:
-                    yield rows(0, columns[0], None, None, columns[1:])
-                    continue
-                (new if kind == 1 else pairs).append(columns)
-                count += len(columns[0])
-                if count >= GATHERED:
-                    yield from settle()
-        if count:
-            yield from settle()
+            for bucket, (kind, columns) in zip(batch.column(1).to_pylist(), unpack(batch, KINDS), strict=True):
+                if bucket != current:
+                    yield from bucket_done()
+                    current = bucket
+                parts.setdefault(kind, []).append(columns)
+        yield from bucket_done()
 
-    packed_schema = "kind int, bucket int, " + ", ".join(f"c{i} binary" for i in range(width))
-    shared = source.select("id", "text").mapInArrow(share, packed_schema)
-    return Written(shared.repartition("bucket").mapInArrow(gather, schema), name)
+    shared = source.select("id", "text").mapInArrow(share, PACKED)
+    return Written(shared.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, FOUND), name)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, same: Callable[[str, str], bool], keys_of: Callable[[str], np.ndarray] | None, name: str) -> Written:
-    """Written rows (a, b, linked, keys): keys are those that the two share if they are not linked, null without keys_of."""
+def fetched(source: DataFrame, wanted: DataFrame, scheme: Scheme, name: str) -> Written:
+    """Written (id, text): the items of wanted (node, a, b, doc_id, part) from the documents where they stand first."""
+    per_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("part", "a", "b", "node")).alias("items"))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = [], []
+            for text, items in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist(), strict=True):
+                parts = scheme.parts(text.as_py() or b"")
+                for x in items:
+                    item = normal(parts[x["part"]]) if x["part"] < len(parts) else b""
+                    if identity(item) == (x["a"], x["b"]):  # of rows that repeat a doc_id the one that has the item counts
+                        ids.append(x["node"])
+                        texts.append(item)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary())], names=["id", "text"])
+
+    docs = source.withColumnRenamed("id", "doc_id").join(per_doc, "doc_id").select("text", "items")
+    return Written(docs.mapInArrow(pick, "id long, text binary").groupBy("id").agg(F.first("text").alias("text")), name)
+
+
+def linked(owner: np.ndarray, number: np.ndarray, n: int, leader: np.ndarray, similarity: Fraction) -> np.ndarray:
+    """Whether each of n items links with its leader, the item whose number is given; members follow their leader."""
+    edges = np.searchsorted(owner, np.arange(n + 1))
+    size = np.diff(edges)
+    both = np.zeros(n, np.int64)
+    mark = np.zeros(int(number.max()) + 1 if len(number) else 1, bool)
+    start, _ = runs(leader)
+    for lo, hi in zip(start.tolist(), [*start[1:].tolist(), n], strict=True):
+        own = number[edges[leader[lo]] : edges[leader[lo] + 1]]
+        mark[own] = True
+        hits = np.concatenate(([0], np.cumsum(mark[number[edges[lo] : edges[hi]]])))
+        both[lo:hi] = np.diff(hits[edges[lo : hi + 1] - edges[lo]])
+        mark[own] = False
+    return (both > 0) & (similarity.denominator * both >= similarity.numerator * (size + size[leader] - both))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, scheme: Scheme, with_keys: bool, name: str) -> Written:
+    """Written rows (a, b, linked, keys): keys are those that the two share if they are not linked, null without with_keys.
+
+    Members travel to their leader a, in teams of about TEAM with a copy of its text each.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, np.ndarray] = {}  # keys of items that came lately; a leader comes with many others
+        ahead: tuple[int, bytes] | None = None  # the leader of the rows that come next
         for batch in batches:
-            linked, shared = [], []
-            for i, j, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ok = same(x, y)
-                linked.append(ok)
-                if ok or keys_of is None:
-                    shared.append(None)
-                    continue
-                if len(known) > REMEMBERED:
-                    known.clear()
-                for k, t in ((i, x), (j, y)):
-                    if k not in known:
-                        known[k] = keys_of(t)
-                shared.append(np.intersect1d(known[i], known[j]).view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(shared, pa.list_(pa.int64()))], names=["a", "b", "linked", "keys"])
+            ids, texts, leads = batch.column(1).to_pylist(), batch.column(3).to_pylist(), batch.column(2).to_pylist()
+            for lo, hi in sliced(texts):
+                who, items, is_lead = ids[lo:hi], texts[lo:hi], leads[lo:hi]
+                if ahead and not is_lead[0]:
+                    who, items, is_lead = [ahead[0], *who], [ahead[1], *items], [True, *is_lead]
+                n = len(who)
+                at = np.maximum.accumulate(np.where(is_lead, np.arange(n), 0))
+                ahead = who[at[-1]], items[at[-1]]
+                ok = linked(*scheme.numbers(items), n, at, scheme.similarity)
+                member = np.flatnonzero(~np.array(is_lead))
+                shared: list[list[int] | None] = [None] * n
+                bad = member[~ok[member]]
+                if with_keys and len(bad):
+                    need = np.unique(np.concatenate([bad, at[bad]]))
+                    keys = keys_of([items[i] for i in need], scheme)
+                    place = {int(i): k for k, i in enumerate(need)}
+                    for i in bad.tolist():
+                        shared[i] = np.intersect1d(keys[place[i]], keys[place[int(at[i])]]).view(np.int64).tolist()
+                columns = [pa.array([who[at[i]] for i in member], pa.int64()), pa.array([who[i] for i in member], pa.int64()), pa.array(ok[member]), pa.array([shared[i] for i in member], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked", "keys"])
 
     # Comparing costs far more than moving, so the work is dealt to as many tasks as shuffles have.
     tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
-    both = pairs.join(side("a"), "a").repartition(tasks, "b").join(side("b"), "b")
-    return Written(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean, keys array<long>"), name)
-
+    teams = pairs.groupBy("a").agg(F.ceil(F.count("*") / TEAM).cast("int").alias("teams"))
+    seats = teams.where("teams > 1")
+    members = pairs.select("a", "b").join(seats, "a", "left").select("a", F.pmod(F.xxhash64("b"), F.coalesce("teams", F.lit(1))).cast("int").alias("team"), "b")
+    members = members.join(texts.withColumnRenamed("id", "b"), "b").select("a", F.col("b").alias("id"), F.lit(False).alias("leads"), "text", "team")
+    leaders = teams.join(texts.withColumnRenamed("id", "a"), "a").select("a", F.col("a").alias("id"), F.lit(True).alias("leads"), "text", F.explode(F.sequence(F.lit(0), F.col("teams") - 1)).alias("team"))
+    seated = members.union(leaders).repartition(tasks, "a", "team").sortWithinPartitions("a", "team", F.desc("leads"))
+    return Written(seated.select("a", "id", "leads", "text").mapInArrow(run, "a long, b long, linked boolean, keys array<long>"), name)
 
-#: Items whose keys a task remembers.
-REMEMBERED = 500
 
-#: Members of an open key up to which its pairs are listed; members of a block beyond it.
-SHORT = 32
-BLOCK = 512
-
-#: From some texts: for each the sorted distinct elements of its set, as 64-bit numbers.
-Elements = Callable[[list[str]], list[np.ndarray]]
+def keys_of(items: list[bytes], scheme: Scheme) -> list[np.ndarray]:
+    """The distinct keys of each item."""
+    found = scheme.keys(items)
+    order = np.argsort(found.of, kind="stable")
+    edges = np.searchsorted(found.of[order], np.arange(len(items) + 1))
+    keys = found.keys[order]
+    return [np.unique(keys[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
-def block_links(ids: np.ndarray, sets: list[np.ndarray], group: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
+def block_links(ids: np.ndarray, owner: np.ndarray, number: np.ndarray, group: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
     """Links between the left and right members of different groups; intersections by one product of 0/1 matrices."""
-    size = np.array([len(x) for x in sets])
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
-    _, element, count = np.unique(flat, return_inverse=True, return_counts=True)
-    use = count[element] > 1
-    number = np.cumsum(count > 1) - 1
+    size = np.bincount(owner, minlength=len(ids))
+    count = np.bincount(number)
+    rank = np.cumsum(count > 1) - 1
+    use = count[number] > 1
+    e, o = rank[number[use]], owner[use]
     both = np.zeros((len(left), len(right)), np.float32)
-    where_l, where_r = np.full(len(sets), -1), np.full(len(sets), -1)
+    where_l, where_r = np.full(len(ids), -1), np.full(len(ids), -1)
     where_l[left], where_r[right] = np.arange(len(left)), np.arange(len(right))
-    e, o = number[element[use]], owner[use]
     order = np.argsort(e, kind="stable")
     e, o = e[order], o[order]
     n = int(e[-1]) + 1 if len(e) else 0
@@ -217,31 +389,40 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], group: np.ndarray, left
     return ids[left[i]], ids[right[j]]
 
 
-def long_key_links(postings: DataFrame, texts: DataFrame, elements: Elements, similarity: Fraction) -> DataFrame:
+def long_key_links(postings: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
     """(a, b): links among members of long open keys, by clusters of members whose keys overlap.
 
-    postings has (key, id, group). A cluster's members are dealt to blocks, and pairs of blocks are compared.
+    postings has (key, id, group). Members of a cluster are dealt to blocks, those of one large group to blocks of
+    their own, and pairs of blocks are compared unless they are of one group.
     """
     least = postings.groupBy("key").agg(F.min("id").alias("b"))
-    cluster = components(postings.join(least, "key").where("id != b").select(F.col("id").alias("a"), "b").distinct())
+    cluster = components(postings.join(least, "key").where("id != b").select(F.col("id").alias("a"), "b"))
     members = Written(postings.select("id", "group").distinct().join(cluster, "id").select("id", "group", F.col("component_id").alias("cluster")), "members")
-    blocks = members.df.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.df.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "group").join(texts, "id")
-    kinds = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    sizes = members.df.groupBy("cluster", "group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    large = sizes.where("parts > 1")
+    pooled = members.df.join(large, ["cluster", "group"], "left_anti").groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("pools"))
+    placed = members.df.join(large, ["cluster", "group"], "left").join(pooled, "cluster", "left")
+    own = F.col("parts").isNotNull()
+    placed = placed.withColumn("of", F.when(own, F.col("group"))).withColumn("block", F.when(own, F.pmod(F.xxhash64("id"), "parts")).otherwise(F.pmod(F.xxhash64("group"), "pools")).cast("int"))
+    placed_w = Written(placed.select("cluster", "of", "block", "id", "group"), "placed")
+    kinds = placed_w.df.select("cluster", F.struct(F.coalesce("of", F.lit(-1)).alias("of"), "block").alias("x")).distinct()
+    twice = kinds.join(kinds.withColumnRenamed("x", "y"), "cluster").where("x <= y and (x.of != y.of or x.of = -1)")
+    sides = twice.select("cluster", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("side"))
+    mine = placed_w.df.select("cluster", F.struct(F.coalesce("of", F.lit(-1)).alias("of"), "block").alias("side"), "id", "group")
+    dealt = sides.join(mine, ["cluster", "side"]).join(texts, "id").withColumn("first", F.col("side") == F.col("x")).withColumn("cross", F.col("x") != F.col("y"))
+    kinds_out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        ids, group, block = (table.column(c).to_numpy() for c in ("id", "group", "block"))
-        sets = elements(table.column("text").to_pylist())
-        cross = table.column("lo")[0].as_py() != table.column("hi")[0].as_py()
-        left = np.flatnonzero(block == block.min()) if cross else np.arange(len(ids))
-        right = np.flatnonzero(block == block.max()) if cross else left
-        a, b = block_links(ids, sets, group, left, right, similarity)
+        ids, group, first = (table.column(c).to_numpy() for c in ("id", "group", "first"))
+        owner, number = scheme.numbers(table.column("text").to_pylist())
+        cross = table.column("cross")[0].as_py()
+        left, right = (np.flatnonzero(first), np.flatnonzero(~first)) if cross else (np.arange(len(ids)),) * 2
+        a, b = block_links(ids, owner, number, group, left, right, scheme.similarity)
         if len(a):
             a, b = local_forest(a, b)
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=kinds)
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=kinds_out)
 
-    return dealt.groupBy("cluster", "lo", "hi").applyInArrow(run, "a long, b long")
+    return dealt.groupBy("cluster", "x", "y").applyInArrow(run, "a long, b long")
 
 
 def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -251,48 +432,72 @@ def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.where("coalesce(a_group, a) != coalesce(b_group, b)").drop("a_group", "b_group")
 
 
-def groups(pairs: DataFrame, texts: DataFrame, same: Callable[[str, str], bool], keys_of: Callable[[str], np.ndarray], elements: Elements, similarity: Fraction, known: DataFrame | None = None) -> DataFrame:
-    """(id, component_id) of all items that have a link, from candidate pairs (a, b, n) and known links (a, b).
-
-    texts (id, text) has every item of a pair once. keys_of gives a text's keys, the ones its candidates came from;
-    same decides on two texts exactly, elements and similarity say the same in bulk.
-    """
-    pairs_w = Written(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
-    ids = pairs_w.df.select(F.col("a").alias("id")).union(pairs_w.df.select("b")).distinct()
-    own = Written(texts.join(ids, "id", "left_semi").select("id", "text"), "texts")
-    best = pairs_w.df.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
-    first = verified(best, own.df, same, keys_of, "verified").df
-    links = first.where("linked").select("a", "b")
-    if known is not None:
-        links = links.union(known.select("a", "b"))
+def groups(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """(id, component_id) of all items that have a link, from candidate pairs (a, b, n); texts (id, text) has their items."""
+    best = pairs.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
+    best = Written(best, "best")
+    first = verified(best.df, texts, scheme, True, "verified")
+    links = first.df.where("linked").select("a", "b")
     found = components(links)
-    rest = apart(pairs_w.df.select("a", "b").join(first.select("a", "b"), ["a", "b"], "left_anti"), found)
-    second = verified(rest, own.df, same, keys_of, "verified").df
-    more = second.where("linked").select("a", "b")
+    rest = Written(apart(pairs.select("a", "b").join(best.df, ["a", "b"], "left_anti"), found), "rest")
+    second = verified(rest.df, texts, scheme, True, "verified")
+    best.drop()
+    rest.drop()
+    more = second.df.where("linked").select("a", "b")
     if more.head(1):
         links = links.union(more)
         found = components(links)
-    failed = first.where("not linked").union(second.where("not linked"))
+    failed = first.df.where("not linked").union(second.df.where("not linked"))
     open_keys = Written(apart(failed, found).select(F.explode("keys").alias("key")).distinct(), "open")
     if not open_keys.df.head(1):
         return found
 
     def keys_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [np.unique(keys_of(t)).view(np.int64).tolist() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int64()))], names=["id", "keys"])
-
-    postings = own.df.mapInArrow(keys_run, "id long, keys array<long>").select("id", F.explode("keys").alias("key")).join(open_keys.df, "key")
-    postings = Written(postings.join(found, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("group")), "postings")
-    sizes = postings.df.groupBy("key").agg(F.count("*").alias("n"), F.min("group").alias("g"), F.max("group").alias("h")).where("g != h").select("key", "n")
-    sizes = Written(sizes, "sizes")
+            items = batch.column(1).to_pylist()
+            for lo, hi in sliced(items):
+                found = scheme.keys(items[lo:hi])
+                family = np.full(len(found.keys), -1, np.int8) if found.family is None else found.family
+                free = np.zeros(len(family), np.int32) if found.free is None else np.where(family >= 0, found.free[found.of, np.maximum(family, 0)], 0)
+                columns = [batch.column(0)[lo:hi].take(pa.array(found.of)), pa.array(found.keys.view(np.int64)), pa.array(family), pa.array(free.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "family", "free"])
+
+    postings = texts.mapInArrow(keys_run, "id long, key long, family byte, free int").join(open_keys.df, "key")
+    postings = Written(postings.join(found, "id", "left").select("key", "id", "family", "free", F.coalesce("component_id", "id").alias("group")).distinct(), "postings")
+    sizes = Written(postings.df.groupBy("key").agg(F.count("*").alias("n"), F.min("group").alias("g"), F.max("group").alias("h")).where("g != h").select("key", "n"), "sizes")
     short = postings.df.join(sizes.df.where(F.col("n") <= SHORT), "key")
     left = short.select("key", F.col("id").alias("a"), F.col("group").alias("a_group"))
     right = short.select("key", F.col("id").alias("b"), F.col("group").alias("b_group"))
     tried = failed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    crossed = left.join(right, "key").where("a < b and a_group != b_group").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    third = verified(crossed, own.df, same, None, "verified").df.where("linked").select("a", "b")
+    crossed = Written(left.join(right, "key").where("a < b and a_group != b_group").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "crossed")
+    third = verified(crossed.df, texts, scheme, False, "verified").df.where("linked").select("a", "b")
     if sizes.df.where(F.col("n") > SHORT).head(1):
-        long_ = postings.df.join(sizes.df.where(F.col("n") > SHORT).select("key"), "key")
-        third = Written(third.union(long_key_links(long_, own.df, elements, similarity)), "links").df
+        # Items with few enough long keys leave them out: their partners share another key with them, which is done already.
+        long_ = Written(postings.df.join(sizes.df.where(F.col("n") > SHORT).select("key"), "key"), "long")
+        able = long_.df.where("family >= 0").groupBy("id", "family", "free").agg(F.count("*").alias("n")).where("n <= free").select("id", "family")
+        long_ = long_.df.join(able, ["id", "family"], "left_anti").select("key", "id", "group")
+        third = Written(third.union(long_key_links(long_, texts, scheme)), "links").df
+    for done in (open_keys, postings, crossed):
+        done.drop()
     return components(links.union(third)) if third.head(1) else found
+
+
+def near_groups(source: DataFrame, scheme: Scheme, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For source (id, text): the items' first places (a, b, doc_id, part, size, node), their other places (a, b, doc_id,
+    part, size), and (node, doc_id, part) of linked items: the first place in the group of each.
+
+    a and b together are an item's identity. Rows that repeat an id are places of their own texts.
+    """
+    found = candidates(source, scheme, name)
+    firsts = found.df.where(f"kind = {FIRST}").select("a", "b", "doc_id", "part", "size", "node")
+    again = found.df.where(f"kind = {AGAIN}").select("a", "b", "doc_id", "part", "size")
+    pairs = Written(found.df.where(f"kind = {PAIR}").groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
+    ids = pairs.df.select(F.col("a").alias("node")).union(pairs.df.select("b")).distinct()
+    texts = fetched(source, firsts.join(ids, "node"), scheme, "texts")
+    label = groups(pairs.df, texts.df, scheme)
+    places = firsts.select("node", "doc_id", "part").join(label.withColumnRenamed("id", "node"), "node")
+    least = places.groupBy("component_id").agg(F.min(F.struct("doc_id", "part")).alias("least")).select("component_id", "least.doc_id", "least.part")
+    result = Written(label.join(least, "component_id").select(F.col("id").alias("node"), "doc_id", "part"), "groups")
+    pairs.drop()
+    texts.drop()
+    return firsts, again, result.df
