@@ -27,7 +27,7 @@ from fathom.llm.common import Written, components, local_forest, mix
 from fathom.llm.packed import GATHERED, bucket_count, pack, runs, total_bytes, unpack
 
 #: Bytes of items that are worked on at once (a longer item is taken alone).
-SLICE = 1 << 20
+SLICE = 1 << 17
 #: Members that are verified with one copy of their leader's text; members of an open key up to which its pairs are
 #: listed; members of a block beyond it.
 TEAM = 256
@@ -311,6 +311,22 @@ def linked(owner: np.ndarray, number: np.ndarray, n: int, leader: np.ndarray, si
     return (both > 0) & (similarity.denominator * both >= similarity.numerator * (size + size[leader] - both))
 
 
+def common_keys(keys: list[np.ndarray], left: np.ndarray, right: np.ndarray, row: np.ndarray, n: int) -> list[list[int] | None]:
+    """For pairs of numbers in `keys` their common keys, each at its row among n rows."""
+    size = np.array([len(x) for x in keys])
+    both = np.concatenate([keys[i] for pair in zip(left.tolist(), right.tolist(), strict=True) for i in pair])
+    pair = np.repeat(np.arange(len(left)), size[left] + size[right])
+    order = np.argsort(both ^ mix(pair.astype(np.uint64)))
+    a, b = order[:-1], order[1:]
+    hit = a[(both[a] == both[b]) & (pair[a] == pair[b])]
+    out: list[list[int] | None] = [None] * n
+    for i in row.tolist():
+        out[i] = []
+    for i, key in zip(row[pair[hit]].tolist(), both[hit].view(np.int64).tolist(), strict=True):
+        out[i].append(key)
+    return out
+
+
 def verified(pairs: DataFrame, texts: DataFrame, scheme: Scheme, with_keys: bool, name: str) -> Written:
     """Written rows (a, b, linked, keys): keys are those that the two share if they are not linked, null without with_keys.
 
@@ -335,9 +351,7 @@ def verified(pairs: DataFrame, texts: DataFrame, scheme: Scheme, with_keys: bool
                 if with_keys and len(bad):
                     need = np.unique(np.concatenate([bad, at[bad]]))
                     keys = keys_of([items[i] for i in need], scheme)
-                    place = {int(i): k for k, i in enumerate(need)}
-                    for i in bad.tolist():
-                        shared[i] = np.intersect1d(keys[place[i]], keys[place[int(at[i])]]).view(np.int64).tolist()
+                    shared = common_keys(keys, np.searchsorted(need, bad), np.searchsorted(need, at[bad]), bad, n)
                 columns = [pa.array([who[at[i]] for i in member], pa.int64()), pa.array([who[i] for i in member], pa.int64()), pa.array(ok[member]), pa.array([shared[i] for i in member], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked", "keys"])
 
