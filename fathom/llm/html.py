@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -28,151 +29,274 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("hr br img input meta link area base col embed source track wbr".split())
 NOT_ARTICLE = frozenset(
     """ad ads advert adverts advertisement advertising adsbygoogle sponsor sponsored sponsors promo promotion banner cookie cookies consent gdpr notice alert
-    sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar comment comments disqus respond reply replies discussion share sharing
-    social related recommended recommendations newsletter subscribe subscription popup modal overlay widget pagination pager login signin signup search skip
+    sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar comment comments disqus respond reply replies share sharing
+    social related recommended recommendations newsletter subscribe subscription popup modal overlay widget pagination pager login signin signup skip
     copyright""".split()
 )
+# Words that may stand beside those in the name of such a part; any other word makes the name uncertain.
+BESIDE = frozenset(
+    """area articles bar block blocks bottom box button buttons container content footer form global group header inner item items left link links list main
+    middle outer page pages panel post posts reader right section side site slot stories text top unit user wrap wrapper""".split()
+)
 NOT_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
 READERS = frozenset("comment comments disqus respond reply replies".split())
+# Of those without markup of their own the text ends at the end tag, or never.
+PLAIN = frozenset("script style title textarea noscript iframe".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<more>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
-    r"|<[!?/][^>]*>",
-    re.DOTALL | re.IGNORECASE,
-)
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+TAG_NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+IN_TAG = re.compile(r"[\"'>]")
+ATTRIBUTE = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]++))")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
+BARE_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|/|$)", re.IGNORECASE)
+END_TAGS = {t: re.compile(rf"</{t}(?![a-zA-Z0-9:-])[^>]*+>?", re.IGNORECASE) for t in RAW}
 NAME = re.compile(r"[a-z]+")
 
 
+@dataclass
+class Token:
+    """A tag (name in lower case, with its attributes) or, without a name, what stands for nothing but a space or less."""
+
+    start: int
+    end: int
+    name: str = ""
+    close: bool = False
+    more: str = ""
+    space: bool = False
+
+
+def tokens(page: str) -> Iterator[Token]:
+    """Tags, comments and raw elements in order; what is between them is text. Takes time in proportion to the page.
+
+    A quote that is never closed makes all later quotes mean nothing, a tag that is never closed is text.
+    """
+    at, quotes, unended = 0, True, set()
+    while True:
+        start = page.find("<", at)
+        if start < 0:
+            return
+        at = start + 1
+        if page.startswith("!--", at):
+            end = page.find("-->", at + 3)
+            yield Token(start, len(page) if end < 0 else end + 3)
+            if end < 0:
+                return
+            at = end + 3
+            continue
+        close = page.startswith("/", at)
+        named = TAG_NAME.match(page, at + close)
+        if not named:
+            if page[at : at + 1] in ("!", "?", "/"):
+                end = page.find(">", at)
+                if end < 0:
+                    return
+                yield Token(start, end + 1)
+                at = end + 1
+            continue
+        name = named[0].lower()
+        end = named.end()
+        while quotes:
+            mark = IN_TAG.search(page, end)
+            if not mark:
+                quotes = False
+            elif mark[0] == ">":
+                end = mark.start()
+                break
+            else:
+                end = page.find(mark[0], mark.end()) + 1
+                quotes = end > 0
+        if not quotes:
+            end = page.find(">", named.end())
+            if end < 0:
+                return
+        more = page[named.end() : end]
+        at = end + 1
+        if name in END_TAGS and not close and not more.endswith("/") and name not in unended:
+            over = END_TAGS[name].search(page, at)
+            if over or name in PLAIN:
+                at = over.end() if over else len(page)
+                yield Token(start, at, space=True)
+                continue
+            unended.add(name)
+        yield Token(start, at, name, close, more)
+
+
 @dataclass(frozen=True)
 class Rules:
-    """Limits of the first pass: shares of stop words among words, of linked characters, and a length in characters."""
+    """Limits of the first pass: shares of linked characters and of stop words among words, a length in characters, and the
+    share of stop words from which a page's language is known."""
 
     most_links: float = 0.5
     stop_share: float = 0.2
     long_enough: int = 70
+    known_share: float = 0.05
 
 
 @dataclass
 class Block:
     text: str
     linked: int
-    heading: bool
+    heading: int  # 1 to 6, 0 for others
     scope: int  # number of the article it stands in, 0 outside
-    framed: bool  # inside a menu, footer, advert, comment ...
+    framed: bool  # inside a menu, footer, form, hidden part ...
+    named: bool  # inside a part whose name says advert, comment, notice ...
+
+
+def _attributes(more: str) -> dict[str, str]:
+    return {a.lower(): b or c or d for a, b, c, d in ATTRIBUTE.findall(more)} if more else {}
 
 
-def _not_article(tag: str, more: str, in_scope: bool) -> bool:
+def _framed(tag: str, found: dict[str, str], more: str, in_scope: bool) -> bool:
     if tag in FRAMES or (tag == "header" and not in_scope):
         return True
     if not more or tag in ("html", "body"):
         return False
-    found = {a.lower(): b or c or d for a, b, c, d in ATTRIBUTE.findall(more)}
-    if found.get("role", "").lower() in NOT_ARTICLE_ROLES or found.get("aria-hidden") == "true" or HIDDEN.search(found.get("style", "")) or re.search(r"(?:^|\s)hidden(?:\s|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", more)):
-        return True
-    names = set(NAME.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    return bool(names & (READERS if tag in SCOPES else NOT_ARTICLE))
+    hidden = found.get("aria-hidden") == "true" or HIDDEN.search(found.get("style", "")) or (BARE_HIDDEN.search(more) and BARE_HIDDEN.search(re.sub(r"\"[^\"]*\"|'[^']*'", "", more)))
+    return bool(hidden) or found.get("role", "").lower() in NOT_ARTICLE_ROLES
+
+
+def _named(tag: str, found: dict[str, str]) -> bool:
+    """Whether a word of class or id says that this is no article, with only such words beside it as go with that."""
+    if tag in HEADINGS or tag in ("html", "body"):
+        return False
+    telling = READERS if tag in SCOPES else NOT_ARTICLE
+    for name in f"{found.get('class', '')} {found.get('id', '')}".lower().split():
+        words = set(NAME.findall(name))
+        if words & telling and words <= NOT_ARTICLE | BESIDE:
+            return True
+    return False
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text between block elements, in order; comments, markup and raw elements are gone."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # open holders: tag, framed, scope
-    framed, scope, scopes, links, linked = False, 0, 0, 0, 0
+    stack: list[tuple[str, bool, bool, int]] = []  # open holders: tag, framed, named, scope
+    depth: Counter[str] = Counter()  # how often each tag is in the stack
+    framed, named, scope, scopes, links, linked = False, False, 0, 0, 0, 0
     parts: list[str] = []
-    heading, own = False, False
+    heading, own_framed, own_named = 0, False, False
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, linked, heading, scope, framed or own))
+                out.append(Block(text, linked, heading, scope, framed or own_framed, named or own_named))
             parts.clear()
         linked = 0
 
+    def pop() -> None:
+        nonlocal framed, named, scope
+        depth[stack.pop()[0]] -= 1
+        framed, named, scope = stack[-1][1:] if stack else (False, False, 0)
+
     at = 0
-    for m in TOKEN.finditer(page):
-        if m.start() > at:
-            piece = page[at : m.start()]
+    for token in tokens(page):
+        if token.start > at:
+            piece = page[at : token.start]
             parts.append(piece)
             if links:
                 linked += len(piece)
-        at = m.end()
-        tag = (m["tag"] or "").lower()
+        at, tag = token.end, token.name
         if not tag:
-            if m["raw"]:
+            if token.space:
                 parts.append(" ")
             continue
         if tag == "a":
-            links = 0 if m["close"] else 1
+            links = 0 if token.close else 1
             continue
         if tag not in BREAKS:
             if tag == "br":
                 parts.append(" ")
             continue
         flush()
-        links = 0
-        own = False
-        if m["close"]:
-            heading = False
-            if tag in HOLDERS and any(t == tag for t, _, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
-                framed, scope = stack[-1][1:] if stack else (False, 0)
-        elif tag in HOLDERS:
-            heading = False
+        links, own_framed, own_named = 0, False, False
+        if token.close:
+            heading = 0
+            if tag in HOLDERS and depth[tag]:
+                while stack[-1][0] != tag:
+                    pop()
+                pop()
+            continue
+        found = _attributes(token.more)
+        if tag in HOLDERS:
+            heading = 0
             if tag in SCOPES or tag == "body":  # a menu or page header that was never closed ends here
                 while stack and stack[-1][0] in ("nav", "header", "head", "menu"):
-                    stack.pop()
-                framed, scope = stack[-1][1:] if stack else (False, 0)
-            bad = _not_article(tag, m["more"], bool(scope))
-            if tag in SCOPES and not scope and not bad and not framed:
+                    pop()
+            bad, called = _framed(tag, found, token.more, bool(scope)), _named(tag, found)
+            inner = scope
+            if tag in SCOPES and not scope and not (bad or called or framed or named):
                 scopes += 1
-                scope = scopes
-            framed = framed or bad
-            if not m["more"].endswith("/"):
-                stack.append((tag, framed, scope))
+                inner = scopes
+            if not token.more.endswith("/"):
+                framed, named, scope = framed or bad, named or called, inner
+                stack.append((tag, framed, named, scope))
+                depth[tag] += 1
         elif tag not in VOID:
-            heading = tag in HEADINGS
-            own = _not_article(tag, m["more"], bool(scope))
+            heading = int(tag[1]) if tag in HEADINGS else 0
+            own_framed, own_named = _framed(tag, found, token.more, bool(scope)), _named(tag, found)
     parts.append(page[at:])
     flush()
     return out
 
 
+def first_pass(found: list[Block], rules: Rules) -> list[bool | None]:
+    """A label for each block by its densities: good, bad or undecided.
+
+    Bad is what is framed, mostly linked, or named as no article; good is what is long enough and has enough stop words. In a
+    language without known stop words (hardly any in the long blocks) length decides. Names count only while they leave
+    some text, and articles are the only place of good text if they have most of it; where the most of it
+    stands outside, short blocks of articles are bad (cards of other stories).
+    """
+    shape = []  # long enough, words, stop words
+    for b in found:
+        words = b.text.lower().split()
+        shape.append((len(b.text) >= rules.long_enough, len(words), sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words)))
+    plain = [not b.framed and b.linked <= rules.most_links * len(b.text) for b in found]
+    told = [s for s, p in zip(shape, plain, strict=True) if p and s[0]]
+    known = sum(s[2] for s in told) >= rules.known_share * sum(s[1] for s in told)
+    good = [p and s[0] and (not known or s[2] >= rules.stop_share * s[1]) for p, s in zip(plain, shape, strict=True)]
+
+    def mass(chosen: Callable[[Block], bool]) -> int:
+        return sum(len(b.text) for b, g in zip(found, good, strict=True) if g and chosen(b))
+
+    names = any(p and not b.named for b, p in zip(found, plain, strict=True))
+    free = lambda b: not (names and b.named)
+    inside, outside = mass(lambda b: free(b) and bool(b.scope)), mass(lambda b: free(b) and not b.scope)
+    articles = any(b.scope and not b.framed and free(b) for b in found)
+    label: list[bool | None] = []
+    for b, p, g in zip(found, plain, good, strict=True):
+        if not p or not free(b):
+            label.append(False)
+        elif articles and inside >= outside and not b.scope:
+            label.append(None if b.heading == 1 else False)
+        elif articles and inside < outside and b.scope and not g:
+            label.append(False)
+        else:
+            label.append(True if g else None)
+    return label
+
+
 def main_text(page: str | None, rules: Rules = Rules()) -> str:  # noqa: B008
     """The blocks of the article, joined by line ends.
 
-    First pass: a block is bad if it is framed, mostly linked, or outside of the articles where a page has any;
-    good if it is long enough and has enough stop words; else undecided. Second pass: an undecided block takes the
-    label of the nearest decided block of its article, of the two at equal distance the next one for a heading and
+    The first pass labels blocks by their densities. Second pass: an undecided block takes the label of the nearest
+    decided block (of its article, if it stands in one), of the two at equal distance the next one for a heading and
     the previous one for others; without any decided block in reach it stays.
     """
     found = blocks(page or "")
-    articles = any(b.scope and not b.framed for b in found)
-    label: list[bool | None] = []
-    for b in found:
-        if b.framed or (articles and not b.scope) or b.linked > rules.most_links * len(b.text):
-            label.append(False)
-            continue
-        words = b.text.lower().split()
-        stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words)
-        label.append(True if len(b.text) >= rules.long_enough and stops >= rules.stop_share * len(words) else None)
+    label = first_pass(found, rules)
     n = len(found)
     before: list[int | None] = [None] * n
     after: list[int | None] = [None] * n
-    # Inside an article a bad block (a list of links, a share bar) says nothing of the text beside it.
-    counts = lambda i: label[i] is not None and (not found[i].scope or label[i])
     for order, near in ((range(n), before), (range(n - 1, -1, -1), after)):
         last: dict[int, int] = {}
         for i in order:
-            near[i] = last.get(found[i].scope)
-            if counts(i):
-                last[found[i].scope] = i
+            scope = found[i].scope
+            near[i] = last.get(scope)
+            # Inside an article a bad block (a list of links, a share bar) says nothing of the text beside it.
+            if label[i] is not None and (not scope or label[i]):
+                last[scope] = last[0] = i
     kept = []
     for i, b in enumerate(found):
         good = label[i]
