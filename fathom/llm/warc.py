@@ -156,22 +156,37 @@ def _member(window: _Window, at: int) -> tuple[bytes, int] | None:
 
 
 def records_in(source: pa.NativeFile, size: int, start: int, end: int) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and content of the records that start in [start, end); the last one is read beyond the end."""
+    """Headers and content of the records that start in [start, end); the last one is read beyond the end.
+
+    Members follow each other without a gap, so a damaged one is noticed, by the split of the record before it even
+    where it starts in the next split, and raises an error: no record is lost silently.
+    """
     window = _Window(source, start, size)
-    at = start
+    at, due = start, 0 if start == 0 else None  # where the next record must start, once one is known
+
+    def damaged() -> ValueError:
+        return ValueError(f"no readable record where one must start, at byte {due}")
+
     while at < end:
         at = window.find(MAGIC, at, end)
         if at < 0:
+            if due is not None and due < end:
+                raise damaged()
             return
         found = _member(window, at)
+        if due is not None and (at != due or found is None):
+            raise damaged()
         if found is None:
             at += 1
             continue
         data, at = found
+        due = at
         head, _, rest = data.partition(b"\r\n\r\n")
         fields = dict(x.split(": ", 1) for x in head.decode("utf-8").split("\r\n")[1:] if ": " in x)
         yield fields, rest[: int(fields["Content-Length"])]
         window.keep(min(at, window.base + len(window.data)))
+    if due is not None and due < size and _member(window, due) is None:
+        raise damaged()
 
 
 READ_SCHEMA = "page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long"
@@ -182,7 +197,8 @@ def read_warc(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BY
 
     A split looks for the gzip magic from its first byte on, tries each candidate by decoding its header, checksum and
     what follows it, and owns the records that start inside it. The columns are READ_SCHEMA's; payload is null for
-    revisits (and with payload=False). A response whose payload does not have its digest raises an error.
+    revisits (and with payload=False). A response whose payload does not have its digest raises an error, as does a
+    damaged or cut off archive.
     """
     starts = F.explode(F.expr(f"sequence(0L, greatest(0L, bytes - 1), {int(split_bytes)}L)"))
     splits = files.where("bytes > 0").select("path", "bytes", starts.alias("start"))
