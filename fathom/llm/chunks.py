@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathom.llm.common import Written, mix, prefix_hashes, range_hash, slices, text_buffers
-from fathom.llm.packed import GATHERED, bucket_count, pack, total_bytes, unpack
+from fathom.llm.packed import GATHERED, bucket_count, bucketed_by, pack, total_bytes
 
 _GEAR = np.random.default_rng(5).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -111,11 +111,10 @@ def repeated_spans(docs: DataFrame, cuts: Cuts = Cuts()) -> DataFrame:  # noqa:
         return pack(0, (mix(columns[0]) % np.uint64(n_buckets)).astype(np.int64), columns)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[list[np.ndarray]] = []
-        for batch in batches:
-            parts += [c for _, c in unpack(batch, kinds)]
-        if not parts:
-            return
+        for _, held in bucketed_by(batches, kinds):
+            yield from settle(held[0])
+
+    def settle(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         a, b, doc, start, size = (np.concatenate([p[i] for p in parts]) for i in range(5))
         order = np.lexsort((doc, b, a))
         a, b, doc, start, size = a[order], b[order], doc[order], start[order], size[order]
@@ -128,7 +127,7 @@ def repeated_spans(docs: DataFrame, cuts: Cuts = Cuts()) -> DataFrame:  # noqa:
             yield pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(start[at].astype(np.int64)), pa.array(size[at]), pa.array(first[at])], names=["doc_id", "start", "size", "first"])
 
     packed = source.mapInArrow(cut, "kind int, bucket int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary")
-    again = Written(packed.repartition("bucket").mapInArrow(match, "doc_id long, start long, size int, first long"), "chunks")
+    again = Written(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(match, "doc_id long, start long, size int, first long"), "chunks")
     per_doc = again.df.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "size", "first"))).alias("found"))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +155,9 @@ _OTHER = np.random.default_rng(6).integers(1, 2**63, 256, dtype=np.uint64)
 def chunk_report(docs: DataFrame, cuts: Cuts = Cuts()) -> DataFrame:  # noqa: B008
     """doc_id, n_bytes, n_removed, n_spans, first_docs of every row of `docs`: what repeated_spans() takes out of each.
 
-    Null texts count as empty. first_docs (sorted, empty if nothing goes) are the documents that keep the passages.
+    Null texts count as empty, as do texts of a null doc_id; rows that repeat a doc_id get the sum of what goes from all of
+    them, and repeats within one document count for nothing. Long texts are cut whole. An empty table gives an empty
+    result, other columns are ignored. first_docs (sorted, empty if nothing goes) are the documents that keep the passages.
     """
     spans = repeated_spans(docs, cuts).groupBy("doc_id").agg(F.sum(F.col("end") - F.col("start")).alias("n_removed"), F.count("*").alias("n_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("first_docs")))).alias("first_docs"))
     base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))

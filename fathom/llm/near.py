@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathom.llm.common import Written, components, local_forest, mix
-from fathom.llm.packed import GATHERED, bucket_count, pack, runs, total_bytes, unpack
+from fathom.llm.packed import GATHERED, bucket_count, bucketed_by, pack, runs, total_bytes
 
 #: Bytes of items that are worked on at once (a longer item is taken alone).
 SLICE = 1 << 17
@@ -246,30 +246,17 @@ def candidates(source: DataFrame, scheme: Scheme, name: str) -> Written:
             yield items(FIRST, digests, doc, part, size, node=node)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The packed rows come in the order of their buckets; each bucket is settled before the next."""
-        current = -1
-        parts: dict[int, list[list[np.ndarray]]] = {}
-
-        def bucket_done() -> Iterator[pa.RecordBatch]:
+        for _, parts in bucketed_by(batches, KINDS):
             for kind in (FIRST, AGAIN):
-                if parts.get(kind):
+                if kind in parts:
                     yield from settle(kind, parts[kind])
             pairs = parts.get(PAIR, [])
-            if parts.get(ENTRY):
+            if ENTRY in parts:
                 columns = (np.concatenate([p[i] for p in parts[ENTRY]]) for i in range(3))
                 pairs = [*pairs, list(lead(*columns)[3:])]
             if pairs:
                 a, b, n = counted(*(np.concatenate([p[i] for p in pairs]) for i in range(3)))
                 yield rows(PAIR, a=a, b=b, n=n)
-            parts.clear()
-
-        for batch in batches:
-            for bucket, (kind, columns) in zip(batch.column(1).to_pylist(), unpack(batch, KINDS), strict=True):
-                if bucket != current:
-                    yield from bucket_done()
-                    current = bucket
-                parts.setdefault(kind, []).append(columns)
-        yield from bucket_done()
 
     shared = source.select("id", "text").mapInArrow(share, PACKED)
     return Written(shared.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, FOUND), name)

@@ -46,6 +46,20 @@ def unpack(batch: pa.RecordBatch, kinds: dict[int, list]) -> Iterator[tuple[int,
         yield k, [np.frombuffer(batch.column(2 + j)[i].as_py(), t) for j, t in enumerate(kinds[k])]
 
 
+def bucketed_by(batches: Iterator[pa.RecordBatch], kinds: dict[int, list]) -> Iterator[tuple[int, dict[int, list[list[np.ndarray]]]]]:
+    """Each bucket with its records by kind, from packed rows in the order of buckets; only one bucket is held at a time."""
+    current, held = -1, {}
+    for batch in batches:
+        for bucket, (kind, columns) in zip(batch.column(1).to_pylist(), unpack(batch, kinds), strict=True):
+            if bucket != current:
+                if held:
+                    yield current, held
+                current, held = bucket, {}
+            held.setdefault(kind, []).append(columns)
+    if held:
+        yield current, held
+
+
 def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the runs of equal neighbours, and the run of each position."""
     new = np.ones(len(keys), bool)
