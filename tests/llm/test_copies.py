@@ -89,6 +89,44 @@ def test_long_open_keys_are_compared_in_blocks(corpus, monkeypatch):
     assert got == groups(sets, links)
 
 
+def test_words_that_a_polynomial_hash_confuses_are_told_apart(spark):
+    """Thue-Morse words of 1024 bytes collide in every polynomial hash modulo 2**64."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    x, y = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    docs = spark.createDataFrame([(1, f"one two three {x}"), (2, f"one two three {y}"), (3, f"one two three {x}")], "doc_id long, text string")
+    assert {tuple(r) for r in jaccard.similar_documents(docs).collect()} == {(1, 1, 1), (2, 1, 2), (3, 1, 1)}
+    assert len({near.identity(t.encode()) for t in (x, y)}) == 2
+    raw = np.frombuffer((x + y).encode(), np.uint8)
+    assert len(set(common.span_hashes(raw, np.array([0, 1024]), np.array([1024, 2048])).tolist())) == 2
+
+
+def test_numbers_stay_exact_when_hashes_collide(monkeypatch):
+    data = np.frombuffer(b"aa bb aa cc dd bb", np.uint8)
+    start = np.array([0, 3, 6, 9, 12, 15])
+    monkeypatch.setattr(common, "span_hashes", lambda d, s, e: np.zeros(len(s), np.uint64))
+    n = common.word_numbers(data, start, start + 2)
+    assert len(set(n.tolist())) == 4 and n[0] == n[2] and n[1] == n[5]
+    monkeypatch.setattr(common, "mix", lambda h: h * np.uint64(0))
+    t = common.tuple_numbers([np.array([1, 1, 2, 1]), np.array([5, 6, 5, 5])])
+    assert len(set(t.tolist())) == 3 and t[0] == t[3]
+
+
+def test_rows_that_repeat_a_doc_id(spark):
+    long = " ".join(f"word{i}" for i in range(30))
+    rows = [(1, long + "\n" + long), (1, long), (2, long), (2, "other " + long), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.similar_documents(docs).collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 1, 2, 2, 3] and {r["component_id"] for r in got} == {1, 3}
+    kept = lines.dedup_lines(docs).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["text"]) == [(1, long), (1, long)]
+    assert suffix.without_repeats(docs).count() == pivots_rows(docs) == len(rows)
+
+
+def pivots_rows(docs):
+    vectors = docs.select(F.col("doc_id").alias("vec_id"), F.array(F.lit(1.0), F.lit(2.0)).alias("embedding"), F.lit(1).alias("label"))
+    return pivots.near_vectors(vectors).count()
+
+
 def test_keys_of_similar_sets_meet():
     rng = np.random.default_rng(3)
     s = Fraction("0.8")
@@ -102,7 +140,9 @@ def test_keys_of_similar_sets_meet():
                 assert len(np.intersect1d(jaccard.set_keys(x, s), jaccard.set_keys(y, s)))
 
 
-def test_repeated_substrings(corpus):
+@pytest.mark.parametrize("hot", [suffix.HOT, 1])
+def test_repeated_substrings(corpus, monkeypatch, hot):
+    monkeypatch.setattr(suffix, "HOT", hot)  # with 1, windows are dealt on one by one
     docs = sorted(texts_of(corpus))
     first, want = {}, {}
     for d, t in docs:

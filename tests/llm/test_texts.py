@@ -4,6 +4,7 @@ import collections
 import gzip
 import hashlib
 import random
+import time
 
 import pyarrow as pa
 import pytest
@@ -142,6 +143,21 @@ def test_warc_round_trip_at_any_split(spark, tmp_path):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_damaged_archives_raise(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", hashlib.sha256(str(i).encode()).hexdigest() * 20) for i in range(60)], "page_id long, url string, html string").coalesce(1)
+    files = warc.write_warc(pages, f"file://{tmp_path}/d")
+    path = files.first()["path"].removeprefix("file://")
+    whole = open(path, "rb").read()
+    starts = [i for i in range(len(whole)) if whole.startswith(b"\x1f\x8b\x08", i)]
+    for start in (starts[0], starts[30], starts[-1]):
+        broken = bytearray(whole)
+        broken[start + 40] ^= 0xFF
+        for data in (bytes(broken), whole[:-3]):
+            with pytest.raises(ValueError):
+                for split in range(0, len(data), 700):
+                    list(warc.records_in(pa.BufferReader(data), len(data), split, min(len(data), split + 700)))
+
+
 def test_false_magic_inside_a_payload_is_no_record(tmp_path):
     inner = gzip.compress(b"WARC/1.1\r\nContent-Length: 0\r\n\r\n")
     import zlib
@@ -194,3 +210,45 @@ def test_mixed_documents_hold_the_words_that_were_taken(spark):
     assert mixed.columns == docs.columns
     words = mixed.groupBy("doc_id").agg(F.sum(mixing.word_count(F.col("text"))).alias("n"))
     assert {r["doc_id"]: r["n"] for r in words.collect()} == {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect() if r["taken"]}
+
+
+LONG = "This is a paragraph that is long enough and has the usual words of the language in it, as they are."
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<div class=content><h1>Head</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div><article><h3>Card</h3><p>Short teaser</p></article>", ["Head", LONG, "Short.", LONG]),
+        (f"<nav><a href=/>x</a></nav><h1>Head</h1><article><p>{LONG}</p></article>", ["Head", LONG]),
+        (f"<article><h2 id='related-work'>Related work</h2><section class='related-work'><p>{LONG}</p></section><section id=discussion><p>{LONG}</p></section></article>", ["Related work", LONG, LONG]),
+        (f"<div class='post-header-share'><h1>T</h1><p>{LONG}</p></div>", ["T", LONG]),
+        ("<div><a href=/a>Главная страница сайта</a></div><div><p>" + "Это длинный абзац статьи на русском языке, который должен остаться в тексте. " * 2 + "</p></div>", [("Это длинный абзац статьи на русском языке, который должен остаться в тексте. " * 2).strip()]),
+        (f"<article><p>{LONG}</p><div class='comment-list'><p>{LONG}</p></div></article><div id=comments><p>{LONG}</p></div><div class=cookie-banner><p>{LONG}</p></div><footer>{LONG}</footer>", [LONG]),
+        (f"<article><h1>Short</h1><p>Tiny text.</p></article><div class=ad>{LONG}</div>", ["Short", "Tiny text."]),
+    ],
+)
+def test_densities_decide_and_names_help(page, want):
+    assert html.main_text(page).split("\n") == want
+
+
+@pytest.mark.parametrize("page", ["<a href='" * 20000, "<!" * 20000, "<div>" * 20000 + "</section>" * 20000, "<p " + "a" * 200000 + ">x", "<button>" * 20000, "<a href='\"" * 20000 + ">", "<p" + " a    " * 30000 + ">x"])
+def test_long_broken_pages_take_linear_time(page):
+    began = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - began < 2  # a scan for each tag takes a minute
+
+
+def test_second_pass_equals_brute_force():
+    rng = random.Random(3)
+    for _ in range(300):
+        kinds = [rng.choice(["long", "short", "links", "h2"]) for _ in range(rng.randint(1, 12))]
+        made = {"long": f"<p>{LONG} %d</p>", "short": "<p>few words %d</p>", "links": "<p><a href=/>only a link %d</a></p>", "h2": "<h2>Heading %d</h2>"}
+        page = "".join(made[k] % i for i, k in enumerate(kinds))
+        decided = [i for i, k in enumerate(kinds) if k in ("long", "links")]
+        kept = []
+        for i, k in enumerate(kinds):
+            # Nearest decided block; at equal distance the next one for headings, the previous one for others.
+            j = min(decided, key=lambda d: (abs(d - i), d < i if k == "h2" else d > i), default=None)
+            if k == "long" or (k in ("short", "h2") and (j is None or kinds[j] == "long")):
+                kept.append(i)
+        assert [int(x.split()[-1]) for x in html.main_text(page).split("\n") if x] == kept
