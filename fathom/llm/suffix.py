@@ -1,11 +1,13 @@
 """Removing repeated substrings with a suffix sort whose comparisons use hashes.
 
 Every WIDTH-byte window is assigned to its anchor, the K bytes in it with the smallest hash: equal windows have equal
-anchors at equal places, so windows are only ever compared with those of the same anchor bytes. Occurrences of an
-anchor with all windows around it equal (by 128 bits of hashes) form a class; all but its first document's are repeats.
-Where an anchor has several classes, the suffixes at all windows of their first members are sorted: two suffixes are
-compared by binary search for their common extension over prefix polynomial hashes, so a comparison in the mergesort
-takes logarithmic time; neighbours that share WIDTH bytes by hash are compared byte by byte before they count.
+anchors at equal places, so windows are only ever compared with those that lie alike around the same anchor bytes.
+Occurrences of an anchor with all windows around it equal (by two independent hashes of 64 bits, of the anchor and of all
+the windows) form a class; all but its first document's are repeats. Where an anchor has several classes, the suffixes
+at all windows of their first members are sorted: two suffixes are compared by binary search for their common extension
+over prefix polynomial hashes, so a comparison in the mergesort takes logarithmic time; neighbours that share WIDTH
+bytes by hash are compared byte by byte before they count. Contexts of an anchor that has very many are dealt on window
+by window, by the hash of each, so no task gets them all.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm.common import Written, prefix_hashes, range_hash, slices, text_buffers
-from fathom.llm.packed import GATHERED, bucket_count, pack, total_bytes, unpack
+from fathom.llm.common import Written, prefix_hashes, range_hash, slices, span_hashes, text_buffers
+from fathom.llm.packed import GATHERED, bucket_count, bucketed_by, pack, total_bytes, unpack
 
 WIDTH = 50
 K = 24
@@ -28,10 +30,10 @@ CONTEXT = WIDTH + SPAN - 1  # bytes of all windows of an anchor, at most
 
 ENTRY, COVERED, OPEN, TEXT = 0, 1, 2, 3
 KINDS = {
-    ENTRY: ["V5", np.uint64, np.int64, np.int32, np.uint8, np.uint8],
+    ENTRY: [np.uint64, np.uint64, np.int64, np.int32, np.uint8, np.uint8],
     COVERED: [np.int64, np.int32, np.int32],
-    OPEN: [np.uint64, np.int64, np.int32, np.uint8],
-    TEXT: [np.uint64, np.int64, np.int32, np.uint8, f"V{CONTEXT}"],
+    OPEN: [np.uint64, np.int64, np.int32, np.uint8, np.uint8],
+    TEXT: [np.uint64, np.int64, np.int32, np.uint8, np.uint8, f"V{CONTEXT}"],
 }
 COLUMNS = max(map(len, KINDS.values()))
 SCHEMA = "kind int, bucket int, " + ", ".join(f"c{i} binary" for i in range(COLUMNS))
@@ -153,6 +155,10 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
+def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[list[np.ndarray]]]]]:
+    return bucketed_by(batches, KINDS)
+
+
 def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
     """Packed rows of covered spans (doc_id, start, end), dealt by doc_id into the number of buckets that is returned.
 
@@ -161,6 +167,7 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
     source = docs.where("doc_id is not null and octet_length(text) > 0").select(docs["doc_id"].cast("long").alias("id"), "text")
     n_buckets = bucket_count(total_bytes(source, "text")) | 1
     of_doc = lambda doc: doc % n_buckets
+    hot = HOT
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -176,8 +183,7 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
             yield _packed(COVERED, of_doc(doc[again]), [doc[again], start[again], start[again] + windows[again].astype(np.int32) + np.int32(WIDTH - 1)])
             keep = ~again
             h = h[keep]
-            key = np.ascontiguousarray((h // np.uint64(n_buckets)).view(np.uint8).reshape(-1, 8)[:, :5]).view("V5").reshape(-1)
-            yield _packed(ENTRY, (h % np.uint64(n_buckets)).astype(np.int64), [key, full[keep], doc[keep], start[keep], before[keep], windows[keep]])
+            yield _packed(ENTRY, (h % np.uint64(n_buckets)).astype(np.int64), [h, full[keep], doc[keep], start[keep], before[keep], windows[keep]])
 
         for batch in batches:
             data, offs = text_buffers(batch.column(1))
@@ -185,7 +191,7 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
             for lo, hi in slices(offs):
                 part, own = data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
                 row, place, start, windows, h = anchors(part, own)
-                full = range_hash(prefix_hashes(part), start, start + windows + WIDTH - 1)
+                full = span_hashes(part, start, start + windows + WIDTH - 1)
                 held.append((h, full, np.asarray(ids[lo:hi], np.int64)[row], (start - own[row]).astype(np.int32), (place - start).astype(np.uint8), windows.astype(np.uint8)))
                 count += len(h)
                 if count >= GATHERED // 2:
@@ -195,23 +201,14 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
             yield from flush()
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[int, list[np.ndarray]]] = []
-        for batch in batches:
-            bucket = batch.column(1).to_pylist()
-            for (kind, columns), b in zip(unpack(batch, KINDS), bucket, strict=True):
-                if kind == COVERED:
-                    yield _packed(COVERED, np.full(len(columns[0]), b), columns)
-                else:
-                    parts.append((b, columns))
-        if not parts:
-            return
-        low = np.concatenate([c[0] for _, c in parts])
-        key = np.zeros((len(low), 8), np.uint8)
-        key[:, :5] = low.view(np.uint8).reshape(-1, 5)
-        bucket = np.repeat(np.array([b for b, _ in parts]), [len(c[0]) for _, c in parts])
-        # The number of an anchor among all: unlike anchors that share it only cost a comparison of texts.
-        key = key.view(np.uint64).reshape(-1) * np.uint64(n_buckets) + bucket.astype(np.uint64)
-        full, doc, start, before, windows = (np.concatenate([c[i] for _, c in parts]) for i in range(1, 6))
+        for bucket, kinds in bucketed(batches):
+            for columns in kinds.get(COVERED, []):
+                yield _packed(COVERED, np.full(len(columns[0]), bucket), columns)
+            if ENTRY in kinds:
+                yield from settle(kinds[ENTRY])
+
+    def settle(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        key, full, doc, start, before, windows = (np.concatenate([c[i] for c in parts]) for i in range(6))
         order = np.lexsort((doc, full, windows, before, key))
         key, full, doc, start, before, windows = (x[order] for x in (key, full, doc, start, before, windows))
         new = _runs(key, before, windows, full)
@@ -227,66 +224,87 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
         edges = np.flatnonzero(group_new)
         differ = np.minimum.reduceat(lead, edges) != np.maximum.reduceat(lead, edges)
         open_ = differ[group] & ~again
-        yield _packed(OPEN, of_doc(doc[open_]), [key[open_], doc[open_], start[open_], windows[open_]])
+        many = np.bincount(group[open_], minlength=len(edges))[group] > hot
+        marked = np.where(many, windows | MANY, windows).astype(np.uint8)
+        yield _packed(OPEN, of_doc(doc[open_]), [key[open_], doc[open_], start[open_], before[open_], marked[open_]])
 
-    found = Written(source.mapInArrow(find, SCHEMA).repartition("bucket").mapInArrow(classes, SCHEMA), "classes")
+    found = Written(source.mapInArrow(find, SCHEMA).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(classes, SCHEMA), "classes")
 
     def contexts(key: tuple, texts: pa.Table, open_rows: pa.Table) -> pa.Table:
         ids, (data, offs) = texts.column("id").to_numpy(), text_buffers(texts.column("text"))
         at = {int(d): i for i, d in enumerate(ids)}
         out = []
         for batch in open_rows.select(["kind", "bucket", *(f"c{i}" for i in range(COLUMNS))]).to_batches():
-            for _, (number, doc, start, windows) in unpack(batch, KINDS):
+            for _, (number, doc, start, before, marked) in unpack(batch, KINDS):
+                windows = marked & np.uint8(MANY - 1)
                 row = np.array([at.get(int(d), -1) for d in doc], np.int64)
                 ok = row >= 0
                 begin = offs[row] + start
                 size = windows.astype(np.int64) + WIDTH - 1
                 ok &= begin + size <= offs[row + 1]
-                number, doc, start, windows, begin, size = (x[ok] for x in (number, doc, start, windows, begin, size))
+                number, doc, start, before, windows, marked, begin, size = (x[ok] for x in (number, doc, start, before, windows, marked, begin, size))
                 padded = np.concatenate((data, np.zeros(CONTEXT, np.uint8)))
                 text = padded[begin[:, None] + np.arange(CONTEXT)]
                 text[np.arange(CONTEXT) >= size[:, None]] = 0
-                out.append(_packed(TEXT, (number % np.uint64(n_buckets)).astype(np.int64), [number, doc, start, windows, np.ascontiguousarray(text).view(f"V{CONTEXT}").reshape(-1)]))
+                many = np.flatnonzero(marked >= MANY)
+                if len(many):  # a record for each window, with its own hash as the number
+                    w = windows[many].astype(np.int64)
+                    of, shift = np.repeat(many, w), np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
+                    alone = np.zeros((len(of), CONTEXT), np.uint8)
+                    alone[:, :WIDTH] = padded[(begin[of] + shift)[:, None] + np.arange(WIDTH)]
+                    own = span_hashes(padded, begin[of] + shift, begin[of] + shift + WIDTH)
+                    one = np.ones(len(of), np.uint8)
+                    records = [own, doc[of], start[of] + shift.astype(np.int32), one - one, one, alone.view(f"V{CONTEXT}").reshape(-1)]
+                    out.append(_packed(TEXT, (own % np.uint64(n_buckets)).astype(np.int64), records))
+                    number, doc, start, before, windows, text = (x[marked < MANY] for x in (number, doc, start, before, windows, text))
+                records = [number, doc, start, before, windows, np.ascontiguousarray(text).view(f"V{CONTEXT}").reshape(-1)]
+                out.append(_packed(TEXT, (number % np.uint64(n_buckets)).astype(np.int64), records))
         return pa.Table.from_batches(out, schema=_ARROW)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [columns for batch in batches for _, columns in unpack(batch, KINDS)]
-        if not parts:
-            return
-        number, doc, start, windows, text = (np.concatenate([p[i] for p in parts]) for i in range(5))
-        order = np.argsort(number, kind="stable")
-        number, doc, start, windows, text = (x[order] for x in (number, doc, start, windows, text))
-        segment = np.cumsum(_runs(number)) - 1
-        edges = np.append(np.flatnonzero(_runs(number)), len(number))
-        lo = 0
-        while lo < len(number):  # whole segments, about SORTED contexts at once
-            hi = int(edges[min(np.searchsorted(edges, lo + SORTED, "right"), len(edges) - 1)])
-            hi = max(hi, int(edges[segment[lo] + 1]))
-            flat = np.ascontiguousarray(text[lo:hi]).view(np.uint8).reshape(-1)
-            w = windows[lo:hi].astype(np.int64)
-            of = np.repeat(np.arange(hi - lo), w)
-            shift = np.arange(len(of)) - np.repeat(np.cumsum(w) - w, w)
-            same = equal_windows(flat, of * CONTEXT + shift, segment[lo:hi][of])
-            least = np.full(len(of) and int(same.max()) + 1, np.iinfo(np.int64).max)
-            np.minimum.at(least, same, doc[lo:hi][of])
-            hit = least[same] < doc[lo:hi][of]
-            d, s = doc[lo:hi][of][hit], (start[lo:hi][of] + shift)[hit]
-            # Neighbouring windows of one context become one span.
-            new = np.ones(len(d), bool)
-            new[1:] = (of[hit][1:] != of[hit][:-1]) | (s[1:] != s[:-1] + 1)
-            begin = np.flatnonzero(new)
-            last = np.append(begin[1:], len(d))[: len(begin)] - 1
-            yield _packed(COVERED, of_doc(d[begin]), [d[begin], s[begin].astype(np.int32), (s[last] + WIDTH).astype(np.int32)])
-            lo = hi
+        for _, kinds in bucketed(batches):
+            number, doc, start, before, windows, text = (np.concatenate([p[i] for p in kinds[TEXT]]) for i in range(6))
+            order = np.argsort(number, kind="stable")
+            number, doc, start, before, windows, text = (x[order] for x in (number, doc, start, before, windows, text))
+            edges = np.append(np.flatnonzero(_runs(number)), len(number))
+            lo = 0
+            while lo < len(number):  # whole anchors, about SORTED contexts at once
+                hi = int(edges[min(np.searchsorted(edges, lo + SORTED, "right"), len(edges)) - 1])
+                if hi <= lo:
+                    hi = int(edges[np.searchsorted(edges, lo, "right")])
+                flat = np.ascontiguousarray(text[lo:hi]).view(np.uint8).reshape(-1)
+                w = windows[lo:hi].astype(np.int64)
+                of = np.repeat(np.arange(hi - lo), w)
+                shift = np.arange(len(of)) - np.repeat(np.cumsum(w) - w, w)
+                # Equal windows lie alike around their anchor: a segment for each anchor and place.
+                place = before[lo:hi][of].astype(np.int64) - shift
+                by_place = np.lexsort((place, np.cumsum(_runs(number[lo:hi]))[of]))
+                segment = np.cumsum(_runs(number[lo:hi][of][by_place], place[by_place])) - 1
+                same = np.zeros(len(of), np.int64)
+                same[by_place] = equal_windows(flat, (of * CONTEXT + shift)[by_place], segment)
+                least = np.full(int(same.max()) + 1 if len(of) else 0, np.iinfo(np.int64).max)
+                np.minimum.at(least, same, doc[lo:hi][of])
+                hit = least[same] < doc[lo:hi][of]
+                d, s = doc[lo:hi][of][hit], (start[lo:hi][of] + shift)[hit]
+                # Neighbouring windows of one context become one span.
+                new = np.ones(len(d), bool)
+                new[1:] = (of[hit][1:] != of[hit][:-1]) | (s[1:] != s[:-1] + 1)
+                begin = np.flatnonzero(new)
+                last = np.append(begin[1:], len(d))[: len(begin)] - 1
+                yield _packed(COVERED, of_doc(d[begin]), [d[begin], s[begin].astype(np.int32), (s[last] + WIDTH).astype(np.int32)])
+                lo = hi
 
     dealt = source.withColumn("bucket", F.pmod("id", F.lit(n_buckets)).cast("int"))
     texts = dealt.groupBy("bucket").cogroup(found.df.where(f"kind = {OPEN}").groupBy("bucket")).applyInArrow(contexts, SCHEMA)
-    more = Written(texts.repartition("bucket").mapInArrow(sort, SCHEMA), "sorted")
+    more = Written(texts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(sort, SCHEMA), "sorted")
     return found.df.where(f"kind = {COVERED}").union(more.df), n_buckets
 
 
-#: Contexts whose suffixes are sorted at once; bounds memory unless one anchor has more of them.
+#: Contexts whose suffixes are sorted at once; contexts from which on an anchor's are dealt on window by window.
 SORTED = 8192
+HOT = 4096
+#: Marks the windows of such contexts; more than windows that a context can have.
+MANY = 128
 _ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), *((f"c{i}", pa.binary()) for i in range(COLUMNS))])
 
 
