@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fathom.functions.text import classify_file
@@ -56,6 +56,47 @@ def files_by_type(files: DataFrame, path: str, kind: str) -> DataFrame:
     return files.groupBy(kind).agg(F.count("*").alias("n"), F.min(path).alias("first_path"), F.max(path).alias("last_path"))
 
 
+def lookup(files: DataFrame, types: list[str], type_: str = "type", **equal: str) -> DataFrame:
+    """Files of any of the types whose other columns have the given values."""
+    df = files.where(F.col(type_).isin(*types))
+    for column, value in equal.items():
+        df = df.where(F.col(column) == value)
+    return df
+
+
+def name_contains(files: DataFrame, column: str, part: str) -> DataFrame:
+    """Files whose name contains a text as it is, without patterns."""
+    return files.where(F.col(column).contains(part))
+
+
+def without(catalog: DataFrame, gone: Column) -> DataFrame:
+    """The catalogue without the rows that a condition names; rows for which it is unknown stay."""
+    return catalog.where(~F.coalesce(gone, F.lit(False)))
+
+
+def moved(catalog: DataFrame, which: Column, path: str, to: Column) -> DataFrame:
+    """The catalogue with the path of some rows replaced."""
+    return catalog.withColumn(path, F.when(which, to).otherwise(F.col(path)))
+
+
+def latest_file(files: DataFrame, keys: list[str], path: str, pattern: str = r"(\d+)") -> DataFrame:
+    """Of each key's files the one with the largest number in its path: keys, path, iteration; paths without a number don't count."""
+    numbered = files.select(*keys, path, F.regexp_extract(path, pattern, 1).try_cast("long").alias("iteration")).where("iteration is not null")
+    best = F.max(F.struct("iteration", path)).alias("best")
+    return numbered.groupBy(*keys).agg(best).select(*keys, f"best.{path}", "best.iteration")
+
+
+def preferred(files: DataFrame, keys: list[str], rank: Column, order: str) -> DataFrame:
+    """Of each key's files the one of the least rank, of equal ones the first by order: keys, order."""
+    return files.groupBy(*keys).agg(F.min(F.struct(rank.alias("k"), F.col(order))).alias("best")).select(*keys, f"best.{order}")
+
+
+def by_first_epoch(observations: DataFrame, file: str, ts: str) -> DataFrame:
+    """Files in the order of their first epoch: file, first, position from 1; the window runs over the files, not the rows."""
+    files = observations.where(F.col(ts).isNotNull()).groupBy(file).agg(F.min(ts).alias("first"))
+    return files.withColumn("position", F.row_number().over(Window.orderBy("first", file)).cast("long"))
+
+
 def query(spark: SparkSession, tables: dict[str, DataFrame], sql: str) -> DataFrame:
     """A query in SQL over named tables."""
     for name, df in tables.items():

@@ -116,17 +116,27 @@ def residual_gate_both(df: DataFrame, limit: float = 2.0) -> DataFrame:
     return df.where((F.abs("ResiRange") < limit) & (F.abs("ResiTT") < limit))
 
 
-def filter_shots(shots: DataFrame, survey_type: str, centre: tuple[float, float] | None, residuals: DataFrame | None, config: dict[str, Any] | None = None) -> DataFrame:
-    """All filters in order: signal, replies, distance (surveys of type center only), positioning residuals."""
+def with_satellites(epochs: DataFrame, observations: DataFrame, key: str, observation_key: str) -> DataFrame:
+    """Epochs that have an observation; the others go before anything is exploded."""
+    return epochs.join(observations.select(F.col(observation_key).alias(key)).distinct(), key, "left_semi")
+
+
+def filter_shots(shots: DataFrame, survey_type: str, centre: tuple[float, float] | None, residuals: DataFrame | None, config: dict[str, Any] | None = None, keys: list[str] | None = None) -> DataFrame:
+    """All filters in order: signal, replies, distance (surveys of type center only), positioning residuals.
+
+    keys (by default station, where the shots have it) tell stations apart whose pings have the same time: replies are
+    counted and bad times looked up within them; residuals without these columns hold for all.
+    """
     c = overlay(DEFAULT_FILTERS, config)
+    keys = [k for k in ("station",) if k in shots.columns] if keys is None else keys
     if c["acoustic"]["enabled"]:
         shots = acoustic(shots, c["acoustic"]["level"])
     if c["ping_replies"]["enabled"]:
-        shots = least_replies(shots, c["ping_replies"]["min_replies"])
+        shots = least_replies(shots, c["ping_replies"]["min_replies"], [*keys, "pingTime"])
     if c["max_distance"]["enabled"] and survey_type == "center" and centre is not None:
         shots = near_centre(shots, *centre, c["max_distance"]["metres"])
     if c["wrms"]["enabled"] and residuals is not None:
-        shots = outside_bad_times(shots, residuals, "pingTime", "time", F.col("wrms") > c["wrms"]["max_wrms"], c["wrms"]["radius_seconds"])
+        shots = outside_bad_times(shots, residuals, "pingTime", "time", F.col("wrms") > c["wrms"]["max_wrms"], c["wrms"]["radius_seconds"], [k for k in keys if k in residuals.columns])
     return shots
 
 

@@ -63,6 +63,19 @@ def survey_descriptors(shots: DataFrame, surveys: DataFrame, transponders: DataF
     return surveys.join(counts, keys, "left").join(names, keys, "left").na.fill(0, ["n_shots", "n_transponders"])
 
 
+def join_on_time(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Residuals and what else is known of the same time: rows of both sides with an equal, not null key."""
+    return left.join(right, key)
+
+
+def merged(frames: list[DataFrame]) -> DataFrame:
+    """The rows of all frames, columns matched by name; one that a frame lacks is null there."""
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
 def extend_cast(cast: DataFrame, metres: int = 200) -> DataFrame:
     """The cast and metres - 1 rows below it, a metre apart, with the deepest row's speed."""
     last = cast.agg(F.max("depth").alias("d"), F.max_by("speed", "depth").alias("speed"))

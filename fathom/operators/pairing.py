@@ -77,12 +77,12 @@ def merge_inertial(positions: DataFrame, deviations: DataFrame, keys: list[str],
     return positions.join(stds, keys, "left")
 
 
-def community_standard(shots: DataFrame, forward: float, right: float, down: float) -> DataFrame:
-    """Shots as the community's acoustic table: transducer coordinates at both ends."""
+def community_standard(shots: DataFrame, forward: float, right: float, down: float, keep: list[str] | None = None) -> DataFrame:
+    """Shots as the community's acoustic table: transducer coordinates at both ends, behind the columns to keep."""
     send = add_offset(tuple(F.col(c) for c in ("east0", "north0", "up0")), forward, right, down)
     back = add_offset(tuple(F.col(c) for c in ("east1", "north1", "up1")), forward, right, down)
     return shots.select(
-        F.col("transponderID").alias("MT_ID"), F.col("tt").alias("TravelTime"), F.col("pingTime").alias("T_transmit"),
+        *(keep or []), F.col("transponderID").alias("MT_ID"), F.col("tt").alias("TravelTime"), F.col("pingTime").alias("T_transmit"),
         *[c.alias(f"{n}_transmit") for c, n in zip(send, "XYZ", strict=True)],
         F.col("returnTime").alias("T_receive"),
         *[c.alias(f"{n}_receive") for c, n in zip(back, "XYZ", strict=True)],

@@ -43,8 +43,10 @@ def prepare_kinematic(kin: DataFrame, order: list[str], most: float = 4.0) -> Da
     return moved.select(*KEYS, *POSITION)
 
 
-def combine(inertial: DataFrame, kinematic: DataFrame) -> DataFrame:
-    return inertial.select(*KEYS, *POSITION).unionByName(kinematic.select(*KEYS, *POSITION))
+def combine(inertial: DataFrame, kinematic: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Both tables' rows, in the position columns or those given, whatever their order."""
+    columns = columns or [*KEYS, *POSITION]
+    return inertial.select(*columns).unionByName(kinematic.select(*columns))
 
 
 def shots_to_positions(shots: DataFrame, keys: list[str], shot_id: str) -> DataFrame:
@@ -105,7 +107,7 @@ SMOOTHED = "station string, day date, time double, ant_x double, ant_y double, a
 
 
 def smooth(positions: DataFrame, noise: float = 0.1) -> DataFrame:
-    """Smoothed positions and their deviations per station and day; rows with a null are left out, times sorted.
+    """Smoothed positions and their deviations per station and day; rows that lack a time, place or deviation are left out, times sorted.
 
     A task holds one station's day, which the instruments' rates bound.
     """

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Replies of a transponder in ten minutes that count as 100 %.
 NOMINAL_REPLIES = 40
+#: Ranges into which values are dealt to find exact quantiles.
+RANGES = 256
 
 
 def reply_rates(df: DataFrame, keys: list[str], ts: str, minutes: int = 10) -> DataFrame:
@@ -36,10 +39,38 @@ def unflagged_share(df: DataFrame, key: str, flag: Column) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n_raw"), kept.alias("n_unflagged"), F.round(kept * 100.0 / F.count("*"), 1).alias("percent"))
 
 
+def exact_quantiles(df: DataFrame, column: str, names: dict[str, float], keys: list[str]) -> DataFrame:
+    """(keys, names): exact quantiles of each key's values, interpolated between neighbours; nulls and NaN don't count.
+
+    Values are counted in ranges whose edges are approximate quantiles, so only the ranges that hold a wanted rank are
+    sorted, each by itself: no task gets all values of a key.
+    """
+    values = df.select(*keys, F.col(column).cast("double").alias("_x")).where("_x is not null and not isnan(_x)")
+    edges = sorted(set(values.approxQuantile("_x", [k / RANGES for k in range(1, RANGES)], 1 / (2 * RANGES))))
+    split = Bucketizer(splits=[-float("inf"), *edges, float("inf")], inputCol="_x", outputCol="_range") if edges else None
+    values = split.transform(values) if split else values.withColumn("_range", F.lit(0.0))
+    counts = values.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    ahead = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumns({"_before": F.coalesce(F.sum("_n").over(ahead), F.lit(0)), "_all": F.sum("_n").over(Window.partitionBy(*keys))})
+    wanted = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(q).alias("q")) for n, q in names.items()]))
+    ranks = counts.select("*", wanted.alias("w")).select("*", "w.name", ((F.col("_all") - 1) * F.col("w.q")).alias("at"))
+    ranks = ranks.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at"))))).where("rank >= _before and rank < _before + _n")
+    here = [F.col(k) for k in (*keys, "_range")]
+    sorted_ = values.join(ranks.select(*here, "_before").distinct(), [*keys, "_range"])
+    number = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy("_x")) - 1 + F.col("_before")
+    found = sorted_.withColumn("rank", number).join(ranks.select(*here, "rank", "name", "at"), [*keys, "_range", "rank"])
+    share = F.when(F.col("rank") == F.floor("at"), 1 - (F.col("at") - F.floor("at"))).otherwise(F.col("at") - F.floor("at"))
+    per_name = found.groupBy(*keys, "name").agg(F.sum(share * F.col("_x")).alias("value"))
+    return per_name.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names])
+
+
 def residual_quartiles(df: DataFrame, column: str, below: float = 50.0, keys: list[str] | None = None) -> DataFrame:
     """Exact quartiles and maximum of the absolute values below a limit."""
-    a = F.abs(F.col(column))
-    return df.where(a < below).groupBy(*(keys or [])).agg(*[F.percentile(a, q).alias(n) for q, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))], F.max(a).alias("max"))
+    keys = keys or []
+    inside = df.select(*keys, F.abs(F.col(column)).alias("_a")).where(F.col("_a") < below)
+    most = inside.groupBy(*keys).agg(F.max("_a").alias("max"))
+    quartiles = exact_quantiles(inside, "_a", {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys)
+    return quartiles.join(most, keys) if keys else quartiles.crossJoin(most)  # one row each
 
 
 def residual_histogram(df: DataFrame, column: str, limit: float, width: float = 0.05) -> DataFrame:
@@ -56,10 +87,20 @@ def offset_summary(df: DataFrame, columns: list[str], digits: int = 6) -> DataFr
     """A row per column: count, mean, sample deviation, least, quartiles, largest."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).cast("double").alias("x")) for c in columns])).alias("s")).select("s.*")
     r = lambda c: F.round(c, digits)
-    return long.groupBy("axis").agg(
-        F.count("x").alias("n"), r(F.avg("x")).alias("mean"), r(F.stddev_samp("x")).alias("std"), r(F.min("x")).alias("min"),
-        *[r(F.percentile("x", q)).alias(n) for q, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))], r(F.max("x")).alias("max"),
-    )
+    names = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    sums = long.groupBy("axis").agg(F.count("x").alias("n"), r(F.avg("x")).alias("mean"), r(F.stddev_samp("x")).alias("std"), r(F.min("x")).alias("min"), r(F.max("x")).alias("max"))
+    quartiles = exact_quantiles(long, "x", names, ["axis"]).select("axis", *[r(F.col(n)).alias(n) for n in names])
+    return sums.join(quartiles, "axis", "left").select("axis", "n", "mean", "std", "min", *names, "max")
+
+
+def remaining_counts(df: DataFrame, key: str, flag: Column) -> DataFrame:
+    """Rows of each key that are not flagged."""
+    return df.where(~flag).groupBy(key).agg(F.count("*").alias("n"))
+
+
+def cast_extremes(cast: DataFrame, depth: str = "depth", speed: str = "speed") -> DataFrame:
+    """Least and largest depth and speed of a cast."""
+    return cast.agg(*[f(c).alias(f"{n}_{name}") for c, name in ((depth, "depth"), (speed, "speed")) for f, n in ((F.min, "min"), (F.max, "max"))])
 
 
 def largest_offsets(df: DataFrame, pairs: dict[str, tuple[str, str]], warn: float = 1.0) -> DataFrame:

@@ -7,24 +7,22 @@ from pyspark.sql import functions as F
 
 from fathom.functions.geo import geodetic_to_ecef, geodetic_to_enu
 
-#: Below so many rows an interval table is sent to all tasks; above it the join goes over days.
-SMALL = 100_000
-
-
-def assign_surveys(df: DataFrame, surveys: DataFrame, ts: str, survey_columns: list[str]) -> DataFrame:
+def assign_surveys(df: DataFrame, surveys: DataFrame, ts: str, survey_columns: list[str], keys: list[str] | None = None) -> DataFrame:
     """Rows with each survey whose [start, end] holds their time, both ends inclusive; overlapping surveys each get a copy.
 
-    The equi-join over days makes it scale with both sides: a survey is spread over its days, and a row meets only
-    the surveys of its own day.
+    keys are columns of both sides (network, station) in which rows and surveys must agree. The equi-join over them and
+    days makes it scale with both sides: a survey is spread over its days, and a row meets only the surveys of its own day.
     """
-    days = surveys.select(*survey_columns, F.col("start").alias("_s"), F.col("end").alias("_e"), F.explode(F.sequence(F.to_date("start"), F.to_date("end"))).alias("_day"))
+    keys = keys or []
+    days = surveys.select(*keys, *survey_columns, F.col("start").alias("_s"), F.col("end").alias("_e"), F.explode(F.sequence(F.to_date("start"), F.to_date("end"))).alias("_day"))
     left = df.withColumn("_day", F.to_date(ts))
-    return left.join(days, "_day").where(F.col(ts).between(F.col("_s"), F.col("_e"))).drop("_day", "_s", "_e")
+    return left.join(days, [*keys, "_day"]).where(F.col(ts).between(F.col("_s"), F.col("_e"))).drop("_day", "_s", "_e")
 
 
-def empty_surveys(df: DataFrame, surveys: DataFrame, ts: str, survey_id: str) -> DataFrame:
+def empty_surveys(df: DataFrame, surveys: DataFrame, ts: str, survey_id: str, keys: list[str] | None = None) -> DataFrame:
     """Surveys without any row."""
-    return surveys.join(assign_surveys(df, surveys, ts, [survey_id]).select(survey_id).distinct(), survey_id, "left_anti")
+    own = [*(keys or []), survey_id]
+    return surveys.join(assign_surveys(df, surveys, ts, [survey_id], keys).select(*own).distinct(), own, "left_anti")
 
 
 def valid_at(df: DataFrame, intervals: DataFrame, keys: list[str], ts: str, position: str, value: str, row_id: str) -> DataFrame:
@@ -39,30 +37,29 @@ def valid_at(df: DataFrame, intervals: DataFrame, keys: list[str], ts: str, posi
     return df.join(found, row_id, "left")
 
 
-def survey_at(df: DataFrame, surveys: DataFrame, ts: str, row_id: str, survey_id: str, position: str) -> DataFrame:
+def survey_at(df: DataFrame, surveys: DataFrame, ts: str, row_id: str, survey_id: str, position: str, keys: list[str] | None = None) -> DataFrame:
     """Each row with the first survey in list order that holds its time, or null."""
-    hit = assign_surveys(df.select(row_id, ts), surveys, ts, [survey_id, position])
+    hit = assign_surveys(df.select(row_id, ts, *(keys or [])), surveys, ts, [survey_id, position], keys)
     return df.join(hit.groupBy(row_id).agg(F.min_by(survey_id, position).alias(survey_id)), row_id, "left")
 
 
-def active_benchmarks(surveys: DataFrame, benchmarks: DataFrame) -> DataFrame:
-    """(survey_id, benchmark_id): a benchmark that the survey lists, or that has no end or one at or after the survey's start."""
-    listed = F.array_contains(surveys["benchmark_ids"], benchmarks["benchmark_id"])
-    open_ = benchmarks["end"].isNull() | (benchmarks["end"] >= surveys["start"])
-    left = F.broadcast(surveys) if _few(surveys) else surveys
-    return left.join(benchmarks, F.coalesce(listed, F.lit(False)) | open_).select("survey_id", "benchmark_id")
+def active_benchmarks(surveys: DataFrame, benchmarks: DataFrame, site: str = "site") -> DataFrame:
+    """(survey_id, benchmark_id): a benchmark of the survey's site that it lists, or that has no end or one at or after its start.
 
-
-def _few(df: DataFrame) -> bool:
-    return len(df.limit(SMALL + 1).select(F.lit(1)).collect()) <= SMALL
+    An equi-join by site, of which a few benchmarks and surveys exist each.
+    """
+    b = benchmarks.select(F.col(site).alias("_site"), "benchmark_id", F.col("end").alias("_end"))
+    listed = F.coalesce(F.array_contains("benchmark_ids", F.col("benchmark_id")), F.lit(False))
+    open_ = F.col("_end").isNull() | (F.col("_end") >= F.col("start"))
+    return surveys.join(b, F.col(site) == F.col("_site")).where(listed | open_).select("survey_id", "benchmark_id")
 
 
-def turn_around_times(benchmarks: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """(campaign, benchmark, transponder, tat): the entry of each transponder valid at the campaign's start.
+def turn_around_times(benchmarks: DataFrame, campaigns: DataFrame, site: str = "site") -> DataFrame:
+    """(campaign, benchmark, transponder, tat): the entry of each transponder of the campaign's site valid at its start.
 
-    benchmarks has one row per entry (benchmark, transponder, position, value, start, end).
+    benchmarks has one row per entry (site, benchmark, transponder, position, value, start, end).
     """
-    rows = campaigns.select("campaign", F.col("start").alias("_at")).join(benchmarks.select("benchmark", "transponder").distinct())
+    rows = campaigns.select(site, "campaign", F.col("start").alias("_at")).join(benchmarks.select(site, "benchmark", "transponder").distinct(), site)
     rows = rows.withColumn("row", F.concat_ws("|", "campaign", "benchmark", "transponder"))
     return valid_at(rows, benchmarks.withColumnRenamed("value", "tat"), ["benchmark", "transponder"], "_at", "position", "tat", "row").select("campaign", "benchmark", "transponder", "tat")
 

@@ -101,20 +101,35 @@ def decimate(df: DataFrame, keys: list[str], millis: str, every: int, carry_keys
 
     The flag bits of skipped epochs are or-ed into the same carry_keys of the next kept epoch; where that epoch lacks
     them they are lost, as are those behind the last kept epoch. every <= 0 changes nothing. The epoch of a skipped
-    row is found on the distinct epochs alone.
+    row is found on the distinct epochs of its day; only behind a day's last kept epoch it is the first one of a later
+    day, and those are found on a row per key and day.
     """
     if every <= 0:
         return df
     kept = F.pmod(F.col(millis), F.lit(every)) == 0
-    epochs = df.select(*keys, millis).distinct()
-    onward = Window.partitionBy(*keys).orderBy(F.col(millis).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    epochs = epochs.withColumn("_next", F.last(F.when(kept, F.col(millis)), ignorenulls=True).over(onward))
+    epochs = df.select(*keys, millis).distinct().withColumn("_day", F.floor(F.col(millis) / 86_400_000))
+    in_day = Window.partitionBy(*keys, "_day").orderBy(F.col(millis).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    later_days = Window.partitionBy(*keys).orderBy(F.col("_day").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    days = epochs.groupBy(*keys, "_day").agg(F.min(F.when(kept, F.col(millis))).alias("_first"))
+    days = days.select(*keys, "_day", F.last("_first", ignorenulls=True).over(later_days).alias("_later"))
+    epochs = epochs.withColumn("_next", F.last(F.when(kept, F.col(millis)), ignorenulls=True).over(in_day))
+    epochs = epochs.join(days, [*keys, "_day"]).withColumn("_next", F.coalesce("_next", "_later")).drop("_day", "_later")
     skipped = df.where(~kept).join(epochs, [*keys, millis]).where("_next is not null")
     carried = skipped.groupBy(*keys, F.col("_next").alias(millis), *carry_keys).agg(F.bit_or(flags).alias("_bits"))
     out = df.where(kept).join(carried, [*keys, millis, *carry_keys], "left")
     return out.withColumn(flags, F.col(flags).bitwiseOR(F.coalesce("_bits", F.lit(0)))).select(*df.columns)
 
 
+def model_order(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Adds position: the row's place in its key's order, from 1."""
+    return df.withColumn("position", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+
+
+def day_batches(df: DataFrame, ts: str) -> DataFrame:
+    """The days that have rows, as text, and how many: the batches in which a table is worked on."""
+    return df.groupBy(F.date_format(ts, "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+
+
 def hour_slice(ts: Column, hours: int) -> Column:
     """The number of the slice of a day that a time is in, for slices of 1 to 24 hours."""
     return F.floor(F.hour(ts) / F.lit(min(24, max(1, hours)))).cast("int")

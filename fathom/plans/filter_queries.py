@@ -134,10 +134,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @query("P20_epochs_with_satellites", "SELECT o_orderkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)")
 def _(s: SparkSession, d: str) -> DataFrame:
-    """Epochs that have no satellites go before anything is exploded."""
-    n = table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
-    o = table(s, d, "orders").join(n, "o_orderkey", "left")
-    return o.where(F.coalesce("n", F.lit(0)) > 0).select("o_orderkey")
+    return filters.with_satellites(table(s, d, "orders").select("o_orderkey"), table(s, d, "lineitem"), "o_orderkey", "l_orderkey")
 
 
 @query("P18_validated", f"WITH {SHOTS} SELECT event_id, 'tt out of range' AS reason FROM shots WHERE NOT value BETWEEN 0 AND 600 UNION ALL SELECT event_id, 'snr out of range' FROM shots WHERE NOT (snr * 4 - 20) BETWEEN -100 AND 100 UNION ALL SELECT event_id, 'xc out of range' FROM shots WHERE NOT (xc + 20) BETWEEN 0 AND 100")
@@ -174,8 +171,9 @@ def _(s: SparkSession, d: str) -> DataFrame:
         *ids, F.concat(F.lit("IR"), (F.col("l_suppkey") % 4).cast("string")).alias("transponderID"), F.col("l_tax").alias("tt"), F.lit(0.0).alias("pingTime"), F.lit(1.0).alias("returnTime"),
         F.col("l_quantity").alias("east0"), F.col("l_discount").alias("north0"), F.col("l_extendedprice").alias("up0"), (F.col("l_quantity") + 1).alias("east1"), F.col("l_discount").alias("north1"), F.col("l_extendedprice").alias("up1"),
     )
-    send, back = add_offset(tuple(F.col(c) for c in ("east0", "north0", "up0")), 1.5, -0.5, 2.0), add_offset(tuple(F.col(c) for c in ("east1", "north1", "up1")), 1.5, -0.5, 2.0)
-    return x.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("transponderID").alias("MT_ID"), F.col("tt").alias("TravelTime"), F.round(send[0], 6).alias("X_transmit"), F.round(send[1], 6).alias("Y_transmit"), F.round(send[2], 6).alias("Z_transmit"), F.round(back[0], 6).alias("X_receive"))
+    keep = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    c = pairing.community_standard(x, 1.5, -0.5, 2.0, keep)
+    return c.select(*keep, "MT_ID", "TravelTime", *[F.round(n, 6).alias(n) for n in ("X_transmit", "Y_transmit", "Z_transmit", "X_receive")])
 
 
 _E = sql_enu(("east0", "north0", "up0"), _CENTRE_XYZ, "45.0::DOUBLE", "-125.0::DOUBLE")
@@ -276,7 +274,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @query("A5_remaining_counts", f"WITH {SHOTS} SELECT transponderID, count(*) AS n FROM shots WHERE event_type != 'error' GROUP BY transponderID")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return shots(s, d).where("event_type != 'error'").groupBy("transponderID").agg(F.count("*").alias("n"))
+    return report.remaining_counts(shots(s, d), "transponderID", F.col("event_type") == "error")
 
 
 @query("A6_residual_quartiles", """SELECT round(quantile_cont(abs(value), 0.25), 6) AS q1, round(quantile_cont(abs(value), 0.5), 6) AS median, round(quantile_cont(abs(value), 0.75), 6) AS q3, round(max(abs(value)), 6) AS max
@@ -364,7 +362,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @query("A19_cast_extremes", "SELECT min(p_size) AS min_depth, max(p_size) AS max_depth, min(p_retailprice) AS min_speed, max(p_retailprice) AS max_speed FROM part")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "part").agg(F.min("p_size").alias("min_depth"), F.max("p_size").alias("max_depth"), F.min("p_retailprice").alias("min_speed"), F.max("p_retailprice").alias("max_speed"))
+    return report.cast_extremes(table(s, d, "part"), "p_size", "p_retailprice")
 
 
 @query("A20_r_squared", "SELECT round(((1 - sum(power(value - value * 0.9::DOUBLE, 2)) / (var_pop(value) * count(value))) + (1 - sum(power(value - (value + 1), 2)) / (var_pop(value) * count(value)))) / 2, 6) AS r2 FROM events")

@@ -50,7 +50,8 @@ def survey_input(shots: DataFrame, survey_rows: DataFrame, survey_type: str, cen
     from fathom.functions.geo import geodetic_to_ecef
 
     timed = shots.withColumn("ts", seconds_to_timestamp(F.col("pingTime")))
-    assigned = surveys.assign_surveys(timed, survey_rows, "ts", ["survey_id"])
+    keys = [k for k in ("network", "station") if k in shots.columns and k in survey_rows.columns]
+    assigned = surveys.assign_surveys(timed, survey_rows, "ts", ["survey_id"], keys)
     good = filters.filter_shots(assigned, survey_type, centre, residuals, config)
     out = model_io.rectify(good.withColumn("transponderID", F.concat_ws("\x1f", "survey_id", "transponderID")), geodetic_to_ecef(*centre, 0.0), *centre)
     key = F.split("MT", "\x1f")

@@ -139,8 +139,9 @@ def _(s: SparkSession, d: str) -> DataFrame:
     SELECT survey_id, n_name AS benchmark_id FROM v JOIN b ON list_contains(ids, n_name) OR e IS NULL OR e >= s""")
 def _(s: SparkSession, d: str) -> DataFrame:
     year = lambda n: F.make_timestamp(F.lit(1996) + n.cast("int"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    v = table(s, d, "region").select(F.col("r_regionkey").alias("survey_id"), year(F.col("r_regionkey")).alias("start"), F.array(F.concat(F.lit("NATION_"), F.col("r_regionkey").cast("string"))).alias("benchmark_ids"))
-    b = table(s, d, "nation").select(F.col("n_name").alias("benchmark_id"), F.when(F.col("n_nationkey") % 5 != 0, year(F.col("n_nationkey") % 5)).alias("end"))
+    site = lambda c: (F.col(c) * 0).alias("site")  # noqa: E731  all of one site
+    v = table(s, d, "region").select(site("r_regionkey"), F.col("r_regionkey").alias("survey_id"), year(F.col("r_regionkey")).alias("start"), F.array(F.concat(F.lit("NATION_"), F.col("r_regionkey").cast("string"))).alias("benchmark_ids"))
+    b = table(s, d, "nation").select(site("n_regionkey"), F.col("n_name").alias("benchmark_id"), F.when(F.col("n_nationkey") % 5 != 0, year(F.col("n_nationkey") % 5)).alias("end"))
     return surveys.active_benchmarks(v, b)
 
 
@@ -151,8 +152,9 @@ def _(s: SparkSession, d: str) -> DataFrame:
 def _(s: SparkSession, d: str) -> DataFrame:
     year = lambda y, m, n: F.make_timestamp(F.lit(y) + n.cast("int"), F.lit(m), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     n = F.col("n_nationkey")
-    b = table(s, d, "nation").select(F.col("n_regionkey").alias("benchmark"), F.concat(F.lit("T"), (n % 2).cast("string")).alias("transponder"), n.alias("position"), (n * F.lit(10.0)).alias("value"), year(1995, 1, n % 7).alias("start"), F.lit(None).cast("timestamp").alias("end"))
-    k = table(s, d, "region").select(F.col("r_regionkey").alias("campaign"), year(1996, 6, F.col("r_regionkey")).alias("start"))
+    site = lambda c: (F.col(c) * 0).alias("site")  # noqa: E731  all of one site
+    b = table(s, d, "nation").select(site("n_regionkey"), F.col("n_regionkey").alias("benchmark"), F.concat(F.lit("T"), (n % 2).cast("string")).alias("transponder"), n.alias("position"), (n * F.lit(10.0)).alias("value"), year(1995, 1, n % 7).alias("start"), F.lit(None).cast("timestamp").alias("end"))
+    k = table(s, d, "region").select(site("r_regionkey"), F.col("r_regionkey").alias("campaign"), year(1996, 6, F.col("r_regionkey")).alias("start"))
     return surveys.turn_around_times(b, k)
 
 
@@ -180,7 +182,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 def _(s: SparkSession, d: str) -> DataFrame:
     key = lambda t, n: F.concat(F.date_format(t, "MMdd"), (F.col(n) % 100).cast("string"))
     e = table(s, d, "events").select("event_id", key("ts", "user_id").alias("k"))
-    return e.join(table(s, d, "orders").select("o_orderkey", key("o_orderdate", "o_custkey").alias("k")), "k").select("event_id", "o_orderkey")
+    return model_io.join_on_time(e, table(s, d, "orders").select("o_orderkey", key("o_orderdate", "o_custkey").alias("k")), "k").select("event_id", "o_orderkey")
 
 
 @query("J18_survey_at", f"WITH {SURVEYS} SELECT event_id, (SELECT arg_min(survey_id, position) FROM surveys WHERE ts BETWEEN s AND e) AS survey_id FROM events")
@@ -283,13 +285,13 @@ def _(s: SparkSession, d: str) -> DataFrame:
     SELECT e.sat, e.ms, e.flags | coalesce(c.bits, 0) AS flags FROM e LEFT JOIN c ON e.sat = c.sat AND e.ms = c.ms WHERE e.ms % 900000 = 0""")
 def _(s: SparkSession, d: str) -> DataFrame:
     e = table(s, d, "events").select((F.col("user_id") % 3).alias("sat"), (F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 300_000_000) * 300_000).alias("ms"), (F.rint("value").cast("long") % 8).alias("f"))
-    e = e.groupBy("sat", "ms").agg(F.bit_or("f").alias("flags")).withColumn("station", F.lit(0))
-    return temporal.decimate(e, ["station"], "ms", 900_000, ["sat"], "flags").select("sat", "ms", "flags")
+    e = e.groupBy("sat", "ms").agg(F.bit_or("f").alias("flags"))
+    return temporal.decimate(e, [], "ms", 900_000, ["sat"], "flags").select("sat", "ms", "flags")
 
 
 @query("D5_day_batches", "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+    return temporal.day_batches(table(s, d, "events"), "ts")
 
 
 @query("D6_hour_slices", "SELECT CAST(floor(hour(ts) / 5) AS INTEGER) AS slice, count(*) AS n FROM events GROUP BY 1")
@@ -304,26 +306,20 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @query("O2_files_by_first_epoch", "SELECT l_suppkey % 20 AS file, epoch_us(min(l_shipdate)) AS first_us, row_number() OVER (ORDER BY min(l_shipdate), l_suppkey % 20) AS position FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1")
 def _(s: SparkSession, d: str) -> DataFrame:
-    """Positions come from the sorted (small) table of files."""
-    from pyspark.sql import Window
-
-    f = table(s, d, "lineitem").where("l_shipdate is not null").groupBy((F.col("l_suppkey") % 20).alias("file")).agg(F.min(F.col("l_shipdate").cast("timestamp")).alias("t"))
-    return f.select("file", F.unix_micros("t").alias("first_us"), F.row_number().over(Window.orderBy("t", "file")).cast("long").alias("position"))
+    li = table(s, d, "lineitem").select((F.col("l_suppkey") % 20).alias("file"), F.col("l_shipdate").cast("timestamp").alias("t"))
+    return catalog.by_first_epoch(li, "file", "t").select("file", F.unix_micros("first").alias("first_us"), "position")
 
 
 @query("O1_sorted_for_model", f"WITH {SHOTS} SELECT event_id, row_number() OVER (PARTITION BY transponderID ORDER BY pingTime, event_id) AS position FROM shots")
 def _(s: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("transponderID").orderBy("pingTime", "event_id")
-    return shots(s, d).select("event_id", F.row_number().over(w).cast("long").alias("position"))
+    e = shots(s, d).select("event_id", "transponderID", "pingTime")
+    return temporal.model_order(e, ["transponderID"], ["pingTime", "event_id"]).select("event_id", "position")
 
 
 @query("O4_latest_result_file", "SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS host, max(CAST(regexp_extract(url, '([0-9]+)', 1) AS BIGINT)) AS iteration FROM pages WHERE regexp_extract(url, '([0-9]+)', 1) != '' GROUP BY 1")
 def _(s: SparkSession, d: str) -> DataFrame:
-    number = F.regexp_extract("url", r"(\d+)", 1)
-    p = table(s, d, "pages").select(F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("host"), number.try_cast("long").alias("iteration")).where("iteration is not null")
-    return p.groupBy("host").agg(F.max_by("iteration", "iteration").alias("iteration"))
+    p = table(s, d, "pages").select(F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("host"), "url")
+    return catalog.latest_file(p, ["host"], "url").select("host", "iteration")
 
 
 @query("O5_preferred_product", """WITH p AS (SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS host, page_id, CASE WHEN url LIKE '%/en/%' THEN 0 WHEN url LIKE '%/de/%' THEN 1 ELSE 2 END AS k FROM pages)
@@ -331,7 +327,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 def _(s: SparkSession, d: str) -> DataFrame:
     p = table(s, d, "pages").select(F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("host"), "page_id", "url")
     rank = F.when(F.col("url").contains("/en/"), 0).when(F.col("url").contains("/de/"), 1).otherwise(2)
-    return p.groupBy("host").agg(F.min_by("page_id", F.struct(rank.alias("k"), F.col("page_id"))).alias("page_id"))
+    return catalog.preferred(p, ["host"], rank, "page_id")
 
 
 # ---------------------------------------------------------------- set operations and reshaping
@@ -341,7 +337,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 def _(s: SparkSession, d: str) -> DataFrame:
     t = lambda c: F.unix_micros(F.col(c).cast("timestamp")).alias("t")
     a = table(s, d, "orders").select(F.col("o_orderkey").alias("id"), F.lit("imu").alias("source"), t("o_orderdate"))
-    return a.unionByName(table(s, d, "lineitem").select(t("l_shipdate"), F.lit("kin").alias("source"), F.col("l_orderkey").alias("id")))
+    return refine.combine(a, table(s, d, "lineitem").select(t("l_shipdate"), F.lit("kin").alias("source"), F.col("l_orderkey").alias("id")), ["id", "source", "t"])
 
 
 _UNPIVOT = f"""b AS (SELECT event_id, {_STATION} AS station, 0 AS "end", pingTime AS time, value AS east, nullif(xc % 3, 0)::DOUBLE AS sd FROM shots
@@ -364,19 +360,14 @@ def _(s: SparkSession, d: str) -> DataFrame:
     FROM (SELECT l_orderkey, l_suppkey % 4 AS sat, count(*) AS n FROM lineitem GROUP BY 1, 2) GROUP BY l_orderkey""")
 def _(s: SparkSession, d: str) -> DataFrame:
     """Observations nested in satellites nested in epochs, and what the nested document says."""
-    li = table(s, d, "lineitem").select("l_orderkey", (F.col("l_suppkey") % 4).alias("sat"), F.struct("l_linenumber", "l_partkey", "l_quantity").alias("o"))
-    sats = li.groupBy("l_orderkey", "sat").agg(F.array_sort(F.collect_list("o")).alias("observations"))
-    epochs = sats.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("sat", "observations"))).alias("satellites"))
-    size = F.aggregate("satellites", F.lit(0).cast("long"), lambda a, x: a + F.size(x["observations"]))
-    text = F.array_join(F.transform("satellites", lambda x: F.concat(x["sat"].cast("string"), F.lit(":"), F.size(x["observations"]).cast("string"))), ",")
-    return epochs.select("l_orderkey", F.size("satellites").cast("long").alias("satellites"), size.alias("observations"), text.alias("text"))
+    li = table(s, d, "lineitem").select("l_orderkey", (F.col("l_suppkey") % 4).alias("sat"), "l_linenumber", "l_partkey", "l_quantity")
+    return readers.epoch_text(readers.nested_epochs(li, "l_orderkey", "sat", ["l_linenumber", "l_partkey", "l_quantity"]), "l_orderkey")
 
 
 @query("U6_flattened_epochs", "SELECT l_orderkey, l_suppkey % 4 AS sat, l_linenumber, l_partkey FROM lineitem")
 def _(s: SparkSession, d: str) -> DataFrame:
-    li = table(s, d, "lineitem").select("l_orderkey", (F.col("l_suppkey") % 4).alias("sat"), F.struct("l_linenumber", "l_partkey").alias("o"))
-    nested = li.groupBy("l_orderkey", "sat").agg(F.collect_list("o").alias("os")).groupBy("l_orderkey").agg(F.collect_list(F.struct("sat", "os")).alias("sats"))
-    return nested.select("l_orderkey", F.explode("sats").alias("s")).select("l_orderkey", "s.sat", F.explode("s.os").alias("o")).select("l_orderkey", "sat", "o.*")
+    li = table(s, d, "lineitem").select("l_orderkey", (F.col("l_suppkey") % 4).alias("sat"), "l_linenumber", "l_partkey")
+    return readers.flattened_epochs(readers.nested_epochs(li, "l_orderkey", "sat", ["l_linenumber", "l_partkey"]), "l_orderkey")
 
 
 _CAST = "c AS (SELECT p_size AS depth, min(p_retailprice) AS speed FROM part GROUP BY 1)"
@@ -391,8 +382,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 @query("U8_merged_residuals", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE day(ts) IN (1, 2, 3)")
 def _(s: SparkSession, d: str) -> DataFrame:
     e = table(s, d, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.dayofmonth("ts").alias("n"))
-    parts = [e.where(F.col("n") == k).drop("n") for k in (1, 2, 3)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return model_io.merged([e.where(F.col("n") == k).drop("n") for k in (1, 2, 3)])
 
 
 # ---------------------------------------------------------------- catalogue
@@ -434,18 +424,18 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @query("C4_lookup", "SELECT o_orderkey FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW') AND o_orderstatus = 'F'")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "5-LOW") & (F.col("o_orderstatus") == "F")).select("o_orderkey")
+    return catalog.lookup(table(s, d, "orders"), ["1-URGENT", "2-HIGH", "5-LOW"], "o_orderpriority", o_orderstatus="F").select("o_orderkey")
 
 
 @query("C5_name_contains", "SELECT p_partkey FROM part WHERE contains(p_name, 'red')")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "part").where(F.col("p_name").contains("red")).select("p_partkey")
+    return catalog.name_contains(table(s, d, "part"), "p_name", "red").select("p_partkey")
 
 
 @query("C6_delete_and_move", "SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'moved' ELSE o_orderpriority END AS path FROM orders WHERE o_orderstatus != 'P'")
 def _(s: SparkSession, d: str) -> DataFrame:
-    left = table(s, d, "orders").where(~(F.col("o_orderstatus") == "P"))
-    return left.select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, "moved").otherwise(F.col("o_orderpriority")).alias("path"))
+    left = catalog.without(table(s, d, "orders"), F.col("o_orderstatus") == "P").withColumnRenamed("o_orderpriority", "path")
+    return catalog.moved(left, F.col("o_orderkey") % 10 == 0, "path", F.lit("moved")).select("o_orderkey", "path")
 
 
 @query("C7_job_signatures", "SELECT l_orderkey, array_to_string(list_sort(list_distinct(list(l_partkey))), '-') AS signature FROM lineitem GROUP BY l_orderkey HAVING l_orderkey % 2 = 1")

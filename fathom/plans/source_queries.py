@@ -147,9 +147,8 @@ def _(s: SparkSession, d: str) -> DataFrame:
 def _(s: SparkSession, d: str) -> DataFrame:
     """From raw strings to the table: the last of repeats within a message, the first of repeats between messages."""
     o = readers.last_of_message(readers.range_observations(range_messages(s, d), "message"), ["l_orderkey"])
-    o = o.withColumn("day", F.to_date("time"))
-    path = fresh_path(s, "observations")
-    sinks.append_unique(o.withColumn("day", F.lit("all")), path, ["time", "sys", "sat", "obs"], ["day"], ["l_orderkey"])
+    path = fresh_path(s, "observations")  # by year, as these made-up messages lie weeks apart
+    sinks.append_unique(o.withColumn("year", F.year("time")), path, ["time", "sys", "sat", "obs"], ["year"], ["l_orderkey"])
     t = s.read.parquet(path)
     return t.select("l_orderkey", F.col("sys").cast("long").alias("sys"), F.col("sat").cast("long").alias("sat"), F.col("obs").cast("long").alias("obs"), "range")
 
@@ -506,8 +505,8 @@ def _(s: SparkSession, d: str) -> DataFrame:
         return r.select("pingTime", "transponderID", "returnTime", "tt", F.to_date(T.seconds_to_timestamp(F.col("returnTime"))).alias("day"))
 
     def messages(df: DataFrame) -> DataFrame:
-        m = df.where("event.observations.NOV_RANGE.raw is not null").select("file", "line", F.col("event.event_id").alias("time"), F.lit(0).alias("sys"), F.lit(0).alias("sat"), F.lit(0).alias("obs"), F.lit(0).alias("position"), F.lit("all").alias("day"))
-        return m
+        day = F.to_date(T.seconds_to_timestamp(F.col("event.time.common"))).alias("day")
+        return df.where("event.observations.NOV_RANGE.raw is not null").select("file", "line", F.col("event.event_id").alias("time"), F.lit(0).alias("sys"), F.lit(0).alias("sat"), F.lit(0).alias("obs"), F.lit(0).alias("position"), day)
 
     stream = ingest.stream_event_files(s, files)
     ingest.run_available(stream, fresh_path(s, "state"), ingest.two_tables(replies, messages, shot_path, obs_path)).awaitTermination()

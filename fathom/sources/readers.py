@@ -245,3 +245,25 @@ def time_range(df: DataFrame, ts: str, start: Column, end: Column | None = None,
     c = F.col(ts)
     out = df.where((c >= start) & ((c <= end) if inclusive else (c < end)))
     return out.where(F.col("day").between(F.to_date(start), F.to_date(end))) if "day" in df.columns else out
+
+
+# ---------------------------------------------------------------- nested epochs
+
+
+def nested_epochs(obs: DataFrame, epoch: str, satellite: str, fields: list[str]) -> DataFrame:
+    """An epoch per row: (epoch, satellites), satellites sorted, each with its observations sorted by their fields."""
+    per_satellite = obs.groupBy(epoch, satellite).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("observations"))
+    return per_satellite.groupBy(epoch).agg(F.array_sort(F.collect_list(F.struct(F.col(satellite).alias("sat"), "observations"))).alias("satellites"))
+
+
+def epoch_text(nested: DataFrame, epoch: str) -> DataFrame:
+    """(epoch, satellites, observations, text): counts of nested epochs, and satellites with their counts as text."""
+    size = F.aggregate("satellites", F.lit(0).cast("long"), lambda a, x: a + F.size(x["observations"]))
+    text = F.array_join(F.transform("satellites", lambda x: F.concat(x["sat"].cast("string"), F.lit(":"), F.size(x["observations"]).cast("string"))), ",")
+    return nested.select(epoch, F.size("satellites").cast("long").alias("satellites"), size.alias("observations"), text.alias("text"))
+
+
+def flattened_epochs(nested: DataFrame, epoch: str) -> DataFrame:
+    """An observation per row (epoch, sat, its fields); epochs and satellites without any are gone."""
+    one = nested.select(epoch, F.explode("satellites").alias("s")).select(epoch, "s.sat", F.explode("s.observations").alias("o"))
+    return one.select(epoch, "sat", "o.*")

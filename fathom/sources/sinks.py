@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,31 +16,46 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _aside(path: str) -> str:
+    """A new folder beside a table's, of no other writer."""
+    return f"{path.rstrip('/')}__{uuid.uuid4().hex}"
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def append_unique(df: DataFrame, path: str, keys: list[str], partition: list[str], order: list[str]) -> None:
     """Adds rows to a table without a key standing twice: a row that is there already stays, of new ones the first by order.
 
-    Only the partitions that new rows touch are read and written again; running it twice changes nothing.
+    Only the partitions that new rows touch are read and written again; running it twice changes nothing. A partition
+    with many rows is written by several tasks, small ones together. One writer at a time: what is touched stands in a
+    folder beside the table until its partitions are replaced, so a job that is lost there can be finished by hand.
     """
     spark = df.sparkSession
-    new = first_by(df, keys, order)
+    new, aside = first_by(df, keys, order), None
     if exists(spark, path):
         old = spark.read.schema(df.schema).parquet(path)
         touched = new.select(*partition).distinct()
         same = old.join(F.broadcast(touched) if len(touched.limit(10_001).collect()) <= 10_000 else touched, partition, "left_semi")
         # The old rows are read from the files that are about to be replaced, so the union is written aside first.
         new = same.unionByName(new.join(same.select(*keys), keys, "left_anti"))
-        aside = f"{path.rstrip('/')}__new"
-        new.write.mode("overwrite").partitionBy(*partition).parquet(aside)
+        aside = _aside(path)
+        new.write.partitionBy(*partition).parquet(aside)
         new = spark.read.schema(df.schema).parquet(aside)
-    new.repartition(*partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+    new.hint("rebalance", *partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+    if aside:
+        _drop(spark, aside)
 
 
-def compact(spark: SparkSession, path: str, partition: list[str], files: int = 1) -> None:
-    """Writes each partition's rows again into few files."""
+def compact(spark: SparkSession, path: str, partition: list[str]) -> None:
+    """Writes each partition's rows again into few files, of about the size that Spark aims at for its partitions."""
     df = spark.read.parquet(path)
-    aside = f"{path.rstrip('/')}__compact"
-    df.repartition(files, *partition).write.mode("overwrite").partitionBy(*partition).parquet(aside)
-    spark.read.schema(df.schema).parquet(aside).repartition(files, *partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+    aside = _aside(path)
+    df.hint("rebalance", *partition).write.partitionBy(*partition).parquet(aside)
+    spark.read.schema(df.schema).parquet(aside).hint("rebalance", *partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+    _drop(spark, aside)
 
 
 def daily_observations(obs: DataFrame, marker: str, ts: str, year: int = 0, every_millis: int = 0, hours: int = 24) -> DataFrame:

@@ -13,6 +13,8 @@ _own: dict[str, str] = {}
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path in spark.checkpoint.dir, which all executors share; under a temporary folder where it is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         app = spark.sparkContext.applicationId
         base = _own.setdefault(app, "") or _own.update({app: "file://" + tempfile.mkdtemp(prefix="fathom-")}) or _own[app]
