@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fathom.functions import text as X
 from fathom.functions.geo import add_offset, ecef_to_enu, enu_to_ecef, geodetic_to_ecef, geodetic_to_enu
 from fathom.operators import filters, model_io, pairing, refine, report, surveys, temporal, validate
+from fathom.plans import jobs
 from fathom.plans.domain import CENTRE, SHOTS, SURVEYS, of_type, shots, sql_ecef, sql_enu, table
 from fathom.plans.domain import surveys as survey_table
 from fathom.plans.registry import query
@@ -395,3 +396,16 @@ def _(s: SparkSession, d: str) -> DataFrame:
 @query("A22_status_counts", "SELECT user_id % 10 AS file, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS status, count(*) AS n FROM events GROUP BY 1, 2")
 def _(s: SparkSession, d: str) -> DataFrame:
     return report.status_counts(shots(s, d).withColumn("file", F.col("user_id") % 10), "file", F.when(F.col("event_type") == "error", "failed").otherwise("ok"))
+
+
+@query("job_survey_input", f"""WITH {SHOTS}, {SURVEYS}, a AS (SELECT * FROM shots JOIN surveys ON ts BETWEEN s AND e WHERE event_type != 'error' AND {_OK})
+    SELECT survey_id, 'M' || (user_id % 4) AS MT, count(*) AS n, round(max(value), 6) AS longest FROM a
+    WHERE sqrt(power(east0 - {_CENTRE_XYZ[0]}, 2) + power(north0 - {_CENTRE_XYZ[1]}, 2)) <= 4000 AND user_id % 4 IN (0, 2) GROUP BY ALL""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Shots of surveys, filtered, in the model's columns, of two of the four transponders."""
+    e = shots(s, d).where("event_type != 'error'")
+    e = e.withColumns({"tt": F.col("value"), "east1": F.col("east0"), "north1": F.col("north0"), "up1": F.col("up0")} | {f"{a}{k}": F.lit(0.0) for a in ("head", "pitch", "roll") for k in (0, 1)})
+    known = e.where("user_id % 4 in (0, 2)").select(F.col("transponderID").alias("MT")).distinct()
+    config = {"ping_replies": {"enabled": False}, "max_distance": {"metres": 4000.0}}
+    out = jobs.survey_input(e, survey_table(s, d), "center", CENTRE, None, known, config)
+    return out.groupBy("survey_id", "MT").agg(F.count("*").alias("n"), F.round(F.max("TT"), 6).alias("longest"))

@@ -546,3 +546,34 @@ def _(s: SparkSession, d: str) -> DataFrame:
     e = shots(s, d)
     q = report.residual_quartiles(e, "value", 50.0, ["transponderID"]).select("transponderID", F.round("median", 6).alias("median"))
     return e.where(F.abs("value") < 50).groupBy("transponderID").agg(F.count("*").alias("n")).join(q, "transponderID")
+
+
+@query("job_pin_files_to_shots", f"""WITH {SHOTS}, q AS (SELECT *, CASE WHEN event_type = 'view' THEN 'interrogation' ELSE 'uid' || (event_id % 3) END AS name FROM shots WHERE event_type IN ('view', 'click')),
+    r AS (SELECT *, row_number() OVER (PARTITION BY user_id, name ORDER BY pingTime, event_id) AS rn FROM q), p AS (SELECT user_id, pingTime AS ping FROM r WHERE rn = 1 AND name = 'interrogation')
+    SELECT event_id, round(ping + 18, 6) AS pingTime, round(pingTime + 18, 6) AS returnTime, transponderID,
+    CASE WHEN value / 100 <= 1e-3 THEN 'no range' WHEN abs(pingTime - ping) > 15 THEN 'too far apart' ELSE 'inconsistent times' END AS reject_reason FROM r JOIN p USING (user_id) WHERE rn = 1 AND name != 'interrogation'""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    r = jobs.shots_from_pins(s, pin_files(s, d))
+    return r.select("event_id", F.round("pingTime", 6).alias("pingTime"), F.round("returnTime", 6).alias("returnTime"), "transponderID", "reject_reason")
+
+
+@query("job_preprocess", f"""WITH {SHOTS} SELECT transponderID, count(DISTINCT pingTime) AS n FROM shots
+    WHERE event_type IN ('click', 'purchase') AND value / 100 > 1e-3 AND value / 100 - 0.32::DOUBLE - 0.13::DOUBLE >= 0 AND (xc IS NULL OR xc BETWEEN 0 AND 100) GROUP BY transponderID""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Event logs with a ping and a consistent reply for each click and purchase, a log per user, to the validated shot table."""
+    e = of_type(shots(s, d), "click").union(of_type(shots(s, d), "purchase"))
+    back = F.col("pingTime") + F.col("value") / 100 - F.lit(pairing.TRIGGER_DELAY)
+    lines = e.withColumn("event_type", F.lit("view")).withColumn("at", F.col("pingTime")).union(e.withColumn("at", F.col("pingTime")).withColumn("pingTime", back))
+    logs = text_files(lines.select(F.col("user_id").alias("f"), "at", "event_id", F.col("event_type").alias("kind"), event_json(lines).alias("value")), "f", "value", ["at", "event_id", F.desc("kind")], "logs")
+    good, _rejected = jobs.preprocess(s, logs, fresh_path(s, "shots"), "STA1")
+    return good.groupBy("transponderID").agg(F.count("*").alias("n"))
+
+
+@query("job_model_report", f"""WITH {SHOTS} SELECT transponderID AS MT, count(*) AS n_raw, count(*) FILTER (event_type != 'error') AS n_unflagged, round(count(*) FILTER (event_type != 'error') * 100.0::DOUBLE / count(*), 1) AS percent,
+    round(avg(sin(radians(value))), 6) AS delta_z, (SELECT round(max(abs(r)), 6) FROM (SELECT value / 1000 * (SELECT count(p_retailprice) / sum(1 / p_retailprice) FROM part) / 2 AS r FROM events) WHERE abs(r) < 50) AS largest FROM shots GROUP BY transponderID""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """What the report of a model's output says of each transponder, and the largest residual range below 50 m."""
+    e = shots(s, d).select(F.col("transponderID").alias("MT"), (F.col("event_type") == "error").alias("flag"), (F.col("value") / 1000).alias("ResiTT"), F.col("snr").alias("TakeOff"), F.col("value").alias("head1"))
+    r = jobs.residual_report(e, table(s, d, "part").select(F.col("p_retailprice").alias("speed")))
+    rows = r["shares"].join(r["directions"].select("MT", F.round("delta_z", 6).alias("delta_z")), "MT")
+    return rows.crossJoin(r["quartiles"].select(F.round("max", 6).alias("largest")))
