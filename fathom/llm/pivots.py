@@ -3,7 +3,7 @@
 A vector is described by its nearest reference points (pivots) in order. Vectors that share at least two of their
 PREFIX nearest pivots are candidates: there is an inverted list for each pair of pivots, and a candidate pair is
 handled in the list of its two smallest shared pivots alone, so that it counts once. Candidates are verified by their
-cosine in double precision, list by list in blocks; only counts and a spanning forest of the links leave a block.
+cosine in double precision, list by list in blocks; only counts and a spanning forest of the links leave a task's batch of blocks.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm.common import Written, components, local_forest
+from fathom.llm.common import Written, components, local_forest, text_buffers
 
 #: Pivots, nearest pivots of a vector that count, vectors that the pivots are drawn from (a fixed bound), and the
 #: largest cosine of two pivots: pivots from one dense group would order that group's vectors by noise alone.
@@ -30,6 +30,9 @@ BLOCK = 512
 POSTED = 2000
 
 
+_NO_LINKS = (np.zeros(0, np.int64),) * 4
+
+
 def choose_pivots(vectors: np.ndarray, n: int = PIVOTS) -> np.ndarray:
     """Up to n of the vectors that are apart from each other, filled up with random directions."""
     chosen: list[np.ndarray] = []
@@ -67,7 +70,8 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.93) -> DataFrame:
     Vectors link if their labels are equal and not null, their lengths are equal and their cosine is at least `cosine`.
     Vectors that are null, empty, zero or hold a null or non-finite component link with nothing. Equal vectors are
     compared with others once: each copy has all the others' links and those to its copies. Rows with a null vec_id
-    link with nothing and are their own (null) component; repeated rows of one vec_id count as copies of each other.
+    link with nothing and are their own (null) component. Rows that repeat a vec_id are vectors of their own, linked by
+    their values: equal ones count each other as links, unlike ones may be in different components. A vector may be of any length.
     The pivots are drawn from SAMPLE vectors; all vectors are indexed.
     """
     spark = embeddings.sparkSession
@@ -117,22 +121,21 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.93) -> DataFrame:
     index = index.select(*keys, "block", "id", "copies", "near", "v").repartition(*keys).sortWithinPartitions(*keys)
 
     def compare(ids: np.ndarray, copies: np.ndarray, near: np.ndarray, v: np.ndarray, block: np.ndarray, list_: int, cross: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Linked pairs' forest (a, b) and weighted counts (id, links) of one block or pair of blocks."""
+        """Linked pairs (a, b) and weighted counts (id, links) of one block or pair of blocks."""
         left, right = (np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())) if cross else (np.arange(len(ids)),) * 2
-        c = v[left] @ v[right].T >= cosine
-        if not cross:
-            c = np.triu(c, 1)
-        i, j = np.nonzero(c)
+        i, j = np.nonzero(v[left] @ v[right].T >= cosine)
         i, j = left[i], right[j]
-        if len(i):
-            # In this list only if its two pivots are the smallest that the two share.
-            high = list_ % PIVOTS
-            shared = ((near[i][:, :, None] == near[j][:, None, :]).any(axis=2) & (near[i] <= high)).sum(axis=1)
-            i, j = i[shared == 2], j[shared == 2]
+        if not cross:
+            i, j = i[i < j], j[i < j]
+        if not len(i):
+            return _NO_LINKS
+        # In this list only if its two pivots are the smallest that the two share.
+        high = list_ % PIVOTS
+        shared = ((near[i][:, :, None] == near[j][:, None, :]).any(axis=2) & (near[i] <= high)).sum(axis=1)
+        i, j = i[shared == 2], j[shared == 2]
         who, at = np.unique(np.concatenate([i, j]), return_inverse=True)
         count = np.bincount(at, weights=np.concatenate([copies[j], copies[i]]), minlength=len(who)).astype(np.int64)
-        a, b = local_forest(ids[i], ids[j]) if len(i) else (np.zeros(0, np.int64),) * 2
-        return a, b, ids[who], count
+        return ids[i], ids[j], ids[who], count
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -147,13 +150,16 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.93) -> DataFrame:
             starts = np.flatnonzero(~new | (np.arange(n) == 0))
             ends = np.append(starts[1:], n)
             block, ids, copies = (table.column(k).to_numpy() for k in ("block", "id", "copies"))
-            for lo, hi in zip(starts, ends, strict=True):
-                if hi - lo < 2 or (names[3][lo] != names[4][lo] and len(np.unique(block[lo:hi])) < 2):
+            near = text_buffers(table.column("near"))[0].view(np.int32).reshape(n, PREFIX)
+            column = pa.concat_arrays(table.column("v").chunks)
+            dims = names[1]
+            whole = unit(column) if (dims == dims[0]).all() else None
+            cross = names[3] != names[4]
+            for lo, hi in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
+                if cross[lo] and len(np.unique(block[lo:hi])) < 2:
                     continue
-                part = table.slice(lo, hi - lo)
-                near = np.frombuffer(b"".join(part.column("near").to_pylist()), np.int32).reshape(hi - lo, -1)
-                v = unit(pa.concat_arrays(part.column("v").chunks))
-                out.append(compare(ids[lo:hi], copies[lo:hi], near, v, block[lo:hi], int(names[2][lo]), bool(names[3][lo] != names[4][lo])))
+                v = unit(column.slice(lo, hi - lo)) if whole is None else whole[lo:hi]
+                out.append(compare(ids[lo:hi], copies[lo:hi], near[lo:hi], v, block[lo:hi], int(names[2][lo]), bool(cross[lo])))
             cat = lambda k: np.concatenate([np.zeros(0, np.int64), *[x[k] for x in out]])
             a, b, who, count = cat(0), cat(1), cat(2), cat(3)
             who, at = np.unique(who, return_inverse=True)

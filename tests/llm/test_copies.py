@@ -283,6 +283,24 @@ def test_vectors(spark):
     assert pivots.near_vectors(df.where("vec_id = 9001")).first()["component_id"] == 9001
 
 
+@pytest.mark.parametrize("cosine", [0.93, 0.945, 0.96])
+def test_recall_of_the_pivot_index(spark, cosine):
+    """1000 pairs of 64 dimensions just above the limit, among 2000 other vectors, against brute force."""
+    rng = np.random.default_rng(8)
+    norm = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = norm(rng.normal(size=(1000, 64)))
+    away = rng.normal(size=x.shape)
+    away = norm(away - (away * x).sum(1, keepdims=True) * x)
+    y = (cosine + 1e-3) * x + np.sqrt(1 - (cosine + 1e-3) ** 2) * away
+    vectors = np.concatenate([x, y, norm(rng.normal(size=(2000, 64)))])
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+    got = pivots.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cosine).collect()
+    exact = (vectors @ vectors.T >= cosine).sum(1) - 1
+    found = {r["vec_id"]: r["n_links"] for r in got}
+    assert all(found[i] <= exact[i] for i in range(len(exact)))
+    assert sum(found.values()) >= 0.97 * exact.sum()
+
+
 def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(pivots, "BLOCK", 16)
     rng = np.random.default_rng(4)
