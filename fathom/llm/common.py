@@ -241,11 +241,17 @@ def tuple_numbers(columns: list[np.ndarray]) -> np.ndarray:
     return numbered(h, lambda i, j: np.logical_and.reduce([c[i] == c[j] for c in columns]), exact)
 
 
+#: Bits of an element's number; owners in one piece of work have the other 20.
+NUMBER_BITS = 44
+
+
 def distinct(owner: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct pairs in order; both are below 2**32."""
-    both = np.sort(owner.astype(np.uint64) << np.uint64(32) | number.astype(np.uint64))
+    """The distinct pairs in order."""
+    bits = np.uint64(NUMBER_BITS)
+    both = np.sort(owner.astype(np.uint64) << bits | number.astype(np.uint64))
     both = both[np.append(True, both[1:] != both[:-1])[: len(both)]]
-    return (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    owner = both >> bits
+    return owner.astype(np.int64), (both ^ owner << bits).astype(np.int64)
 
 
 def shingle_places(rows: np.ndarray, n_rows: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -140,7 +140,7 @@ def similar_documents(docs: DataFrame, k: int = 4, similarity: str = "0.85") ->
     rule = scheme(k, Fraction(similarity))
     own = docs.select(docs["doc_id"].cast("long").alias("id"), "text")
     firsts, again, group = near_groups(own.where("id is not null"), rule, "jaccard")
-    known = group.select("node", F.col("doc_id").alias("component_id"))
+    known = group.select("node", F.col("least.doc_id").alias("component_id"))
     heads = firsts.join(known, "node", "left").select("a", "b", "doc_id", "size", F.coalesce("component_id", "doc_id").alias("component_id"))
     copies = again.select("a", "b", "doc_id", "size").join(heads.select("a", "b", "component_id"), ["a", "b"])
     columns = ["doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id"]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm.common import Written, components, local_forest, mix
+from fathom.llm.common import NUMBER_BITS, Written, components, local_forest, mix
 from fathom.llm.packed import GATHERED, bucket_count, bucketed_by, pack, runs, total_bytes
 
 #: Bytes of items that are worked on at once (a longer item is taken alone).
@@ -54,7 +54,7 @@ class Keys:
 class Scheme:
     """How items are made and compared.
 
-    parts: a text's parts, each of which is an item. keys: the keys of items. numbers: from items, the distinct (item, element) in order, elements numbered exactly within these items.
+    parts: a text's parts, each of which is an item. keys: the keys of items. numbers (below 2**NUMBER_BITS): from items, the distinct (item, element) in order, elements numbered exactly within these items.
     Items link where intersection >= similarity * union of their elements, and they have one in common.
     """
 
@@ -283,18 +283,18 @@ def fetched(source: DataFrame, wanted: DataFrame, scheme: Scheme, name: str) ->
 
 
 def linked(owner: np.ndarray, number: np.ndarray, n: int, leader: np.ndarray, similarity: Fraction) -> np.ndarray:
-    """Whether each of n items links with its leader, the item whose number is given; members follow their leader."""
+    """Whether each of n items links with its leader, the item whose number is given."""
     edges = np.searchsorted(owner, np.arange(n + 1))
     size = np.diff(edges)
-    both = np.zeros(n, np.int64)
-    mark = np.zeros(int(number.max()) + 1 if len(number) else 1, bool)
-    start, _ = runs(leader)
-    for lo, hi in zip(start.tolist(), [*start[1:].tolist(), n], strict=True):
-        own = number[edges[leader[lo]] : edges[leader[lo] + 1]]
-        mark[own] = True
-        hits = np.concatenate(([0], np.cumsum(mark[number[edges[lo] : edges[hi]]])))
-        both[lo:hi] = np.diff(hits[edges[lo : hi + 1] - edges[lo]])
-        mark[own] = False
+    # Each member's elements and, with the member's number, its leader's: equal neighbours in order are common ones.
+    member = np.flatnonzero(leader != np.arange(n))
+    many = size[leader[member]]
+    who = np.repeat(member, many)
+    at = np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many) + edges[leader[who]]
+    bits = np.uint64(NUMBER_BITS)
+    mine = owner != leader[owner]
+    all_ = np.sort(np.concatenate([owner[mine].astype(np.uint64) << bits | number[mine].astype(np.uint64), who.astype(np.uint64) << bits | number[at].astype(np.uint64)]))
+    both = np.bincount((all_[1:][all_[1:] == all_[:-1]] >> bits).astype(np.int64), minlength=n)
     return (both > 0) & (similarity.denominator * both >= similarity.numerator * (size + size[leader] - both))
 
 
@@ -365,6 +365,7 @@ def keys_of(items: list[bytes], scheme: Scheme) -> list[np.ndarray]:
 def block_links(ids: np.ndarray, owner: np.ndarray, number: np.ndarray, group: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
     """Links between the left and right members of different groups; intersections by one product of 0/1 matrices."""
     size = np.bincount(owner, minlength=len(ids))
+    number = np.unique(number, return_inverse=True)[1]
     count = np.bincount(number)
     rank = np.cumsum(count > 1) - 1
     use = count[number] > 1
@@ -485,7 +486,7 @@ def groups(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
 
 def near_groups(source: DataFrame, scheme: Scheme, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """For source (id, text): the items' first places (a, b, doc_id, part, size, node), their other places (a, b, doc_id,
-    part, size), and (node, doc_id, part) of linked items: the first place in the group of each.
+    part, size), and (node, own, least) of linked items: structs (doc_id, part) of their own place and the first one of their group.
 
     a and b together are an item's identity. Rows that repeat an id are places of their own texts.
     """
@@ -494,11 +495,13 @@ def near_groups(source: DataFrame, scheme: Scheme, name: str) -> tuple[DataFrame
     again = found.df.where(f"kind = {AGAIN}").select("a", "b", "doc_id", "part", "size")
     pairs = Written(found.df.where(f"kind = {PAIR}").groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
     ids = pairs.df.select(F.col("a").alias("node")).union(pairs.df.select("b")).distinct()
-    texts = fetched(source, firsts.join(ids, "node"), scheme, "texts")
+    wanted = Written(firsts.join(ids, "node"), "wanted")
+    texts = fetched(source, wanted.df, scheme, "texts")
     label = groups(pairs.df, texts.df, scheme)
-    places = firsts.select("node", "doc_id", "part").join(label.withColumnRenamed("id", "node"), "node")
-    least = places.groupBy("component_id").agg(F.min(F.struct("doc_id", "part")).alias("least")).select("component_id", "least.doc_id", "least.part")
-    result = Written(label.join(least, "component_id").select(F.col("id").alias("node"), "doc_id", "part"), "groups")
+    places = wanted.df.select("node", F.struct("doc_id", "part").alias("own")).join(label.withColumnRenamed("id", "node"), "node")
+    least = places.groupBy("component_id").agg(F.min("own").alias("least"))
+    result = Written(places.join(least, "component_id").select("node", "own", "least"), "groups")
+    wanted.drop()
     pairs.drop()
     texts.drop()
     return firsts, again, result.df
