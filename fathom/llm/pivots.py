@@ -2,21 +2,21 @@
 
 A vector is described by its nearest reference points (pivots) in order. Vectors that share at least two of their
 PREFIX nearest pivots are candidates: there is an inverted list for each pair of pivots, and a candidate pair is
-handled in the list of its two smallest shared pivots alone, so that it counts once. Candidates are verified by their
+handled in the list of its two smallest shared pivots alone, so that it counts once. The lists of one smallest pivot
+lie in one bin, so a vector is sent once for each of its pivots and not for each pair. Candidates are verified by their
 cosine in double precision, list by list in blocks; only counts and a spanning forest of the links leave a task's batch of blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm.common import Written, components, local_forest, text_buffers
+from fathom.llm.common import Written, components, local_forest
 
 #: Pivots, nearest pivots of a vector that count, vectors that the pivots are drawn from (a fixed bound), and the
 #: largest cosine of two pivots: pivots from one dense group would order that group's vectors by noise alone.
@@ -26,6 +26,8 @@ SAMPLE = 4096
 APART = 0.6
 #: Members of a list that one block takes; longer lists are cut into blocks, and pairs of blocks compared.
 BLOCK = 512
+#: Vectors of one smallest pivot whose lists a task holds together; of more, the lists are dealt to several bins.
+BIN = 32768
 #: Vectors whose postings are made at once.
 POSTED = 2000
 
@@ -89,38 +91,45 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.93) -> DataFrame:
     drawn = first.df.where(F.col("dims") == sizes[0]).select("v", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(SAMPLE).toPandas()
     pivots = {sizes[0]: choose_pivots(unit(pa.array([list(x) for x in drawn["v"]], pa.list_(pa.float64()))))}
     sent = spark.sparkContext.broadcast(pivots)  # PIVOTS vectors, whatever the input
-    pairs = np.array(list(combinations(range(PREFIX), 2)))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = dict(sent.value)
         for whole in batches:
             for begin in range(0, len(whole), POSTED):
                 batch = whole.slice(begin, POSTED)
-                dims = batch.column(1).to_numpy()
+                dims = batch.column("dims").to_numpy()
                 for d in np.unique(dims):
                     part = batch.take(pa.array(np.flatnonzero(dims == d)))
                     if d not in known:
                         known[d] = choose_pivots(np.zeros((0, d)))
-                    sets = np.sort(nearest(unit(part.column(2)), known[d]), axis=1)
-                    n = len(part)
-                    lists = (sets[:, pairs[:, 0]] * PIVOTS + sets[:, pairs[:, 1]]).reshape(-1)
-                    packed = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * 4 * PREFIX), pa.py_buffer(sets.astype(np.int32).tobytes())])
-                    rows = pa.RecordBatch.from_arrays([part.column(0), part.column(3), part.column(4), part.column(1), packed, part.column(2)], names=["id", "copies", "label", "dims", "near", "v"])
-                    rows = rows.take(pa.array(np.repeat(np.arange(n), len(pairs))))
-                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(lists.astype(np.int32))], names=[*rows.schema.names, "list"])
+                    sets = np.sort(nearest(unit(part.column("v")), known[d]), axis=1).astype(np.int32)
+                    near = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * PREFIX), pa.array(sets.reshape(-1)))
+                    yield pa.RecordBatch.from_arrays([*part.columns, near], names=[*part.schema.names, "near"])
 
     label_type, v_type = (dict(first.df.dtypes)[c] for c in ("label", "v"))
-    index = first.df.select("id", "dims", "v", "copies", "label").mapInArrow(post, f"id long, copies long, label {label_type}, dims int, near binary, v {v_type}, list int")
-    lengths = index.groupBy("label", "dims", "list").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
-    long_lists = Written(lengths.select("label", "dims", "list", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "lists")
-    index = index.join(long_lists.df, ["label", "dims", "list"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    index = index.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    index = index.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-    keys = ["label", "dims", "list", "lo", "hi"]
-    index = index.select(*keys, "block", "id", "copies", "near", "v").repartition(*keys).sortWithinPartitions(*keys)
-
-    def compare(ids: np.ndarray, copies: np.ndarray, near: np.ndarray, v: np.ndarray, block: np.ndarray, list_: int, cross: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    described = first.df.select("id", "copies", "label", "dims", "v").mapInArrow(post, f"id long, copies long, label {label_type}, dims int, v {v_type}, near array<int>")
+    vectors = Written(described, "described")
+    # A vector's lists are the pairs p < q of its pivots. It travels once for each p, with its q's.
+    bin_ = ["label", "dims", "p"]
+    posted = vectors.df.withColumn("p", F.explode("near")).withColumn("qs", F.expr("filter(near, x -> x > p)")).where(F.size("qs") > 0)
+    slim = posted.select(*bin_, "qs")
+    lengths = slim.select(*bin_, F.explode("qs").alias("q")).groupBy(*bin_, "q").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    long_lists = Written(lengths.select(*bin_, "q", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "lists")
+    per_bin = slim.groupBy(*bin_).agg(F.ceil(F.count("*") / BIN).cast("int").alias("parts"))
+    left_out = long_lists.df.groupBy(*bin_).agg(F.collect_list("q").alias("long"))
+    bins = Written(per_bin.join(left_out, bin_, "left"), "bins")
+    columns = ["id", "copies", "near", "v"]
+    short = posted.join(bins.df, bin_).withColumn("qs", F.expr("filter(qs, q -> long is null or not array_contains(long, q))"))
+    short = short.withColumn("part", F.explode(F.expr("array_distinct(transform(qs, q -> q % parts))"))).withColumn("qs", F.expr("filter(qs, q -> q % parts = part)"))
+    short = short.select(*bin_, "part", F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(0).alias("block"), "qs", *columns)
+    # Long lists are cut into blocks, and pairs of blocks compared.
+    long_ = posted.withColumn("q", F.explode("qs")).join(long_lists.df, [*bin_, "q"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    long_ = long_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    long_ = long_.select(*bin_, (-1 - F.col("q")).alias("part"), F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", F.array("q").alias("qs"), *columns)
+    keys = [*bin_, "part", "lo", "hi"]
+    index = short.union(long_).repartition(*keys).sortWithinPartitions(*keys)
+
+    def compare(ids: np.ndarray, copies: np.ndarray, near: np.ndarray, v: np.ndarray, block: np.ndarray, high: int, cross: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Linked pairs (a, b) and weighted counts (id, links) of one block or pair of blocks."""
         left, right = (np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())) if cross else (np.arange(len(ids)),) * 2
         i, j = np.nonzero(v[left] @ v[right].T >= cosine)
@@ -130,7 +139,6 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.93) -> DataFrame:
         if not len(i):
             return _NO_LINKS
         # In this list only if its two pivots are the smallest that the two share.
-        high = list_ % PIVOTS
         shared = ((near[i][:, :, None] == near[j][:, None, :]).any(axis=2) & (near[i] <= high)).sum(axis=1)
         i, j = i[shared == 2], j[shared == 2]
         who, at = np.unique(np.concatenate([i, j]), return_inverse=True)
@@ -140,26 +148,38 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.93) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
+        def edges(table: pa.Table) -> np.ndarray:
+            """The first rows of the groups of equal keys."""
+            new = np.zeros(len(table), bool)
+            new[:1] = True
+            for k in keys:
+                c = table.column(k).to_numpy(zero_copy_only=False)
+                new[1:] |= c[1:] != c[:-1]
+            return np.flatnonzero(new)
+
         def work(table: pa.Table) -> pa.RecordBatch:
             out: list[tuple] = []
-            names = [table.column(k).to_numpy(zero_copy_only=False) for k in keys]
             n = len(table)
-            new = np.ones(n, bool)
-            for c in names:
-                new[1:] &= c[1:] == c[:-1]
-            starts = np.flatnonzero(~new | (np.arange(n) == 0))
-            ends = np.append(starts[1:], n)
-            block, ids, copies = (table.column(k).to_numpy() for k in ("block", "id", "copies"))
-            near = text_buffers(table.column("near"))[0].view(np.int32).reshape(n, PREFIX)
+            block, ids, copies, dims, lows, highs = (table.column(k).to_numpy() for k in ("block", "id", "copies", "dims", "lo", "hi"))
+            group = np.searchsorted(edges(table), np.arange(n), "right")
+            near = pa.concat_arrays(table.column("near").chunks).flatten().to_numpy().reshape(n, PREFIX)
             column = pa.concat_arrays(table.column("v").chunks)
-            dims = names[1]
             whole = unit(column) if (dims == dims[0]).all() else None
-            cross = names[3] != names[4]
+            qs = pa.concat_arrays(table.column("qs").chunks)
+            row, q = np.repeat(np.arange(n), qs.value_lengths().to_numpy()), qs.flatten().to_numpy()
+            order = np.lexsort((q, group[row]))
+            row, q = row[order], q[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (q[1:] != q[:-1]) | (group[row[1:]] != group[row[:-1]])
+            starts = np.flatnonzero(new)
+            ends = np.append(starts[1:], len(row))
             for lo, hi in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
-                if cross[lo] and len(np.unique(block[lo:hi])) < 2:
+                at = row[lo:hi]
+                cross = bool(lows[at[0]] != highs[at[0]])
+                if cross and len(np.unique(block[at])) < 2:
                     continue
-                v = unit(column.slice(lo, hi - lo)) if whole is None else whole[lo:hi]
-                out.append(compare(ids[lo:hi], copies[lo:hi], near[lo:hi], v, block[lo:hi], int(names[2][lo]), bool(cross[lo])))
+                v = unit(column.take(pa.array(at))) if whole is None else whole[at]
+                out.append(compare(ids[at], copies[at], near[at], v, block[at], int(q[lo]), cross))
             cat = lambda k: np.concatenate([np.zeros(0, np.int64), *[x[k] for x in out]])
             a, b, who, count = cat(0), cat(1), cat(2), cat(3)
             who, at = np.unique(who, return_inverse=True)
@@ -171,11 +191,7 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.93) -> DataFrame:
         for batch in batches:
             held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
             # Whole groups are worked on; the last group may go on in the next batch.
-            n = len(held)
-            last = [held.column(k)[n - 1].as_py() for k in keys]
-            start = n - 1
-            while start > 0 and [held.column(k)[start - 1].as_py() for k in keys] == last:
-                start -= 1
+            start = int(edges(held)[-1]) if len(held) else 0
             if start > 0:
                 yield work(held.slice(0, start))
                 held = held.slice(start).combine_chunks()
@@ -183,6 +199,8 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.93) -> DataFrame:
             yield work(held)
 
     result = Written(index.mapInArrow(check, "a long, b long, link boolean"), "links")
+    for done in (vectors, long_lists, bins):
+        done.drop()
     counts = result.df.where("not link").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("links"))
     label = components(result.df.where("link").select("a", "b"))
     per_first = first.df.join(counts, "id", "left").join(label, "id", "left").select(

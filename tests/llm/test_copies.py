@@ -261,7 +261,9 @@ def test_chunks_resist_insertions():
     assert ends[-1] == 4000 and sizes.max() <= cuts.most and sizes[:-1].min() >= cuts.least
 
 
-def test_vectors(spark):
+@pytest.mark.parametrize("bin_", [pivots.BIN, 3])
+def test_vectors(spark, monkeypatch, bin_):
+    monkeypatch.setattr(pivots, "BIN", bin_)
     rng = np.random.default_rng(1)
     base = rng.normal(size=(150, 24))
     vectors = [*base, *(base[:40] + rng.normal(size=(40, 24)) * 0.12), *(base[0] + rng.normal(size=(80, 24)) * 0.05), *base[:10]]
@@ -303,6 +305,7 @@ def test_recall_of_the_pivot_index(spark, cosine):
 
 def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(pivots, "BLOCK", 16)
+    monkeypatch.setattr(pivots, "BIN", 20)
     rng = np.random.default_rng(4)
     centre = rng.normal(size=16)
     df = spark.createDataFrame([(i, [float(x) for x in centre + rng.normal(size=16) * 0.05], 1) for i in range(150)], "vec_id long, embedding array<double>, label int")
