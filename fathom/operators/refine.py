@@ -15,6 +15,7 @@ from fathom.operators.temporal import fill_both_ways, nearest_asof, radius_mean,
 
 #: The 19 columns of positions that go into the smoother, in order.
 POSITION = ["time", "ant_x", "ant_y", "ant_z", "ant_sigx", "ant_sigy", "ant_sigz", "rho_xy", "rho_xz", "rho_yz", "east", "north", "up", "east_sig", "north_sig", "up_sig", "v_sden", "v_sdeu", "v_sdnu"]
+PLACE = POSITION[:7]
 ZEROS = ["rho_xy", "rho_xz", "rho_yz", "v_sden", "v_sdeu", "v_sdnu"]
 KEYS = ["station", "day"]
 
@@ -106,15 +107,15 @@ def smooth_track(t: np.ndarray, p: np.ndarray, sigma: np.ndarray, v: np.ndarray,
 SMOOTHED = "station string, day date, time double, ant_x double, ant_y double, ant_z double, sig_x double, sig_y double, sig_z double"
 
 
-def smooth(positions: DataFrame, noise: float = 0.1) -> DataFrame:
-    """Smoothed positions and their deviations per station and day; rows that lack a time, place or deviation are left out, times sorted.
+def smooth(positions: DataFrame, noise: float = 0.1, needed: list[str] | None = None) -> DataFrame:
+    """Smoothed positions and their deviations per station and day; rows with a null in a needed column (all, if none are given) are left out, times sorted.
 
     A task holds one station's day, which the instruments' rates bound.
     """
-    needed = ["time", "ant_x", "ant_y", "ant_z", "ant_sigx", "ant_sigy", "ant_sigz"]
+    needed = needed or POSITION
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.dropna(subset=needed).sort_values(needed).reset_index(drop=True)
+        pdf = pdf.dropna(subset=needed).sort_values(POSITION).reset_index(drop=True)
         if pdf.empty:
             return pd.DataFrame({c.split()[0]: pd.Series(dtype=float if c.endswith("double") else object) for c in SMOOTHED.split(", ")})
         get = lambda *c: pdf[list(c)].to_numpy(float)
@@ -167,7 +168,8 @@ def refine_day(shots: DataFrame, imu: DataFrame | None, kin: DataFrame, shot_id:
         inertial = prepare_inertial(imu, order)
         axes = ["ant_x", "ant_y", "ant_z"]
         positions = combine(around_medians(inertial, inertial, axes, KEYS, gate), around_medians(kinematic, inertial, axes, KEYS, gate))
-    track = smooth(positions)
+    # Shots' positions bring no deviations of velocities, so there their places are all that is needed.
+    track = smooth(positions, needed=PLACE if imu is None else None)
     return update_shots(shots, track, KEYS, shot_id, radius), track
 
 

@@ -46,6 +46,15 @@ def preprocess(spark: SparkSession, logs: str | list[str], shots_path: str, stat
     return spark.read.parquet(shots_path), rejected
 
 
+def write_range_strings(messages: DataFrame, path: str, keys: list[str]) -> None:
+    """Range messages (message, and keys that tell them apart) to the observation table, partitioned by year.
+
+    Of an observation that a message repeats the last one counts, of one that several messages have the first by keys.
+    """
+    obs = readers.last_of_message(readers.range_observations(messages, "message"), keys)
+    sinks.append_unique(obs.withColumn("year", F.year("time")), path, ["time", "sys", "sat", "obs"], ["year"], keys)
+
+
 def survey_input(shots: DataFrame, survey_rows: DataFrame, survey_type: str, centre: tuple[float, float], residuals: DataFrame | None, transponders: DataFrame, config: dict[str, Any] | None = None) -> DataFrame:
     """Shots of the surveys, filtered and turned to the model's columns, with their survey_id."""
     timed = shots.withColumn("ts", seconds_to_timestamp(F.col("pingTime")))

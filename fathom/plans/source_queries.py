@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions import text as X
 from fathom.functions import timeutil as T
-from fathom.operators import pairing, refine, report, surveys, temporal
+from fathom.operators import pairing, refine, report, surveys, temporal, validate
 from fathom.plans import jobs
 from fathom.plans.domain import SHOTS, of_type, shots, sql_ecef, table
 from fathom.plans.registry import query
@@ -146,13 +146,25 @@ def _(s: SparkSession, d: str) -> DataFrame:
     SELECT l_orderkey, sys, CAST(l_linenumber AS BIGINT) AS sat, obs, round(l_extendedprice, 3) AS range FROM u WHERE r2 = 1""")
 def _(s: SparkSession, d: str) -> DataFrame:
     """From raw strings to the table: the last of repeats within a message, the first of repeats between messages."""
-    o = readers.last_of_message(readers.range_observations(range_messages(s, d), "message"), ["l_orderkey"])
     path = fresh_path(s, "observations")  # by year, as these made-up messages lie weeks apart
-    sinks.append_unique(o.withColumn("year", F.year("time")), path, ["time", "sys", "sat", "obs"], ["year"], ["l_orderkey"])
+    jobs.write_range_strings(range_messages(s, d), path, ["l_orderkey"])
     t = s.read.parquet(path)
     return t.select("l_orderkey", F.col("sys").cast("long").alias("sys"), F.col("sat").cast("long").alias("sat"), F.col("obs").cast("long").alias("obs"), "range")
 
 
+@query("W3_bulk_messages", f"""WITH {_OBS}, m AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, sys, l_linenumber, obs ORDER BY rn DESC) AS r1 FROM k),
+    t AS (SELECT *, (2000 + l_orderkey % 900) * 604800000 + (l_orderkey % 604800) * 1000 AS ms FROM m WHERE r1 = 1),
+    u AS (SELECT *, row_number() OVER (PARTITION BY ms, sys, l_linenumber, obs ORDER BY l_orderkey) AS r2 FROM t)
+    SELECT sys, CAST(l_linenumber AS BIGINT) AS sat, count(*) AS n, round(sum(round(l_extendedprice, 3)), 2) AS total FROM u WHERE r2 = 1 GROUP BY 1, 2""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Two batches of raw strings, the second with all of them again: what is there already stays."""
+    path, m = fresh_path(s, "observations"), range_messages(s, d)
+    for batch in (m.where("l_orderkey % 2 = 0"), m):
+        jobs.write_range_strings(batch, path, ["l_orderkey"])
+    t = s.read.parquet(path)
+    return t.groupBy(F.col("sys").cast("long").alias("sys"), F.col("sat").cast("long").alias("sat")).agg(F.count("*").alias("n"), F.round(F.sum("range"), 2).alias("total"))
+
+
 def framed_texts(s: SparkSession, d: str) -> DataFrame:
     """Texts with junk, good and bad messages, from events."""
     e = shots(s, d)
@@ -265,6 +277,16 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return r.where("not flag").groupBy(F.regexp_extract("file", r"f=(\d+)", 1).cast("long").alias("f")).agg(F.count("*").alias("n"), F.round(F.sum("TT"), 2).alias("total"))
 
 
+@query("R15_shot_handoff", f"WITH {SHOTS} SELECT transponderID, count(*) AS n, round(sum(value), 2) AS tt, count(*) FILTER (xc IS NOT NULL) AS n_xc FROM shots GROUP BY transponderID")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Shots of each transponder as CSV, and read back in the shot table's types."""
+    path = fresh_path(s, "shots")
+    e = shots(s, d).select("event_id", "pingTime", "transponderID", "returnTime", F.col("value").alias("tt"), "xc", "snr")
+    sinks.write_survey_csv(validate.coerce(e, "shot").withColumn("survey_id", F.lit("A")), path, ["pingTime"])
+    r = readers.read_table_csv(s, f"{path}/survey_id=A", "shot")
+    return r.groupBy("transponderID").agg(F.count("*").alias("n"), F.round(F.sum("tt"), 2).alias("tt"), F.count("xc").alias("n_xc"))
+
+
 @query("R16_site_metadata", "SELECT 'SITE' || n_regionkey AS site, n_name AS benchmark, 'T' || k AS transponder, n_nationkey * 10.0::DOUBLE + k AS value FROM nation, range(0, 2) r(k)")
 def _(s: SparkSession, d: str) -> DataFrame:
     t = lambda k: F.struct(F.lit(f"T{k}").alias("address"), F.array(F.struct((F.col("n_nationkey") * F.lit(10.0) + k).alias("value"), F.lit("2020-01-01T00:00:00").alias("start"))).alias("tat"))

@@ -170,6 +170,86 @@ def test_smoother_recovers_a_constant_velocity_track():
     assert np.abs(x - true).mean() < 0.35 * np.abs(noisy - true).mean() and (var[5:-5] < 0.2).all()
 
 
+def test_smoother_equals_one_dense_least_squares_solve():
+    """The smoothed states are the mean of one joint normal distribution; its inverse covariance is solved at once."""
+    rng = np.random.default_rng(2)
+    n, noise = 12, 0.3
+    t = np.cumsum(rng.uniform(0.2, 2.0, n))
+    p, sigma = rng.normal(0, 5, (n, 3)), rng.uniform(0.2, 1.5, (n, 3))
+    v, v_sigma = rng.normal(0, 1, (n, 3)), rng.uniform(0.3, 2.0, (n, 3))
+    v[[0, 4, 7]] = np.nan
+    x, var = refine.smooth_track(t, p, sigma, v, v_sigma, noise)
+    for axis in range(3):
+        lam, eta = np.zeros((2 * n, 2 * n)), np.zeros(2 * n)
+        lam[:2, :2] += np.diag([1e-6, 1e-4])
+        eta[:2] += [p[0, axis] * 1e-6, 0.0]
+        for i in range(n):
+            lam[2 * i, 2 * i] += sigma[i, axis] ** -2
+            eta[2 * i] += p[i, axis] * sigma[i, axis] ** -2
+            if not np.isnan(v[i, axis]):
+                lam[2 * i + 1, 2 * i + 1] += v_sigma[i, axis] ** -2
+                eta[2 * i + 1] += v[i, axis] * v_sigma[i, axis] ** -2
+            if i:
+                d = t[i] - t[i - 1]
+                q = noise**2 * np.array([[d**3 / 3, d**2 / 2], [d**2 / 2, d]])
+                step = np.hstack([-np.array([[1.0, d], [0.0, 1.0]]), np.eye(2)])
+                lam[2 * i - 2 : 2 * i + 2, 2 * i - 2 : 2 * i + 2] += step.T @ np.linalg.inv(q) @ step
+        cov = np.linalg.inv(lam)
+        assert np.allclose(x[:, axis], (cov @ eta)[::2], atol=1e-6) and np.allclose(var[:, axis], np.diag(cov)[::2], atol=1e-6)
+
+
+@pytest.mark.parametrize("alpha", [1.0, 1e-10])
+def test_kernel_interpolation_equals_its_closed_form(spark, alpha):
+    length, t = 2.0, [1.0, 2.5, 4.0]
+    y = [3.0, 5.0, 4.0]
+    samples = spark.createDataFrame([("s", a, b, -b, 0.0) for a, b in zip(t, y)], "station string, time double, x double, y double, z double")  # noqa: B905
+    points = spark.createDataFrame([("s", 1, 2.0), ("s", 2, 2.5), ("s", 3, 20.0)], "station string, id long, time double")
+    got = {r["id"]: r for r in refine.kernel_interpolate(points, samples, ["station"], "id", length, alpha, 1000.0).collect()}
+    k = lambda a, b: math.exp(-0.5 * ((a - b) / length) ** 2)
+    gram = np.array([[k(a, b) for b in t] for a in t]) + (alpha + 1e-10) * np.eye(3)
+    assert set(got) == {1, 2}  # nothing is near enough to the last one
+    for i, at in ((1, 2.0), (2, 2.5)):
+        c = np.array([k(at, b) for b in t])
+        want = c @ np.linalg.solve(gram, np.array(y) - 4.0) + 4.0
+        assert abs(got[i]["x"] - want) < 1e-5 and abs(got[i]["y"] + want) < 1e-5
+        assert abs(got[i]["std"] - math.sqrt(max(0.0, 1 - c @ np.linalg.solve(gram, c)))) < 1e-3
+    if alpha < 1e-6:
+        assert abs(got[2]["x"] - 5.0) < 1e-4  # goes through the samples
+
+
+def test_quantiles_by_ranges_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(report, "RANGES", 7)
+    rng = np.random.default_rng(3)
+    data = {"a": rng.normal(size=501), "b": rng.integers(0, 4, 300).astype(float), "c": np.array([2.0]), "d": np.array([1.0, 2.0])}
+    df = spark.createDataFrame([(k, float(x)) for k, v in data.items() for x in v] + [("a", None), ("a", math.nan), ("e", None)], "k string, x double")
+    names = {"q0": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.9, "q4": 1.0}
+    got = {r["k"]: r for r in report.exact_quantiles(df, "x", names, ["k"]).collect()}
+    assert set(got) == set(data)
+    for k, v in data.items():
+        for n, q in names.items():
+            assert abs(got[k][n] - np.quantile(v, q)) < 1e-12
+
+
+def test_stations_do_not_mix(spark):
+    day = dt.datetime(2024, 1, 1)
+    shots = spark.createDataFrame([("A", 1, day), ("B", 2, day)], "station string, id int, ts timestamp")
+    own = spark.createDataFrame([("A", "S1", 0, day, day + dt.timedelta(1)), ("B", "S2", 0, day, day + dt.timedelta(1))], "station string, survey_id string, position int, start timestamp, end timestamp")
+    assert rows(surveys.assign_surveys(shots, own, "ts", ["survey_id"], ["station"]), "id", "survey_id") == [(1, "S1"), (2, "S2")]
+    assert surveys.empty_surveys(shots.where("id = 1"), own, "ts", "survey_id", ["station"]).first()["survey_id"] == "S2"
+    assert rows(surveys.survey_at(shots, own, "ts", "id", "survey_id", "position", ["station"]), "id", "survey_id") == [(1, "S1"), (2, "S2")]
+    pings = spark.createDataFrame([("A", 1, 10.0, 50), ("A", 2, 10.0, 50), ("B", 3, 10.0, 50), ("B", 4, 20.0, 50), ("B", 5, 20.0, 50)], "station string, id int, pingTime double, snr int")
+    bad = spark.createDataFrame([("A", 20.0, 99.0)], "station string, time double, wrms double")
+    config = {"ping_replies": {"min_replies": 2}}
+    assert rows(filters.filter_shots(pings, "circle", None, bad, config), "id") == [(1,), (2,), (4,), (5,)]
+    assert rows(filters.filter_shots(pings, "circle", None, bad.drop("station"), config), "id") == [(1,), (2,)]
+
+
+def test_decimation_looks_over_midnight(spark):
+    day = 86_400_000
+    df = spark.createDataFrame([(0, 1, 1), (day - 400, 1, 2), (day + 200, 1, 4), (2 * day, 1, 8), (2 * day + 5, 1, 16)], "ms long, sat int, flags long")
+    assert rows(temporal.decimate(df, [], "ms", 1000, ["sat"], "flags"), "ms", "flags") == [(0, 1), (2 * day, 8 | 2 | 4)]
+
+
 def test_smoothing_handles_nulls_and_single_rows(spark):
     base = {c: 0.0 for c in refine.POSITION}
     data = [("s", dt.date(2024, 1, 1), *({**base, "time": float(i), "ant_x": float(i), "ant_sigx": 0.1, "ant_sigy": 0.1, "ant_sigz": 0.1} | ({"ant_y": None} if i == 3 else {})).values()) for i in range(5)] + [("t", dt.date(2024, 1, 1), *base.values())]
