@@ -48,17 +48,24 @@ def radius_mean(points: DataFrame, samples: DataFrame, keys: list[str], point_ti
 def interpolate(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, values: list[str]) -> DataFrame:
     """Left rows inside the right side's time span with the right values interpolated linearly.
 
-    Both sides are merged in time order per key and each row sees the right rows before and after it.
+    Both sides are merged in time order per key and day, and each row sees the right rows before and after it. A day also
+    gets the last right row before it and the first one behind it, found on a row per key and day.
     """
     none = [F.lit(None).cast("double").alias(f"_v_{v}") for v in values]
     l = left.select(*keys, F.col(left_time).alias("_t"), F.struct(*left.columns).alias("_row"), F.lit(None).cast("double").alias("_rt"), *none)
     r = right.groupBy(*keys, right_time).agg(*[F.min(v).alias(v) for v in values])
     r = r.select(*keys, F.col(right_time).alias("_t"), F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), F.col(right_time).alias("_rt"), *[F.col(v).cast("double").alias(f"_v_{v}") for v in values])
-    w = Window.partitionBy(*keys).orderBy("_t")
-    before = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    after = Window.partitionBy(*keys).orderBy(F.col("_t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    both = l.unionByName(r)
     names = ["_rt", *[f"_v_{v}" for v in values]]
+    both = l.unionByName(r).withColumn("_day", F.floor(F.col("_t") / 86_400))
+    sample = F.when(F.col("_rt").isNotNull(), F.struct(*names))
+    days = both.groupBy(*keys, "_day").agg(F.min(sample).alias("_first"), F.max(sample).alias("_last"))
+    earlier, later = (Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.col("_day"), F.col("_day").desc()))
+    days = days.select(*keys, "_day", F.last("_last", ignorenulls=True).over(earlier).alias("_a"), F.last("_first", ignorenulls=True).over(later).alias("_b"))
+    days = days.select(*keys, "_day", F.explode(F.array("_a", "_b")).alias("_edge")).where("_edge is not null")
+    edges = days.select(*keys, F.col("_edge._rt").alias("_t"), F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), *[F.col(f"_edge.{c}").alias(c) for c in names], "_day")
+    both = both.unionByName(edges)
+    before = Window.partitionBy(*keys, "_day").orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy(*keys, "_day").orderBy(F.col("_t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     both = both.select("*", *[F.last(c, ignorenulls=True).over(before).alias(f"{c}_a") for c in names], *[F.last(c, ignorenulls=True).over(after).alias(f"{c}_b") for c in names])
     both = both.where("_row is not null and _rt_a is not null and _rt_b is not null")
     share = F.when(F.col("_rt_b") > F.col("_rt_a"), (F.col("_t") - F.col("_rt_a")) / (F.col("_rt_b") - F.col("_rt_a"))).otherwise(F.lit(0.0))
