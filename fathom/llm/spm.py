@@ -14,12 +14,15 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
 #: Entries that a task's memory of chunks, and of pairs of pieces, may have; a full one is emptied.
 REMEMBERED = 400_000
+#: Rows whose ids are held at once.
+ROWS = 500
 _NEVER = float("-inf")
 
 
@@ -213,17 +216,22 @@ def encoded(docs: DataFrame, model_path: str, ids: bool = True) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path)
-        for batch in batches:
-            n, a, b, lists = [], [], [], []
-            for t in batch.column(1):
-                joined, decoded = model.encode_text(t.as_py())
-                n.append(joined.count(",") + 1 if joined else 0)
-                a.append(hashlib.sha256(joined.encode()).hexdigest())
-                b.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+        for whole in batches:
+            for begin in range(0, len(whole), ROWS):  # few rows at once, as the ids take more memory than the texts
+                batch = whole.slice(begin, ROWS)
+                n, a, b, lists = [], [], [], []
+                for t in batch.column(1):
+                    joined, decoded = model.encode_text(t.as_py())
+                    n.append(joined.count(",") + 1 if joined else 0)
+                    a.append(hashlib.sha256(joined.encode()).hexdigest())
+                    b.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+                    if ids:
+                        lists.append(np.fromstring(joined, np.int32, sep=",") if joined else np.zeros(0, np.int32))
+                columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
                 if ids:
-                    lists.append([int(x) for x in joined.split(",")] if joined else [])
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(lists, pa.list_(pa.int32()))] * ids, names=names)
+                    edges = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(lists))))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
     return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(run, schema)
