@@ -249,6 +249,55 @@ def test_chunks_find_passages_of_51_words_in_just_two_documents(spark):
         assert got[2 * i]["n_removed"] == 0
 
 
+def naive_cuts(raw, cuts):
+    """Ends of the chunks by the rule as it is stated, byte by byte."""
+    table, n, w = chunks._GEAR.tolist(), len(raw), cuts.least
+    h = [sum(table[raw[i - k]] << k for k in range(8) if i >= k) % 2**32 for i in range(n)]
+    ends = [i + 1 for i in range(n) if w <= i + 1 < n and all(h[i] < x for x in h[max(0, i - w) : i]) and all(h[i] <= x for x in h[i + 1 : i + 1 + w])] + [n] * (n > 0)
+    out, at = [], 0
+    for stop in ends:
+        while stop - at > cuts.most:
+            inside = range(at + w - 1, min(at + cuts.most, stop - w))
+            at = min(inside, key=lambda i: (h[i], -i)) + 1
+            out.append(at)
+        out.append(stop)
+        at = stop
+    return out
+
+
+def test_chunks_equal_brute_force(spark):
+    rng = random.Random(21)
+    make = lambda n: "".join(rng.choice("abcdefghij  é") for _ in range(n))
+    passages = [make(n) for n in (140, 200, 400, 900)]
+    texts = [make(rng.randint(0, 300)) + rng.choice(passages) * rng.choice([0, 1, 1]) + make(rng.randint(0, 200)) for _ in range(60)]
+    texts += [texts[3], "y" * 700, "y" * 700, "", "short", "short"]
+    ids = list(range(0, 2 * len(texts), 2))
+    rng.shuffle(ids)
+    cuts, spans, first = chunks.Cuts(), {}, {}
+    for i, t in sorted(zip(ids, texts, strict=True)):
+        raw = t.encode()
+        ends = naive_cuts(raw, cuts)
+        starts = [0, *ends[:-1]]
+        last = len(ends) - cuts.span if len(ends) >= cuts.span else 0
+        spans[i] = [(starts[k], ends[min(k + cuts.span, len(ends)) - 1]) for k in range(last + 1)] if ends else []
+        for a, b in spans[i]:
+            first.setdefault(raw[a:b], i)
+    want = {}
+    for i, t in zip(ids, texts, strict=True):
+        raw, runs = t.encode(), []
+        for a, b in spans[i]:
+            if first[raw[a:b]] != i:
+                if runs and a < runs[-1][1]:
+                    runs[-1] = (runs[-1][0], max(b, runs[-1][1]), runs[-1][2] | {first[raw[a:b]]})
+                else:
+                    runs.append((a, b, {first[raw[a:b]]}))
+        runs = [r for r in runs if r[1] - r[0] >= cuts.run]
+        want[i] = (len(raw), sum(b - a for a, b, _ in runs), len(runs), sorted(set().union(*[r[2] for r in runs])))
+    got = chunks.chunk_report(spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["first_docs"]) for r in got} == want
+    assert sum(w[1] > 0 for w in want.values()) > 15
+
+
 def test_chunks_resist_insertions():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 123, 4000).astype(np.uint8)

@@ -252,3 +252,32 @@ def test_second_pass_equals_brute_force():
             if k == "long" or (k in ("short", "h2") and (j is None or kinds[j] == "long")):
                 kept.append(i)
         assert [int(x.split()[-1]) for x in html.main_text(page).split("\n") if x] == kept
+
+
+def test_kept_equals_brute_force(spark):
+    """The verdict from ratios worked out anew for each text and chunk, on prose, noise, repeats and mixtures of them."""
+    import zstandard
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    noise = lambda n: " ".join("".join(chr(rng.randint(33, 0x2FFF)) for _ in range(12)) for _ in range(n))
+    few = [prose(3) for _ in range(4)]
+    texts = [prose(rng.randint(10, 1500)) for _ in range(30)] + [noise(rng.randint(10, 400)) for _ in range(15)]
+    texts += [" ".join(f"{rng.choice(few)} {i}" for i in range(rng.randint(20, 600))) for _ in range(15)] + [prose(900) + noise(n) for n in (50, 300, 900)] + [None, "", "x"]
+    packed = lambda raw: len(raw) / len(zstandard.compress(raw, 3))
+
+    def fits(raw):
+        band = [x for x in quality.Bands().limits if x[0] <= len(raw)][-1]
+        return band[1] <= packed(raw) <= band[2]
+
+    got = {r["doc_id"]: r for r in quality.quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    seen = set()
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        parts = [raw[k : k + 4096] for k in range(0, len(raw), 4096)]
+        bad = sum(len(x) for x in parts if not fits(x))
+        verdict = not got[i]["base_failed"] and (not raw or (fits(raw) and (len(parts) == 1 or 2 * bad <= len(raw))))
+        assert got[i]["kept"] == verdict
+        seen.add((got[i]["base_failed"], verdict))
+    assert len(seen) == 3
