@@ -18,43 +18,53 @@ def tokenizer_path() -> str:
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document, repeated ones too; null texts and sources as mixing.mix() has them; an empty table gives none."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each vector; null, zero and non-finite ones link with nothing; vectors of any length."""
     return pivots.near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; null and empty texts lose nothing; long texts are cut whole; other columns don't matter."""
     return chunks.chunk_report(table(spark, sf_dir, "documents"))
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document, encoded whole; null texts as empty ones, which have no ids; repeated rows each."""
     return spm.encoded(table(spark, sf_dir, "documents"), tokenizer_path(), ids=False)
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; texts without words and null ids link with nothing; rows that repeat an id are judged each."""
     return jaccard.similar_documents(table(spark, sf_dir, "documents"), 4, "0.85")
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; null texts as empty ones; null ids take no part; doc_id must identify a text."""
     return suffix.without_repeats(table(spark, sf_dir, "documents"))
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each page, through archives that are written and read back; null html is an empty payload."""
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; null texts count as empty in the digest; null ids keep all lines; equal ids lose the same lines."""
     docs = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "n_lines_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document, judged whole; null and empty texts have no words and fail the base rules."""
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each page; null and empty html gives an empty text; pages of any length take time in proportion."""
     return html.extract(table(spark, sf_dir, "pages"))
 
 
