@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm.common import NUMBER_BITS, Written, components, local_forest, mix
-from fathom.llm.packed import GATHERED, bucket_count, bucketed_by, pack, runs, total_bytes
+from fathom.llm.common import IS_SPACE, LOWER, NUMBER_BITS, Written, components, local_forest, mix
+from fathom.llm.packed import bucket_count, bucketed_by, pack, runs, total_bytes
 
 #: Bytes of items that are worked on at once (a longer item is taken alone).
 SLICE = 1 << 17
+#: Keys and places that a task gathers before it packs them; bounds its memory.
+HELD = 1_000_000
 #: Members that are verified with one copy of their leader's text; members of an open key up to which its pairs are
 #: listed; members of a block beyond it.
 TEAM = 256
@@ -66,7 +68,12 @@ class Scheme:
 
 def normal(part: bytes) -> bytes:
     """A-Z lowered, runs of the six white-space bytes as one space, none at the ends."""
-    return b" ".join(part.lower().split())
+    part = part.translate(_PLAIN)
+    return b" ".join(part.split()) if b"  " in part else part.strip(b" ")
+
+
+#: Each byte with A-Z lowered and white space as a space.
+_PLAIN = bytes(np.where(IS_SPACE, np.uint8(0x20), LOWER))
 
 
 def digest(item: bytes) -> bytes:
@@ -205,11 +212,12 @@ def candidates(source: DataFrame, scheme: Scheme, name: str) -> Written:
                         known[d] = len(known)
                         fresh.append(item)
                         fresh_bytes += len(item)
-                    for column, x in zip(places, (known[d], doc, number), strict=True):
-                        column.append(x)
+                    places[0].append(known[d])
+                    places[1].append(doc)
+                    places[2].append(number)
                 if fresh_bytes >= SLICE:
                     make()
-                if held + len(places[0]) >= GATHERED:
+                if held + len(places[0]) >= HELD:
                     make()
                     yield from flush()
                     known, places, made, sizes, held = {}, [[], [], []], [], [], 0
@@ -499,8 +507,9 @@ def near_groups(source: DataFrame, scheme: Scheme, name: str) -> tuple[DataFrame
     texts = fetched(source, wanted.df, scheme, "texts")
     label = groups(pairs.df, texts.df, scheme)
     places = wanted.df.select("node", F.struct("doc_id", "part").alias("own")).join(label.withColumnRenamed("id", "node"), "node")
-    least = places.groupBy("component_id").agg(F.min("own").alias("least"))
-    result = Written(places.join(least, "component_id").select("node", "own", "least"), "groups")
+    least = Written(places.groupBy("component_id").agg(F.min("own").alias("least")), "least")
+    result = Written(places.join(least.df, "component_id").select("node", "own", "least"), "groups")
+    least.drop()
     wanted.drop()
     pairs.drop()
     texts.drop()

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 SPACE = "▁"
 #: Entries that a task's memory of chunks, and of pairs of pieces, may have; a full one is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Rows whose ids are held at once.
 ROWS = 500
 _NEVER = float("-inf")
