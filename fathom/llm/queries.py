@@ -70,7 +70,50 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_embedding_near_dedup, op3_substring_dedup, op4_sentencepiece, op5_ngram_jaccard_join, op6_suffix_array_dedup, op7_warc, op8_line_dedup, op9_quality_rules, op10_html_text)}
 
+#: From links (a, b): (id, component) of all that have one, by the smallest id that is reachable.
+_COMPONENTS = """
+        ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reached AS (SELECT DISTINCT a AS id, a AS r FROM ways UNION SELECT reached.id, ways.b FROM reached JOIN ways ON reached.r = ways.a),
+        component AS (SELECT id, min(r) AS component FROM reached GROUP BY id)"""
+
 ORACLE_SQL = {
+    "op2_embedding_near_dedup": f"""
+        WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        good AS (
+            SELECT *, sqrt(list_inner_product(e, e)) AS norm FROM v
+            WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x != 0)) > 0),
+        links AS (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y ON x.label = y.label AND len(x.e) = len(y.e) AND x.vec_id < y.vec_id
+            WHERE list_inner_product(x.e, y.e) / (x.norm * y.norm) >= 0.93),{_COMPONENTS}
+        SELECT v.vec_id, (SELECT count(*) FROM ways WHERE ways.a = v.vec_id)::BIGINT AS n_links, coalesce(c.component, v.vec_id) AS component_id,
+               v.vec_id = coalesce(c.component, v.vec_id) AS kept
+        FROM v LEFT JOIN component c ON c.id = v.vec_id""",
+    "op5_ngram_jaccard_join": rf"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                                                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+        links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),{_COMPONENTS}
+        SELECT d.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, coalesce(c.component, d.doc_id) AS component_id
+        FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN component c ON c.id = d.doc_id""",
+    "op6_suffix_array_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        strings AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d)),
+        firsts AS (SELECT s, min(doc_id) AS least FROM strings GROUP BY s),
+        hits AS (SELECT doc_id, i FROM strings JOIN firsts USING (s) WHERE least < doc_id),
+        marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM hits),
+        numbered AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked),
+        spans AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, k),
+        ahead AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM spans),
+        cut AS (
+            SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(substr(h, (2 * z + 1)::BIGINT, (2 * (a - z))::BIGINT), '' ORDER BY a) AS head
+            FROM ahead JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(coalesce(head || substr(h, (2 * last + 1)::BIGINT), h))) AS kept_sha256
+        FROM d LEFT JOIN cut USING (doc_id)""",
     "op1_mix_sources": r"""
         WITH sized AS (
             SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
