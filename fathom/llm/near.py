@@ -31,10 +31,13 @@ SLICE = 1 << 17
 #: Keys and places that a task gathers before it packs them; bounds its memory.
 HELD = 1_000_000
 #: Members that are verified with one copy of their leader's text; members of an open key up to which its pairs are
-#: listed; members of a block beyond it.
+#: listed; members, and bytes of their items, of a block beyond it; rows and elements of a matrix that is multiplied at once.
 TEAM = 256
 SHORT = 32
-BLOCK = 512
+BLOCK = 2048
+BLOCK_BYTES = 8 << 20
+ROWS = 512
+ELEMENTS = 2048
 
 
 @dataclass(frozen=True)
@@ -378,39 +381,49 @@ def block_links(ids: np.ndarray, owner: np.ndarray, number: np.ndarray, group: n
     rank = np.cumsum(count > 1) - 1
     use = count[number] > 1
     e, o = rank[number[use]], owner[use]
-    both = np.zeros((len(left), len(right)), np.float32)
-    where_l, where_r = np.full(len(ids), -1), np.full(len(ids), -1)
-    where_l[left], where_r[right] = np.arange(len(left)), np.arange(len(right))
     order = np.argsort(e, kind="stable")
     e, o = e[order], o[order]
     n = int(e[-1]) + 1 if len(e) else 0
-    for lo in range(0, n, 4096):  # a slice of the elements at a time bounds memory
-        a, b = np.searchsorted(e, [lo, lo + 4096])
-        x, y = np.zeros((len(left), 4096), np.float32), np.zeros((len(right), 4096), np.float32)
-        ee, oo = e[a:b] - lo, o[a:b]
-        k = where_l[oo] >= 0
-        x[where_l[oo[k]], ee[k]] = 1
-        k = where_r[oo] >= 0
-        y[where_r[oo[k]], ee[k]] = 1
-        both += x @ y.T
-    shared = both.astype(np.int64)
-    union = size[left][:, None] + size[right][None, :] - shared
-    i, j = np.nonzero((shared > 0) & (similarity.denominator * shared >= similarity.numerator * union) & (group[left][:, None] != group[right][None, :]))
-    return ids[left[i]], ids[right[j]]
+    where = np.full(len(ids), -1)
+    where[right] = np.arange(len(right))
+    found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for begin in range(0, len(left), ROWS):  # some rows and a slice of the elements at a time bound memory
+        rows = left[begin : begin + ROWS]
+        own = np.full(len(ids), -1)
+        own[rows] = np.arange(len(rows))
+        both = np.zeros((len(rows), len(right)), np.float32)
+        for lo in range(0, n, ELEMENTS):
+            a, b = np.searchsorted(e, [lo, lo + ELEMENTS])
+            ee, oo = e[a:b] - lo, o[a:b]
+            k = own[oo] >= 0
+            if not k.any():
+                continue
+            x, y = np.zeros((len(rows), ELEMENTS), np.float32), np.zeros((len(right), ELEMENTS), np.float32)
+            x[own[oo[k]], ee[k]] = 1
+            k = where[oo] >= 0
+            y[where[oo[k]], ee[k]] = 1
+            both += x @ y.T
+        i, j = np.nonzero((both > 0) & (group[rows][:, None] != group[right][None, :]))
+        shared = both[i, j].astype(np.int64)
+        union = size[rows[i]] + size[right[j]] - shared
+        ok = similarity.denominator * shared >= similarity.numerator * union
+        found.append((ids[rows[i[ok]]], ids[right[j[ok]]]))
+    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
 def long_key_links(postings: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
     """(a, b): links among members of long open keys, by clusters of members whose keys overlap.
 
-    postings has (key, id, group). Members of a cluster are dealt to blocks, those of one large group to blocks of
+    postings has (key, id, group, bytes). Members of a cluster are dealt to blocks, those of one large group to blocks of
     their own, and pairs of blocks are compared unless they are of one group.
     """
     least = postings.groupBy("key").agg(F.min("id").alias("b"))
     cluster = components(postings.join(least, "key").where("id != b").select(F.col("id").alias("a"), "b"))
-    members = Written(postings.select("id", "group").distinct().join(cluster, "id").select("id", "group", F.col("component_id").alias("cluster")), "members")
-    sizes = members.df.groupBy("cluster", "group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    members = Written(postings.select("id", "group", "bytes").distinct().join(cluster, "id").select("id", "group", "bytes", F.col("component_id").alias("cluster")), "members")
+    parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int")
+    sizes = members.df.groupBy("cluster", "group").agg(parts.alias("parts"))
     large = sizes.where("parts > 1")
-    pooled = members.df.join(large, ["cluster", "group"], "left_anti").groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("pools"))
+    pooled = members.df.join(large, ["cluster", "group"], "left_anti").groupBy("cluster").agg(parts.alias("pools"))
     placed = members.df.join(large, ["cluster", "group"], "left").join(pooled, "cluster", "left")
     own = F.col("parts").isNotNull()
     placed = placed.withColumn("of", F.when(own, F.col("group"))).withColumn("block", F.when(own, F.pmod(F.xxhash64("id"), "parts")).otherwise(F.pmod(F.xxhash64("group"), "pools")).cast("int"))
@@ -469,11 +482,12 @@ def groups(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
                 found = scheme.keys(items[lo:hi])
                 family = np.full(len(found.keys), -1, np.int8) if found.family is None else found.family
                 free = np.zeros(len(family), np.int32) if found.free is None else np.where(family >= 0, found.free[found.of, np.maximum(family, 0)], 0)
-                columns = [batch.column(0)[lo:hi].take(pa.array(found.of)), pa.array(found.keys.view(np.int64)), pa.array(family), pa.array(free.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "family", "free"])
+                size = np.array([len(x) for x in items[lo:hi]], np.int64)[found.of]
+                columns = [batch.column(0)[lo:hi].take(pa.array(found.of)), pa.array(found.keys.view(np.int64)), pa.array(family), pa.array(free.astype(np.int32)), pa.array(size)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "family", "free", "bytes"])
 
-    postings = texts.mapInArrow(keys_run, "id long, key long, family byte, free int").join(open_keys.df, "key")
-    postings = Written(postings.join(found, "id", "left").select("key", "id", "family", "free", F.coalesce("component_id", "id").alias("group")).distinct(), "postings")
+    postings = texts.mapInArrow(keys_run, "id long, key long, family byte, free int, bytes long").join(open_keys.df, "key")
+    postings = Written(postings.join(found, "id", "left").select("key", "id", "family", "free", "bytes", F.coalesce("component_id", "id").alias("group")).distinct(), "postings")
     sizes = Written(postings.df.groupBy("key").agg(F.count("*").alias("n"), F.min("group").alias("g"), F.max("group").alias("h")).where("g != h").select("key", "n"), "sizes")
     short = postings.df.join(sizes.df.where(F.col("n") <= SHORT), "key")
     left = short.select("key", F.col("id").alias("a"), F.col("group").alias("a_group"))
@@ -485,7 +499,7 @@ def groups(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
         # Items with few enough long keys leave them out: their partners share another key with them, which is done already.
         long_ = Written(postings.df.join(sizes.df.where(F.col("n") > SHORT).select("key"), "key"), "long")
         able = long_.df.where("family >= 0").groupBy("id", "family", "free").agg(F.count("*").alias("n")).where("n <= free").select("id", "family")
-        long_ = long_.df.join(able, ["id", "family"], "left_anti").select("key", "id", "group")
+        long_ = long_.df.join(able, ["id", "family"], "left_anti").select("key", "id", "group", "bytes")
         third = Written(third.union(long_key_links(long_, texts, scheme)), "links").df
     for done in (open_keys, postings, crossed):
         done.drop()
