@@ -140,9 +140,13 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the row that holds it; words don't cross rows."""
-    inside = ~IS_SPACE[data]
+def word_spans(data: np.ndarray, offs: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the row that holds it; words don't cross rows.
+
+    `inside` says which bytes belong to words, if not all but white space.
+    """
+    if inside is None:
+        inside = ~IS_SPACE[data]
     before = np.zeros(len(data) + 1, bool)
     before[1:] = inside
     after = np.zeros(len(data) + 1, bool)
@@ -204,23 +208,28 @@ def numbered(h: np.ndarray, same: Callable[[np.ndarray, np.ndarray], np.ndarray]
     return number if same(order[other], lead[other]).all() else exact()
 
 
+def equal_spans(x: np.ndarray, at: np.ndarray, x_size: np.ndarray, y: np.ndarray, to: np.ndarray, y_size: np.ndarray) -> np.ndarray:
+    """Whether x[at : at + x_size] is y[to : to + y_size], byte by byte, for each pair of places; x and y are lanes()."""
+    out = x_size == y_size
+    todo = np.flatnonzero(out)
+    k = 0
+    while len(todo):
+        left = x_size[todo] - 8 * k
+        differ = x[at[todo] + 8 * k] ^ y[to[todo] + 8 * k]
+        short = left < 8
+        differ[short] &= _BELOW[left[short]]
+        out[todo[differ != 0]] = False
+        todo = todo[(left > 8) & (differ == 0)]
+        k += 1
+    return out
+
+
 def word_numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A number for each word data[start:end], equal where words are equal byte by byte."""
     every, size = lanes(data), end - start
 
     def same(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        out = size[i] == size[j]
-        todo = np.flatnonzero(out)
-        k = 0
-        while len(todo):
-            left = size[i[todo]] - 8 * k
-            x = every[start[i[todo]] + 8 * k] ^ every[start[j[todo]] + 8 * k]
-            short = left < 8
-            x[short] &= _BELOW[left[short]]
-            out[todo[x != 0]] = False
-            todo = todo[(left > 8) & (x == 0)]
-            k += 1
-        return out
+        return equal_spans(every, start[i], size[i], every, start[j], size[j])
 
     def exact() -> np.ndarray:
         known: dict[bytes, int] = {}
