@@ -173,7 +173,10 @@ LANES = 128
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of data[start:end] in which every eight bytes pass a mixer, so no algebra makes unlike spans equal."""
+    """64-bit hashes of data[start:end] in which every eight bytes pass a mixer.
+
+    Texts can be made whose hashes are equal, so equal hashes prove nothing: what depends on them is compared by bytes.
+    """
     size = end - start
     out = mix(size.astype(np.uint64) ^ _BASE)
     every = lanes(data)
@@ -276,7 +279,7 @@ def shingle_places(rows: np.ndarray, n_rows: int, k: int) -> tuple[np.ndarray, n
 def word_shingles(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The rows' distinct shingles of k words as (row, 64-bit hash), in order; A-Z are lowered.
 
-    With fewer than k words the whole sequence counts as one shingle; without words there is none.
+    Unlike shingles are told apart by their words, so of a row with colliding ones some hash stands twice. With fewer than k words the whole sequence counts as one shingle; without words there is none.
     """
     low = LOWER[data]
     start, end, rows = word_spans(low, offs)
@@ -286,12 +289,29 @@ def word_shingles(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarra
     for i in range(k):
         use = slice(None) if (size > i).all() else size > i
         h[use] = mix(h[use] ^ w[at[use] + i])
+    order = np.arange(len(h))
     edges = np.searchsorted(row, np.arange(len(offs)))
     for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        h[lo:hi].sort()
+        order[lo:hi] = lo + h[lo:hi].argsort()
+    h = h[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-    return row[new], h[new]
+    # Shingles of equal hashes count once only if their words are equal.
+    i = np.flatnonzero(~new)
+    x, y = order[i], order[i - 1]
+    same = size[x] == size[y]
+    every, length = lanes(low), end - start
+    for j in range(k):
+        p, q = at[x[same]] + np.minimum(j, size[x[same]] - 1), at[y[same]] + np.minimum(j, size[x[same]] - 1)
+        same[same] = equal_spans(every, start[p], length[p], every, start[q], length[q])
+    if same.all():
+        return row[new], h[new]
+    number = word_numbers(low, start, end)
+    padded = np.append(number, np.full(k, -1))
+    number = tuple_numbers([np.where(size > i, padded[at + i], -1) for i in range(k)])[order]
+    by_number = np.lexsort((number, row))
+    first = np.sort(by_number[np.append(True, (np.diff(row[by_number]) != 0) | (np.diff(number[by_number]) != 0))])
+    return row[first], h[first]
 
 
 def exact_word_shingles(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -2,8 +2,8 @@
 
 Every WIDTH-byte window is assigned to its anchor, the K bytes in it with the smallest hash: equal windows have equal
 anchors at equal places, so windows are only ever compared with those that lie alike around the same anchor bytes.
-Occurrences of an anchor with all windows around it equal (by two independent hashes of 64 bits, of the anchor and of all
-the windows) form a class; all but its first document's are repeats. Where an anchor has several classes, the suffixes
+Occurrences of an anchor with all windows around it equal (by a 128-bit BLAKE2b digest of those bytes) form a class; all
+but its first document's are repeats. Where an anchor has several classes, the suffixes
 at all windows of their first members are sorted: two suffixes are compared by binary search for their common extension
 over prefix polynomial hashes, so a comparison in the mergesort takes logarithmic time; neighbours that share WIDTH
 bytes by hash are compared byte by byte before they count. Contexts of an anchor that has very many are dealt on window
@@ -29,8 +29,9 @@ SPAN = WIDTH - K + 1  # anchors that a window may have
 CONTEXT = WIDTH + SPAN - 1  # bytes of all windows of an anchor, at most
 
 ENTRY, COVERED, OPEN, TEXT = 0, 1, 2, 3
+DIGEST = np.dtype([("a", np.uint64), ("b", np.uint64)])
 KINDS = {
-    ENTRY: [np.uint64, np.uint64, np.int64, np.int32, np.uint8, np.uint8],
+    ENTRY: [np.uint32, DIGEST, np.int64, np.int32, np.uint8, np.uint8],
     COVERED: [np.int64, np.int32, np.int32],
     OPEN: [np.uint64, np.int64, np.int32, np.uint8, np.uint8],
     TEXT: [np.uint64, np.int64, np.int32, np.uint8, np.uint8, f"V{CONTEXT}"],
@@ -155,6 +156,12 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
+def digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """128-bit BLAKE2b digests of data[start:end]."""
+    raw, hash_ = data.tobytes(), hashlib.blake2b
+    return np.frombuffer(b"".join([hash_(raw[a:b], digest_size=16).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)]), DIGEST)
+
+
 def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[list[np.ndarray]]]]]:
     return bucketed_by(batches, KINDS)
 
@@ -175,7 +182,7 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
 
         def flush() -> Iterator[pa.RecordBatch]:
             h, full, doc, start, before, windows = (np.concatenate([x[i] for x in held]) for i in range(6))
-            order = np.lexsort((doc, full, h))
+            order = np.lexsort((doc, full["b"], full["a"], h))
             h, full, doc, start, before, windows = (x[order] for x in (h, full, doc, start, before, windows))
             new = _runs(h, full)
             first = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -183,7 +190,8 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
             yield _packed(COVERED, of_doc(doc[again]), [doc[again], start[again], start[again] + windows[again].astype(np.int32) + np.int32(WIDTH - 1)])
             keep = ~again
             h = h[keep]
-            yield _packed(ENTRY, (h % np.uint64(n_buckets)).astype(np.int64), [h, full[keep], doc[keep], start[keep], before[keep], windows[keep]])
+            # Anchors of one bucket that share 32 bits of their hash are taken for one, which costs comparisons alone.
+            yield _packed(ENTRY, (h % np.uint64(n_buckets)).astype(np.int64), [(h >> np.uint64(32)).astype(np.uint32), full[keep], doc[keep], start[keep], before[keep], windows[keep]])
 
         for batch in batches:
             data, offs = text_buffers(batch.column(1))
@@ -191,7 +199,7 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
             for lo, hi in slices(offs):
                 part, own = data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
                 row, place, start, windows, h = anchors(part, own)
-                full = span_hashes(part, start, start + windows + WIDTH - 1)
+                full = digests(part, start, start + windows + WIDTH - 1)
                 held.append((h, full, np.asarray(ids[lo:hi], np.int64)[row], (start - own[row]).astype(np.int32), (place - start).astype(np.uint8), windows.astype(np.uint8)))
                 count += len(h)
                 if count >= GATHERED // 2:
@@ -205,11 +213,12 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
             for columns in kinds.get(COVERED, []):
                 yield _packed(COVERED, np.full(len(columns[0]), bucket), columns)
             if ENTRY in kinds:
-                yield from settle(kinds[ENTRY])
+                yield from settle(bucket, kinds[ENTRY])
 
-    def settle(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def settle(bucket: int, parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         key, full, doc, start, before, windows = (np.concatenate([c[i] for c in parts]) for i in range(6))
-        order = np.lexsort((doc, full, windows, before, key))
+        key = key.astype(np.uint64) | np.uint64(bucket) << np.uint64(32)
+        order = np.lexsort((doc, full["b"], full["a"], windows, before, key))
         key, full, doc, start, before, windows = (x[order] for x in (key, full, doc, start, before, windows))
         new = _runs(key, before, windows, full)
         which = np.cumsum(new) - 1

@@ -45,7 +45,7 @@ def corpus(spark):
                 chain[rng.randrange(len(chain))] = rng.choice(vocabulary).upper()
                 texts.append(" ".join(chain))
     rng.shuffle(texts)
-    rows = [(i * 3, t, "component", 1) for i, t in enumerate(texts)] + [(5000, None, None, None), (5001, "", "x", 2), (5002, " \n ", "x", 2), (5003, "é ü", "x", 2), (5004, "é ü", "x", 2), (None, "é ü", "x", 2), (None, None, None, None), (5005, "same " * 4000, "x", 2)]
+    rows = [(i * 3, t, "component", 1) for i, t in enumerate(texts)] + [(5000, None, None, None), (5001, "", "x", 2), (5002, " \n ", "x", 2), (5003, "é ü", "x", 2), (5004, "é ü", "x", 2), (None, "é ü", "x", 2), (None, None, None, None), (5005, "same " * 4000, "x", 2), (5006, "a\rb\x0bc\x0cd\te\rf g", "x", 2), (5007, "a b c d e f\x0bg", "x", 2)]
     return spark.createDataFrame(rows, "doc_id long, text string, component_id string, n_chars long")
 
 
@@ -100,6 +100,46 @@ def test_words_that_a_polynomial_hash_confuses_are_told_apart(spark):
     assert len(set(common.span_hashes(raw, np.array([0, 1024]), np.array([1024, 2048])).tolist())) == 2
 
 
+def colliding(first, rest, size, seed=0):
+    """A printable text of 16 bytes and `rest` whose span hash over `size` bytes is that of `first` and `rest`."""
+    rng = np.random.default_rng(seed)
+    a, b = np.frombuffer(first, "<u8")
+    h = common.mix(np.array([size], np.uint64) ^ common._BASE)
+    other = rng.integers(33, 127, (1 << 17, 8)).astype(np.uint8)
+    other[other == 35] = 36
+    x = np.ascontiguousarray(other).view("<u8").reshape(-1)
+    y = b ^ common.mix(h ^ a) ^ common.mix(h ^ x)
+    lanes = np.stack([x, y], axis=1).view(np.uint8)
+    good = np.flatnonzero(((lanes > 32) & (lanes < 127)).all(axis=1))
+    return lanes[good[0]].tobytes() + rest
+
+
+def test_unlike_words_of_one_hash_are_two_shingles(spark):
+    x, y = b"qwertyuiopasdfgh", colliding(b"qwertyuiopasdfgh", b"", 16)
+    raw = np.frombuffer(x + y, np.uint8)
+    h = common.span_hashes(raw, np.array([0, 16]), np.array([16, 32]))
+    assert h[0] == h[1] and x != y
+    x, y = x.decode(), y.decode()
+    docs = spark.createDataFrame([(1, f"{x} b c d {y} b c d"), (2, f"{x} b c d {x} b c d"), (3, f"{y} b c d {y} b c d")], "doc_id long, text string")
+    assert {tuple(r) for r in jaccard.similar_documents(docs).collect()} == {(1, 5, 1), (2, 4, 2), (3, 4, 3)}
+
+
+def test_unlike_contexts_of_one_hash_are_no_repeat(spark):
+    rng = random.Random(1)
+    for seed in range(40):
+        rest = "".join(rng.choice("abcdefghij klm") for _ in range(104)).encode()
+        one = "".join(rng.choice("abcdefghij klm") for _ in range(16)).encode() + rest
+        _, _, start, windows, _ = suffix.anchors(np.frombuffer(one, np.uint8), np.array([0, 120]))
+        two = colliding(one[:16], rest, int(windows[0]) + suffix.WIDTH - 1, seed)
+        other = suffix.anchors(np.frombuffer(two, np.uint8), np.array([0, 120]))
+        if start[0] == other[2][0] == 0 and windows[0] == other[3][0]:
+            break
+    both, ends = np.frombuffer(one + two, np.uint8), np.array([0, 120]) + windows[0] + suffix.WIDTH - 1
+    assert len(set(common.span_hashes(both, np.array([0, 120]), ends).tolist())) == 1
+    docs = spark.createDataFrame([(1, one.decode()), (2, two.decode())], "doc_id long, text string")
+    assert {tuple(r)[:4] for r in suffix.without_repeats(docs).collect()} == {(1, 120, 0, 0), (2, 120, 104, 1)}
+
+
 def test_numbers_stay_exact_when_hashes_collide(monkeypatch):
     data = np.frombuffer(b"aa bb aa cc dd bb", np.uint8)
     start = np.array([0, 3, 6, 9, 12, 15])
