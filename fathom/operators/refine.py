@@ -11,11 +11,17 @@ from pyspark.sql import functions as F
 from fathom.functions.geo import geodetic_to_ecef
 from fathom.operators.filters import around_medians, without_spikes
 from fathom.operators.report import offset_summary
+from fathom.operators.smoothing import smooth_tracks
 from fathom.operators.temporal import fill_both_ways, nearest_asof, radius_mean, velocities
 
-#: The 19 columns of positions that go into the smoother, in order.
-POSITION = ["time", "ant_x", "ant_y", "ant_z", "ant_sigx", "ant_sigy", "ant_sigz", "rho_xy", "rho_xz", "rho_yz", "east", "north", "up", "east_sig", "north_sig", "up_sig", "v_sden", "v_sdeu", "v_sdnu"]
-PLACE = POSITION[:7]
+# The 19 columns of positions that go into the smoother, in order.
+POSITION = [
+    "time", "east", "north", "up", "ant_x", "ant_y", "ant_z", "ant_sigx", "ant_sigy", "ant_sigz", "rho_xy", "rho_xz", "rho_yz",
+    "east_sig", "north_sig", "up_sig", "v_sden", "v_sdeu", "v_sdnu",
+]
+#: What the smoother reads: places, their deviations, velocities, their deviations.
+SMOOTHED = (["ant_x", "ant_y", "ant_z"], ["ant_sigx", "ant_sigy", "ant_sigz"], ["east", "north", "up"], ["east_sig", "north_sig", "up_sig"])
+PLACE = ["time", *SMOOTHED[0], *SMOOTHED[1]]
 ZEROS = ["rho_xy", "rho_xz", "rho_yz", "v_sden", "v_sdeu", "v_sdnu"]
 KEYS = ["station", "day"]
 
@@ -72,57 +78,14 @@ def prepare_shots(shots: DataFrame, shot_id: str) -> DataFrame:
 # ---------------------------------------------------------------- smoothing
 
 
-def smooth_track(t: np.ndarray, p: np.ndarray, sigma: np.ndarray, v: np.ndarray, v_sigma: np.ndarray, noise: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and their variances of a constant-velocity Kalman filter with the Rauch-Tung-Striebel smoother.
-
-    t is sorted; p, v and their deviations are n x 3, v may be NaN where no velocity is known. Axes are independent.
-    """
-    n = len(t)
-    x, c = np.zeros((n, 3, 2)), np.zeros((n, 3, 2, 2))
-    x_before, c_before = np.zeros_like(x), np.zeros_like(c)
-    step = np.diff(t, prepend=t[:1])
-    start_v = np.where(np.isnan(v[0]), 0.0, v[0])
-    state, cov = np.stack([p[0], start_v], axis=1), np.tile(np.diag([1e6, 1e4]), (3, 1, 1)).astype(float)
-    for i in range(n):
-        dt = step[i]
-        f = np.array([[1.0, dt], [0.0, 1.0]])
-        q = noise**2 * np.array([[dt**3 / 3, dt**2 / 2], [dt**2 / 2, dt]])
-        if i:
-            state, cov = state @ f.T, f @ cov @ f.T + q
-        x_before[i], c_before[i] = state, cov
-        for k, z, r in ((0, p[i], sigma[i] ** 2), (1, v[i], v_sigma[i] ** 2)):
-            use = ~np.isnan(z) & ~np.isnan(r)
-            gain = cov[:, :, k] / (cov[:, k, k] + np.where(use, r, 1.0))[:, None] * use[:, None]
-            state = state + gain * np.where(use, z - state[:, k], 0.0)[:, None]
-            cov = cov - gain[:, :, None] * cov[:, k, :][:, None, :]
-        x[i], c[i] = state, cov
-    for i in range(n - 2, -1, -1):
-        f = np.array([[1.0, step[i + 1]], [0.0, 1.0]])
-        g = c[i] @ f.T @ np.linalg.inv(c_before[i + 1])
-        x[i] = x[i] + np.einsum("kab,kb->ka", g, x[i + 1] - x_before[i + 1])
-        c[i] = c[i] + g @ (c[i + 1] - c_before[i + 1]) @ np.transpose(g, (0, 2, 1))
-    return x[:, :, 0], c[:, :, 0, 0]
-
-
-SMOOTHED = "station string, day date, time double, ant_x double, ant_y double, ant_z double, sig_x double, sig_y double, sig_z double"
-
-
 def smooth(positions: DataFrame, noise: float = 0.1, needed: list[str] | None = None) -> DataFrame:
-    """Smoothed positions and their deviations per station and day; rows with a null in a needed column (all, if none are given) are left out, times sorted.
+    """Smoothed positions and their deviations per station and day; rows with a null in a needed column (all, if none are given) are left out.
 
-    A task holds one station's day, which the instruments' rates bound.
+    Days of many rows are smoothed in blocks of time, so no task holds more than a block.
     """
-    needed = needed or POSITION
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.dropna(subset=needed).sort_values(POSITION).reset_index(drop=True)
-        if pdf.empty:
-            return pd.DataFrame({c.split()[0]: pd.Series(dtype=float if c.endswith("double") else object) for c in SMOOTHED.split(", ")})
-        get = lambda *c: pdf[list(c)].to_numpy(float)
-        x, var = smooth_track(get("time")[:, 0], get("ant_x", "ant_y", "ant_z"), get("ant_sigx", "ant_sigy", "ant_sigz"), get("east", "north", "up"), get("east_sig", "north_sig", "up_sig"), noise)
-        return pd.DataFrame({"station": key[0], "day": key[1], "time": pdf["time"], **{f"ant_{a}": x[:, i] for i, a in enumerate("xyz")}, **{f"sig_{a}": np.sqrt(np.maximum(var[:, i], 0)) for i, a in enumerate("xyz")}})
-
-    return positions.groupBy("station", "day").applyInPandas(run, SMOOTHED)
+    rows = positions.dropna(subset=needed or POSITION).select(*KEYS, *POSITION)
+    track = smooth_tracks(rows, KEYS, POSITION, *SMOOTHED, noise)
+    return track.select(*KEYS, "time", *[F.col(a).alias(f"ant_{a}") for a in "xyz"], *[f"sig_{a}" for a in "xyz"])
 
 
 # ---------------------------------------------------------------- update of shots

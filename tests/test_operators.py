@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathom.functions import config, geo, text, timeutil
-from fathom.operators import catalog, filters, pairing, refine, report, surveys, temporal, validate
+from fathom.operators import catalog, filters, pairing, refine, report, smoothing, surveys, temporal, validate
 from fathom.sources import readers, sinks
 from fathom.streaming import ingest
 
@@ -166,7 +166,8 @@ def test_smoother_recovers_a_constant_velocity_track():
     t = np.arange(200.0)
     true = np.column_stack([t * 2, -t, np.full(200, 5.0)])
     noisy = true + rng.normal(0, 1, true.shape)
-    x, var = refine.smooth_track(t, noisy, np.ones_like(noisy), np.full_like(noisy, np.nan), np.full_like(noisy, np.nan), 0.01)
+    none = np.full_like(noisy, np.nan)
+    x, var = smoothing.smoothed(t, np.stack([noisy, none], -1), np.stack([np.ones_like(noisy), none], -1), 0.01)
     assert np.abs(x - true).mean() < 0.35 * np.abs(noisy - true).mean() and (var[5:-5] < 0.2).all()
 
 
@@ -178,7 +179,7 @@ def test_smoother_equals_one_dense_least_squares_solve():
     p, sigma = rng.normal(0, 5, (n, 3)), rng.uniform(0.2, 1.5, (n, 3))
     v, v_sigma = rng.normal(0, 1, (n, 3)), rng.uniform(0.3, 2.0, (n, 3))
     v[[0, 4, 7]] = np.nan
-    x, var = refine.smooth_track(t, p, sigma, v, v_sigma, noise)
+    x, var = smoothing.smoothed(t, np.stack([p, v], -1), np.stack([sigma, v_sigma], -1) ** 2, noise)
     for axis in range(3):
         lam, eta = np.zeros((2 * n, 2 * n)), np.zeros(2 * n)
         lam[:2, :2] += np.diag([1e-6, 1e-4])
