@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fathom.functions.text import classify_file
+from fathom.operators.temporal import ranked
 
 IDENTITY = ["local_path", "network", "station", "campaign", "type"]
 
@@ -52,8 +53,11 @@ def type_counts(df: DataFrame, type_: str, path: str) -> DataFrame:
     return df.where(F.col(path).isNotNull()).groupBy(type_).agg(F.count("*").alias("n"))
 
 
-def files_by_type(files: DataFrame, path: str, kind: str) -> DataFrame:
-    return files.groupBy(kind).agg(F.count("*").alias("n"), F.min(path).alias("first_path"), F.max(path).alias("last_path"))
+def files_by_type(files: DataFrame, path: str, kind: str, page_size: int = 1000) -> DataFrame:
+    """(kind, page, n, paths): the paths of each kind in order, page by page, so no list is longer than a page."""
+    placed = ranked(files.select(kind, path), [kind], [path], "_place")
+    pages = placed.groupBy(kind, F.floor((F.col("_place") - 1) / page_size).alias("page"))
+    return pages.agg(F.count("*").alias("n"), F.array_sort(F.collect_list(path)).alias("paths"))
 
 
 def lookup(files: DataFrame, types: list[str], type_: str = "type", **equal: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from fathom.functions.config import ACOUSTIC_LEVELS, DEFAULT_FILTERS, overlay
@@ -121,29 +121,51 @@ def with_satellites(epochs: DataFrame, observations: DataFrame, key: str, observ
     return epochs.join(observations.select(F.col(observation_key).alias(key)).distinct(), key, "left_semi")
 
 
-def filter_shots(shots: DataFrame, survey_type: str, centre: tuple[float, float] | None, residuals: DataFrame | None, config: dict[str, Any] | None = None, keys: list[str] | None = None) -> DataFrame:
+class StageCounts:
+    """Counts the rows that pass named points of a pipeline, in the pass that works the pipeline out.
+
+    The counts are there when an action on a frame behind all of the points has run.
+    """
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[str, Observation]] = []
+
+    def __call__(self, df: DataFrame, stage: str) -> DataFrame:
+        seen = Observation()
+        self._seen.append((stage, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("n"))
+
+    def rows(self) -> list[tuple[int, str, int]]:
+        """(step, stage, n) of each point, in order."""
+        return [(k, stage, seen.get["n"]) for k, (stage, seen) in enumerate(self._seen)]
+
+
+def filter_shots(
+    shots: DataFrame, survey_type: str, centre: tuple[float, float] | None, residuals: DataFrame | None, config: dict[str, Any] | None = None, keys: list[str] | None = None, counts: StageCounts | None = None
+) -> DataFrame:
     """All filters in order: signal, replies, distance (surveys of type center only), positioning residuals.
 
     keys (by default station, where the shots have it) tell stations apart whose pings have the same time: replies are
-    counted and bad times looked up within them; residuals without these columns hold for all.
+    counted and bad times looked up within them; residuals without these columns hold for all. `counts` counts what is
+    there at first and what each filter leaves.
     """
     c = overlay(DEFAULT_FILTERS, config)
     keys = [k for k in ("station",) if k in shots.columns] if keys is None else keys
+    seen = counts or (lambda df, _: df)
+    shots = seen(shots, "raw")
     if c["acoustic"]["enabled"]:
-        shots = acoustic(shots, c["acoustic"]["level"])
+        shots = seen(acoustic(shots, c["acoustic"]["level"]), "acoustic")
     if c["ping_replies"]["enabled"]:
-        shots = least_replies(shots, c["ping_replies"]["min_replies"], [*keys, "pingTime"])
+        shots = seen(least_replies(shots, c["ping_replies"]["min_replies"], [*keys, "pingTime"]), "replies")
     if c["max_distance"]["enabled"] and survey_type == "center" and centre is not None:
-        shots = near_centre(shots, *centre, c["max_distance"]["metres"])
+        shots = seen(near_centre(shots, *centre, c["max_distance"]["metres"]), "distance")
     if c["wrms"]["enabled"] and residuals is not None:
-        shots = outside_bad_times(shots, residuals, "pingTime", "time", F.col("wrms") > c["wrms"]["max_wrms"], c["wrms"]["radius_seconds"], [k for k in keys if k in residuals.columns])
+        bad = F.col("wrms") > c["wrms"]["max_wrms"]
+        shots = seen(outside_bad_times(shots, residuals, "pingTime", "time", bad, c["wrms"]["radius_seconds"], [k for k in keys if k in residuals.columns]), "wrms")
     return shots
 
 
-def stage_counts(stages: list[tuple[str, DataFrame]]) -> DataFrame:
-    """Rows left after each named stage, one row per stage."""
-    out = None
-    for k, (name, df) in enumerate(stages):
-        one = df.agg(F.count("*").alias("n")).select(F.lit(k).alias("step"), F.lit(name).alias("stage"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out
+def stage_counts(df: DataFrame, counts: StageCounts) -> DataFrame:
+    """(step, stage, n) of a pipeline's points, from one run of it."""
+    df.write.format("noop").mode("overwrite").save()
+    return df.sparkSession.createDataFrame(counts.rows(), "step int, stage string, n long")

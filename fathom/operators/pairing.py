@@ -42,15 +42,21 @@ def reply_fields(event: str = "event") -> list[Column]:
     ]
 
 
-def pair_with_last(events: DataFrame, file: str, order: list[str], kind: str, ping_kind: str, reply_kind: str, ping: Column, ping_ok: Column) -> DataFrame:
+def pair_with_last(events: DataFrame, file: str, part: str, order: list[str], kind: str, ping_kind: str, reply_kind: str, ping: Column, ping_ok: Column) -> DataFrame:
     """Each reply with the latest ping before it in file order, as a struct column `ping` of (ok, value).
 
-    A failed ping hides those before it: its replies are dropped. One ping may have many replies. The window is per
-    file; lines are ordered within it, so no file needs another one's rows.
+    A failed ping hides those before it: its replies are dropped. One ping may have many replies. A file is worked on in
+    parts, which follow each other in the order of `part`: a window runs over one part only, and what a part needs of
+    those before it, their last ping, is found on a row per part. The events are used twice, so they must come out alike.
     """
-    w = Window.partitionBy(file).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    latest = F.last(F.when(F.col(kind) == ping_kind, F.struct(F.coalesce(ping_ok, F.lit(False)).alias("ok"), ping.alias("value"))), ignorenulls=True).over(w)
-    return events.withColumn("ping", latest).where((F.col(kind) == reply_kind) & F.col("ping.ok"))
+    one = F.when(F.col(kind) == ping_kind, F.struct(F.coalesce(ping_ok, F.lit(False)).alias("ok"), ping.alias("value")))
+    events = events.withColumn("_ping", one)
+    ends = events.groupBy(file, part).agg(F.max_by("_ping", F.when(F.col("_ping").isNotNull(), F.struct(*order))).alias("_end"))
+    earlier = Window.partitionBy(file).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(file, part, F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    within = Window.partitionBy(file, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = events.withColumn("_ping", F.last("_ping", ignorenulls=True).over(within)).where(F.col(kind) == reply_kind).join(carried, [file, part])
+    return both.withColumn("ping", F.coalesce("_ping", "_carried")).where("ping.ok").drop("_ping", "_carried")
 
 
 def pair_in_file(events: DataFrame, file: str, kind: str, ping_kind: str, reply_kind: str, ping: Column) -> DataFrame:

@@ -56,14 +56,20 @@ def combine(inertial: DataFrame, kinematic: DataFrame, columns: list[str] | None
     return inertial.select(*columns).unionByName(kinematic.select(*columns))
 
 
-def shots_to_positions(shots: DataFrame, keys: list[str], shot_id: str) -> DataFrame:
-    """Both ends of each shot as positions (time, x, y, z and deviations), deviations filled, with velocities per second."""
+def shots_to_positions(shots: DataFrame, keys: list[str], shot_id: str, seconds: int | None = None) -> DataFrame:
+    """Both ends of each shot as positions (time, x, y, z and deviations), deviations filled, with velocities per second.
+
+    With `seconds`, a key's rows are worked on in parts of that length.
+    """
     ends = []
     for k, t in ((0, "pingTime"), (1, "returnTime")):
         ends.append(shots.select(*keys, shot_id, F.lit(k).alias("end"), F.col(t).alias("time"), *[F.col(f"{a}{k}").alias(a) for a in ("east", "north", "up")], *[F.col(f"{a}_std{k}").alias(f"{a}_std") for a in ("east", "north", "up")]))
-    order = ["time", shot_id, "end"]
-    both = fill_both_ways(ends[0].unionByName(ends[1]), keys, order, ["east_std", "north_std", "up_std"])
-    return velocities(both, keys, order, "time", ["east", "north", "up"])
+    order, part = ["time", shot_id, "end"], "_slice" if seconds else None
+    both = ends[0].unionByName(ends[1])
+    both = both.withColumn(part, F.floor(F.col("time") / seconds)) if part else both
+    both = fill_both_ways(both, keys, order, ["east_std", "north_std", "up_std"], part)
+    out = velocities(both, keys, order, "time", ["east", "north", "up"], part)
+    return out.drop(part) if part else out
 
 
 def prepare_shots(shots: DataFrame, shot_id: str) -> DataFrame:

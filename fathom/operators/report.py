@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathom.sources.workspace import stable
+
 #: Replies of a transponder in ten minutes that count as 100 %.
 NOMINAL_REPLIES = 40
-#: Ranges into which values are dealt to find exact quantiles.
-RANGES = 256
+#: Parts into which a span of values is cut to find exact quantiles; values of a part from which on it is cut again.
+BUCKETS, SORTED = 1024, 50_000
+#: The largest finite number.
+MOST = 1.7976931348623157e308
 
 
 def reply_rates(df: DataFrame, keys: list[str], ts: str, minutes: int = 10) -> DataFrame:
@@ -42,26 +45,55 @@ def unflagged_share(df: DataFrame, key: str, flag: Column) -> DataFrame:
 def exact_quantiles(df: DataFrame, column: str, names: dict[str, float], keys: list[str]) -> DataFrame:
     """(keys, names): exact quantiles of each key's values, interpolated between neighbours; nulls and NaN don't count.
 
-    Values are counted in ranges whose edges are approximate quantiles, so only the ranges that hold a wanted rank are
-    sorted, each by itself: no task gets all values of a key.
+    Each key's values are counted in BUCKETS equal parts of their span; of the parts that hold a wanted rank, those with
+    more than SORTED values that are not all equal are cut again, between their own least and largest value. What is left
+    is counted value by value. So all that is exchanged are counts, and equal values, however many, are one of them.
     """
+    x = F.col("_x")
     values = df.select(*keys, F.col(column).cast("double").alias("_x")).where("_x is not null and not isnan(_x)")
-    edges = sorted(set(values.approxQuantile("_x", [k / RANGES for k in range(1, RANGES)], 1 / (2 * RANGES))))
-    split = Bucketizer(splits=[-float("inf"), *edges, float("inf")], inputCol="_x", outputCol="_range") if edges else None
-    values = split.transform(values) if split else values.withColumn("_range", F.lit(0.0))
-    counts = values.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
-    ahead = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumns({"_before": F.coalesce(F.sum("_n").over(ahead), F.lit(0)), "_all": F.sum("_n").over(Window.partitionBy(*keys))})
-    wanted = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(q).alias("q")) for n, q in names.items()]))
-    ranks = counts.select("*", wanted.alias("w")).select("*", "w.name", ((F.col("_all") - 1) * F.col("w.q")).alias("at"))
-    ranks = ranks.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at"))))).where("rank >= _before and rank < _before + _n")
-    here = [F.col(k) for k in (*keys, "_range")]
-    sorted_ = values.join(ranks.select(*here, "_before").distinct(), [*keys, "_range"])
-    number = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy("_x")) - 1 + F.col("_before")
-    found = sorted_.withColumn("rank", number).join(ranks.select(*here, "rank", "name", "at"), [*keys, "_range", "rank"])
-    share = F.when(F.col("rank") == F.floor("at"), 1 - (F.col("at") - F.floor("at"))).otherwise(F.col("at") - F.floor("at"))
-    per_name = found.groupBy(*keys, "name").agg(F.sum(share * F.col("_x")).alias("value"))
-    return per_name.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names])
+    whole = values.groupBy(*keys).agg(F.count("*").alias("_all"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")).where("_all > 0")
+    whole = stable(whole.select(*keys, "_all", F.lit(0).cast("long").alias("_before"), F.col("_all").alias("_n"), "_lo", "_hi"), "quantiles")
+    places = F.array(*[F.struct(F.lit(n).alias("name"), ((F.col("_all") - 1) * F.lit(q)).alias("at")) for n, q in names.items()])
+    wanted = F.array_distinct(F.flatten(F.transform(places, lambda p: F.array(F.floor(p["at"]), F.ceil(p["at"])))))
+    holds = F.exists(wanted, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_n")))
+
+    def inside(parts: DataFrame) -> DataFrame:
+        """The values that lie in the parts, which are few for each key, with the part's columns."""
+        both = values.join(parts, keys) if keys else values.crossJoin(F.broadcast(parts))
+        return both.where((x >= F.col("_lo")) & (x <= F.col("_hi")))
+
+    done, open_ = [], whole
+    while True:
+        large = (F.col("_n") > SORTED) & (F.col("_lo") < F.col("_hi"))
+        done.append(open_.where(~large))
+        open_ = open_.where(large)
+        if open_.isEmpty():
+            break
+        lo, hi = F.col("_lo"), F.col("_hi")
+        half = lambda c: F.least(F.greatest(c, F.lit(-MOST)), F.lit(MOST)) / 2
+        wide = (half(x) - half(lo)) / F.nullif(half(hi) - half(lo), F.lit(0.0))  # where the span itself is no finite number
+        share = F.when(x == lo, 0.0).when(hi - lo <= MOST, (x - lo) / (hi - lo)).otherwise(wide)
+        counts = inside(open_).groupBy(*keys, "_all", F.col("_before").alias("_start"), F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).alias("_bucket"))
+        counts = counts.agg(F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        ahead = Window.partitionBy(*keys, "_start").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("_before", F.col("_start") + F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
+        open_ = stable(counts.where(holds).select(whole.columns), "quantiles")
+    parts = done[0]
+    for more in done[1:]:
+        parts = parts.unionByName(more)
+    apart = inside(parts.where("_lo < _hi")).groupBy(*keys, "_all", F.col("_before").alias("_start"), "_x").agg(F.count("*").alias("_n"))
+    ahead = Window.partitionBy(*keys, "_start").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    apart = apart.select(*keys, "_all", (F.col("_start") + F.coalesce(F.sum("_n").over(ahead), F.lit(0))).alias("_before"), "_n", "_x")
+    found = apart.unionByName(parts.where("_lo = _hi").select(*keys, "_all", "_before", "_n", F.col("_lo").alias("_x"))).where(holds)
+
+    def weight(q: float) -> Column:
+        """What a value adds to the quantile: the share of its lower neighbour's rank and of its upper one's that it holds."""
+        at = (F.col("_all") - 1) * F.lit(q)
+        has = lambda r: ((r >= F.col("_before")) & (r < F.col("_before") + F.col("_n"))).cast("double")
+        up = at - F.floor(at)
+        return has(F.floor(at)) * (1 - up) + has(F.floor(at) + 1) * up
+
+    return found.groupBy(*keys).agg(*[F.sum(F.when(weight(q) > 0, weight(q) * x)).alias(n) for n, q in names.items()])
 
 
 def residual_quartiles(df: DataFrame, column: str, below: float = 50.0, keys: list[str] | None = None) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathom.sources.workspace import stable
+
 
 def nearest_asof(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, tolerance: float, left_id: str, values: list[str]) -> DataFrame:
     """Each left row with the values of the nearest right row within the tolerance (inclusive), else nulls.
@@ -72,29 +74,82 @@ def interpolate(left: DataFrame, right: DataFrame, keys: list[str], left_time: s
     return both.select("_row.*", *[(F.col(f"_v_{v}_a") + share * (F.col(f"_v_{v}_b") - F.col(f"_v_{v}_a"))).alias(v) for v in values])
 
 
-def differences(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
-    """Adds d_<column>: each row's value minus that of the row before."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.select("*", *[(F.col(c) - F.lag(c).over(w)).alias(f"d_{c}") for c in columns])
+def _neighbours(df: DataFrame, keys: list[str], part: str | None, order: list[str], columns: list[str]) -> DataFrame:
+    """Adds _before and _after, the columns of the rows next to each one in its key's order (null where there is none).
+
+    With a part, whose order must agree with the rows', a window runs over one part of a key only; the rows at the edges
+    of its neighbours are found on a row per part.
+    """
+    at = [F.col(k) for k in (*keys, *([part] if part else []))]
+    w = Window.partitionBy(*at).orderBy(*order)
+    row = F.struct(*columns)
+    near = df.select("*", F.lag(row).over(w).alias("_before"), F.lead(row).over(w).alias("_after"))
+    if part is None:
+        return near
+    edges = df.groupBy(*keys, part).agg(F.min_by(row, F.struct(*order)).alias("_first"), F.max_by(row, F.struct(*order)).alias("_last"))
+    parts = Window.partitionBy(*keys).orderBy(part)
+    edges = edges.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(part).alias("_part"), F.lag("_last").over(parts).alias("_b"), F.lead("_first").over(parts).alias("_a"))
+    same = F.col(part).eqNullSafe(F.col("_part"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return near.join(edges, same).select(*df.columns, F.coalesce("_before", "_b").alias("_before"), F.coalesce("_after", "_a").alias("_after"))
+
 
+def differences(df: DataFrame, keys: list[str], order: list[str], columns: list[str], part: str | None = None) -> DataFrame:
+    """Adds d_<column>: each row's value minus that of the row before. Long keys can be worked on in parts, as of days."""
+    near = _neighbours(df, keys, part, order, columns)
+    return near.select(*df.columns, *[(F.col(c) - F.col(f"_before.{c}")).alias(f"d_{c}") for c in columns])
 
-def velocities(df: DataFrame, keys: list[str], order: list[str], time: str, columns: list[str]) -> DataFrame:
+
+def velocities(df: DataFrame, keys: list[str], order: list[str], time: str, columns: list[str], part: str | None = None) -> DataFrame:
     """Adds v_<column>: change per second since the row before; the first row takes the second one's."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    dt = F.col(time) - F.lag(time).over(w)
-    out = df.select("*", *[((F.col(c) - F.lag(c).over(w)) / F.nullif(dt, F.lit(0.0))).alias(f"v_{c}") for c in columns])
-    first = F.lag(time).over(w).isNull()
-    return out.select(*df.columns, *[F.when(first, F.lead(f"v_{c}").over(w)).otherwise(F.col(f"v_{c}")).alias(f"v_{c}") for c in columns])
+    near = _neighbours(df, keys, part, order, [time, *[c for c in columns if c != time]])
 
+    def speed(c: str, new: str, old: str) -> Column:
+        value = lambda name, side: F.col(f"{side}.{name}") if side else F.col(name)
+        return (value(c, new) - value(c, old)) / F.nullif(value(time, new) - value(time, old), F.lit(0.0))
 
-def fill_both_ways(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
-    """Nulls take the next value, and behind the last one the last value."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    first = F.col(f"_before.{time}").isNull()
+    return near.select(*df.columns, *[F.when(first, F.when(F.col(time).isNotNull(), speed(c, "_after", ""))).otherwise(speed(c, "", "_before")).alias(f"v_{c}") for c in columns])
+
+
+def fill_both_ways(df: DataFrame, keys: list[str], order: list[str], columns: list[str], part: str | None = None) -> DataFrame:
+    """Nulls take the next value, and behind the last one the last value. Long keys can be worked on in parts, as of days."""
+    at = [*keys, *([part] if part else [])]
+    w = Window.partitionBy(*at).orderBy(*order)
     # Looking back in reverse order is one pass; a frame that ends at the last row would be worked out anew for each row.
-    onward = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = Window.partitionBy(*at).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(onward), F.last(c, ignorenulls=True).over(back)) for c in columns}
-    return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+    if part is None:
+        filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(onward), F.last(c, ignorenulls=True).over(back)) for c in columns}
+        return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+    place = lambda c: F.when(F.col(c).isNotNull(), F.struct(*order))
+    ends = df.groupBy(*keys, part).agg(*[f(c, place(c)).alias(f"{n}{c}") for c in columns for f, n in ((F.min_by, "_first_"), (F.max_by, "_last_"))])
+    earlier, later = (Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.col(part), F.col(part).desc()))
+    names = [f"{n}{c}" for c in columns for n in ("_next_", "_past_")]
+    ends = ends.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col(part).alias("_part"),
+        *[F.last(f"{a}{c}", ignorenulls=True).over(o).alias(f"{n}{c}") for c in columns for a, o, n in (("_first_", later, "_next_"), ("_last_", earlier, "_past_"))],
+    )
+    same = F.col(part).eqNullSafe(F.col("_part"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    inside = df.select("*", *[F.last(c, ignorenulls=True).over(o).alias(f"{n}{c}") for c in columns for o, n in ((onward, "_on_"), (back, "_back_"))])
+    both = inside.join(ends.select(*[f"_k_{k}" for k in keys], "_part", *names), same)
+    filled = {c: F.coalesce(f"_on_{c}", f"_next_{c}", f"_back_{c}", f"_past_{c}") for c in columns}
+    return both.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+
+
+def standard_scores(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Adds z_<column>: the value less its key's mean, over its key's population deviation; null where that is 0.
+
+    Means and deviations are aggregated first, so no window holds a key's rows.
+    """
+    stats = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(*[f(c).alias(f"{n}{c}") for c in columns for f, n in ((F.avg, "_m_"), (F.stddev_pop, "_s_"))])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return df.join(stats, same).select(*df.columns, *[((F.col(c) - F.col(f"_m_{c}")) / F.nullif(F.col(f"_s_{c}"), F.lit(0.0))).alias(f"z_{c}") for c in columns])
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -127,9 +182,26 @@ def decimate(df: DataFrame, keys: list[str], millis: str, every: int, carry_keys
     return out.withColumn(flags, F.col(flags).bitwiseOR(F.coalesce("_bits", F.lit(0)))).select(*df.columns)
 
 
+def ranked(df: DataFrame, keys: list[str], order: list[str], name: str = "position") -> DataFrame:
+    """Adds the row's place in its key's order, from 1, without a window over a key's rows.
+
+    Rows are sorted in ranges of (keys, order), written once, and counted per range and key; a row's place is its place in
+    the range after all of the ranges before. A key with most of the rows is spread over as many ranges as it fills.
+    """
+    held = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_at"))
+    held = stable(held, "ranges")
+    counts = held.groupBy(*keys, "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    ahead = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_range").alias("_r"), (F.coalesce(F.sum("_n").over(ahead), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    same = held["_range"] == starts["_r"]
+    for k in keys:
+        same = same & held[k].eqNullSafe(starts[f"_k_{k}"])
+    return held.join(starts, same).select(*[held[c] for c in df.columns], (held["_at"] + F.col("_shift")).alias(name))
+
+
 def model_order(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Adds position: the row's place in its key's order, from 1."""
-    return df.withColumn("position", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+    return ranked(df, keys, order)
 
 
 def day_batches(df: DataFrame, ts: str) -> DataFrame:
@@ -147,16 +219,16 @@ def of_year(df: DataFrame, ts: str, year: int) -> DataFrame:
     return df if year <= 0 else df.where(F.year(ts) == year)
 
 
-def gap_summary(df: DataFrame, keys: list[str], time: str, below: float = 1.0) -> DataFrame:
+def gap_summary(df: DataFrame, keys: list[str], time: str, below: float = 1.0, part: str | None = None) -> DataFrame:
     """Per key: least difference of consecutive times, the number of those below the limit, and their mean (0 if none)."""
-    d = differences(df, keys, [time], [time]).where(f"d_{time} is not null")
+    d = differences(df, keys, [time], [time], part).where(f"d_{time} is not null")
     short = F.when(F.col(f"d_{time}") < below, F.col(f"d_{time}"))
     return d.groupBy(*keys).agg(F.min(f"d_{time}").alias("min_gap"), F.count(short).alias("n_short"), F.coalesce(F.avg(short), F.lit(0.0)).alias("mean_short"))
 
 
-def gap_histogram(df: DataFrame, keys: list[str], time: str, scale: float = 1.0, bins: int = 49) -> DataFrame:
+def gap_histogram(df: DataFrame, keys: list[str], time: str, scale: float = 1.0, bins: int = 49, part: str | None = None) -> DataFrame:
     """Counts of consecutive differences in bins with edges (k + 0.5) / 10 * scale seconds, k = 0..bins; the last edge is closed."""
-    d = differences(df, keys, [time], [time]).where(f"d_{time} is not null")
+    d = differences(df, keys, [time], [time], part).where(f"d_{time} is not null")
     k = F.col(f"d_{time}") * 10 / scale - F.lit(0.5)
     inside = d.where((k >= 0) & (k <= bins))
     return inside.groupBy(F.least(F.floor(k), F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n"))

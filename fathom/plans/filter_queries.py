@@ -65,25 +65,49 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return _ids(filters.outside_bad_times(e.where("event_type != 'error'"), bad, "pingTime", "pingTime", F.col("value") > 60, 300.0))
 
 
-@query("P12_filter_pipeline", f"""WITH {SHOTS}, {_BAD}, a AS (SELECT * FROM shots WHERE event_type != 'error' AND {_OK}),
-    b AS (SELECT *, count(*) OVER (PARTITION BY floor(pingTime / 3600)) AS n FROM a)
-    SELECT event_id FROM b WHERE n >= 3 AND sqrt(power(east0 - {_CENTRE_XYZ[0]}, 2) + power(north0 - {_CENTRE_XYZ[1]}, 2)) <= 4000
-    AND NOT EXISTS (SELECT 1 FROM bad WHERE floor(b.pingTime / 3600) * 3600 BETWEEN t - 300 AND t + 300)""")
-def _(s: SparkSession, d: str) -> DataFrame:
-    """The pings of an hour count as one, so that replies share pings."""
+_PIPELINE = f"""WITH {SHOTS}, {_BAD}, a AS (SELECT * FROM shots WHERE event_type != 'error' AND {_OK}),
+    b AS (SELECT *, count(*) OVER (PARTITION BY floor(pingTime / 3600)) AS n FROM a),
+    c AS (SELECT * FROM b WHERE n >= 3 AND sqrt(power(east0 - {_CENTRE_XYZ[0]}, 2) + power(north0 - {_CENTRE_XYZ[1]}, 2)) <= 4000),
+    w AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM bad WHERE floor(c.pingTime / 3600) * 3600 BETWEEN t - 300 AND t + 300))"""
+
+
+def _filtered(s: SparkSession, d: str, counts: filters.StageCounts | None = None) -> DataFrame:
+    """All filters; the pings of an hour count as one, so that replies share pings."""
     e = shots(s, d)
     bad = of_type(e, "error").select(F.col("pingTime").alias("time"), F.col("value").alias("wrms"))
     hourly = e.where("event_type != 'error'").withColumn("pingTime", F.floor(F.col("pingTime") / 3600).cast("double") * 3600)
     config = {"max_distance": {"metres": 4000.0}, "wrms": {"max_wrms": 60.0, "radius_seconds": 300.0}}
-    return _ids(filters.filter_shots(hourly, "center", CENTRE, bad, config))
+    return filters.filter_shots(hourly, "center", CENTRE, bad, config, counts=counts)
+
+
+@query("P12_filter_pipeline", f"{_PIPELINE} SELECT event_id FROM w")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return _ids(_filtered(s, d))
+
+
+@query("P12_filter_counts", f"""{_PIPELINE} SELECT 0 AS step, 'raw' AS stage, count(*) AS n FROM shots WHERE event_type != 'error' UNION ALL SELECT 1, 'acoustic', count(*) FROM a
+    UNION ALL SELECT 2, 'replies', count(*) FROM b WHERE n >= 3 UNION ALL SELECT 3, 'distance', count(*) FROM c UNION ALL SELECT 4, 'wrms', count(*) FROM w""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """What each filter of the pipeline leaves, counted while it runs once."""
+    counts = filters.StageCounts()
+    return filters.stage_counts(_filtered(s, d, counts), counts)
+
+
+@query("F17_config_overlay", f"""WITH {SHOTS}, a AS (SELECT * FROM shots WHERE event_type != 'error' AND snr >= 20 AND dbv BETWEEN -26 AND -3 AND xc >= 60),
+    b AS (SELECT *, count(*) OVER (PARTITION BY floor(pingTime / 3600)) AS n FROM a) SELECT event_id FROM b WHERE n >= 2""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """A configuration laid over the default one: a deep value, a null and an unknown key, which change nothing, and a filter turned off."""
+    hourly = shots(s, d).where("event_type != 'error'").withColumn("pingTime", F.floor(F.col("pingTime") / 3600).cast("double") * 3600)
+    config = {"acoustic": {"level": "good", "enabled": None, "unknown": 1}, "ping_replies": {"min_replies": 2}, "max_distance": {"enabled": False}, "wrms": None, "bogus": {"enabled": False}}
+    return _ids(filters.filter_shots(hourly, "center", CENTRE, None, config))
 
 
 @query("A22_filter_counts", f"""WITH {SHOTS} SELECT 0 AS step, 'raw' AS stage, count(*) AS n FROM shots UNION ALL SELECT 1, 'acoustic', count(*) FROM shots WHERE {_OK}
     UNION ALL SELECT 2, 'snr', count(*) FROM shots WHERE {_OK} AND snr >= 30""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    e = shots(s, d)
-    a = filters.acoustic(e)
-    return filters.stage_counts([("raw", e), ("acoustic", a), ("snr", filters.by_snr(a, 30.0))])
+    counts = filters.StageCounts()
+    a = counts(filters.acoustic(counts(shots(s, d), "raw")), "acoustic")
+    return filters.stage_counts(counts(filters.by_snr(a, 30.0), "snr"), counts)
 
 
 @query("P13_median_gate", f"""WITH {SHOTS}, imu AS (SELECT *, user_id % 5 AS station, CAST(ts AS DATE) AS day FROM shots WHERE event_type = 'view'),
@@ -341,18 +365,22 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return report.epoch_counts(li, "l_orderkey", "sys", "l_partkey")
 
 
+def _by_day(s: SparkSession, d: str) -> DataFrame:
+    return shots(s, d).select("pingTime", (F.col("user_id") % 5).alias("station"), F.to_date("ts").alias("day"))
+
+
 _DIFF = "d AS (SELECT user_id % 5 AS station, pingTime - lag(pingTime) OVER (PARTITION BY user_id % 5 ORDER BY pingTime) AS g FROM shots)"
 
 
 @query("A16_gap_summary", f"WITH {SHOTS}, {_DIFF} SELECT station, round(min(g), 6) AS min_gap, count(*) FILTER (g < 600) AS n_short, round(coalesce(avg(g) FILTER (g < 600), 0), 6) AS mean_short FROM d WHERE g IS NOT NULL GROUP BY station")
 def _(s: SparkSession, d: str) -> DataFrame:
-    g = temporal.gap_summary(shots(s, d).withColumn("station", F.col("user_id") % 5), ["station"], "pingTime", 600.0)
+    g = temporal.gap_summary(_by_day(s, d), ["station"], "pingTime", 600.0, "day")
     return g.select("station", F.round("min_gap", 6).alias("min_gap"), "n_short", F.round("mean_short", 6).alias("mean_short"))
 
 
 @query("A17_gap_histogram", f"WITH {SHOTS}, {_DIFF}, k AS (SELECT g * 10 / 2000.0::DOUBLE - 0.5::DOUBLE AS k FROM d WHERE g IS NOT NULL) SELECT CAST(least(floor(k), 48) AS INTEGER) AS bin, count(*) AS n FROM k WHERE k >= 0 AND k <= 49 GROUP BY 1")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return temporal.gap_histogram(shots(s, d).withColumn("station", F.col("user_id") % 5), ["station"], "pingTime", 2000.0)
+    return temporal.gap_histogram(_by_day(s, d), ["station"], "pingTime", 2000.0, part="day")
 
 
 @query("A18_coverage", "SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(DISTINCT CAST(o_orderdate AS DATE)) AS days, epoch_us(min(o_orderdate)) AS first_us, epoch_us(max(o_orderdate)) AS last_us FROM orders GROUP BY 1, 2")

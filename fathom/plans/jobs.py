@@ -11,20 +11,22 @@ from fathom.functions.geo import geodetic_to_ecef
 from fathom.functions.timeutil import seconds_to_timestamp
 from fathom.operators import catalog, filters, model_io, pairing, refine, report, surveys, validate
 from fathom.sources import readers, sinks
+from fathom.sources.catalog_table import CatalogTable
+from fathom.sources.workspace import stable
 
 
-def ingest_catalog(spark: SparkSession, path: str, known: DataFrame, network: str, station: str, campaign: str) -> DataFrame:
-    """New catalogue rows of a folder's files."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
-    return catalog.missing_from(catalog.discovered(files, network, station, campaign), known)
+def ingest_catalog(spark: SparkSession, path: str, stored: CatalogTable, network: str, station: str, campaign: str) -> DataFrame:
+    """Enters a folder's files of known kinds in the stored catalogue; files that it has already stay as they are. Returns the catalogue."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")  # contents are not read
+    stored.insert(catalog.discovered(files, network, station, campaign))
+    return stored.read()
 
 
 def shots_from_logs(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Paired replies of event logs in the shot columns, with file, event_id and reject_reason."""
-    events = readers.read_event_logs(spark, path)
-    events = events.withColumn("kind", F.col("event.event"))
+    """Paired replies of event logs in the shot columns, with file, event_id and reject_reason; logs of any size, read in splits."""
+    events = stable(readers.read_event_logs(spark, path).where("status = 'ok'"), "events").withColumn("kind", F.col("event.event"))
     ping = F.struct(*pairing.ping_fields())
-    paired = pairing.pair_with_last(events, "file", ["line"], "kind", "interrogation", "range", ping, F.col("event.time.common").isNotNull())
+    paired = pairing.pair_with_last(events, "file", "part", ["line"], "kind", "interrogation", "range", ping, F.col("event.time.common").isNotNull())
     shots = paired.select("file", "line", F.col("event.event_id").cast("long").alias("event_id"), "ping.value.*", *pairing.reply_fields())
     return pairing.reply_consistency(shots)
 
@@ -47,12 +49,12 @@ def preprocess(spark: SparkSession, logs: str | list[str], shots_path: str, stat
 
 
 def write_range_strings(messages: DataFrame, path: str, keys: list[str]) -> None:
-    """Range messages (message, and keys that tell them apart) to the observation table, partitioned by year.
+    """Range messages (message, station, and keys that tell them apart) to the observation table, partitioned by station and day.
 
-    Of an observation that a message repeats the last one counts, of one that several messages have the first by keys.
+    Of an observation that a message repeats the last one counts, of one that several messages of a station have the first by keys.
     """
-    obs = readers.last_of_message(readers.range_observations(messages, "message"), keys)
-    sinks.append_unique(obs.withColumn("year", F.year("time")), path, ["time", "sys", "sat", "obs"], ["year"], keys)
+    obs = readers.last_of_message(readers.range_observations(messages, "message"), ["station", *keys])
+    sinks.append_unique(obs.withColumn("day", F.to_date("time")), path, ["station", "time", "sys", "sat", "obs"], ["station", "day"], keys)
 
 
 def survey_input(shots: DataFrame, survey_rows: DataFrame, survey_type: str, centre: tuple[float, float], residuals: DataFrame | None, transponders: DataFrame, config: dict[str, Any] | None = None) -> DataFrame:
@@ -71,12 +73,13 @@ def quality_days(shots: DataFrame, kin: DataFrame, shot_id: str, order: list[str
     return refine.refine_day(shots, None, kin, shot_id, order)
 
 
-def residual_report(output: DataFrame, cast: DataFrame) -> dict[str, DataFrame]:
-    """Statistics of a model's output: quartiles, histogram, shares and directions per transponder."""
+def residual_report(output: DataFrame, cast: DataFrame, below: float = 50.0, keys: list[str] | None = None) -> dict[str, DataFrame]:
+    """Statistics of a model's output: quartiles (of all, or by keys), rows inside the limit, histogram, shares and directions per transponder."""
     ranged = model_io.residual_range(output, cast)
     return {
-        "quartiles": report.residual_quartiles(ranged, "ResiRange"),
-        "histogram": report.residual_histogram(ranged, "ResiRange", 50.0),
+        "quartiles": report.residual_quartiles(ranged, "ResiRange", below, keys),
+        "inside": ranged.where(F.abs("ResiRange") < below).groupBy("MT").agg(F.count("*").alias("n")),
+        "histogram": report.residual_histogram(ranged, "ResiRange", below),
         "shares": report.unflagged_share(ranged, "MT", F.col("flag")),
         "directions": model_io.mean_directions(ranged),
     }

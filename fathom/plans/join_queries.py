@@ -10,6 +10,8 @@ from fathom.plans.domain import SHOTS, SURVEYS, of_type, shots, table
 from fathom.plans.domain import surveys as survey_table
 from fathom.plans.registry import query
 from fathom.sources import readers, sinks
+from fathom.sources.catalog_table import CatalogTable
+from fathom.sources.workspace import fresh_path
 
 _STATION = "user_id % 5"
 _LI = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -24,7 +26,8 @@ _LI_SQL = ", ".join(_LI)
     SELECT conv_id, turn, p.t AS ping_turn FROM w WHERE role = 'assistant' AND p.ok""")
 def _(s: SparkSession, d: str) -> DataFrame:
     c = table(s, d, "conversations")
-    p = pairing.pair_with_last(c, "conv_id", ["turn"], "role", "user", "assistant", F.col("turn"), F.length("text") > 40)
+    c = c.withColumn("part", F.floor(F.col("turn") / 1000))  # a long conversation is worked on in parts
+    p = pairing.pair_with_last(c, "conv_id", "part", ["turn"], "role", "user", "assistant", F.col("turn"), F.length("text") > 40)
     return p.select("conv_id", "turn", F.col("ping.value").alias("ping_turn"))
 
 
@@ -197,18 +200,18 @@ _W = f"(PARTITION BY {_STATION} ORDER BY pingTime, event_id)"
 
 
 def _station(s: SparkSession, d: str) -> DataFrame:
-    return shots(s, d).select("event_id", "event_type", "value", "pingTime", "ts", (F.col("user_id") % 5).alias("station"))
+    return shots(s, d).select("event_id", "event_type", "value", "pingTime", "ts", (F.col("user_id") % 5).alias("station"), F.to_date("ts").alias("day"))
 
 
 @query("N2_differences", f"WITH {SHOTS} SELECT event_id, round(value - lag(value) OVER {_W}, 6) AS d_value FROM shots")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return temporal.differences(_station(s, d), ["station"], ["pingTime", "event_id"], ["value"]).select("event_id", F.round("d_value", 6).alias("d_value"))
+    return temporal.differences(_station(s, d), ["station"], ["pingTime", "event_id"], ["value"], "day").select("event_id", F.round("d_value", 6).alias("d_value"))
 
 
 @query("N3_velocities", f"""WITH {SHOTS}, v AS (SELECT event_id, pingTime, {_STATION} AS station, lag(pingTime) OVER {_W} AS p, (value - lag(value) OVER {_W}) / nullif(pingTime - lag(pingTime) OVER {_W}, 0) AS v FROM shots)
     SELECT event_id, round(CASE WHEN p IS NULL THEN lead(v) OVER (PARTITION BY station ORDER BY pingTime, event_id) ELSE v END, 6) AS v_value FROM v""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return temporal.velocities(_station(s, d), ["station"], ["pingTime", "event_id"], "pingTime", ["value"]).select("event_id", F.round("v_value", 6).alias("v_value"))
+    return temporal.velocities(_station(s, d), ["station"], ["pingTime", "event_id"], "pingTime", ["value"], "day").select("event_id", F.round("v_value", 6).alias("v_value"))
 
 
 @query("N4_fill_both_ways", f"""WITH {SHOTS}, n AS (SELECT event_id, pingTime, user_id, CASE WHEN event_type = 'view' THEN value END AS v FROM shots)
@@ -216,7 +219,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     last_value(v IGNORE NULLS) OVER (PARTITION BY {_STATION} ORDER BY pingTime, event_id ROWS UNBOUNDED PRECEDING)) AS v FROM n""")
 def _(s: SparkSession, d: str) -> DataFrame:
     e = _station(s, d).withColumn("v", F.when(F.col("event_type") == "view", F.col("value")))
-    return temporal.fill_both_ways(e, ["station"], ["pingTime", "event_id"], ["v"]).select("event_id", "v")
+    return temporal.fill_both_ways(e, ["station"], ["pingTime", "event_id"], ["v"], "day").select("event_id", "v")
 
 
 @query("N6_first_by_key", f"SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem) WHERE rn = 1")
@@ -245,8 +248,6 @@ def _(s: SparkSession, d: str) -> DataFrame:
 @query("D1_append_unique", "SELECT user_id, CAST(ts AS DATE)::VARCHAR AS day, min(event_id) AS event_id FROM events GROUP BY 1, 2")
 def _(s: SparkSession, d: str) -> DataFrame:
     """Three appends to a table with the key (user_id, day): old rows stay, and appending again changes nothing."""
-    from fathom.sources.workspace import fresh_path
-
     e = table(s, d, "events").select("event_id", "user_id", F.to_date("ts").alias("day"))
     path = fresh_path(s, "unique")
     half = F.percentile_approx("event_id", 0.5)
@@ -259,8 +260,6 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @query("W6_compaction", "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS total FROM events GROUP BY 1")
 def _(s: SparkSession, d: str) -> DataFrame:
-    from fathom.sources.workspace import fresh_path
-
     path = fresh_path(s, "compact")
     table(s, d, "events").select("event_id", F.to_date("ts").alias("day")).repartition(8).write.partitionBy("day").parquet(path)
     sinks.compact(s, path, ["day"])
@@ -352,7 +351,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     e = shots(s, d).withColumn("station", F.col("user_id") % 5)
     cols = {f"{a}{k}": F.col("value") + k for a in ("east", "north", "up") for k in (0, 1)}
     stds = {f"{a}_std0": F.nullif(F.col("xc") % 3, F.lit(0)).cast("double") for a in ("east", "north", "up")} | {f"{a}_std1": F.nullif(F.col("xc") % 5, F.lit(0)).cast("double") for a in ("east", "north", "up")}
-    p = refine.shots_to_positions(e.withColumns(cols | stds), ["station"], "event_id")
+    p = refine.shots_to_positions(e.withColumns(cols | stds), ["station"], "event_id", 86_400)
     return p.select("event_id", "end", "east_std", F.round("v_east", 5).alias("v_east"))
 
 
@@ -379,26 +378,36 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return model_io.extend_cast(c, 200)
 
 
-@query("U8_merged_residuals", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE day(ts) IN (1, 2, 3)")
+@query("U8_merged_residuals", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN hour(ts) < 8 THEN value END AS early, CASE WHEN hour(ts) >= 16 THEN value END AS late FROM events WHERE ts IS NOT NULL")
 def _(s: SparkSession, d: str) -> DataFrame:
-    e = table(s, d, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.dayofmonth("ts").alias("n"))
-    return model_io.merged([e.where(F.col("n") == k).drop("n") for k in (1, 2, 3)])
+    """The frames of three shifts of all days, two of which have a column that the others lack."""
+    e = table(s, d, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value", F.hour("ts").alias("h"))
+    early, late = e.where("h < 8").withColumnRenamed("value", "early"), e.where("h >= 16").withColumnRenamed("value", "late")
+    return model_io.merged([x.drop("h") for x in (early, e.where("h >= 8 and h < 16").drop("value"), late)])
 
 
 # ---------------------------------------------------------------- catalogue
 
 
-@query("C1_discovered", """WITH f AS (SELECT page_id, CASE page_id % 8 WHEN 0 THEN 'a' || page_id || '.23o' WHEN 1 THEN 'x_NOV770_' || page_id WHEN 2 THEN 'novatel_' || page_id || '.pin' WHEN 3 THEN 'q' || page_id || '.pin' WHEN 4 THEN 'kin_' || page_id WHEN 5 THEN '._kin' || page_id WHEN 6 THEN 'CTD' || page_id ELSE 'other' || page_id END AS name, page_id % 11 AS length FROM pages)
-    SELECT page_id, CASE page_id % 8 WHEN 0 THEN 'rinex2' WHEN 1 THEN 'novatel770' WHEN 2 THEN 'novatel' WHEN 3 THEN 'qcpin' WHEN 4 THEN 'kin' WHEN 6 THEN 'ctd' END AS type FROM f WHERE length > 0 AND page_id % 8 NOT IN (5, 7)""")
-def _(s: SparkSession, d: str) -> DataFrame:
+_FILES = """f AS (SELECT page_id, CASE page_id % 8 WHEN 0 THEN 'a' || page_id || '.23o' WHEN 1 THEN 'x_NOV770_' || page_id WHEN 2 THEN 'novatel_' || page_id || '.pin' WHEN 3 THEN 'q' || page_id || '.pin' WHEN 4 THEN 'kin_' || page_id WHEN 5 THEN '._kin' || page_id WHEN 6 THEN 'CTD' || page_id ELSE 'other' || page_id END AS name, page_id % 11 AS length FROM pages),
+    k AS (SELECT page_id, '/data/' || name AS path, CASE page_id % 8 WHEN 0 THEN 'rinex2' WHEN 1 THEN 'novatel770' WHEN 2 THEN 'novatel' WHEN 3 THEN 'qcpin' WHEN 4 THEN 'kin' WHEN 6 THEN 'ctd' END AS type FROM f WHERE length > 0 AND page_id % 8 NOT IN (5, 7))"""
+
+
+def _files(s: SparkSession, d: str) -> DataFrame:
+    """A file of one of eight kinds of names for each page: path, length."""
     i = F.col("page_id").cast("string")
     k = F.col("page_id") % 8
     name = (
         F.when(k == 0, F.concat(F.lit("a"), i, F.lit(".23o"))).when(k == 1, F.concat(F.lit("x_NOV770_"), i)).when(k == 2, F.concat(F.lit("novatel_"), i, F.lit(".pin"))).when(k == 3, F.concat(F.lit("q"), i, F.lit(".pin")))
         .when(k == 4, F.concat(F.lit("kin_"), i)).when(k == 5, F.concat(F.lit("._kin"), i)).when(k == 6, F.concat(F.lit("CTD"), i)).otherwise(F.concat(F.lit("other"), i))
     )
-    f = table(s, d, "pages").select(F.concat(F.lit("/data/"), name).alias("path"), (F.col("page_id") % 11).alias("length"))
-    return catalog.discovered(f, "net", "sta", "2023_A_TEST").select(F.regexp_extract("local_path", r"(\d+)(?:\.\d\do|\.pin)?$", 1).cast("long").alias("page_id"), "type")
+    return table(s, d, "pages").select(F.concat(F.lit("/data/"), name).alias("path"), (F.col("page_id") % 11).alias("length"))
+
+
+@query("C1_discovered", f"WITH {_FILES} SELECT page_id, type FROM k")
+def _(s: SparkSession, d: str) -> DataFrame:
+    found = catalog.discovered(_files(s, d), "net", "sta", "2023_A_TEST")
+    return found.select(F.regexp_extract("local_path", r"(\d+)(?:\.\d\do|\.pin)?$", 1).cast("long").alias("page_id"), "type")
 
 
 _A = "(SELECT c_custkey AS id, c_mktsegment AS type, c_name AS path, c_acctbal AS v FROM customer WHERE c_custkey % 3 != 0)"
@@ -449,10 +458,30 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return catalog.query(s, {"assets_view": table(s, d, "orders")}, "SELECT o_orderstatus, count(*) AS n FROM assets_view GROUP BY o_orderstatus")
 
 
-@query("A14_files_by_type", "SELECT regexp_extract(url, '^([a-z]+):', 1) AS kind, count(*) AS n, min(url) AS first_path, max(url) AS last_path FROM pages GROUP BY 1")
+@query("A14_files_by_type", f"""WITH {_FILES}, r AS (SELECT *, (row_number() OVER (PARTITION BY type ORDER BY path) - 1) // 100 AS page FROM k)
+    SELECT type, page, count(*) AS n, string_agg(path, ',' ORDER BY path) AS paths FROM r GROUP BY 1, 2""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The lists of files of each kind, in pages of a hundred."""
+    found = catalog.discovered(_files(s, d), "net", "sta", "2023_A_TEST")
+    return catalog.files_by_type(found, "local_path", "type", 100).select("type", "page", "n", F.array_join("paths", ",").alias("paths"))
+
+
+@query("C9_stored_catalogue", f"""WITH m AS (SELECT coalesce(b.id, a.id) AS id, coalesce(b.type, a.type) AS type, coalesce(b.path, a.path) AS path, coalesce(b.v, a.v) AS v FROM {_A} a FULL JOIN {_B} b ON a.path = b.path)
+    SELECT id, CASE WHEN id % 6 = 0 THEN 'MACHINERY' ELSE type END AS type, CASE WHEN id % 10 = 0 THEN 'moved/' || path ELSE path END AS path, round(v, 4) AS v
+    FROM m WHERE id % 5 != 1 AND NOT (id % 6 != 0 AND type = 'BUILDING')""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    p = table(s, d, "pages").select("url", F.regexp_extract("url", r"^([a-z]+):", 1).alias("kind"))
-    return catalog.files_by_type(p, "url", "kind")
+    """One stored table through inserts, an upsert that moves rows between partitions, deletions that empty one, and moved paths."""
+    a, b = _ab(s, d)
+    stored = CatalogTable(s, fresh_path(s, "catalogue"), "id long, type string, path string, v double, at int", key="path")
+    stored.insert(a.withColumn("at", F.lit(1)))
+    stored.insert(b.withColumn("at", F.lit(2)))  # only those that are missing
+    stored.upsert(b.withColumn("at", F.lit(3)), "at")
+    other = stored.read().where("id % 6 = 0").withColumns({"type": F.lit("MACHINERY"), "at": F.lit(4)})
+    stored.upsert(other, "at")
+    stored.delete(F.col("id") % 5 == 1)
+    stored.delete(F.col("type") == "BUILDING")
+    stored.move(F.col("id") % 10 == 0, "path", F.concat(F.lit("moved/"), F.col("path")))
+    return stored.read().select("id", "type", "path", F.round("v", 4).alias("v"))
 
 
 @query("R12_time_range", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts <= TIMESTAMP '2024-01-07 18:30:00'")
@@ -463,10 +492,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @query("N5_group_statistics", f"WITH {SHOTS} SELECT event_id, round((value - avg(value) OVER (PARTITION BY {_STATION})) / stddev_pop(value) OVER (PARTITION BY {_STATION}), 6) AS z FROM shots")
 def _(s: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("station")
-    return _station(s, d).select("event_id", F.round((F.col("value") - F.avg("value").over(w)) / F.stddev_pop("value").over(w), 6).alias("z"))
+    return temporal.standard_scores(_station(s, d), ["station"], ["value"]).select("event_id", F.round("z_value", 6).alias("z"))
 
 
 @query("A8_counts_by_day", "SELECT strftime(o_orderdate, '%Y') AS year, count(*) AS n FROM orders GROUP BY 1")

@@ -10,25 +10,27 @@ from pyspark.sql import functions as F
 
 from fathom.functions import text as X
 from fathom.functions import timeutil as T
-from fathom.operators import pairing, refine, report, surveys, temporal, validate
+from fathom.operators import model_io, pairing, refine, report, surveys, temporal, validate
 from fathom.plans import jobs
 from fathom.plans.domain import SHOTS, of_type, shots, sql_ecef, table
 from fathom.plans.registry import query
 from fathom.schemas import EVENT
 from fathom.sources import readers, sinks
-from fathom.sources.workspace import fresh_path, text_files
+from fathom.sources.catalog_table import CatalogTable
+from fathom.sources.workspace import fresh_path, named_files, text_files
 from fathom.streaming import ingest
 
 # ---------------------------------------------------------------- event logs and pin files
 
 #: events as logged events: view pings, click and purchase reply, signup is another event, error a broken line.
 
-def event_json(e: DataFrame) -> Column:
-    """A logged event in JSON from columns of shots()."""
+def event_json(e: DataFrame, observed: bool = False) -> Column:
+    """A logged event in JSON from columns of shots(); every fourth has a range message, without observations or with one."""
     kind = F.when(F.col("event_type") == "view", "interrogation").when(F.col("event_type").isin("click", "purchase"), "range").otherwise("status")
     place = F.struct(F.col("height").alias("hae"), "latitude", "longitude")
     pose = F.struct((F.col("value") % 360).alias("h"), (F.col("value") % 5).alias("p"), (F.col("value") % 3).alias("r"))
-    raw = F.concat(F.lit("#RANGEA,USB1,0,90.0,FINESTEERING,2300,"), F.col("event_id").cast("string"), F.lit(".5,0000,5103,1000;0*00"))
+    one = F.concat_ws(",", F.lit("1"), (F.col("user_id") % 32).cast("string"), F.lit("0"), F.format_string("%.3f", "value"), *[F.lit(x) for x in ("0.1", "2.5", "0.01", "0.5", "40.0", "10.0", "1810dc04")])
+    raw = F.concat(F.lit("#RANGEA,USB1,0,90.0,FINESTEERING,2300,"), F.col("event_id").cast("string"), F.lit(".5,0000,5103,1000;"), one if observed else F.lit("0"), F.lit("*00"))
     diag = F.struct(F.concat(F.lit("["), F.col("dbv").cast("string"), F.lit("]")).alias("dbv"), F.col("snr").cast("string").alias("snr"), F.col("xc").cast("string").alias("xc"))
     rng = F.struct(F.col("transponderID").alias("cn"), (F.col("value") / 100).alias("range"), F.lit(320.0).alias("tat"), diag.alias("diag"))
     event = F.struct(
@@ -38,10 +40,10 @@ def event_json(e: DataFrame) -> Column:
     return F.when(F.col("event_type") == "error", F.lit('{"event": "interrog')).otherwise(F.to_json(event))
 
 
-def event_log_files(s: SparkSession, d: str, per_user: bool = True) -> str:
+def event_log_files(s: SparkSession, d: str, per_user: bool = True, observed: bool = False) -> str:
     """A log for each user, or for each twentieth of the users where a result depends on the order within a log."""
     e = shots(s, d)
-    return text_files(e.select((F.col("user_id") if per_user else F.col("user_id") % 20).alias("f"), "pingTime", "event_id", event_json(e).alias("value")), "f", "value", ["pingTime", "event_id"], "events")
+    return text_files(e.select((F.col("user_id") if per_user else F.col("user_id") % 20).alias("f"), "pingTime", "event_id", event_json(e, observed).alias("value")), "f", "value", ["pingTime", "event_id"], "events")
 
 
 _KINDS = "CASE event_type WHEN 'view' THEN 'interrogation' WHEN 'click' THEN 'range' WHEN 'purchase' THEN 'range' WHEN 'error' THEN NULL ELSE 'status' END"
@@ -120,7 +122,7 @@ def range_messages(s: SparkSession, d: str) -> DataFrame:
     m = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity", obs.alias("o")))).alias("os"))
     body = F.concat_ws(",", F.size("os").cast("string"), F.array_join(F.transform("os", lambda x: x["o"]), ","))
     body = F.when(F.col("l_orderkey") % 7 == 0, F.regexp_replace(body, r",[^,]*$", "")).otherwise(body)
-    head = F.concat(F.lit("#RANGEA,USB1,0,90.0,FINESTEERING,"), (F.lit(2000) + F.col("l_orderkey") % 900).cast("string"), F.lit(","), (F.col("l_orderkey") % 604800).cast("string"), F.lit(".250,00000000,5103,16809;"))
+    head = F.concat(F.lit("#RANGEA,USB1,0,90.0,FINESTEERING,"), (F.lit(2000) + F.col("l_orderkey") % 9).cast("string"), F.lit(","), (F.col("l_orderkey") % 604800).cast("string"), F.lit(".250,00000000,5103,16809;"))
     return m.select("l_orderkey", F.concat(head, body, F.lit("*1a2b3c4d")).alias("message"))
 
 
@@ -129,7 +131,7 @@ _OBS = """o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_
 
 
 @query("R4_range_observations", f"""WITH {_OBS} SELECT l_orderkey, rn - 1 AS position, sys, CAST(l_linenumber AS BIGINT) AS sat, obs, round(l_extendedprice, 3) AS range, round(l_quantity, 3) AS phase,
-    CASE WHEN sys = 1 THEN l_partkey % 7 ELSE 0 END AS fcn, 315964782000000 + (2000 + l_orderkey % 900) * 604800000000 + (l_orderkey % 604800) * 1000000 + 250000 AS time_us, n AS n_observations FROM k""")
+    CASE WHEN sys = 1 THEN l_partkey % 7 ELSE 0 END AS fcn, 315964782000000 + (2000 + l_orderkey % 9) * 604800000000 + (l_orderkey % 604800) * 1000000 + 250000 AS time_us, n AS n_observations FROM k""")
 def _(s: SparkSession, d: str) -> DataFrame:
     o = readers.range_observations(range_messages(s, d), "message")
     return o.select("l_orderkey", F.col("position").cast("long").alias("position"), F.col("sys").cast("long").alias("sys"), F.col("sat").cast("long").alias("sat"), F.col("obs").cast("long").alias("obs"), "range", "phase", F.col("fcn").cast("long").alias("fcn"), F.unix_micros("time").alias("time_us"), F.col("n_observations").cast("long").alias("n_observations"))
@@ -141,25 +143,30 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *[w[k].alias(k) for k in ("channel", "phase_lock", "system", "signal", "prn_lock")])
 
 
+def _of_stations(messages: DataFrame) -> DataFrame:
+    """Messages with their station; equal times belong to one station here."""
+    return messages.withColumn("station", F.concat(F.lit("S"), (F.col("l_orderkey") % 3).cast("string")))
+
+
 @query("W2_observation_table", f"""WITH {_OBS}, m AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, sys, l_linenumber, obs ORDER BY rn DESC) AS r1 FROM k),
-    t AS (SELECT *, (2000 + l_orderkey % 900) * 604800000 + (l_orderkey % 604800) * 1000 AS ms FROM m WHERE r1 = 1),
+    t AS (SELECT *, (2000 + l_orderkey % 9) * 604800000 + (l_orderkey % 604800) * 1000 AS ms FROM m WHERE r1 = 1),
     u AS (SELECT *, row_number() OVER (PARTITION BY ms, sys, l_linenumber, obs ORDER BY l_orderkey) AS r2 FROM t)
     SELECT l_orderkey, sys, CAST(l_linenumber AS BIGINT) AS sat, obs, round(l_extendedprice, 3) AS range FROM u WHERE r2 = 1""")
 def _(s: SparkSession, d: str) -> DataFrame:
     """From raw strings to the table: the last of repeats within a message, the first of repeats between messages."""
-    path = fresh_path(s, "observations")  # by year, as these made-up messages lie weeks apart
-    jobs.write_range_strings(range_messages(s, d), path, ["l_orderkey"])
+    path = fresh_path(s, "observations")
+    jobs.write_range_strings(_of_stations(range_messages(s, d)), path, ["l_orderkey"])
     t = s.read.parquet(path)
     return t.select("l_orderkey", F.col("sys").cast("long").alias("sys"), F.col("sat").cast("long").alias("sat"), F.col("obs").cast("long").alias("obs"), "range")
 
 
 @query("W3_bulk_messages", f"""WITH {_OBS}, m AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, sys, l_linenumber, obs ORDER BY rn DESC) AS r1 FROM k),
-    t AS (SELECT *, (2000 + l_orderkey % 900) * 604800000 + (l_orderkey % 604800) * 1000 AS ms FROM m WHERE r1 = 1),
+    t AS (SELECT *, (2000 + l_orderkey % 9) * 604800000 + (l_orderkey % 604800) * 1000 AS ms FROM m WHERE r1 = 1),
     u AS (SELECT *, row_number() OVER (PARTITION BY ms, sys, l_linenumber, obs ORDER BY l_orderkey) AS r2 FROM t)
     SELECT sys, CAST(l_linenumber AS BIGINT) AS sat, count(*) AS n, round(sum(round(l_extendedprice, 3)), 2) AS total FROM u WHERE r2 = 1 GROUP BY 1, 2""")
 def _(s: SparkSession, d: str) -> DataFrame:
     """Two batches of raw strings, the second with all of them again: what is there already stays."""
-    path, m = fresh_path(s, "observations"), range_messages(s, d)
+    path, m = fresh_path(s, "observations"), _of_stations(range_messages(s, d))
     for batch in (m.where("l_orderkey % 2 = 0"), m):
         jobs.write_range_strings(batch, path, ["l_orderkey"])
     t = s.read.parquet(path)
@@ -188,22 +195,21 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @query("R8_message_dispatch", f"SELECT {_FRAMED} AS name, CASE WHEN event_type = 'error' THEN 'bad' ELSE 'ok' END AS status, count(*) AS n FROM events GROUP BY 1, 2")
 def _(s: SparkSession, d: str) -> DataFrame:
-    m = readers.framed_messages(framed_texts(s, d), "text")
-    good = None
-    for df in readers.by_log_name(m).values():
-        good = df if good is None else good.unionByName(df)
-    return good.unionByName(m.where("status != 'ok'")).groupBy("name", "status").agg(F.count("*").alias("n"))
+    """Texts parsed once into a table for each log and one for failures, and what each table holds."""
+    logs = readers.dispatch(readers.framed_messages(framed_texts(s, d), "text"), fresh_path(s, "logs"))
+    return model_io.merged([df.groupBy("name", "status").agg(F.count("*").alias("n")) for df in logs.values()])
 
 
 @query("R5_ins_positions", f"WITH {SHOTS} SELECT event_id, 315964782000000 + 2200 * 604800000000 + event_id * 1000000 + 500000 AS time_us, round(latitude, 6) AS latitude, value AS height, 3.0::DOUBLE AS azimuth FROM shots WHERE event_type = 'view'")
 def _(s: SparkSession, d: str) -> DataFrame:
-    p = readers.ins_positions(readers.by_log_name(readers.framed_messages(framed_texts(s, d), "text"))["INSPVAA"])
+    m = readers.framed_messages(framed_texts(s, d), "text").where("status = 'ok' and name = 'INSPVAA'")
+    p = readers.ins_positions(m)
     return p.select("event_id", F.unix_micros("time").alias("time_us"), F.round("latitude", 6).alias("latitude"), "height", "azimuth")
 
 
 @query("R6_ins_deviations", "SELECT event_id, 315964782000000 + 2200 * 604800000000 + event_id * 1000000 AS time_us, 0.1::DOUBLE AS latitude_std, (event_id % 3)::DOUBLE AS azimuth_std FROM events WHERE event_type = 'click'")
 def _(s: SparkSession, d: str) -> DataFrame:
-    m = readers.by_log_name(readers.framed_messages(framed_texts(s, d), "text"))["INSSTDEVA"]
+    m = readers.framed_messages(framed_texts(s, d), "text").where("status = 'ok' and name = 'INSSTDEVA'")
     p = readers.ins_deviations(m, T.gps_to_utc(F.get("header", 5).try_cast("int"), F.get("header", 6).try_cast("double")))
     return p.select("event_id", F.unix_micros("time").alias("time_us"), "latitude_std", "azimuth_std")
 
@@ -337,7 +343,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     path = fresh_path(s, "text")
     o = table(s, d, "orders").select("o_orderdate", "o_orderkey", F.col("o_orderkey").cast("string").alias("m"))
     sinks.write_range_text(o, path, "m", ["o_orderdate", "o_orderkey"])
-    lines = readers.read_lines(s, path).where("text != ''")
+    lines = readers.numbered_lines(readers.read_lines(s, path))
     sizes = lines.groupBy("file").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return lines.join(sizes.select("file", before.alias("before")), "file").select((F.col("line") + 1 + F.col("before")).alias("position"), F.col("text").cast("long").alias("o_orderkey"))
@@ -460,9 +466,54 @@ def _positions(s: SparkSession, d: str) -> DataFrame:
     return e.select("station", "day", "event_id", F.col("pingTime").alias("time"), F.col("east0").alias("east"), F.col("north0").alias("north"), F.col("up0").alias("up"))
 
 
-@query("K1_smoothed_positions")
-def _(s: SparkSession, d: str) -> DataFrame:
-    return refine.smooth(refine.prepare_kinematic(_positions(s, d), ["time", "event_id"]))
+_UPDATED = """station, day, axis, i, t, m0, m1, p00, p01, p11, p00 + 0.01 AS s0, m0 + p00 / s0 * (p - m0) AS n0, m1 + p01 / s0 * (p - m0) AS n1, p00 * 0.01 / s0 AS b00, p01 * 0.01 / s0 AS b01, p11 - p01 * p01 / s0 AS b11,
+    b11 + 0.01 AS s1, v - n1 AS e, n0 + b01 / s1 * e AS f0, n1 + b11 / s1 * e AS f1, b00 - b01 * b01 / s1 AS c00, b01 * 0.01 / s1 AS c01, b11 * 0.01 / s1 AS c11"""
+_STATE = "station, day, axis, i, t, f0, f1, c00, c01, c11"
+#: The smoother row by row: measurements of deviation 0.1, process noise 0.1, wide start.
+_SMOOTHED = f"""WITH RECURSIVE {SHOTS}, c AS (SELECT CAST(user_id % 5 AS VARCHAR) AS station, CAST(ts AS DATE) AS day, event_id, pingTime AS t, east0 AS x, north0 AS y, up0 AS z FROM shots WHERE event_type = 'click'),
+    w AS (SELECT *, lag(t) OVER o AS pt, (x - lag(x) OVER o) / nullif(t - lag(t) OVER o, 0) AS vx, (y - lag(y) OVER o) / nullif(t - lag(t) OVER o, 0) AS vy, (z - lag(z) OVER o) / nullif(t - lag(t) OVER o, 0) AS vz
+          FROM c WINDOW o AS (PARTITION BY station, day ORDER BY t, event_id)),
+    u AS (SELECT station, day, t, x, y, z, CASE WHEN pt IS NULL THEN lead(vx) OVER o ELSE vx END AS vx, CASE WHEN pt IS NULL THEN lead(vy) OVER o ELSE vy END AS vy, CASE WHEN pt IS NULL THEN lead(vz) OVER o ELSE vz END AS vz
+          FROM w WINDOW o AS (PARTITION BY station, day ORDER BY t, event_id)),
+    g AS (SELECT *, abs(vx) - avg(abs(vx)) OVER k AS dx, stddev_pop(abs(vx)) OVER k AS sx, abs(vy) - avg(abs(vy)) OVER k AS dy, stddev_pop(abs(vy)) OVER k AS sy, abs(vz) - avg(abs(vz)) OVER k AS dz, stddev_pop(abs(vz)) OVER k AS sz
+          FROM u WINDOW k AS (PARTITION BY station, day)),
+    f AS (SELECT station, day, t, x, y, z, vx, vy, vz, row_number() OVER (PARTITION BY station, day ORDER BY t, vx, vy, vz, x, y, z) AS i FROM g
+          WHERE vx IS NOT NULL AND vy IS NOT NULL AND vz IS NOT NULL AND CASE WHEN sx = 0 THEN 0 ELSE dx / sx END < 4 AND CASE WHEN sy = 0 THEN 0 ELSE dy / sy END < 4 AND CASE WHEN sz = 0 THEN 0 ELSE dz / sz END < 4),
+    a AS (SELECT station, day, 'x' AS axis, i, t, x AS p, vx AS v FROM f UNION ALL SELECT station, day, 'y', i, t, y, vy FROM f UNION ALL SELECT station, day, 'z', i, t, z, vz FROM f),
+    fw AS (
+        SELECT {_STATE} FROM (SELECT {_UPDATED} FROM (SELECT *, p AS m0, v AS m1, 1e6::DOUBLE AS p00, 0.0::DOUBLE AS p01, 1e4::DOUBLE AS p11 FROM a WHERE i = 1))
+        UNION ALL
+        SELECT {_STATE} FROM (SELECT {_UPDATED} FROM (
+            SELECT a.*, a.t - fw.t AS h, f0 + h * f1 AS m0, f1 AS m1, c00 + 2 * h * c01 + h * h * c11 + 0.01 * h * h * h / 3 AS p00, c01 + h * c11 + 0.01 * h * h / 2 AS p01, c11 + 0.01 * h AS p11
+            FROM fw JOIN a ON a.station = fw.station AND a.day = fw.day AND a.axis = fw.axis AND a.i = fw.i + 1))),
+    ends AS (SELECT station, day, max(i) AS n FROM f GROUP BY station, day),
+    bw AS (
+        SELECT fw.*, f0 AS x0, f1 AS x1, c00 AS v00, c01 AS v01, c11 AS v11 FROM fw JOIN ends ON fw.station = ends.station AND fw.day = ends.day AND fw.i = ends.n
+        UNION ALL
+        SELECT station, day, axis, i, t, f0, f1, c00, c01, c11, f0 + g00 * (y0 - m0) + g01 * (y1 - f1), f1 + g10 * (y0 - m0) + g11 * (y1 - f1),
+               c00 + g00 * g00 * d00 + 2 * g00 * g01 * d01 + g01 * g01 * d11, c01 + g00 * g10 * d00 + (g00 * g11 + g01 * g10) * d01 + g01 * g11 * d11, c11 + g10 * g10 * d00 + 2 * g10 * g11 * d01 + g11 * g11 * d11
+        FROM (
+            SELECT fw.*, bw.x0 AS y0, bw.x1 AS y1, bw.t - fw.t AS h, fw.f0 + h * fw.f1 AS m0, fw.c00 + 2 * h * fw.c01 + h * h * fw.c11 + 0.01 * h * h * h / 3 AS p00, fw.c01 + h * fw.c11 + 0.01 * h * h / 2 AS p01,
+                   fw.c11 + 0.01 * h AS p11, p00 * p11 - p01 * p01 AS det, bw.v00 - p00 AS d00, bw.v01 - p01 AS d01, bw.v11 - p11 AS d11,
+                   ((fw.c00 + h * fw.c01) * p11 - fw.c01 * p01) / det AS g00, (fw.c01 * p00 - (fw.c00 + h * fw.c01) * p01) / det AS g01,
+                   ((fw.c01 + h * fw.c11) * p11 - fw.c11 * p01) / det AS g10, (fw.c11 * p00 - (fw.c01 + h * fw.c11) * p01) / det AS g11
+            FROM bw JOIN fw ON fw.station = bw.station AND fw.day = bw.day AND fw.axis = bw.axis AND fw.i = bw.i - 1))"""
+
+
+@query("K1_smoothed_positions", f"""{_SMOOTHED} SELECT station, day::VARCHAR AS day, round(t, 3) AS time, round(max(CASE axis WHEN 'x' THEN x0 END), 3) AS ant_x, round(max(CASE axis WHEN 'y' THEN x0 END), 3) AS ant_y, round(max(CASE axis WHEN 'z' THEN x0 END), 3) AS ant_z,
+    round(max(CASE axis WHEN 'x' THEN sqrt(v00) END), 6) AS sig_x, round(max(CASE axis WHEN 'y' THEN sqrt(v00) END), 6) AS sig_y, round(max(CASE axis WHEN 'z' THEN sqrt(v00) END), 6) AS sig_z FROM bw GROUP BY station, day, i, t""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    r = refine.smooth(refine.prepare_kinematic(_positions(s, d), ["time", "event_id"]))
+    places = [F.round(f"ant_{a}", 3).alias(f"ant_{a}") for a in "xyz"]
+    return r.select("station", F.col("day").cast("string").alias("day"), F.round("time", 3).alias("time"), *places, *[F.round(f"sig_{a}", 6).alias(f"sig_{a}") for a in "xyz"])
+
+
+@query("J15_smoothed_with_deviations", f"""{_SMOOTHED} SELECT axis, count(*) AS n, round(avg(sqrt(v00)), 5) AS mean_sig, round(max(sqrt(v00)), 5) AS max_sig, round(avg(x0), 2) AS mean_place FROM bw GROUP BY axis""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Smoothed states and their deviations, side by side in one row."""
+    r = refine.smooth(refine.prepare_kinematic(_positions(s, d), ["time", "event_id"]))
+    axes = F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.col(f"ant_{a}").alias("x"), F.col(f"sig_{a}").alias("sig")) for a in "xyz"])).alias("a")
+    return r.select(axes).groupBy("a.axis").agg(F.count("*").alias("n"), F.round(F.avg("a.sig"), 5).alias("mean_sig"), F.round(F.max("a.sig"), 5).alias("max_sig"), F.round(F.avg("a.x"), 2).alias("mean_place"))
 
 
 @query("K2_refined_shots")
@@ -512,36 +563,42 @@ def _(s: SparkSession, d: str) -> DataFrame:
     """Files are read by a stream into a table; a second run finds nothing new."""
     files, out, state = event_log_files(s, d), fresh_path(s, "stream"), fresh_path(s, "state")
     for _run in range(2):
-        stream = ingest.stream_event_files(s, files).select("file", "line", F.col("event.event").alias("kind"))
+        stream = ingest.stream_event_files(s, files).select("file", F.col("event.event").alias("kind"))
         stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
-    r = s.read.schema("file string, line int, kind string").parquet(out)
+    r = s.read.schema("file string, kind string").parquet(out)
     return r.groupBy((F.regexp_extract("file", r"f=(\d+)", 1).cast("long") % 20).alias("file")).agg(F.count("*").alias("n"), F.count(F.when(F.col("kind") == "interrogation", 1)).alias("pings"))
 
 
-@query("Z2_two_tables", f"WITH {SHOTS} SELECT count(*) AS shots, (SELECT count(*) FROM shots WHERE event_type IN ('view', 'click', 'purchase', 'signup') AND event_id % 4 = 0) AS messages FROM shots WHERE event_type IN ('click', 'purchase')")
+@query("Z2_two_tables", f"""WITH {SHOTS} SELECT (SELECT count(*) FROM shots WHERE event_type IN ('click', 'purchase')) AS shots, count(*) AS observations,
+    round(sum(round(value, 3)), 2) AS total_range, CAST(sum(user_id % 32) AS BIGINT) AS satellites, 0 AS batches_again FROM shots WHERE event_type != 'error' AND event_id % 4 = 0""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    """A stream of event files feeds two tables with unique keys."""
-    files, shot_path, obs_path = event_log_files(s, d), fresh_path(s, "shots"), fresh_path(s, "observations")
+    """A stream of event files feeds two tables with unique keys, shots and the decoded observations; then it runs again from the start."""
+    files, shot_path, obs_path, ledger = event_log_files(s, d, observed=True), fresh_path(s, "shots"), fresh_path(s, "observations"), fresh_path(s, "ledger")
 
     def replies(df: DataFrame) -> DataFrame:
         r = df.where("event.event = 'range'").select(*pairing.reply_fields(), F.col("event.event_id").alias("pingTime"))
         return r.select("pingTime", "transponderID", "returnTime", "tt", F.to_date(T.seconds_to_timestamp(F.col("returnTime"))).alias("day"))
 
-    def messages(df: DataFrame) -> DataFrame:
-        day = F.to_date(T.seconds_to_timestamp(F.col("event.time.common"))).alias("day")
-        return df.where("event.observations.NOV_RANGE.raw is not null").select("file", "line", F.col("event.event_id").alias("time"), F.lit(0).alias("sys"), F.lit(0).alias("sat"), F.lit(0).alias("obs"), F.lit(0).alias("position"), day)
-
-    stream = ingest.stream_event_files(s, files)
-    ingest.run_available(stream, fresh_path(s, "state"), ingest.two_tables(replies, messages, shot_path, obs_path)).awaitTermination()
+    batches = []
+    for _run in range(2):  # the second run has lost its checkpoint, so it gets all files again
+        write = ingest.two_tables(replies, ingest.event_observations, shot_path, obs_path)
+        written = ingest.once(ledger, "events", write)
+        ingest.run_available(ingest.stream_event_files(s, files), fresh_path(s, "state"), written).awaitTermination()
+        batches.append(s.read.parquet(ledger).count())
     a = s.read.parquet(shot_path).agg(F.count("*").alias("shots"))
-    return a.crossJoin(s.read.parquet(obs_path).agg(F.count("*").alias("messages")))
+    b = s.read.parquet(obs_path).agg(F.count("*").alias("observations"), F.round(F.sum("range"), 2).alias("total_range"), F.sum("sat").alias("satellites"))
+    return a.crossJoin(b).withColumn("batches_again", F.lit(batches[1] - batches[0]))
 
 
 def _event_stream(s: SparkSession, d: str) -> DataFrame:
-    """events as a stream of files with a time stamp."""
+    """events as a stream of four files, one batch each, that arrive in the order of their times."""
     path = fresh_path(s, "events")
-    table(s, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts")).repartitionByRange(4, "ts").write.parquet(path)
-    return s.readStream.schema("event_id long, user_id long, ts timestamp").parquet(path)
+    e = table(s, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    span = e.agg(F.min(F.unix_seconds("ts")).alias("lo"), F.max(F.unix_seconds("ts")).alias("hi"))
+    cut = e.crossJoin(F.broadcast(span)).withColumn("quarter", F.floor((F.unix_seconds("ts") - F.col("lo")) * 4 / (F.col("hi") - F.col("lo") + 1)))
+    for k in range(4):  # files are read in the order in which they were written
+        cut.where(F.col("quarter") == k).select(e.columns).repartition(1).write.mode("append").parquet(path)
+    return s.readStream.schema("event_id long, user_id long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(path)
 
 
 @query("Z3_stream_unique", "SELECT count(DISTINCT user_id) AS users, true AS within FROM events")
@@ -566,9 +623,24 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @query("job_residual_report", f"WITH {SHOTS} SELECT transponderID, count(*) AS n, round(quantile_cont(abs(value), 0.5), 6) AS median FROM shots WHERE abs(value) < 50 GROUP BY transponderID")
 def _(s: SparkSession, d: str) -> DataFrame:
-    e = shots(s, d)
-    q = report.residual_quartiles(e, "value", 50.0, ["transponderID"]).select("transponderID", F.round("median", 6).alias("median"))
-    return e.where(F.abs("value") < 50).groupBy("transponderID").agg(F.count("*").alias("n")).join(q, "transponderID")
+    """The report job's tables by transponder: shares of rows below the limit, and their medians."""
+    e = shots(s, d).select(F.col("transponderID").alias("MT"), F.lit(False).alias("flag"), F.col("value").alias("ResiTT"), F.col("snr").alias("TakeOff"), F.col("value").alias("head1"))
+    r = jobs.residual_report(e, s.createDataFrame([(2.0,)], "speed double"), keys=["MT"])  # at that speed the range is the time
+    return r["inside"].join(r["quartiles"], "MT").select(F.col("MT").alias("transponderID"), "n", F.round("median", 6).alias("median"))
+
+
+@query("job_ingest_catalog", """WITH f AS (SELECT s_suppkey AS k, CASE s_suppkey % 6 WHEN 0 THEN 'rinex2' WHEN 1 THEN 'novatel770' WHEN 2 THEN 'qcpin' WHEN 3 THEN 'ctd' WHEN 4 THEN 'kin' END AS type FROM supplier)
+    SELECT type, count(*) AS n, min(k) AS first_file, max(k) AS last_file, 'NET' AS network FROM f WHERE type IS NOT NULL AND k % 7 != 0 GROUP BY type""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """A folder's files of known kinds, entered in the stored catalogue; more files arrive, and it is entered again."""
+    name = F.element_at(F.array(*[F.lit(x) for x in ("site%d.23o", "a_NOV770_%d", "pings%d.pin", "CTD_%d.txt", "kin_%d", "notes%d.md")]), (F.col("s_suppkey") % 6 + 1).cast("int"))
+    files = table(s, d, "supplier").select("s_suppkey", F.regexp_replace(name, "%d", F.col("s_suppkey").cast("string")).alias("name"), F.when(F.col("s_suppkey") % 7 == 0, "").otherwise("data").alias("text"))
+    folder, stored = fresh_path(s, "raw"), CatalogTable(s, fresh_path(s, "catalogue"), "network string, station string, campaign string, type string, local_path string")
+    for part in (files.where("s_suppkey % 2 = 0"), files.where("s_suppkey % 2 = 1")):
+        named_files(part.select("name", "text"), folder)
+        found = jobs.ingest_catalog(s, folder, stored, "NET", "STA", "2023_A_TEST")
+    k = F.regexp_extract("local_path", r"(\d+)(\.\w+)?$", 1).cast("long")
+    return found.groupBy("type", "network").agg(F.count("*").alias("n"), F.min(k).alias("first_file"), F.max(k).alias("last_file"))
 
 
 @query("job_pin_files_to_shots", f"""WITH {SHOTS}, q AS (SELECT *, CASE WHEN event_type = 'view' THEN 'interrogation' ELSE 'uid' || (event_id % 3) END AS name FROM shots WHERE event_type IN ('view', 'click')),

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fathom.functions.text import GLONASS, GPS, SYSTEMS, hex_to_long, tracking_word
 from fathom.functions.timeutil import gps_to_utc, rinex_time
 from fathom.schemas import EVENT, SCHEMAS
+from fathom.sources.workspace import stable
 
 # ---------------------------------------------------------------- events
 
@@ -16,21 +17,39 @@ PIN_ENTRIES = f"map<string, {EVENT}>"
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, line, text) of text files, lines numbered from 0 in file order.
+    """(file, part, line, text) of text files, which are read in splits: within a file, (part, line) is the order of the lines.
 
-    A file is read whole, since line order is what pairs its events; files are many and small.
+    part is the byte at which a split begins; line counts the lines of a task, so it orders those of one part, but may be
+    another number when the files are read again. numbered_lines() gives numbers that stay.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    return whole.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
+    text = F.regexp_replace("value", r"\r$", "")
+    raw = spark.read.option("lineSep", "\n").text(path)
+    return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("line"), text.alias("text"))
 
 
-def read_event_logs(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, line, event, status) of logs with one JSON event per line; status ok, failed or ignored (other events)."""
-    lines = read_lines(spark, path).where(F.trim("text") != "")
-    parsed = lines.withColumn("event", F.from_json("text", EVENT, {"mode": "PERMISSIVE"}))
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """(file, line, text) of read_lines(), lines numbered from 0 in each file: those of each part are counted, and added up part by part.
+
+    The lines must be all lines of the files, as they are numbered without gaps.
+    """
+    kept = stable(lines, "lines")
+    counts = kept.groupBy("file", "part").agg(F.min("line").alias("_first"), F.count("*").alias("_n"))
+    ahead = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("file", "part", (F.coalesce(F.sum("_n").over(ahead), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return kept.join(starts, ["file", "part"]).select("file", (F.col("line") + F.col("_shift")).alias("line"), "text")
+
+
+def parsed_events(lines: DataFrame) -> DataFrame:
+    """Lines with one JSON event each as (file, part, line, event, status): status ok, failed or ignored (other events)."""
+    parsed = lines.where(F.trim("text") != "").withColumn("event", F.from_json("text", EVENT, {"mode": "PERMISSIVE"}))
     kind = F.col("event.event")
     status = F.when(kind.isNull(), "failed").when(~kind.isin("interrogation", "range"), "ignored").otherwise("ok")
-    return parsed.select("file", "line", "event", status.alias("status"))
+    return parsed.select("file", "part", "line", "event", status.alias("status"))
+
+
+def read_event_logs(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The events of logs, with (file, part, line) as read_lines() has them."""
+    return parsed_events(read_lines(spark, path))
 
 
 def read_pin_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -67,10 +86,19 @@ def framed_messages(df: DataFrame, text: str) -> DataFrame:
     return found.select(*df.columns, "message", h(0).alias("name"), F.col("_head").alias("header"), body.alias("body"), F.when(F.coalesce(ok, F.lit(False)), "ok").otherwise("bad").alias("status"))
 
 
-def by_log_name(messages: DataFrame) -> dict[str, DataFrame]:
-    """Good messages by log name."""
-    good = messages.where("status = 'ok'")
-    return {n: good.where(F.col("name") == n) for n in ("RANGEA", "INSPVAA", "INSSTDEVA")}
+#: Logs that are told apart, and the place of messages that are none of them or are malformed.
+LOGS, OTHER = ("RANGEA", "INSPVAA", "INSSTDEVA"), "other"
+
+
+def dispatch(messages: DataFrame, path: str) -> dict[str, DataFrame]:
+    """Framed messages written once, a folder for each log name, and a table of each from there: RANGEA, INSPVAA, INSSTDEVA and other.
+
+    The texts are parsed once, and who reads one log reads its folder alone.
+    """
+    known = F.when((F.col("status") == "ok") & F.col("name").isin(*LOGS), F.col("name")).otherwise(F.lit(OTHER))
+    messages.withColumn("log", known).write.partitionBy("log").parquet(path)
+    found = messages.sparkSession.read.schema(messages.withColumn("log", known).schema).parquet(path)
+    return {n: found.where(F.col("log") == n).drop("log") for n in (*LOGS, OTHER)}
 
 
 def _doubles(body: str, first: int, names: list[str]) -> list[Column]:
@@ -146,10 +174,10 @@ def last_of_message(obs: DataFrame, message_keys: list[str]) -> DataFrame:
 
 def read_profile_text(spark: SparkSession, path: str | list[str], depth: int = 0, speed: int = 5) -> DataFrame:
     """Sound-speed rows (file, depth, speed) of texts whose data follow a line that starts with *END*."""
-    lines = read_lines(spark, path)
-    ends = lines.where(F.col("text").startswith("*END*")).groupBy("file").agg(F.min("line").alias("_end"))
+    lines = stable(read_lines(spark, path), "profile").withColumn("at", F.struct("part", "line"))
+    ends = lines.where(F.col("text").startswith("*END*")).groupBy("file").agg(F.min("at").alias("_end"))
     parts = F.split(F.trim("text"), r"\s+")
-    out = lines.join(ends, "file").where("line > _end").select("file", "line", F.get(parts, F.lit(depth)).try_cast("double").alias("depth"), F.get(parts, F.lit(speed)).try_cast("double").alias("speed"))
+    out = lines.join(ends, "file").where("at > _end").select("file", "part", "line", F.get(parts, F.lit(depth)).try_cast("double").alias("depth"), F.get(parts, F.lit(speed)).try_cast("double").alias("speed"))
     return out.dropna()
 
 
@@ -183,7 +211,7 @@ _ITERATION = {"inv_type": (1, "int"), "iteration": (4, "int"), "rms_tt": (7, "do
 def read_iterations(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The iteration lines of model logs: file, line, inv_type, iteration, rms_tt, used_percent, reject, max_dx, hgt."""
     parts = F.split(F.trim("text"), r"\s+")
-    lines = read_lines(spark, path).where(F.col("text").startswith("#Inversion-type"))
+    lines = numbered_lines(read_lines(spark, path)).where(F.col("text").startswith("#Inversion-type"))
     out = lines.select("file", "line", *[F.regexp_replace(F.get(parts, F.lit(i)), "[%,]", "").try_cast(t).alias(n) for n, (i, t) in _ITERATION.items()])
     return out.dropna(subset=["inv_type", "iteration"])
 
@@ -214,7 +242,7 @@ def read_table_csv(spark: SparkSession, path: str | list[str], table: str) -> Da
 
 def read_model_output(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Model output: a line to skip, a header, rows; columns by their names in the header."""
-    lines = read_lines(spark, path).where(F.trim("text") != "")
+    lines = numbered_lines(read_lines(spark, path)).where(F.trim("text") != "")
     head = lines.where("line = 1").select("file", F.split("text", ",").alias("_names"))
     rows = lines.where("line > 1").join(head, "file").select("file", F.map_from_arrays(F.transform("_names", lambda x: F.trim(x)), F.split("text", ",")).alias("_v"))
     return rows.select("file", *[F.trim(F.col("_v")[f.name]).try_cast(f.dataType).alias(f.name) for f in SCHEMAS["model_output"].fields])

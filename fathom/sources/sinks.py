@@ -21,7 +21,8 @@ def _aside(path: str) -> str:
     return f"{path.rstrip('/')}__{uuid.uuid4().hex}"
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a table's folder, or one of its partitions'."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
@@ -46,7 +47,24 @@ def append_unique(df: DataFrame, path: str, keys: list[str], partition: list[str
         new = spark.read.schema(df.schema).parquet(aside)
     new.hint("rebalance", *partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
     if aside:
-        _drop(spark, aside)
+        remove(spark, aside)
+
+
+def replace_partitions(spark: SparkSession, path: str, partition: str, touched: DataFrame, rows: DataFrame) -> None:
+    """Puts `rows` in the place of all rows of the touched partitions of a table; those that get none are removed.
+
+    The rows may be read from the table itself, so they are written beside it first.
+    """
+    aside = _aside(path)
+    rows.write.partitionBy(partition).parquet(f"{aside}/rows")
+    touched.select(partition).distinct().write.parquet(f"{aside}/touched")
+    new = spark.read.schema(rows.schema).parquet(f"{aside}/rows")
+    empty = spark.read.parquet(f"{aside}/touched").join(new.select(partition).distinct(), partition, "left_anti")
+    new.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    for r in empty.toLocalIterator():
+        name = "__HIVE_DEFAULT_PARTITION__" if r[0] is None else spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(r[0]))
+        remove(spark, f"{path}/{partition}={name}")
+    remove(spark, aside)
 
 
 def compact(spark: SparkSession, path: str, partition: list[str]) -> None:
@@ -55,7 +73,7 @@ def compact(spark: SparkSession, path: str, partition: list[str]) -> None:
     aside = _aside(path)
     df.hint("rebalance", *partition).write.partitionBy(*partition).parquet(aside)
     spark.read.schema(df.schema).parquet(aside).hint("rebalance", *partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
-    _drop(spark, aside)
+    remove(spark, aside)
 
 
 def daily_observations(obs: DataFrame, marker: str, ts: str, year: int = 0, every_millis: int = 0, hours: int = 24) -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
@@ -26,3 +29,25 @@ def text_files(df: DataFrame, file: str, text: str, order: list[str], name: str)
     path = fresh_path(df.sparkSession, name)
     df.repartition(file).sortWithinPartitions(file, *order).select(file, text).write.partitionBy(file).text(path)
     return f"{path}/*"
+
+
+def stable(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once and read from there: for what must not come out otherwise when it is worked out again."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def named_files(df: DataFrame, folder: str) -> None:
+    """Writes a file of each row (name, text) into a folder, from the tasks. The folder must be of a kind that Arrow can open."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(root)
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with fs.open_output_stream(f"{root}/{name}") as out:
+                    out.write(text.encode())
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["name"])
+
+    df.mapInArrow(write, "name string").write.format("noop").mode("overwrite").save()

@@ -1,14 +1,17 @@
 """Operators on tiny frames with answers worked out by hand."""
 
 import datetime as dt
+import json
 import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fathom.functions import config, geo, text, timeutil
 from fathom.operators import catalog, filters, pairing, refine, report, smoothing, surveys, temporal, validate
+from fathom.plans import jobs
 from fathom.sources import readers, sinks
 from fathom.streaming import ingest
 
@@ -53,8 +56,53 @@ def test_intervals_that_touch_are_merged(spark):
 
 def test_failed_ping_hides_older_ones(spark):
     e = spark.createDataFrame([("f", 0, "interrogation", 1), ("f", 1, "range", None), ("f", 2, "interrogation", None), ("f", 3, "range", None), ("f", 4, "interrogation", 7), ("f", 5, "range", None), ("f", 6, "range", None), ("g", 0, "range", None)], "file string, line int, kind string, v int")
-    p = pairing.pair_with_last(e, "file", ["line"], "kind", "interrogation", "range", F.col("v"), F.col("v").isNotNull())
-    assert rows(p.select("file", "line", "ping.value"), "file", "line", "value") == [("f", 1, 1), ("f", 5, 7), ("f", 6, 7)]
+    for size in (100, 3, 2, 1):  # in parts, the last ping of the parts before is carried on
+        parts = e.withColumn("part", F.floor(F.col("line") / size))
+        p = pairing.pair_with_last(parts, "file", "part", ["line"], "kind", "interrogation", "range", F.col("v"), F.col("v").isNotNull())
+        assert rows(p.select("file", "line", "ping.value"), "file", "line", "value") == [("f", 1, 1), ("f", 5, 7), ("f", 6, 7)]
+
+
+def test_logs_in_splits_give_the_rows_of_whole_files(spark, tmp_path):
+    """Two logs of 300 kB and small ones, read in splits of 10 kB: the lines, their numbers and the shots are those of whole files."""
+    event = lambda kind, i, t: '{"event": "%s", "event_id": %d, "time": {"common": %.1f}, "range": {"cn": "IR1", "range": 1.5, "tat": 320.0}}' % (kind, i, t)
+    rng = np.random.default_rng(6)
+    for name, n in (("a", 2500), ("b", 2500), ("c", 3), ("d", 1), ("e", 0)):
+        kinds = [("interrogation" if x < 0.02 else "range" if x < 0.9 else "status" if x < 0.95 else None) for x in rng.random(n)]
+        lines = ["broken {" if k is None else "" if k == "status" and i % 2 else event(k, i, i / 10) for i, k in enumerate(kinds)]
+        (tmp_path / f"{name}.log").write_bytes(("\r\n" if name == "b" else "\n").join(lines).encode() + b"\n" * (n > 3))
+    want_lines, want_shots = [], []
+    for f in sorted(tmp_path.glob("*.log")):
+        ping = None
+        for i, text in enumerate(f.read_text().replace("\r\n", "\n").split("\n")):
+            if text:
+                want_lines.append((f.name, i, text))
+            e = json.loads(text) if text.startswith("{") else {}
+            if e.get("event") == "interrogation":
+                ping = e["event_id"]
+            if e.get("event") == "range" and ping is not None:
+                want_shots.append((f.name, e["event_id"], ping / 10 + 18))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
+    try:
+        lines = readers.read_lines(spark, str(tmp_path))
+        assert lines.select("file", "part").distinct().count() > 50
+        name = F.regexp_extract("file", "[^/]+$", 0).alias("file")
+        assert rows(readers.numbered_lines(lines).where("text != ''").select(name, "line", "text"), "file", "line", "text") == sorted(want_lines, key=str)
+        shots = jobs.shots_from_logs(spark, str(tmp_path)).select(name, "event_id", F.round("pingTime", 6).alias("pingTime"))
+        assert rows(shots, "file", "event_id", "pingTime") == sorted(((f, i, round(p, 6)) for f, i, p in want_shots), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_ranks_need_no_window_over_a_key(spark):
+    """Nine tenths of the rows have one key, some keys are null; places are those of a window."""
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(None if k == 3 else "hot" if k else "cold", float(x), i) for i, (k, x) in enumerate(zip(rng.integers(0, 20, 3000), rng.integers(0, 50, 3000), strict=True))], "k string, x double, i long")
+    want = df.withColumn("position", F.row_number().over(Window.partitionBy("k").orderBy("x", "i")))
+    got = temporal.ranked(df, ["k"], ["x", "i"])
+    assert rows(got, "i", "position") == rows(want, "i", "position")
+    everything = temporal.ranked(df, [], ["x", "i"])
+    assert rows(everything, "i", "position") == rows(df.withColumn("position", F.row_number().over(Window.orderBy("x", "i"))), "i", "position")
 
 
 def test_reply_without_range_is_rejected(spark):
@@ -219,16 +267,20 @@ def test_kernel_interpolation_equals_its_closed_form(spark, alpha):
 
 
 def test_quantiles_by_ranges_are_exact(spark, monkeypatch):
-    monkeypatch.setattr(report, "RANGES", 7)
+    monkeypatch.setattr(report, "BUCKETS", 7)
+    monkeypatch.setattr(report, "SORTED", 3)
     rng = np.random.default_rng(3)
-    data = {"a": rng.normal(size=501), "b": rng.integers(0, 4, 300).astype(float), "c": np.array([2.0]), "d": np.array([1.0, 2.0])}
+    data = {"a": rng.normal(size=501), "b": rng.integers(0, 4, 300).astype(float), "c": np.array([2.0]), "d": np.array([1.0, 2.0]), "f": np.array([0.0] * 450 + list(rng.normal(size=50))), "g": np.array([-1.7e308, 1e-300, 2e-300, 1e300, 1.7e308])}
     df = spark.createDataFrame([(k, float(x)) for k, v in data.items() for x in v] + [("a", None), ("a", math.nan), ("e", None)], "k string, x double")
     names = {"q0": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.9, "q4": 1.0}
     got = {r["k"]: r for r in report.exact_quantiles(df, "x", names, ["k"]).collect()}
     assert set(got) == set(data)
     for k, v in data.items():
         for n, q in names.items():
-            assert abs(got[k][n] - np.quantile(v, q)) < 1e-12
+            assert np.isclose(got[k][n], np.quantile(v, q), rtol=1e-12, atol=1e-12)
+    alone = report.exact_quantiles(df.where("k = 'f'"), "x", names, []).collect()
+    assert [alone[0][n] for n in names] == [got["f"][n] for n in names]
+    assert report.exact_quantiles(df.limit(0), "x", names, []).count() == 0
 
 
 def test_stations_do_not_mix(spark):
