@@ -29,6 +29,11 @@ class CatalogTable:
         fields = self.spark.createDataFrame([], self.schema).schema.fields
         return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
 
+    def _touched(self, old: DataFrame, touched: DataFrame) -> DataFrame:
+        """The rows of the touched partitions, that of a null type among them."""
+        t = touched.select(F.col(self.partition).alias("_touched"))
+        return old.join(t, F.col(self.partition).eqNullSafe(F.col("_touched")), "left_semi")
+
     def _replace(self, touched: DataFrame, new: DataFrame) -> None:
         replace_partitions(self.spark, self.path, self.partition, touched, new)
 
@@ -43,20 +48,20 @@ class CatalogTable:
         old, new = self.read(), self._rows(new)
         known = old.join(new.select(self.key).distinct(), self.key, "left_semi")
         touched = new.select(self.partition).union(known.select(self.partition)).distinct()
-        same = old.join(touched, self.partition, "left_semi")
+        same = self._touched(old, touched)
         self._replace(touched, catalog.upsert(self._rows(same), new, self.key, order))
 
     def delete(self, gone: Column) -> None:
         """Removes the rows for which the condition is true."""
         old = self.read()
         touched = old.where(gone).select(self.partition).distinct()
-        self._replace(touched, catalog.without(old.join(touched, self.partition, "left_semi"), gone))
+        self._replace(touched, catalog.without(self._touched(old, touched), gone))
 
     def move(self, which: Column, column: str, to: Column) -> None:
         """Gives a column of some rows another value, such as a new path."""
         old = self.read()
         touched = old.where(which).select(self.partition).distinct()
-        self._replace(touched, catalog.moved(old.join(touched, self.partition, "left_semi"), which, column, to))
+        self._replace(touched, catalog.moved(self._touched(old, touched), which, column, to))
 
     def drop(self) -> None:
         remove(self.spark, self.path)

@@ -59,7 +59,8 @@ def replace_partitions(spark: SparkSession, path: str, partition: str, touched:
     rows.write.partitionBy(partition).parquet(f"{aside}/rows")
     touched.select(partition).distinct().write.parquet(f"{aside}/touched")
     new = spark.read.schema(rows.schema).parquet(f"{aside}/rows")
-    empty = spark.read.parquet(f"{aside}/touched").join(new.select(partition).distinct(), partition, "left_anti")
+    full = new.select(F.col(partition).alias("_full")).distinct()
+    empty = spark.read.parquet(f"{aside}/touched").join(full, F.col(partition).eqNullSafe(F.col("_full")), "left_anti")
     new.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     for r in empty.toLocalIterator():
         name = "__HIVE_DEFAULT_PARTITION__" if r[0] is None else spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(r[0]))
