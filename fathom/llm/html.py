@@ -23,8 +23,10 @@ STOP_WORDS = frozenset(
 RAW = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "title", "textarea", "select", "button", "audio", "video")
 FRAMES = frozenset("nav footer aside form menu dialog head".split())
 SCOPES = frozenset("article main".split())
-HOLDERS = frozenset("html body div section table tbody thead tfoot tr ul ol dl fieldset details figure center header hgroup blockquote".split()) | FRAMES | SCOPES
-BREAKS = HOLDERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption legend figcaption summary pre address hr option".split())
+# Elements that end where the next one of their kind begins, and what they stand in.
+ITEMS = {"li": "ul ol menu".split(), "dt": ["dl"], "dd": ["dl"], "td": ["tr", "table"], "th": ["tr", "table"]}
+HOLDERS = frozenset("html body div section table tbody thead tfoot tr ul ol dl fieldset details figure center header hgroup blockquote".split()) | FRAMES | SCOPES | ITEMS.keys()
+BREAKS = HOLDERS | frozenset("p h1 h2 h3 h4 h5 h6 caption legend figcaption summary pre address hr option".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("hr br img input meta link area base col embed source track wbr".split())
 NOT_ARTICLE = frozenset(
@@ -40,6 +42,8 @@ BESIDE = frozenset(
 )
 NOT_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
 READERS = frozenset("comment comments disqus respond reply replies".split())
+# Words that tell even among unknown ones: in a class, or in an id outside articles (within, ids come from headings).
+STRONG = frozenset("comment comments disqus cookie cookies gdpr".split())
 # Of those without markup of their own the text ends at the end tag, or never.
 PLAIN = frozenset("script style title textarea noscript iframe".split())
 
@@ -50,6 +54,13 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE
 BARE_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|/|$)", re.IGNORECASE)
 END_TAGS = {t: re.compile(rf"</{t}(?![a-zA-Z0-9:-])[^>]*+>?", re.IGNORECASE) for t in RAW}
 NAME = re.compile(r"[a-z]+")
+#: Scripts of which a character says about as much as three letters: Chinese, Japanese, Korean.
+DENSE = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0x2E80, 0x9FFF), (0xAC00, 0xD7AF), (0xF900, 0xFAFF), (0xFF00, 0xFFEF))) + "]")
+
+
+def length(text: str) -> int:
+    """Characters, those of dense scripts thrice."""
+    return len(text) if text.isascii() else len(text) + 2 * len(DENSE.findall(text))
 
 
 @dataclass
@@ -134,11 +145,11 @@ class Rules:
 @dataclass
 class Block:
     text: str
-    linked: int
+    linked: int  # characters of it that stand in links
     heading: int  # 1 to 6, 0 for others
     scope: int  # number of the article it stands in, 0 outside
     framed: bool  # inside a menu, footer, form, hidden part ...
-    named: bool  # inside a part whose name says advert, comment, notice ...
+    named: int  # inside a part whose name says advert, comment, notice ...: CERTAIN or LIKELY, else 0
 
 
 def _attributes(more: str) -> dict[str, str]:
@@ -154,62 +165,87 @@ def _framed(tag: str, found: dict[str, str], more: str, in_scope: bool) -> bool:
     return bool(hidden) or found.get("role", "").lower() in NOT_ARTICLE_ROLES
 
 
-def _named(tag: str, found: dict[str, str]) -> bool:
-    """Whether a word of class or id says that this is no article, with only such words beside it as go with that."""
+CERTAIN, LIKELY = 1, 2
+
+
+def _named(tag: str, found: dict[str, str], in_scope: bool) -> int:
+    """Whether a word of class or id says that this is no article: CERTAIN if only such words stand beside it as go with
+    that, LIKELY if a strong word stands among others."""
     if tag in HEADINGS or tag in ("html", "body"):
-        return False
-    telling = READERS if tag in SCOPES else NOT_ARTICLE
-    for name in f"{found.get('class', '')} {found.get('id', '')}".lower().split():
-        words = set(NAME.findall(name))
-        if words & telling and words <= NOT_ARTICLE | BESIDE:
-            return True
-    return False
+        return 0
+    telling, likely = READERS if tag in SCOPES else NOT_ARTICLE, 0
+    for kind in ("class", "id"):
+        for name in found.get(kind, "").lower().split():
+            words = set(NAME.findall(name))
+            if words & telling and words <= NOT_ARTICLE | BESIDE:
+                return CERTAIN
+            if words & STRONG and tag not in SCOPES and (kind == "class" or not in_scope):
+                likely = LIKELY
+    return likely
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's text between block elements, in order; comments, markup and raw elements are gone."""
+    """The page's text between block elements, in order; comments, markup and raw elements are gone.
+
+    A link reaches over blocks up to its end tag; one whose end tag is missing (another link begins, or none follows)
+    ends with its block.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # open holders: tag, framed, named, scope
+    stack: list[tuple[str, bool, int, int]] = []  # open holders: tag, framed, named, scope
     depth: Counter[str] = Counter()  # how often each tag is in the stack
-    framed, named, scope, scopes, links, linked = False, False, 0, 0, 0, 0
+    framed, named, scope, scopes = False, 0, 0, 0
+    linked, ended = False, False  # in a link; one that has an end tag
     parts: list[str] = []
-    heading, own_framed, own_named = 0, False, False
+    in_links: list[str] = []
+    heading, own_framed, own_named = 0, False, 0
+    clean = lambda pieces: " ".join(entities.unescape("".join(pieces)).split())
 
     def flush() -> None:
-        nonlocal linked
         if parts:
-            text = " ".join(entities.unescape("".join(parts)).split())
+            text = clean(parts)
             if text:
-                out.append(Block(text, linked, heading, scope, framed or own_framed, named or own_named))
+                out.append(Block(text, len(clean(in_links)), heading, scope, framed or own_framed, named or own_named))
             parts.clear()
-        linked = 0
+        in_links.clear()
 
     def pop() -> None:
         nonlocal framed, named, scope
         depth[stack.pop()[0]] -= 1
-        framed, named, scope = stack[-1][1:] if stack else (False, False, 0)
+        framed, named, scope = stack[-1][1:] if stack else (False, 0, 0)
+
+    every = list(tokens(page))
+    # Whether the next tag of a link after each one is an end tag.
+    closed, next_closes = [False] * len(every), False
+    for i in range(len(every) - 1, -1, -1):
+        closed[i] = next_closes
+        if every[i].name == "a":
+            next_closes = every[i].close
 
     at = 0
-    for token in tokens(page):
+    for i, token in enumerate(every):
         if token.start > at:
             piece = page[at : token.start]
             parts.append(piece)
-            if links:
-                linked += len(piece)
+            if linked:
+                in_links.append(piece)
         at, tag = token.end, token.name
         if not tag:
             if token.space:
                 parts.append(" ")
+                in_links.append(" ")
             continue
         if tag == "a":
-            links = 0 if token.close else 1
+            linked = not token.close and "href" in token.more.lower()
+            ended = linked and closed[i]
+            in_links.append(" ")
             continue
         if tag not in BREAKS:
             if tag == "br":
                 parts.append(" ")
+                in_links.append(" ")
             continue
         flush()
-        links, own_framed, own_named = 0, False, False
+        linked, own_framed, own_named = linked and ended, False, 0
         if token.close:
             heading = 0
             if tag in HOLDERS and depth[tag]:
@@ -223,7 +259,14 @@ def blocks(page: str) -> list[Block]:
             if tag in SCOPES or tag == "body":  # a menu or page header that was never closed ends here
                 while stack and stack[-1][0] in ("nav", "header", "head", "menu"):
                     pop()
-            bad, called = _framed(tag, found, token.more, bool(scope)), _named(tag, found)
+            if tag in ITEMS and any(depth[t] for t in ITEMS if ITEMS[t] == ITEMS[tag]):
+                k = len(stack) - 1
+                while k >= 0 and stack[k][0] not in ITEMS[tag] and ITEMS.get(stack[k][0]) != ITEMS[tag]:
+                    k -= 1
+                if k >= 0 and stack[k][0] not in ITEMS[tag]:  # the item before was not closed
+                    while len(stack) > k:
+                        pop()
+            bad, called = _framed(tag, found, token.more, bool(scope)), _named(tag, found, bool(scope))
             inner = scope
             if tag in SCOPES and not scope and not (bad or called or framed or named):
                 scopes += 1
@@ -234,7 +277,7 @@ def blocks(page: str) -> list[Block]:
                 depth[tag] += 1
         elif tag not in VOID:
             heading = int(tag[1]) if tag in HEADINGS else 0
-            own_framed, own_named = _framed(tag, found, token.more, bool(scope)), _named(tag, found)
+            own_framed, own_named = _framed(tag, found, token.more, bool(scope)), _named(tag, found, bool(scope))
     parts.append(page[at:])
     flush()
     return out
@@ -244,15 +287,22 @@ def first_pass(found: list[Block], rules: Rules) -> list[bool | None]:
     """A label for each block by its densities: good, bad or undecided.
 
     Bad is what is framed, mostly linked, or named as no article; good is what is long enough and has enough stop words. In a
-    language without known stop words (hardly any in the long blocks) length decides. Names count only while they leave
-    some text, and articles are the only place of good text if they have most of it; where the most of it
-    stands outside, short blocks of articles are bad (cards of other stories).
+    language without known stop words (hardly any in the long blocks) length decides. A heading in a link stands for what
+    follows it: a first-order one, or one before a block without links, is undecided. Names count only while they leave
+    some text (names that are only likely: some good text), and articles are the only place of good text if they have
+    most of it; where the most of it stands outside, short blocks of articles are bad (cards of other stories).
     """
     shape = []  # long enough, words, stop words
     for b in found:
         words = b.text.lower().split()
-        shape.append((len(b.text) >= rules.long_enough, len(words), sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words)))
+        shape.append((length(b.text) >= rules.long_enough, len(words), sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words)))
     plain = [not b.framed and b.linked <= rules.most_links * len(b.text) for b in found]
+    follows = False  # whether the next block that is no heading is plain
+    for i in range(len(found) - 1, -1, -1):
+        if not found[i].heading:
+            follows = plain[i]
+        elif not found[i].framed and (follows or found[i].heading == 1):
+            plain[i] = True
     told = [s for s, p in zip(shape, plain, strict=True) if p and s[0]]
     known = sum(s[2] for s in told) >= rules.known_share * sum(s[1] for s in told)
     good = [p and s[0] and (not known or s[2] >= rules.stop_share * s[1]) for p, s in zip(plain, shape, strict=True)]
@@ -261,7 +311,8 @@ def first_pass(found: list[Block], rules: Rules) -> list[bool | None]:
         return sum(len(b.text) for b, g in zip(found, good, strict=True) if g and chosen(b))
 
     names = any(p and not b.named for b, p in zip(found, plain, strict=True))
-    free = lambda b: not (names and b.named)
+    likely = any(g and not b.named for b, g in zip(found, good, strict=True))
+    free = lambda b: not b.named or not (names if b.named == CERTAIN else likely)
     inside, outside = mass(lambda b: free(b) and bool(b.scope)), mass(lambda b: free(b) and not b.scope)
     articles = any(b.scope and not b.framed and free(b) for b in found)
     label: list[bool | None] = []

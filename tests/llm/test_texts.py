@@ -212,6 +212,7 @@ def test_mixed_documents_hold_the_words_that_were_taken(spark):
     assert {r["doc_id"]: r["n"] for r in words.collect()} == {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect() if r["taken"]}
 
 
+CJK = "这是一篇关于城市公园改造的新闻报道，记者昨天走访了现场的几位居民。"
 LONG = "This is a paragraph that is long enough and has the usual words of the language in it, as they are."
 
 
@@ -225,13 +226,25 @@ LONG = "This is a paragraph that is long enough and has the usual words of the l
         ("<div><a href=/a>Главная страница сайта</a></div><div><p>" + "Это длинный абзац статьи на русском языке, который должен остаться в тексте. " * 2 + "</p></div>", [("Это длинный абзац статьи на русском языке, который должен остаться в тексте. " * 2).strip()]),
         (f"<article><p>{LONG}</p><div class='comment-list'><p>{LONG}</p></div></article><div id=comments><p>{LONG}</p></div><div class=cookie-banner><p>{LONG}</p></div><footer>{LONG}</footer>", [LONG]),
         (f"<article><h1>Short</h1><p>Tiny text.</p></article><div class=ad>{LONG}</div>", ["Short", "Tiny text."]),
+        (f"<nav><a href=/>x</a></nav><h1><a href=/story>Linked headline</a></h1><p>{LONG}</p>", ["Linked headline", LONG]),
+        (f"<div><h2><a href=/story>Linked headline</a></h2><p>{LONG}</p></div>", ["Linked headline", LONG]),
+        (f"<article><p>{LONG} <a href=/x>{' ' * 240}here</a> and <a href=/y>&#8220;&#8220;&#8220;&#8220;&#8220;&#8220;&#8220;&#8220;&#8220;&#8220;&#8220;&#8220;&#8220;there</a>.</p></article>", [f"{LONG} here and {'“' * 13}there."]),
+        (f"<div><h1>Head</h1><p>{LONG}</p></div><div>" + "".join(f"<a href=/{i}><h3>Card {i}</h3><p>{LONG}</p></a>" for i in range(3)) + "</div>", ["Head", LONG]),
+        (f"<article><p>{LONG} <a href=/x>never closed</p><p>{LONG}</p><p>{LONG} <a href=/y>closed</a></p></article>", [f"{LONG} never closed", LONG, f"{LONG} closed"]),
+        (f"<div><p>{LONG}</p></div><div class='comment-body'><p>{LONG}</p></div><section class='reader-comments-thread'><p>{LONG}</p></section><div class='fb-comments-wrapper'><p>{LONG}</p></div>", [LONG]),
+        (f"<div><p>{LONG}</p></div><ol><li class='comment'><p>{LONG}</p><ul><li class='comment'><div><p>{LONG}</p></div></ul><li class=comment>{LONG}</ol><p>{LONG} Again.</p>", [LONG, f"{LONG} Again."]),
+        (f"<div class='gdpr-cookie-law'><p>{LONG}</p></div><main><p>{LONG}</p></main>", [LONG]),
+        (f"<div class='post comments-open'><h1>Head</h1><p>{LONG}</p></div>", ["Head", LONG]),
+        (f"<article><p>{LONG}</p><section id='cookie-recipes'><h2>Cookie recipes</h2><p>{LONG}</p></section></article>", [LONG, "Cookie recipes", LONG]),
+        ("<ul><li><a href=/a>首页</a><li><a href=/b>新闻中心</a></ul><div><p>" + CJK + "</p><p>" + CJK + "</p></div>", [CJK, CJK]),
+        (f"<ul><li>{LONG}<li>{LONG}<ol><li>Inner<li>Last</ol></ul><table><tr><td>{LONG}<td>{LONG}</table>", [LONG, LONG, "Inner", "Last", LONG, LONG]),
     ],
 )
 def test_densities_decide_and_names_help(page, want):
     assert html.main_text(page).split("\n") == want
 
 
-@pytest.mark.parametrize("page", ["<a href='" * 20000, "<!" * 20000, "<div>" * 20000 + "</section>" * 20000, "<p " + "a" * 200000 + ">x", "<button>" * 20000, "<a href='\"" * 20000 + ">", "<p" + " a    " * 30000 + ">x"])
+@pytest.mark.parametrize("page", ["<a href='" * 20000, "<!" * 20000, "<div>" * 20000 + "</section>" * 20000, "<p " + "a" * 200000 + ">x", "<button>" * 20000, "<a href='\"" * 20000 + ">", "<p" + " a    " * 30000 + ">x", "<ul>" + "<li><div>" * 20000, "<ul><li>" + "<div>" * 10000 + "<ul>" * 10000 + "<li>" * 10000, "<td><table>" * 20000, "<a href=x><p>" * 20000])
 def test_long_broken_pages_take_linear_time(page):
     began = time.process_time()
     html.main_text(page)
