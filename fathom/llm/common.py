@@ -61,6 +61,8 @@ class Written:
         finally:
             spark.conf.set(CLEANUP, before)
         self.df = spark.read.schema(df.schema).parquet(self.path)
+        if _steps:
+            _steps[-1].tables.append(self)
 
     def drop(self) -> None:
         """Removes the files; only for a table that nothing reads any more."""
@@ -73,6 +75,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return Written(df, name).df
 
 
+class Step:
+    """As a context: the tables that are written in it are dropped at its end, but for those that are kept.
+
+    Kept ones belong to the step around it, if there is one. Nothing that is used after it may read the others.
+    """
+
+    def __init__(self) -> None:
+        self.tables: list[Written] = []
+        self.kept: list[Written] = []
+
+    def keep(self, *tables: Written) -> None:
+        self.kept += tables
+
+    def __enter__(self) -> Step:
+        _steps.append(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _steps.remove(self)
+        for t in self.tables:
+            if t not in self.kept:
+                t.drop()
+        if _steps:
+            _steps[-1].tables += self.kept
+
+
+#: Steps that are under way, the innermost last.
+_steps: list[Step] = []
+
+
 # ---------------------------------------------------------------- Arrow text
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm.common import exact_word_shingles, mix, word_shingles
+from fathom.llm.common import Step, Written, exact_word_shingles, mix, word_shingles
 from fathom.llm.near import Keys, Scheme, near_groups, normal, sliced
 
 #: Elements that a plain segment has on average at least; fewer, and unlike sets share segments by chance.
@@ -163,5 +163,7 @@ def one_of_each_group(docs: DataFrame, k: int = 5, similarity: str = "0.8") -> D
 
     Rows with a null doc_id stay.
     """
-    gone = similar_documents(docs, k, similarity).where("doc_id != component_id").select(F.col("doc_id").alias("_id"))
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_id"], "left_anti")
+    with Step() as step:
+        gone = Written(similar_documents(docs, k, similarity).where("doc_id != component_id").select(F.col("doc_id").alias("_id")), "gone")
+        step.keep(gone)
+    return docs.join(gone.df, docs["doc_id"].cast("long") == gone.df["_id"], "left_anti")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm.common import IS_SPACE, LOWER, NUMBER_BITS, Written, components, local_forest, mix
+from fathom.llm.common import IS_SPACE, LOWER, NUMBER_BITS, Step, Written, components, local_forest, mix
 from fathom.llm.packed import bucket_count, bucketed_by, pack, runs, total_bytes
 
 #: Bytes of items that are worked on at once (a longer item is taken alone).
@@ -512,19 +512,17 @@ def near_groups(source: DataFrame, scheme: Scheme, name: str) -> tuple[DataFrame
 
     a and b together are an item's identity. Rows that repeat an id are places of their own texts.
     """
-    found = candidates(source, scheme, name)
-    firsts = found.df.where(f"kind = {FIRST}").select("a", "b", "doc_id", "part", "size", "node")
-    again = found.df.where(f"kind = {AGAIN}").select("a", "b", "doc_id", "part", "size")
-    pairs = Written(found.df.where(f"kind = {PAIR}").groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
-    ids = pairs.df.select(F.col("a").alias("node")).union(pairs.df.select("b")).distinct()
-    wanted = Written(firsts.join(ids, "node"), "wanted")
-    texts = fetched(source, wanted.df, scheme, "texts")
-    label = groups(pairs.df, texts.df, scheme)
-    places = wanted.df.select("node", F.struct("doc_id", "part").alias("own")).join(label.withColumnRenamed("id", "node"), "node")
-    least = Written(places.groupBy("component_id").agg(F.min("own").alias("least")), "least")
-    result = Written(places.join(least.df, "component_id").select("node", "own", "least"), "groups")
-    least.drop()
-    wanted.drop()
-    pairs.drop()
-    texts.drop()
+    with Step() as step:
+        found = candidates(source, scheme, name)
+        firsts = found.df.where(f"kind = {FIRST}").select("a", "b", "doc_id", "part", "size", "node")
+        again = found.df.where(f"kind = {AGAIN}").select("a", "b", "doc_id", "part", "size")
+        pairs = Written(found.df.where(f"kind = {PAIR}").groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
+        ids = pairs.df.select(F.col("a").alias("node")).union(pairs.df.select("b")).distinct()
+        wanted = Written(firsts.join(ids, "node"), "wanted")
+        texts = fetched(source, wanted.df, scheme, "texts")
+        label = groups(pairs.df, texts.df, scheme)
+        places = wanted.df.select("node", F.struct("doc_id", "part").alias("own")).join(label.withColumnRenamed("id", "node"), "node")
+        least = Written(places.groupBy("component_id").agg(F.min("own").alias("least")), "least")
+        result = Written(places.join(least.df, "component_id").select("node", "own", "least"), "groups")
+        step.keep(found, result)
     return firsts, again, result.df
