@@ -70,6 +70,10 @@ def chunk_ends(data: np.ndarray, cuts: Cuts) -> np.ndarray:
     return np.sort(np.append(ends, np.array(more, np.int64)))
 
 
+#: Packed records: spans that go to their digest's bucket, and spans that a task knows to be repeats.
+HEAD, REST = 0, 1
+
+
 def repeated_spans(docs: DataFrame, cuts: Cuts = Cuts()) -> DataFrame:  # noqa: B008
     """(doc_id, start, end, first_docs): runs of chunks of `docs` (doc_id, text) that stand in a document with a smaller doc_id.
 
@@ -79,7 +83,8 @@ def repeated_spans(docs: DataFrame, cuts: Cuts = Cuts()) -> DataFrame:  # noqa:
     """
     source = docs.where("doc_id is not null").select(docs["doc_id"].cast("long").alias("id"), "text")
     n_buckets = bucket_count(total_bytes(source, "text"))
-    kinds = {0: [np.uint64, np.uint64, np.int64, np.int32, np.int32]}
+    kinds = {HEAD: [np.uint64, np.uint64, np.int64, np.int32, np.int32], REST: [np.uint64, np.int64, np.int32, np.int32, np.int64, np.int32]}
+    columns_ = max(map(len, kinds.values()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -101,18 +106,40 @@ def repeated_spans(docs: DataFrame, cuts: Cuts = Cuts()) -> DataFrame:  # noqa:
                 held.append((a, b, np.repeat(ids[lo:hi], size), start.astype(np.int32), (end - start).astype(np.int32)))
                 count += len(a)
                 if count >= GATHERED:
-                    yield flush(held)
+                    yield from flush(held)
                     held, count = [], 0
         if held:
-            yield flush(held)
+            yield from flush(held)
 
-    def flush(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        columns = [np.concatenate([x[i] for x in held]) for i in range(5)]
-        return pack(0, (mix(columns[0]) % np.uint64(n_buckets)).astype(np.int64), columns)
+    def row(kind: int, bucket: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+        batch = pack(kind, (bucket % np.uint64(n_buckets)).astype(np.int64), columns)
+        none = pa.nulls(len(batch), pa.binary())
+        return pa.RecordBatch.from_arrays([*batch.columns, *[none] * (columns_ - len(columns))], names=["kind", "bucket", *(f"c{i}" for i in range(columns_))])
+
+    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        """Of each digest only what stands in the first document of those gathered goes to the digest's bucket, others name that one."""
+        a, b, doc, start, size = (np.concatenate([x[i] for x in held]) for i in range(5))
+        order = np.lexsort((start, doc, b, a))
+        a, b, doc, start, size = a[order], b[order], doc[order], start[order], size[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+        own = doc == doc[lead]
+        yield row(HEAD, mix(a[own]), [a[own], b[own], doc[own], start[own], size[own]])
+        rest, lead = ~own, lead[~own]
+        yield row(REST, mix(doc[rest].astype(np.uint64)), [a[rest], doc[rest], start[rest], size[rest], doc[lead], start[lead]])
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, held in bucketed_by(batches, kinds):
-            yield from settle(held[0])
+            if HEAD in held:
+                yield from settle(held[HEAD])
+            for key, doc, start, size, first, at in held.get(REST, []):
+                yield found(key, doc, start, size, first, at)
+
+    def found(key: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, first: np.ndarray, at: np.ndarray | None = None) -> pa.RecordBatch:
+        none = pa.nulls(len(doc), pa.int64())
+        columns = [pa.array(key.view(np.int64)), pa.array(doc), pa.array(start.astype(np.int64)), pa.array(size), pa.array(first), none if at is None else pa.array(at.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "start", "size", "first", "at"])
 
     def settle(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         a, b, doc, start, size = (np.concatenate([p[i] for p in parts]) for i in range(5))
@@ -124,11 +151,15 @@ def repeated_spans(docs: DataFrame, cuts: Cuts = Cuts()) -> DataFrame:  # noqa:
         again = np.flatnonzero(doc != first)
         for lo in range(0, len(again), 100_000):
             at = again[lo : lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[at]), pa.array(start[at].astype(np.int64)), pa.array(size[at]), pa.array(first[at])], names=["doc_id", "start", "size", "first"])
-
-    packed = source.mapInArrow(cut, "kind int, bucket int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary")
-    again = Written(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(match, "doc_id long, start long, size int, first long"), "chunks")
-    per_doc = again.df.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "size", "first"))).alias("found"))
+            yield found(a[at], doc[at], start[at], size[at], first[at])
+
+    packed = source.mapInArrow(cut, "kind int, bucket int, " + ", ".join(f"c{i} binary" for i in range(columns_)))
+    again = Written(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(match, "key long, doc_id long, start long, size int, first long, at long"), "chunks").df
+    # Who names a place that is a repeat itself gets the document that it repeats.
+    known = again.where("at is null").select("key", F.col("doc_id").alias("first"), F.col("start").alias("at"), F.col("first").alias("least")).dropDuplicates(["key", "first", "at"])
+    named = again.where("at is not null").join(known, ["key", "first", "at"], "left").select("doc_id", "start", "size", F.coalesce("least", "first").alias("first"))
+    every = again.where("at is null").select("doc_id", "start", "size", "first").union(named)
+    per_doc = every.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "size", "first"))).alias("found"))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
