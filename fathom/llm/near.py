@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from fathom.llm.common import IS_SPACE, LOWER, NUMBER_BITS, Step, Written, components, local_forest, mix
 from fathom.llm.packed import bucket_count, bucketed_by, pack, runs, total_bytes
+from fathom.llm.terms import bloom, maybe_in
 
 #: Bytes of items that are worked on at once (a longer item is taken alone).
 SLICE = 1 << 17
@@ -289,7 +290,17 @@ def fetched(source: DataFrame, wanted: DataFrame, scheme: Scheme, name: str) ->
                         texts.append(item)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary())], names=["id", "text"])
 
-    docs = source.withColumnRenamed("id", "doc_id").join(per_doc, "doc_id").select("text", "items")
+    # Only texts that may be wanted travel: others fail a Bloom filter of the ids, which has a bounded size.
+    own = F.xxhash64("doc_id").alias("h")
+    bits = source.sparkSession.sparkContext.broadcast(bloom(per_doc.select(own)))
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = maybe_in(bits.value, batch.column(0).to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays(batch.columns[1:], names=["doc_id", "text"]).filter(pa.array(ok))
+
+    source = source.select(F.col("id").alias("doc_id"), "text").select(own, "doc_id", "text").mapInArrow(maybe, "doc_id long, text string")
+    docs = source.join(per_doc, "doc_id").select("text", "items")
     return Written(docs.mapInArrow(pick, "id long, text binary").groupBy("id").agg(F.first("text").alias("text")), name)
 
 
@@ -358,9 +369,9 @@ def verified(pairs: DataFrame, texts: DataFrame, scheme: Scheme, with_keys: bool
     teams = pairs.groupBy("a").agg(F.ceil(F.count("*") / TEAM).cast("int").alias("teams"))
     seats = teams.where("teams > 1")
     members = pairs.select("a", "b").join(seats, "a", "left").select("a", F.pmod(F.xxhash64("b"), F.coalesce("teams", F.lit(1))).cast("int").alias("team"), "b")
-    members = members.join(texts.withColumnRenamed("id", "b"), "b").select("a", F.col("b").alias("id"), F.lit(False).alias("leads"), "text", "team")
-    leaders = teams.join(texts.withColumnRenamed("id", "a"), "a").select("a", F.col("a").alias("id"), F.lit(True).alias("leads"), "text", F.explode(F.sequence(F.lit(0), F.col("teams") - 1)).alias("team"))
-    seated = members.union(leaders).repartition(tasks, "a", "team").sortWithinPartitions("a", "team", F.desc("leads"))
+    members = members.select("a", F.col("b").alias("id"), F.lit(False).alias("leads"), "team")
+    leaders = teams.select("a", F.col("a").alias("id"), F.lit(True).alias("leads"), F.explode(F.sequence(F.lit(0), F.col("teams") - 1)).alias("team"))
+    seated = members.union(leaders).join(texts, "id").repartition(tasks, "a", "team").sortWithinPartitions("a", "team", F.desc("leads"))
     return Written(seated.select("a", "id", "leads", "text").mapInArrow(run, "a long, b long, linked boolean, keys array<long>"), name)
 
 
