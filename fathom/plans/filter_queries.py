@@ -13,6 +13,8 @@ from fathom.plans.domain import CENTRE, SHOTS, SURVEYS, of_type, shots, sql_ecef
 from fathom.plans.domain import surveys as survey_table
 from fathom.plans.registry import query
 from fathom.schemas import rules
+from fathom.sources import readers, sinks
+from fathom.sources.workspace import fresh_path
 
 _ID = "SELECT event_id FROM shots WHERE"
 _CENTRE_XYZ = sql_ecef("45.0::DOUBLE", "-125.0::DOUBLE", "0.0::DOUBLE")
@@ -85,6 +87,16 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return _ids(_filtered(s, d))
 
 
+@query("R15_filtered_handoff", f"{_PIPELINE} SELECT transponderID, count(*) AS n, round(sum(value), 2) AS tt FROM w GROUP BY transponderID")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Filtered shots handed on as CSV, and read back in the shot table's types."""
+    path = fresh_path(s, "filtered")
+    good = validate.coerce(_filtered(s, d).withColumn("tt", F.col("value")), "shot")
+    sinks.write_survey_csv(good.withColumn("survey_id", F.lit("A")), path, ["pingTime", "returnTime"])
+    r = readers.read_table_csv(s, f"{path}/survey_id=A", "shot")
+    return r.groupBy("transponderID").agg(F.count("*").alias("n"), F.round(F.sum("tt"), 2).alias("tt"))
+
+
 @query("P12_filter_counts", f"""{_PIPELINE} SELECT 0 AS step, 'raw' AS stage, count(*) AS n FROM shots WHERE event_type != 'error' UNION ALL SELECT 1, 'acoustic', count(*) FROM a
     UNION ALL SELECT 2, 'replies', count(*) FROM b WHERE n >= 3 UNION ALL SELECT 3, 'distance', count(*) FROM c UNION ALL SELECT 4, 'wrms', count(*) FROM w""")
 def _(s: SparkSession, d: str) -> DataFrame:

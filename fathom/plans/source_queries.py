@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from fathom.functions import text as X
 from fathom.functions import timeutil as T
+from fathom.functions.geo import geodetic_to_ecef
 from fathom.operators import model_io, pairing, refine, report, surveys, temporal, validate
 from fathom.plans import jobs
-from fathom.plans.domain import SHOTS, of_type, shots, sql_ecef, table
+from fathom.plans.domain import CENTRE, SHOTS, of_type, shots, sql_ecef, sql_enu, table
 from fathom.plans.registry import query
 from fathom.schemas import EVENT
 from fathom.sources import readers, sinks
@@ -294,6 +295,30 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return r.groupBy("transponderID").agg(F.count("*").alias("n"), F.round(F.sum("tt"), 2).alias("tt"), F.count("xc").alias("n_xc"))
 
 
+_RECTIFIED = sql_enu(("east0", "north0", "up0"), sql_ecef("45.0::DOUBLE", "-125.0::DOUBLE", "0.0::DOUBLE"), "45.0::DOUBLE", "-125.0::DOUBLE")
+
+
+@query("R15_rectified_handoff", f"""WITH {SHOTS} SELECT transponderID AS MT, count(*) AS n, round(sum(value), 2) AS tt, round(avg({_RECTIFIED[0]}), 2) AS mean_e0, count(*) FILTER (pingTime >= 1.704e9) AS late FROM shots GROUP BY transponderID""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Shots turned to the model's columns, handed on as a CSV for each survey, and read back in the model's types."""
+    path = fresh_path(s, "model")
+    e = shots(s, d).withColumns({f"{a}1": F.col(f"{a}0") for a in ("east", "north", "up")} | {f"{a}{k}": F.lit(0.0) for a in ("head", "pitch", "roll") for k in (0, 1)} | {"tt": F.col("value")})
+    model = model_io.rectify(e, geodetic_to_ecef(*CENTRE, 0.0), *CENTRE)
+    sinks.write_survey_csv(validate.coerce(model, "model_input").withColumn("survey_id", F.lit("A")), path, ["ST"])
+    r = readers.read_table_csv(s, f"{path}/survey_id=A", "model_input").where("SET = 'S01' and not flag")
+    return r.groupBy("MT").agg(F.count("*").alias("n"), F.round(F.sum("TT"), 2).alias("tt"), F.round(F.avg("ant_e0"), 2).alias("mean_e0"), F.count(F.when(F.col("ST") >= 1.704e9, 1)).alias("late"))
+
+
+@query("R15_cast_handoff", "SELECT CAST(p_size AS DOUBLE) AS depth, count(*) AS n, round(sum(p_retailprice), 2) AS speed FROM part GROUP BY 1")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """A sound-speed cast handed on as CSV, and read back."""
+    path = fresh_path(s, "cast")
+    cast = table(s, d, "part").select(F.col("p_size").alias("depth"), F.col("p_retailprice").alias("speed"))
+    sinks.write_survey_csv(validate.coerce(cast, "svp").withColumn("survey_id", F.lit("A")), path, ["depth", "speed"])
+    r = readers.read_table_csv(s, f"{path}/survey_id=A", "svp")
+    return r.groupBy("depth").agg(F.count("*").alias("n"), F.round(F.sum("speed"), 2).alias("speed"))
+
+
 @query("R16_site_metadata", "SELECT 'SITE' || n_regionkey AS site, n_name AS benchmark, 'T' || k AS transponder, n_nationkey * 10.0::DOUBLE + k AS value FROM nation, range(0, 2) r(k)")
 def _(s: SparkSession, d: str) -> DataFrame:
     t = lambda k: F.struct(F.lit(f"T{k}").alias("address"), F.array(F.struct((F.col("n_nationkey") * F.lit(10.0) + k).alias("value"), F.lit("2020-01-01T00:00:00").alias("start"))).alias("tat"))
