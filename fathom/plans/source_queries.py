@@ -483,7 +483,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "orders").select("o_orderkey", X.campaign_year(name).cast("long").alias("year"), X.archive_path(F.lit("net"), F.lit("sta"), name).alias("path"))
 
 
-# ---------------------------------------------------------------- numeric jobs (no SQL twin)
+# ---------------------------------------------------------------- numeric jobs
 
 
 def _positions(s: SparkSession, d: str) -> DataFrame:
@@ -491,22 +491,33 @@ def _positions(s: SparkSession, d: str) -> DataFrame:
     return e.select("station", "day", "event_id", F.col("pingTime").alias("time"), F.col("east0").alias("east"), F.col("north0").alias("north"), F.col("up0").alias("up"))
 
 
-_UPDATED = """station, day, axis, i, t, m0, m1, p00, p01, p11, p00 + 0.01 AS s0, m0 + p00 / s0 * (p - m0) AS n0, m1 + p01 / s0 * (p - m0) AS n1, p00 * 0.01 / s0 AS b00, p01 * 0.01 / s0 AS b01, p11 - p01 * p01 / s0 AS b11,
-    b11 + 0.01 AS s1, v - n1 AS e, n0 + b01 / s1 * e AS f0, n1 + b11 / s1 * e AS f1, b00 - b01 * b01 / s1 AS c00, b01 * 0.01 / s1 AS c01, b11 * 0.01 / s1 AS c11"""
+_UPDATED = """station, day, axis, i, t, m0, m1, p00, p01, p11, CASE WHEN v IS NULL OR w IS NULL THEN 0 ELSE 1 END AS k, p00 + r AS s0, m0 + p00 / s0 * (p - m0) AS n0, m1 + p01 / s0 * (p - m0) AS n1,
+    p00 * r / s0 AS b00, p01 * r / s0 AS b01, p11 - p01 * p01 / s0 AS b11, b11 + coalesce(w, 1) AS s1, coalesce(v - n1, 0) AS e, n0 + k * b01 / s1 * e AS f0, n1 + k * b11 / s1 * e AS f1, b00 - k * b01 * b01 / s1 AS c00,
+    CASE k WHEN 1 THEN b01 * w / s1 ELSE b01 END AS c01, CASE k WHEN 1 THEN b11 * w / s1 ELSE b11 END AS c11"""
 _STATE = "station, day, axis, i, t, f0, f1, c00, c01, c11"
-#: The smoother row by row: measurements of deviation 0.1, process noise 0.1, wide start.
-_SMOOTHED = f"""WITH RECURSIVE {SHOTS}, c AS (SELECT CAST(user_id % 5 AS VARCHAR) AS station, CAST(ts AS DATE) AS day, event_id, pingTime AS t, east0 AS x, north0 AS y, up0 AS z FROM shots WHERE event_type = 'click'),
-    w AS (SELECT *, lag(t) OVER o AS pt, (x - lag(x) OVER o) / nullif(t - lag(t) OVER o, 0) AS vx, (y - lag(y) OVER o) / nullif(t - lag(t) OVER o, 0) AS vy, (z - lag(z) OVER o) / nullif(t - lag(t) OVER o, 0) AS vz
-          FROM c WINDOW o AS (PARTITION BY station, day ORDER BY t, event_id)),
-    u AS (SELECT station, day, t, x, y, z, CASE WHEN pt IS NULL THEN lead(vx) OVER o ELSE vx END AS vx, CASE WHEN pt IS NULL THEN lead(vy) OVER o ELSE vy END AS vy, CASE WHEN pt IS NULL THEN lead(vz) OVER o ELSE vz END AS vz
-          FROM w WINDOW o AS (PARTITION BY station, day ORDER BY t, event_id)),
+_CHANGES = "PARTITION BY station, day ORDER BY t, event_id"
+
+
+def _speeds(name: str, source: str, order: str = _CHANGES) -> str:
+    """CTE `name`: the rows of source (station, day, t, x, y, z ...) with vx, vy, vz, changes per second."""
+    lag = ", ".join(f"({a} - lag({a}) OVER o) / nullif(t - lag(t) OVER o, 0) AS d{a}" for a in "xyz")
+    first = ", ".join(f"CASE WHEN pt IS NULL THEN lead(d{a}) OVER o ELSE d{a} END AS v{a}" for a in "xyz")
+    return f"{name} AS (SELECT *, {first} FROM (SELECT *, lag(t) OVER o AS pt, {lag} FROM {source} WINDOW o AS ({order})) WINDOW o AS ({order}))"
+
+
+_KINEMATIC = f"""c AS (SELECT CAST(user_id % 5 AS VARCHAR) AS station, CAST(ts AS DATE) AS day, event_id, pingTime AS t, east0 AS x, north0 AS y, up0 AS z FROM shots WHERE event_type = 'click'), {_speeds("u", "c")},
     g AS (SELECT *, abs(vx) - avg(abs(vx)) OVER k AS dx, stddev_pop(abs(vx)) OVER k AS sx, abs(vy) - avg(abs(vy)) OVER k AS dy, stddev_pop(abs(vy)) OVER k AS sy, abs(vz) - avg(abs(vz)) OVER k AS dz, stddev_pop(abs(vz)) OVER k AS sz
-          FROM u WINDOW k AS (PARTITION BY station, day)),
-    f AS (SELECT station, day, t, x, y, z, vx, vy, vz, row_number() OVER (PARTITION BY station, day ORDER BY t, vx, vy, vz, x, y, z) AS i FROM g
-          WHERE vx IS NOT NULL AND vy IS NOT NULL AND vz IS NOT NULL AND CASE WHEN sx = 0 THEN 0 ELSE dx / sx END < 4 AND CASE WHEN sy = 0 THEN 0 ELSE dy / sy END < 4 AND CASE WHEN sz = 0 THEN 0 ELSE dz / sz END < 4),
-    a AS (SELECT station, day, 'x' AS axis, i, t, x AS p, vx AS v FROM f UNION ALL SELECT station, day, 'y', i, t, y, vy FROM f UNION ALL SELECT station, day, 'z', i, t, z, vz FROM f),
+          FROM (SELECT station, day, t, x, y, z, vx, vy, vz FROM u) WINDOW k AS (PARTITION BY station, day)),
+    kin AS (SELECT station, day, t, x, y, z, vx, vy, vz, 0.01::DOUBLE AS rx, 0.01::DOUBLE AS ry, 0.01::DOUBLE AS rz, 0.01::DOUBLE AS wx, 0.01::DOUBLE AS wy, 0.01::DOUBLE AS wz FROM g
+            WHERE CASE WHEN sx = 0 THEN 0 ELSE dx / sx END < 4 AND CASE WHEN sy = 0 THEN 0 ELSE dy / sy END < 4 AND CASE WHEN sz = 0 THEN 0 ELSE dz / sz END < 4)"""
+
+
+def _smoother(source: str, condition: str) -> str:
+    """CTEs up to bw and track: the smoother row by row, on source (station, day, t, places, velocities, variances r of places and w of velocities)."""
+    axes = " UNION ALL ".join(f"SELECT station, day, '{a}' AS axis, i, t, {a} AS p, v{a} AS v, r{a} AS r, w{a} AS w FROM f" for a in "xyz")
+    return f"""f AS (SELECT *, row_number() OVER (PARTITION BY station, day ORDER BY t, vx NULLS LAST, vy NULLS LAST, vz NULLS LAST, x, y, z) AS i FROM {source} WHERE {condition}), a AS ({axes}),
     fw AS (
-        SELECT {_STATE} FROM (SELECT {_UPDATED} FROM (SELECT *, p AS m0, v AS m1, 1e6::DOUBLE AS p00, 0.0::DOUBLE AS p01, 1e4::DOUBLE AS p11 FROM a WHERE i = 1))
+        SELECT {_STATE} FROM (SELECT {_UPDATED} FROM (SELECT *, p AS m0, coalesce(v, 0) AS m1, 1e6::DOUBLE AS p00, 0.0::DOUBLE AS p01, 1e4::DOUBLE AS p11 FROM a WHERE i = 1))
         UNION ALL
         SELECT {_STATE} FROM (SELECT {_UPDATED} FROM (
             SELECT a.*, a.t - fw.t AS h, f0 + h * f1 AS m0, f1 AS m1, c00 + 2 * h * c01 + h * h * c11 + 0.01 * h * h * h / 3 AS p00, c01 + h * c11 + 0.01 * h * h / 2 AS p01, c11 + 0.01 * h AS p11
@@ -522,7 +533,36 @@ _SMOOTHED = f"""WITH RECURSIVE {SHOTS}, c AS (SELECT CAST(user_id % 5 AS VARCHAR
                    fw.c11 + 0.01 * h AS p11, p00 * p11 - p01 * p01 AS det, bw.v00 - p00 AS d00, bw.v01 - p01 AS d01, bw.v11 - p11 AS d11,
                    ((fw.c00 + h * fw.c01) * p11 - fw.c01 * p01) / det AS g00, (fw.c01 * p00 - (fw.c00 + h * fw.c01) * p01) / det AS g01,
                    ((fw.c01 + h * fw.c11) * p11 - fw.c11 * p01) / det AS g10, (fw.c11 * p00 - (fw.c01 + h * fw.c11) * p01) / det AS g11
-            FROM bw JOIN fw ON fw.station = bw.station AND fw.day = bw.day AND fw.axis = bw.axis AND fw.i = bw.i - 1))"""
+            FROM bw JOIN fw ON fw.station = bw.station AND fw.day = bw.day AND fw.axis = bw.axis AND fw.i = bw.i - 1)),
+    track AS (SELECT station, day, i, t, max(CASE axis WHEN 'x' THEN x0 END) AS x, max(CASE axis WHEN 'y' THEN x0 END) AS y, max(CASE axis WHEN 'z' THEN x0 END) AS z FROM bw GROUP BY station, day, i, t)"""
+
+
+def _updated(radius: float) -> str:
+    """CTEs and the query of the shots (sh) with both ends replaced by the track's means around their times, weighed by inverse distance."""
+    mean = lambda a: f"coalesce(avg(CASE WHEN d = 0 THEN {a} END), sum(CASE WHEN d > 0 THEN {a} / d END) / sum(CASE WHEN d > 0 THEN 1 / d END)) AS {a}"
+    near = lambda k, t: f"n{k} AS (SELECT event_id, {', '.join(map(mean, 'xyz'))} FROM (SELECT event_id, abs(sh.{t} - track.t) AS d, x, y, z FROM sh JOIN track USING (station, day)) WHERE d <= {radius} GROUP BY event_id)"
+    places = ", ".join(f"round(coalesce(n{k}.{b}, sh.{a}0), 3) AS {a}{k}" for k in (0, 1) for a, b in (("east", "x"), ("north", "y"), ("up", "z")))
+    return f"""sh AS (SELECT CAST(user_id % 5 AS VARCHAR) AS station, CAST(ts AS DATE) AS day, event_id, pingTime, returnTime, east0, north0, up0 FROM shots WHERE event_type = 'view'), {near(0, "pingTime")}, {near(1, "returnTime")}
+    SELECT sh.event_id, n0.x IS NOT NULL OR n1.x IS NOT NULL AS isUpdated, {places} FROM sh LEFT JOIN n0 ON n0.event_id = sh.event_id LEFT JOIN n1 ON n1.event_id = sh.event_id"""
+
+
+_KNOWN = "vx IS NOT NULL AND vy IS NOT NULL AND vz IS NOT NULL"
+_SMOOTHED = f"WITH RECURSIVE {SHOTS}, {_KINEMATIC}, {_smoother('kin', _KNOWN)}"
+_IMU = f"""i0 AS (SELECT CAST(user_id % 5 AS VARCHAR) AS station, CAST(ts AS DATE) AS day, event_id, pingTime AS t, east0 AS x, north0 AS y, up0 AS z, nullif(xc % 7, 0)::DOUBLE AS sd FROM shots WHERE event_type = 'purchase'),
+    imu AS (SELECT station, day, t, x, y, z, power(coalesce(first_value(sd IGNORE NULLS) OVER ({_CHANGES} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), last_value(sd IGNORE NULLS) OVER ({_CHANGES} ROWS UNBOUNDED PRECEDING)), 2) AS r FROM i0),
+    mid AS (SELECT station, day, median(x) AS mx, median(y) AS my, median(z) AS mz FROM imu GROUP BY station, day),
+    joint AS (SELECT station, day, t, x, y, z, vx, vy, vz, rx, ry, rz, wx, wy, wz FROM kin WHERE {_KNOWN} UNION ALL SELECT station, day, t, x, y, z, 0, 0, 0, r, r, r, r, r, r FROM imu WHERE r IS NOT NULL),
+    gated AS (SELECT joint.* FROM joint JOIN mid USING (station, day) WHERE abs(x - mx) <= 20000 AND abs(y - my) <= 20000 AND abs(z - mz) <= 20000)"""
+_ENDS_ORDER = 'PARTITION BY station, day ORDER BY t, event_id, "end"'
+_OWN = f"""e0 AS (SELECT CAST(user_id % 5 AS VARCHAR) AS station, CAST(ts AS DATE) AS day, event_id, 0 AS "end", pingTime AS t, east0 AS x, north0 AS y, up0 AS z, nullif(xc % 3, 0)::DOUBLE AS sd FROM shots WHERE event_type = 'view'
+    UNION ALL SELECT CAST(user_id % 5 AS VARCHAR), CAST(ts AS DATE), event_id, 1, returnTime, east0, north0, up0, nullif(xc % 5, 0)::DOUBLE FROM shots WHERE event_type = 'view'),
+    e1 AS (SELECT *, power(coalesce(first_value(sd IGNORE NULLS) OVER ({_ENDS_ORDER} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), last_value(sd IGNORE NULLS) OVER ({_ENDS_ORDER} ROWS UNBOUNDED PRECEDING)), 2) AS r FROM e0),
+    {_speeds("e2", "e1", _ENDS_ORDER)},
+    joint AS (SELECT station, day, t, x, y, z, vx, vy, vz, rx, ry, rz, wx, wy, wz FROM kin UNION ALL SELECT station, day, t, x, y, z, vx, vy, vz, r, r, r, NULL, NULL, NULL FROM e2 WHERE r IS NOT NULL)"""
+
+
+def _ends_rounded(df: DataFrame) -> DataFrame:
+    return df.select("event_id", "isUpdated", *[F.round(f"{a}{k}", 3).alias(f"{a}{k}") for k in (0, 1) for a in ("east", "north", "up")])
 
 
 @query("K1_smoothed_positions", f"""{_SMOOTHED} SELECT station, day::VARCHAR AS day, round(t, 3) AS time, round(max(CASE axis WHEN 'x' THEN x0 END), 3) AS ant_x, round(max(CASE axis WHEN 'y' THEN x0 END), 3) AS ant_y, round(max(CASE axis WHEN 'z' THEN x0 END), 3) AS ant_z,
@@ -541,7 +581,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return r.select(axes).groupBy("a.axis").agg(F.count("*").alias("n"), F.round(F.avg("a.sig"), 5).alias("mean_sig"), F.round(F.max("a.sig"), 5).alias("max_sig"), F.round(F.avg("a.x"), 2).alias("mean_place"))
 
 
-@query("K2_refined_shots")
+@query("K2_refined_shots", f"WITH RECURSIVE {SHOTS}, {_KINEMATIC}, {_IMU}, {_smoother('gated', 'true')}, {_updated(600.0)}")
 def _(s: SparkSession, d: str) -> DataFrame:
     """Whole refinement with inertial positions, on all stations and days."""
     e = shots(s, d).withColumns({"station": (F.col("user_id") % 5).cast("string"), "day": F.to_date("ts")})
@@ -550,10 +590,10 @@ def _(s: SparkSession, d: str) -> DataFrame:
     left = of_type(e, "view").withColumns({"east1": F.col("east0"), "north1": F.col("north0"), "up1": F.col("up0"), "isUpdated": F.lit(False)})
     left = left.select("station", "day", "event_id", "pingTime", "returnTime", *[f"{a}{k}" for a in ("east", "north", "up") for k in (0, 1)], "isUpdated")
     done, _track = refine.refine_day(left, imu, _positions(s, d), "event_id", ["time", "event_id"], 20000.0, 600.0)
-    return done
+    return _ends_rounded(done)
 
 
-@query("K3_quality_refinement")
+@query("K3_quality_refinement", f"WITH RECURSIVE {SHOTS}, {_KINEMATIC}, {_OWN}, {_smoother('joint', 'true')}, {_updated(0.2)}")
 def _(s: SparkSession, d: str) -> DataFrame:
     """The variant without inertial data: shots updated from their own positions and kinematic ones, smoothed without a gate."""
     e = of_type(shots(s, d), "view").withColumns({"station": (F.col("user_id") % 5).cast("string"), "day": F.to_date("ts")})
@@ -561,7 +601,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     stds = {f"{a}_std{k}": F.nullif(F.col("xc") % n, F.lit(0)).cast("double") for a in ("east", "north", "up") for k, n in ((0, 3), (1, 5))}
     e = e.withColumns(ends | stds).select("station", "day", "event_id", "pingTime", "returnTime", *ends, *[f"{a}0" for a in ("east", "north", "up")], *stds)
     done, _track = jobs.quality_days(e, _positions(s, d), "event_id", ["time", "event_id"])
-    return done
+    return _ends_rounded(done)
 
 
 @query("K4_kernel_ridge")
