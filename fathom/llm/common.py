@@ -44,8 +44,8 @@ def work_folder(spark: SparkSession) -> str:
     return _own_folder[app]
 
 
-#: With this setting Spark removes a query's shuffle files when the query ends.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written, Spark removes a query's shuffle files when the query ends, and texts go to and from Python in small batches.
+SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 class Written:
@@ -54,12 +54,14 @@ class Written:
     def __init__(self, df: DataFrame, name: str):
         spark = df.sparkSession
         self.path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        before = spark.conf.get(CLEANUP, "false")
-        spark.conf.set(CLEANUP, "true")
+        before = {k: spark.conf.get(k, None) for k in SETTINGS}
+        for k, v in SETTINGS.items():
+            spark.conf.set(k, v)
         try:
             df.write.parquet(self.path)
         finally:
-            spark.conf.set(CLEANUP, before)
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
         self.df = spark.read.schema(df.schema).parquet(self.path)
         if _steps:
             _steps[-1].tables.append(self)
