@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathom.functions.geo import geodetic_to_ecef
@@ -13,6 +13,7 @@ from fathom.operators.filters import around_medians, without_spikes
 from fathom.operators.report import offset_summary
 from fathom.operators.smoothing import smooth_tracks
 from fathom.operators.temporal import fill_both_ways, nearest_asof, radius_mean, velocities
+from fathom.sources.workspace import stable
 
 # The 19 columns of positions that go into the smoother, in order.
 POSITION = [
@@ -145,17 +146,29 @@ def refine_day(shots: DataFrame, imu: DataFrame | None, kin: DataFrame, shot_id:
 # ---------------------------------------------------------------- kernel interpolation
 
 
-def kernel_interpolate(points: DataFrame, samples: DataFrame, keys: list[str], point_id: str, length: float = 0.5, alpha: float = 1.0, block_seconds: float = 30.0) -> DataFrame:
+#: Samples of a block of the kernel interpolation, about.
+BLOCK_SAMPLES = 500
+
+
+def kernel_interpolate(points: DataFrame, samples: DataFrame, keys: list[str], point_id: str, length: float = 0.5, alpha: float = 1.0, block_samples: int = BLOCK_SAMPLES) -> DataFrame:
     """Kernel ridge prediction of x, y, z at points' times: (point_id, x, y, z, std) for points with a sample within `length`.
 
-    A radial kernel on time, mean-centred, in blocks of time with a margin of 4 lengths on each side; alpha near 0 is
-    Gaussian-process interpolation, std its posterior deviation. A block of samples is one task's matrix.
+    A radial kernel on time, mean-centred; alpha near 0 is Gaussian-process interpolation, std its posterior deviation.
+    Time is cut into slices of 4 lengths, beyond which the kernel is nearly nothing, and slices into blocks of about
+    block_samples samples. A task solves a block with the slices on both sides of it, whatever the rate of samples elsewhere.
     """
-    margin = 4 * length
-    block = lambda t: F.floor(t / block_seconds).cast("long")
-    left = points.select(*keys, block(F.col("time")).alias("block"), F.col(point_id).alias("id"), "time", *[F.lit(None).cast("double").alias(c) for c in "xyz"])
-    spread = F.array_distinct(F.array(*[block(F.col("time") + d) for d in (-margin, 0.0, margin)]))
-    right = samples.select(*keys, F.explode(spread).alias("block"), F.lit(None).cast(points.schema[point_id].dataType).alias("id"), "time", *[F.col(c).cast("double").alias(c) for c in "xyz"])
+    slice_ = F.floor(F.col("time") / F.lit(4 * length)).alias("slice")
+    n = samples.select(*keys, slice_, F.lit(1).alias("n")).union(points.select(*keys, slice_, F.lit(0).alias("n"))).groupBy(*keys, "slice").agg(F.sum("n").alias("n"))
+    order = Window.partitionBy(*keys).orderBy("slice")
+    ahead = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cuts = n.withColumn("block", F.floor(ahead / block_samples))
+    beside = [F.when(f("slice").over(order) == F.col("slice") + d, f("block").over(order)) for f, d in ((F.lag, -1), (F.lead, 1))]
+    cuts = stable(cuts.select(*keys, "slice", "block", F.array_distinct(F.array_compact(F.array("block", *beside))).alias("blocks")), "slices")
+    at = [*keys, "slice"]
+    left = points.select(*keys, slice_, F.col(point_id).alias("id"), "time").join(cuts, at)
+    left = left.select(*keys, "block", "id", "time", *[F.lit(None).cast("double").alias(c) for c in "xyz"])
+    right = samples.select(*keys, slice_, "time", *[F.col(c).cast("double").alias(c) for c in "xyz"]).join(cuts, at)
+    right = right.select(*keys, F.explode("blocks").alias("block"), F.lit(None).cast(points.schema[point_id].dataType).alias("id"), "time", *"xyz")
     id_type = points.schema[point_id].dataType.simpleString()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

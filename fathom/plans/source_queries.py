@@ -609,7 +609,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     e = shots(s, d).withColumn("station", (F.col("user_id") % 5).cast("string"))
     points = of_type(e, "view").select("station", "event_id", F.col("pingTime").alias("time"))
     samples = of_type(e, "click").select("station", F.col("pingTime").alias("time"), F.col("value").alias("x"), F.col("snr").alias("y"), F.col("dbv").alias("z"))
-    return refine.kernel_interpolate(points, samples, ["station"], "event_id", 600.0, 1.0, 36_000.0)
+    return refine.kernel_interpolate(points, samples, ["station"], "event_id", 600.0, 1.0)
 
 
 @query("K5_gaussian_process")
@@ -617,7 +617,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     e = shots(s, d).withColumn("station", (F.col("user_id") % 5).cast("string"))
     points = of_type(e, "view").select("station", "event_id", F.col("pingTime").alias("time"))
     samples = of_type(e, "click").select("station", F.col("pingTime").alias("time"), F.col("value").alias("x"), F.col("snr").alias("y"), F.col("dbv").alias("z"))
-    return refine.kernel_interpolate(points, samples, ["station"], "event_id", 1200.0, 1e-10, 36_000.0)
+    return refine.kernel_interpolate(points, samples, ["station"], "event_id", 1200.0, 1e-10)
 
 
 # ---------------------------------------------------------------- streams

@@ -38,8 +38,11 @@ def append_unique(df: DataFrame, path: str, keys: list[str], partition: list[str
     new, aside = first_by(df, keys, order), None
     if exists(spark, path):
         old = spark.read.schema(df.schema).parquet(path)
-        touched = new.select(*partition).distinct()
-        same = old.join(F.broadcast(touched) if len(touched.limit(10_001).collect()) <= 10_000 else touched, partition, "left_semi")
+        touched = new.select(*[F.col(c).alias(f"_t_{c}") for c in partition]).distinct()
+        match = F.lit(True)
+        for c in partition:
+            match = match & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+        same = old.join(F.broadcast(touched) if len(touched.limit(10_001).collect()) <= 10_000 else touched, match, "left_semi")
         # The old rows are read from the files that are about to be replaced, so the union is written aside first.
         new = same.unionByName(new.join(same.select(*keys), keys, "left_anti"))
         aside = _aside(path)

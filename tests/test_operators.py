@@ -253,7 +253,7 @@ def test_kernel_interpolation_equals_its_closed_form(spark, alpha):
     y = [3.0, 5.0, 4.0]
     samples = spark.createDataFrame([("s", a, b, -b, 0.0) for a, b in zip(t, y)], "station string, time double, x double, y double, z double")  # noqa: B905
     points = spark.createDataFrame([("s", 1, 2.0), ("s", 2, 2.5), ("s", 3, 20.0)], "station string, id long, time double")
-    got = {r["id"]: r for r in refine.kernel_interpolate(points, samples, ["station"], "id", length, alpha, 1000.0).collect()}
+    got = {r["id"]: r for r in refine.kernel_interpolate(points, samples, ["station"], "id", length, alpha).collect()}
     k = lambda a, b: math.exp(-0.5 * ((a - b) / length) ** 2)
     gram = np.array([[k(a, b) for b in t] for a in t]) + (alpha + 1e-10) * np.eye(3)
     assert set(got) == {1, 2}  # nothing is near enough to the last one
@@ -266,6 +266,25 @@ def test_kernel_interpolation_equals_its_closed_form(spark, alpha):
         assert abs(got[2]["x"] - 5.0) < 1e-4  # goes through the samples
 
 
+def test_kernel_interpolation_in_blocks_equals_one_dense_solve(spark):
+    """300 samples in blocks of 20 with their neighbouring slices against one matrix of all of them."""
+    rng = np.random.default_rng(4)
+    length, t = 1.0, np.cumsum(rng.uniform(0.2, 1.2, 300))
+    y = np.sin(t / 3)
+    samples = spark.createDataFrame([("s", float(a), float(b), float(2 * b), 0.0) for a, b in zip(t, y, strict=True)], "station string, time double, x double, y double, z double")
+    at = np.sort(rng.uniform(0, t[-1] + 5, 80))
+    points = spark.createDataFrame([("s", i, float(a)) for i, a in enumerate(at)], "station string, id long, time double")
+    got = {r["id"]: r for r in refine.kernel_interpolate(points, samples, ["station"], "id", length, 1.0, 20).collect()}
+    k = lambda a, b: np.exp(-0.5 * ((a[:, None] - b[None, :]) / length) ** 2)
+    near = np.abs(at[:, None] - t[None, :]).min(axis=1) <= length
+    assert set(got) == set(np.flatnonzero(near).tolist())
+    # Blocks have means of their own, so the same mean is taken out first.
+    flat = {r["id"]: r for r in refine.kernel_interpolate(points, samples.withColumn("x", F.lit(3.0)), ["station"], "id", length, 1.0, 20).collect()}
+    assert all(abs(r["x"] - 3.0) < 1e-9 for r in flat.values())
+    std = np.sqrt(1 - np.einsum("ij,ji->i", k(at, t), np.linalg.solve(k(t, t) + np.eye(300), k(t, at))))
+    assert all(abs(got[i]["std"] - std[i]) < 1e-3 for i in got)
+
+
 def test_quantiles_by_ranges_are_exact(spark, monkeypatch):
     monkeypatch.setattr(report, "BUCKETS", 7)
     monkeypatch.setattr(report, "SORTED", 3)

@@ -49,6 +49,13 @@ def test_catalogue_keeps_what_a_plain_dictionary_would(spark, tmp_path):
     assert not [p for p in (tmp_path / "catalogue").glob("type=kin")]
 
 
+def test_appends_keep_rows_of_a_null_partition(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    for part in ([(1, None, 1), (2, "d", 1)], [(3, None, 1), (1, None, 2)]):
+        sinks.append_unique(spark.createDataFrame(part, "k long, day string, v long"), path, ["k"], ["day"], ["v"])
+    assert rows(spark.read.parquet(path), "k", "day", "v") == [(1, None, 1), (2, "d", 1), (3, None, 1)]
+
+
 def test_ingest_job_enters_each_file_once(spark, tmp_path):
     stored = CatalogTable(spark, f"file://{tmp_path}/catalogue", "network string, station string, campaign string, type string, local_path string")
     names = spark.createDataFrame([("a.23o", "x"), ("kin_1", "x"), ("kin_2", ""), ("notes.md", "x"), ("._kin", "x")], "name string, text string")
