@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -285,6 +286,52 @@ def test_kernel_interpolation_in_blocks_equals_one_dense_solve(spark):
     assert all(abs(got[i]["std"] - std[i]) < 1e-3 for i in got)
 
 
+def extended_solve(a, b):
+    """a x = b for a positive definite a, by Cholesky in extended precision."""
+    a, x = a.copy(), b.copy()
+    for j in range(len(a)):
+        a[j:, j] /= np.sqrt(a[j, j])
+        a[j + 1 :, j + 1 :] -= a[j + 1 :, j : j + 1] * a[j + 1 :, j][None, :]
+    for j in range(len(a)):
+        x[j] /= a[j, j]
+        x[j + 1 :] -= a[j + 1 :, j : j + 1] * x[j][None, :]
+    for j in reversed(range(len(a))):
+        x[j] /= a[j, j]
+        x[:j] -= a[j, :j][:, None] * x[j][None, :]
+    return x
+
+
+def test_kernel_interpolation_of_a_dense_slice(spark):
+    """400 scattered samples in 12 lengths: the dense solve of before was off by 1e-3, this one is not."""
+    rng = np.random.default_rng(1)
+    t, s, y = np.sort(rng.uniform(0, 12, 400)), np.sort(rng.uniform(4.1, 7.9, 30)), rng.uniform(0, 300, 400)
+    samples = spark.createDataFrame([("s", float(a), float(b), float(-b), 1.0) for a, b in zip(t, y, strict=True)], "station string, time double, x double, y double, z double")
+    points = spark.createDataFrame([("s", i, float(a)) for i, a in enumerate(s)], "station string, id long, time double")
+    got = {r["id"]: r for r in refine.kernel_interpolate(points, samples, ["station"], "id", 1.0, 1e-10).collect()}
+    e = lambda x: x.astype(np.longdouble)
+    k = lambda a, b: np.exp(-(e(a)[:, None] - e(b)[None, :]) ** 2 / 2)
+    solved = extended_solve(k(t, t) + np.longdouble(1e-10 + 1e-10) * np.eye(400, dtype=np.longdouble), np.column_stack([e(y) - e(y).mean(), k(t, s)]))
+    want, var = k(s, t) @ solved[:, 0] + e(y).mean(), 1 - np.einsum("ij,ji->i", k(s, t), solved[:, 1:])
+    for i in range(30):
+        assert abs(got[i]["x"] - float(want[i])) < 2e-5 and abs(got[i]["y"] + float(want[i])) < 2e-5 and abs(got[i]["z"] - 1.0) < 1e-9
+        assert abs(got[i]["std"] - math.sqrt(float(var[i]))) < 1e-10
+
+
+def test_kernel_ridge_holds_no_matrix_of_all_samples():
+    """Memory grows with the samples, not with their square (200 MB for 5000); several parts give what one gives."""
+    rng = np.random.default_rng(2)
+    t, s, y = np.sort(rng.uniform(0, 12, 20000)), rng.uniform(4, 8, 5000), rng.normal(size=(20000, 3))
+    tracemalloc.start()
+    found, std = refine.kernel_ridge(t, y, s, 1.0)
+    assert tracemalloc.get_traced_memory()[1] < 60e6
+    tracemalloc.stop()
+    f = refine.kernel_features(t, 6.0, 12.0)
+    gram = f.T @ f + np.eye(f.shape[1])
+    at = refine.kernel_features(s, 6.0, 12.0)
+    assert np.allclose(found, at @ np.linalg.solve(gram, f.T @ y), atol=1e-8)
+    assert np.allclose(std**2, np.einsum("ij,ji->i", at, np.linalg.solve(gram, at.T)), atol=1e-10)
+
+
 def test_quantiles_by_ranges_are_exact(spark, monkeypatch):
     monkeypatch.setattr(report, "BUCKETS", 7)
     monkeypatch.setattr(report, "SORTED", 3)
