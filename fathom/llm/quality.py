@@ -10,6 +10,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from fathom.llm.common import tidy
+
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -116,7 +118,7 @@ def quality(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:  # noqa: B008
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(found, kinds, strict=True))], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(run, SCHEMA)
+    return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(tidy(run), SCHEMA)
 
 
 def keep_good(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:  # noqa: B008
@@ -128,4 +130,4 @@ def keep_good(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:  # noqa: B0
         for batch in batches:
             yield batch.filter(pa.array([judge(t.as_py(), bands, packer)[-1] for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from fathom.llm.common import tidy
+
 SPACE = "▁"
 #: Entries that a task's memory of chunks, and of pairs of pieces, may have; a full one is emptied.
 REMEMBERED = 200_000
@@ -177,6 +179,10 @@ class MergeModel:
         decoded = [self.odd.get(c) or c.replace(SPACE, " ") for c in chunks] if self.odd else None
         return ",".join(joined), ("".join(decoded) if decoded else "".join(chunks).replace(SPACE, " "))[1:]
 
+    def forget(self) -> None:
+        """Drops all that was remembered; results stay the same."""
+        self.seen, self.older, self.odd, self.fits = {}, {}, {}, {}
+
     def encode(self, text: str | None) -> list[int]:
         ids, _ = self.encode_text(text)
         return [int(x) for x in ids.split(",")] if ids else []
@@ -216,22 +222,25 @@ def encoded(docs: DataFrame, model_path: str, ids: bool = True) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path)
-        for whole in batches:
-            for begin in range(0, len(whole), ROWS):  # few rows at once, as the ids take more memory than the texts
-                batch = whole.slice(begin, ROWS)
-                n, a, b, lists = [], [], [], []
-                for t in batch.column(1):
-                    joined, decoded = model.encode_text(t.as_py())
-                    n.append(joined.count(",") + 1 if joined else 0)
-                    a.append(hashlib.sha256(joined.encode()).hexdigest())
-                    b.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+        try:
+            for whole in batches:
+                for begin in range(0, len(whole), ROWS):  # few rows at once, as the ids take more memory than the texts
+                    batch = whole.slice(begin, ROWS)
+                    n, a, b, lists = [], [], [], []
+                    for t in batch.column(1):
+                        joined, decoded = model.encode_text(t.as_py())
+                        n.append(joined.count(",") + 1 if joined else 0)
+                        a.append(hashlib.sha256(joined.encode()).hexdigest())
+                        b.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+                        if ids:
+                            lists.append(np.fromstring(joined, np.int32, sep=",") if joined else np.zeros(0, np.int32))
+                    columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
                     if ids:
-                        lists.append(np.fromstring(joined, np.int32, sep=",") if joined else np.zeros(0, np.int32))
-                columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
-                if ids:
-                    edges = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(lists))))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                        edges = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+                        columns.append(pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(lists))))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+        finally:  # the worker lives on, in a session beside later stages
+            model.forget()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(run, schema)
+    return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(tidy(run), schema)

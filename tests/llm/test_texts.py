@@ -92,6 +92,20 @@ def test_a_full_memory_changes_nothing(monkeypatch):
         assert small.encode_text(text) == full.encode_text(text)
 
 
+def test_a_worker_remembers_nothing_of_an_ended_task(spark):
+    """A worker serves later stages, too; what a tokenizer task gathered must not stay in it."""
+    docs = spark.range(0, 40, 1, 4).select(F.col("id").alias("doc_id"), F.concat(F.lit("unusual wordings "), F.col("id").cast("string")).alias("text"))
+    assert spm.encoded(docs, tokenizer_path()).count() == 40
+
+    def held(batches):
+        for _ in batches:
+            models = list(spm._models.values())
+            yield pa.RecordBatch.from_arrays([pa.array([len(models)]), pa.array([sum(len(m.seen) + len(m.older) + len(m.odd) + len(m.fits) for m in models)])], names=["models", "n"])
+
+    rows = spark.range(0, 16, 1, 4).mapInArrow(held, "models long, n long").collect()
+    assert any(r["models"] for r in rows) and not any(r["n"] for r in rows)
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header><a href=/>Home</a></header><nav><ul><li><a href=/a>A</a></li></ul></nav>
 <div class="cookie-notice">We use cookies, the usual notice that is long enough to be taken for a paragraph of the text by its length.</div>
 <article><h1>Head &amp; line</h1><p>First paragraph of the article, with <b>bold</b> and <a href=/x>one link</a>, that is long enough and has the usual words in it.
