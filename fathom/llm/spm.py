@@ -211,12 +211,13 @@ def load(path: str) -> MergeModel:
     return _models[path]
 
 
-def encoded(docs: DataFrame, model_path: str, ids: bool = True) -> DataFrame:
+def encoded(docs: DataFrame, model_path: str, ids: bool = True, forget: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of `docs`, and with ids=True also the ids (array<int>).
 
     The model file is read where the tasks run, so model_path must be there on each machine. Null texts count as empty:
     no ids. Texts of any length are encoded whole; repeated rows each; an empty table gives an empty result; other
-    columns are ignored. A narrow map: no shuffle.
+    columns are ignored. A narrow map: no shuffle. With forget=True a worker drops at the end of each task what it remembers
+    of chunks: it has more memory for other stages, but the next task starts anew.
     """
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids
 
@@ -239,8 +240,9 @@ def encoded(docs: DataFrame, model_path: str, ids: bool = True) -> DataFrame:
                         edges = np.cumsum([0, *map(len, lists)]).astype(np.int32)
                         columns.append(pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(lists))))
                     yield pa.RecordBatch.from_arrays(columns, names=names)
-        finally:  # the worker lives on, in a session beside later stages
-            model.forget()
+        finally:
+            if forget:
+                model.forget()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
     return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(tidy(run), schema)
