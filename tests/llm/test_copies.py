@@ -407,3 +407,41 @@ def test_components(spark):
     got = {r["id"]: r["component_id"] for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(41)) and got[101] == 100 and {got[i] for i in (50, 55, 60, 70)} == {50} and got.get(200, 200) == 200
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_groups_grow_by_new_links(spark):
+    rng = random.Random(3)
+    pick = lambda n: [(rng.randrange(400), rng.randrange(400)) for _ in range(n)]
+    old, new = pick(90), pick(60)
+    edges = lambda e: spark.createDataFrame(e, "a long, b long")
+    found = {r["id"]: r["component_id"] for r in near.joined(common.components(edges(old)), edges(new)).collect()}
+    expected = groups(range(400), old + new)
+    assert all(found.get(i, i) == c for i, c in expected.items())
+    assert all(i in found for e in new for i in e)
+
+
+def test_leaders_equal_brute_force():
+    rng = np.random.default_rng(8)
+    for top in (3, 40, 2**40):
+        of = rng.integers(0, 30, 300).astype(np.int32)
+        keys, ids = rng.integers(0, top, 300).astype(np.uint64), of.astype(np.int64) * 7
+        found, first, weight, a, b, n = near.lead(keys, ids, of=of)
+        at = {k: np.flatnonzero(keys == k) for k in np.unique(keys)}
+        shared = collections.Counter(int(of[i]) for x in at.values() if len(x) > 1 for i in x)
+        leader = {k: min((-min(shared[int(of[i])], 255), int(ids[i])) for i in x) for k, x in at.items()}
+        assert found.tolist() == sorted(at) and first.tolist() == [leader[k][1] for k in found] and weight.tolist() == [-leader[k][0] for k in found]
+        pairs = collections.Counter((leader[k][1], int(ids[i])) for k, x in at.items() for i in x if ids[i] != leader[k][1])
+        assert dict(zip(zip(a.tolist(), b.tolist(), strict=True), n.tolist(), strict=True)) == pairs
+
+
+def test_near_copies_move_few_bytes(spark, corpus, monkeypatch):
+    """An entry of a key takes 13 bytes; texts are joined without being sorted; only open keys leave Python."""
+    assert sum(np.dtype(t).itemsize for t in near.KINDS[near.ENTRY]) <= 13
+    docs = spark.createDataFrame([(i, f"line {i}\nline {i} of a text") for i in range(50)], "doc_id long, text string")
+    monkeypatch.setattr(lines, "surplus_lines", lambda d: d.select("doc_id", F.lit(1).alias("line_no")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lines.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
