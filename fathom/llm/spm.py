@@ -23,6 +23,8 @@ from fathom.llm.common import tidy
 SPACE = "▁"
 #: Entries that a task's memory of chunks, and of pairs of pieces, may have; a full one is emptied.
 REMEMBERED = 200_000
+#: The same where a worker forgets them at a task's end, to leave memory to other stages.
+BRIEFLY = 100_000
 #: Rows whose ids are held at once.
 ROWS = 500
 _NEVER = float("-inf")
@@ -53,6 +55,7 @@ class MergeModel:
         self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.score), None) for p in self.score}
         self.surface = [p.replace(SPACE, " ") for p in self.pieces]
         self.fits: dict[tuple[str, str], bool] = {}
+        self.brief = False
         # A chunk is spaces and what follows up to the next one. No piece has a space after another character and none
         # has a line end or tab, so merges never cross these borders.
         if any(SPACE in p.lstrip(SPACE) for p in self.score):
@@ -85,7 +88,7 @@ class MergeModel:
         key = (left, right)
         found = self.fits.get(key)
         if found is None:
-            if len(self.fits) > REMEMBERED:
+            if len(self.fits) > self.room():
                 self.fits.clear()
             found = self.fits[key] = self.merged(left + right) == ([left, right] if left else [right])
         return found
@@ -163,7 +166,7 @@ class MergeModel:
                 self.odd[chunk] = decoded
                 return joined
         if len(chunk) <= 64:
-            if len(self.seen) >= REMEMBERED:  # what was not asked for during a whole generation goes
+            if len(self.seen) >= self.room():  # what was not asked for during a whole generation goes
                 self.older, self.seen = self.seen, {}
             self.seen[chunk] = joined
         return joined
@@ -179,6 +182,10 @@ class MergeModel:
         decoded = [self.odd.get(c) or c.replace(SPACE, " ") for c in chunks] if self.odd else None
         return ",".join(joined), ("".join(decoded) if decoded else "".join(chunks).replace(SPACE, " "))[1:]
 
+    def room(self) -> int:
+        """Entries that each memory may have."""
+        return min(BRIEFLY, REMEMBERED) if self.brief else REMEMBERED
+
     def forget(self) -> None:
         """Drops all that was remembered; results stay the same."""
         self.seen, self.older, self.odd, self.fits = {}, {}, {}, {}
@@ -217,12 +224,13 @@ def encoded(docs: DataFrame, model_path: str, ids: bool = True, forget: bool = F
     The model file is read where the tasks run, so model_path must be there on each machine. Null texts count as empty:
     no ids. Texts of any length are encoded whole; repeated rows each; an empty table gives an empty result; other
     columns are ignored. A narrow map: no shuffle. With forget=True a worker drops at the end of each task what it remembers
-    of chunks: it has more memory for other stages, but the next task starts anew.
+    of chunks, and remembers fewer: it has more memory for other stages, but the next task starts anew.
     """
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path)
+        model.brief = forget
         try:
             for whole in batches:
                 for begin in range(0, len(whole), ROWS):  # few rows at once, as the ids take more memory than the texts

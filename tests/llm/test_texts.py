@@ -6,11 +6,12 @@ import hashlib
 import random
 import time
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fathom.llm import html, mixing, quality, spm, warc
+from fathom.llm import common, html, mixing, quality, spm, warc
 from fathom.llm.queries import tokenizer_path
 
 DOCS = "doc_id long, text string, source string, kept boolean, size int"
@@ -308,3 +309,24 @@ def test_kept_equals_brute_force(spark):
         assert got[i]["kept"] == verdict
         seen.add((got[i]["base_failed"], verdict))
     assert len(seen) == 3
+
+
+def test_a_model_that_will_forget_remembers_fewer(monkeypatch):
+    monkeypatch.setattr(spm, "BRIEFLY", 3)
+    brief, full = spm.MergeModel(tokenizer_path()), spm.load(tokenizer_path())
+    brief.brief = True
+    for i in range(20):
+        text = f"wordings number{i} of text{i} \x01"
+        assert brief.encode_text(text) == full.encode_text(text)
+        assert len(brief.seen) <= 3 and len(brief.older) <= 3
+
+
+def test_free_memory_goes_back_to_the_system():
+    def private() -> int:
+        return sum(int(x.split()[1]) for x in open("/proc/self/smaps_rollup") if x.startswith("Pss_Anon:"))
+
+    blocks = [np.ones(12_000) for _ in range(1500)]  # 96 KB each, below what the C library maps for itself
+    last, before = np.ones(12_000), private()
+    del blocks
+    common.give_back()
+    assert last.sum() == 12_000 and before - private() > 100_000
