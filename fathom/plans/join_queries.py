@@ -183,7 +183,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @query("J16_residuals_by_time", "SELECT event_id, o_orderkey FROM events JOIN orders ON strftime(ts, '%m%d') || (user_id % 100) = strftime(o_orderdate, '%m%d') || (o_custkey % 100)")
 def _(s: SparkSession, d: str) -> DataFrame:
-    key = lambda t, n: F.concat(F.date_format(t, "MMdd"), (F.col(n) % 100).cast("string"))
+    key = lambda t, n: F.month(t) * 100_000 + F.dayofmonth(t) * 1000 + F.col(n) % 100
     e = table(s, d, "events").select("event_id", key("ts", "user_id").alias("k"))
     return model_io.join_on_time(e, table(s, d, "orders").select("o_orderkey", key("o_orderdate", "o_custkey").alias("k")), "k").select("event_id", "o_orderkey")
 
