@@ -24,7 +24,8 @@ def total_bytes(df: DataFrame, column: str) -> int:
 
 def pack(kind: int, bucket: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
     """Rows (kind, bucket, c0, c1, ...) with the columns of each bucket's records as bytes, in the given order."""
-    order = slice(None) if (bucket[1:] >= bucket[:-1]).all() else np.argsort(bucket, kind="stable")
+    small = bucket.astype(np.uint16) if len(bucket) and 0 <= bucket.min() and bucket.max() < 1 << 16 else bucket  # these are sorted by radix
+    order = slice(None) if (bucket[1:] >= bucket[:-1]).all() else np.argsort(small, kind="stable")
     sorted_bucket = bucket[order]
     edges = np.flatnonzero(np.diff(sorted_bucket)) + 1
     starts, ends = np.concatenate(([0], edges)), np.concatenate((edges, [len(bucket)]))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm.common import Written, prefix_hashes, range_hash, slices, span_hashes, text_buffers
+from fathom.llm.common import Written, mix, prefix_hashes, range_hash, slices, span_hashes, text_buffers, window_hashes
 from fathom.llm.packed import GATHERED, bucket_count, bucketed_by, pack, total_bytes, unpack
 
 WIDTH = 50
@@ -52,10 +52,8 @@ def anchors(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     n = len(data)
     if n < WIDTH:
         return none
-    prefix = prefix_hashes(data)
-    at = np.arange(n - K + 1)
-    h = range_hash(prefix, at, at + K)
-    low = (h & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)  # the leftmost of equal ones is the least
+    h = window_hashes(prefix_hashes(data), K)
+    low = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(n - K + 1, dtype=np.uint64)  # the leftmost of equal ones is the least
     reach = 1
     while 2 * reach <= SPAN:
         low = np.minimum(low[:-reach], low[reach:])
@@ -63,13 +61,16 @@ def anchors(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     if reach < SPAN:
         low = np.minimum(low[: len(low) - (SPAN - reach)], low[SPAN - reach :])
     place = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)  # of the window at each byte
-    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[: len(place)]
-    fits = np.arange(len(place)) + WIDTH <= offs[row + 1]
-    new = np.ones(len(place), bool)
-    new[1:] = (place[1:] != place[:-1]) | ~fits[:-1] | (row[1:] != row[:-1])
-    start = np.flatnonzero(new & fits)
-    count = np.diff(np.append(np.flatnonzero(new | ~fits), len(place)))[np.searchsorted(np.flatnonzero(new | ~fits), start)]
-    return row[start], place[start], start, count, h[place[start]]
+    fits, new = np.ones(len(place), bool), np.ones(len(place), bool)
+    new[1:] = place[1:] != place[:-1]
+    for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
+        fits[max(a, b - WIDTH + 1) : b] = False
+        new[a : a + 1] = True
+    new[1:] |= ~fits[:-1]
+    edges = np.flatnonzero(new | ~fits)
+    is_start = fits[edges]
+    start, count = edges[is_start], np.diff(np.append(edges, len(place)))[is_start]
+    return np.searchsorted(offs, start, "right") - 1, place[start], start, count, h[place[start]]
 
 
 def suffix_sort(text: np.ndarray, prefix: np.ndarray, suffix: np.ndarray, segment: np.ndarray, width: int) -> np.ndarray:
@@ -130,9 +131,16 @@ def suffix_sort(text: np.ndarray, prefix: np.ndarray, suffix: np.ndarray, segmen
     return order
 
 
-def equal_windows(text: np.ndarray, suffix: np.ndarray, segment: np.ndarray) -> np.ndarray:
-    """A number for each suffix, equal where segment and WIDTH bytes are equal."""
-    prefix = prefix_hashes(text)
+def repeated(h: np.ndarray) -> np.ndarray:
+    """The places, in order, of the values that stand more than once."""
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    return np.sort(order[np.append(same, False)[: len(h)] | np.append(False, same)[: len(h)]])
+
+
+def equal_windows(text: np.ndarray, suffix: np.ndarray, segment: np.ndarray, prefix: np.ndarray | None = None) -> np.ndarray:
+    """A number for each suffix, equal where segment and WIDTH bytes are equal; prefix: the text's prefix hashes, if they are there."""
+    prefix = prefix_hashes(text) if prefix is None else prefix
     order = suffix_sort(text, prefix, suffix, segment, WIDTH)
     a, b = suffix[order[:-1]], suffix[order[1:]]
     same = (segment[order[:-1]] == segment[order[1:]]) & (range_hash(prefix, a, a + WIDTH) == range_hash(prefix, b, b + WIDTH))
@@ -162,6 +170,27 @@ def digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.frombuffer(b"".join([hash_(raw[a:b], digest_size=16).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)]), DIGEST)
 
 
+class Held:
+    """Records of one kind that a task gathers over several buckets before it packs them; of: the column that deals them."""
+
+    def __init__(self, kind: int, of: int, n_buckets: int):
+        self.kind, self.of, self.n_buckets = kind, of, n_buckets
+        self.parts: list[list[np.ndarray]] = []
+        self.n = 0
+
+    def add(self, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        self.parts.append(columns)
+        self.n += len(columns[0])
+        if self.n >= GATHERED:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.n:
+            columns = [np.concatenate([p[i] for p in self.parts]) for i in range(len(KINDS[self.kind]))]
+            yield _packed(self.kind, columns[self.of] % self.n_buckets, columns)
+        self.parts, self.n = [], 0
+
+
 def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[list[np.ndarray]]]]]:
     return bucketed_by(batches, KINDS)
 
@@ -182,11 +211,11 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
 
         def flush() -> Iterator[pa.RecordBatch]:
             h, full, doc, start, before, windows = (np.concatenate([x[i] for x in held]) for i in range(6))
-            order = np.lexsort((doc, full["b"], full["a"], h))
+            order = np.argsort(full["a"])  # equal contexts have equal anchors
             h, full, doc, start, before, windows = (x[order] for x in (h, full, doc, start, before, windows))
-            new = _runs(h, full)
-            first = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-            again = doc != first  # repeats of this task's own texts need no exchange
+            new = _runs(full["a"], full["b"])
+            first = np.minimum.reduceat(doc, np.flatnonzero(new)) if len(doc) else doc
+            again = doc != first[np.cumsum(new) - 1]  # repeats of this task's own texts need no exchange
             yield _packed(COVERED, of_doc(doc[again]), [doc[again], start[again], start[again] + windows[again].astype(np.int32) + np.int32(WIDTH - 1)])
             keep = ~again
             h = h[keep]
@@ -209,23 +238,29 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
             yield from flush()
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        covered, open_ = Held(COVERED, 0, n_buckets), Held(OPEN, 1, n_buckets)
         for bucket, kinds in bucketed(batches):
             for columns in kinds.get(COVERED, []):
-                yield _packed(COVERED, np.full(len(columns[0]), bucket), columns)
+                yield from covered.add(columns)
             if ENTRY in kinds:
-                yield from settle(bucket, kinds[ENTRY])
+                yield from settle(bucket, kinds[ENTRY], covered, open_)
+        yield from covered.flush()
+        yield from open_.flush()
 
-    def settle(bucket: int, parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def settle(bucket: int, parts: list[list[np.ndarray]], covered: Held, opened: Held) -> Iterator[pa.RecordBatch]:
         key, full, doc, start, before, windows = (np.concatenate([c[i] for c in parts]) for i in range(6))
         key = key.astype(np.uint64) | np.uint64(bucket) << np.uint64(32)
-        order = np.lexsort((doc, full["b"], full["a"], windows, before, key))
+        order = np.lexsort((full["a"], key))
+        same = (key[order][1:] == key[order][:-1]) & (full["a"][order][1:] == full["a"][order][:-1])
+        if (same & (full["b"][order][1:] != full["b"][order][:-1])).any():  # half a digest never told them apart so far
+            order = np.lexsort((full["b"], full["a"], key))
         key, full, doc, start, before, windows = (x[order] for x in (key, full, doc, start, before, windows))
-        new = _runs(key, before, windows, full)
+        new = _runs(key, full["a"], full["b"])
         which = np.cumsum(new) - 1
-        first = doc[np.flatnonzero(new)]
+        first = np.minimum.reduceat(doc, np.flatnonzero(new)) if len(doc) else doc
         again = doc != first[which]
         end = start + windows.astype(np.int32) + np.int32(WIDTH - 1)
-        yield _packed(COVERED, of_doc(doc[again]), [doc[again], start[again], end[again]])
+        yield from covered.add([doc[again], start[again], end[again]])
         # Classes of one anchor whose first documents differ: their first members' texts must be compared.
         group_new = _runs(key)
         group = np.cumsum(group_new) - 1
@@ -235,42 +270,47 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
         open_ = differ[group] & ~again
         many = np.bincount(group[open_], minlength=len(edges))[group] > hot
         marked = np.where(many, windows | MANY, windows).astype(np.uint8)
-        yield _packed(OPEN, of_doc(doc[open_]), [key[open_], doc[open_], start[open_], before[open_], marked[open_]])
+        yield from opened.add([key[open_], doc[open_], start[open_], before[open_], marked[open_]])
 
     found = Written(source.mapInArrow(find, SCHEMA).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(classes, SCHEMA), "classes")
 
+    def records(padded: np.ndarray, number: np.ndarray, doc: np.ndarray, start: np.ndarray, before: np.ndarray, marked: np.ndarray, begin: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Packed TEXT records of contexts that begin at `begin` of the bytes `padded`."""
+        windows = marked & np.uint8(MANY - 1)
+        many = np.flatnonzero(marked >= MANY)
+        if len(many):  # a record for each window, with its own hash as the number
+            w = windows[many].astype(np.int64)
+            of, shift = np.repeat(many, w), np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
+            alone = np.zeros((len(of), CONTEXT), np.uint8)
+            alone[:, :WIDTH] = padded[(begin[of] + shift)[:, None] + np.arange(WIDTH)]
+            own = span_hashes(padded, begin[of] + shift, begin[of] + shift + WIDTH)
+            one = np.ones(len(of), np.uint8)
+            yield _packed(TEXT, (own % np.uint64(n_buckets)).astype(np.int64), [own, doc[of], start[of] + shift.astype(np.int32), one - one, one, alone.view(f"V{CONTEXT}").reshape(-1)])
+            few = marked < MANY
+            number, doc, start, before, windows, begin, size = (x[few] for x in (number, doc, start, before, windows, begin, size))
+        text = padded[begin[:, None] + np.arange(CONTEXT)]
+        text[np.arange(CONTEXT) >= size[:, None]] = 0
+        yield _packed(TEXT, (number % np.uint64(n_buckets)).astype(np.int64), [number, doc, start, before, windows, text.view(f"V{CONTEXT}").reshape(-1)])
+
     def contexts(key: tuple, texts: pa.Table, open_rows: pa.Table) -> pa.Table:
         ids, (data, offs) = texts.column("id").to_numpy(), text_buffers(texts.column("text"))
-        at = {int(d): i for i, d in enumerate(ids)}
-        out = []
-        for batch in open_rows.select(["kind", "bucket", *(f"c{i}" for i in range(COLUMNS))]).to_batches():
-            for _, (number, doc, start, before, marked) in unpack(batch, KINDS):
-                windows = marked & np.uint8(MANY - 1)
-                row = np.array([at.get(int(d), -1) for d in doc], np.int64)
-                ok = row >= 0
-                begin = offs[row] + start
-                size = windows.astype(np.int64) + WIDTH - 1
-                ok &= begin + size <= offs[row + 1]
-                number, doc, start, before, windows, marked, begin, size = (x[ok] for x in (number, doc, start, before, windows, marked, begin, size))
-                padded = np.concatenate((data, np.zeros(CONTEXT, np.uint8)))
-                text = padded[begin[:, None] + np.arange(CONTEXT)]
-                text[np.arange(CONTEXT) >= size[:, None]] = 0
-                many = np.flatnonzero(marked >= MANY)
-                if len(many):  # a record for each window, with its own hash as the number
-                    w = windows[many].astype(np.int64)
-                    of, shift = np.repeat(many, w), np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
-                    alone = np.zeros((len(of), CONTEXT), np.uint8)
-                    alone[:, :WIDTH] = padded[(begin[of] + shift)[:, None] + np.arange(WIDTH)]
-                    own = span_hashes(padded, begin[of] + shift, begin[of] + shift + WIDTH)
-                    one = np.ones(len(of), np.uint8)
-                    records = [own, doc[of], start[of] + shift.astype(np.int32), one - one, one, alone.view(f"V{CONTEXT}").reshape(-1)]
-                    out.append(_packed(TEXT, (own % np.uint64(n_buckets)).astype(np.int64), records))
-                    number, doc, start, before, windows, text = (x[marked < MANY] for x in (number, doc, start, before, windows, text))
-                records = [number, doc, start, before, windows, np.ascontiguousarray(text).view(f"V{CONTEXT}").reshape(-1)]
-                out.append(_packed(TEXT, (number % np.uint64(n_buckets)).astype(np.int64), records))
+        parts = [c for b in open_rows.select(["kind", "bucket", *(f"c{i}" for i in range(COLUMNS))]).to_batches() for _, c in unpack(b, KINDS)]
+        out: list[pa.RecordBatch] = []
+        if len(ids) and parts:
+            number, doc, start, before, marked = (np.concatenate([p[i] for p in parts]) for i in range(5))
+            by_id = np.argsort(ids, kind="stable")
+            at = np.searchsorted(ids[by_id], doc, "right") - 1
+            row = by_id[at]
+            begin, size = offs[row] + start, (marked & np.uint8(MANY - 1)).astype(np.int64) + WIDTH - 1
+            ok = (at >= 0) & (ids[row] == doc) & (begin + size <= offs[row + 1])
+            padded = np.concatenate((data, np.zeros(CONTEXT, np.uint8)))
+            columns = [x[ok] for x in (number, doc, start, before, marked, begin, size)]
+            for lo in range(0, len(columns[0]), TAKEN):
+                out += records(padded, *(x[lo : lo + TAKEN] for x in columns))
         return pa.Table.from_batches(out, schema=_ARROW)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        covered = Held(COVERED, 0, n_buckets)
         for _, kinds in bucketed(batches):
             number, doc, start, before, windows, text = (np.concatenate([p[i] for p in kinds[TEXT]]) for i in range(6))
             order = np.argsort(number, kind="stable")
@@ -287,10 +327,14 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
                 shift = np.arange(len(of)) - np.repeat(np.cumsum(w) - w, w)
                 # Equal windows lie alike around their anchor: a segment for each anchor and place.
                 place = before[lo:hi][of].astype(np.int64) - shift
-                by_place = np.lexsort((place, np.cumsum(_runs(number[lo:hi]))[of]))
-                segment = np.cumsum(_runs(number[lo:hi][of][by_place], place[by_place])) - 1
+                prefix = prefix_hashes(flat)
+                anchor = np.cumsum(_runs(number[lo:hi]))[of]
+                some = repeated(mix(range_hash(prefix, of * CONTEXT + shift, of * CONTEXT + shift + WIDTH) ^ (anchor * CONTEXT + place).astype(np.uint64)))
+                of, shift, place, anchor = of[some], shift[some], place[some], anchor[some]
+                by_place = np.argsort(anchor * CONTEXT + place, kind="stable")
+                segment = np.cumsum(_runs(anchor[by_place], place[by_place])) - 1
                 same = np.zeros(len(of), np.int64)
-                same[by_place] = equal_windows(flat, (of * CONTEXT + shift)[by_place], segment)
+                same[by_place] = equal_windows(flat, (of * CONTEXT + shift)[by_place], segment, prefix)
                 least = np.full(int(same.max()) + 1 if len(of) else 0, np.iinfo(np.int64).max)
                 np.minimum.at(least, same, doc[lo:hi][of])
                 hit = least[same] < doc[lo:hi][of]
@@ -300,8 +344,9 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
                 new[1:] = (of[hit][1:] != of[hit][:-1]) | (s[1:] != s[:-1] + 1)
                 begin = np.flatnonzero(new)
                 last = np.append(begin[1:], len(d))[: len(begin)] - 1
-                yield _packed(COVERED, of_doc(d[begin]), [d[begin], s[begin].astype(np.int32), (s[last] + WIDTH).astype(np.int32)])
+                yield from covered.add([d[begin], s[begin].astype(np.int32), (s[last] + WIDTH).astype(np.int32)])
                 lo = hi
+        yield from covered.flush()
 
     dealt = source.withColumn("bucket", F.pmod("id", F.lit(n_buckets)).cast("int"))
     texts = dealt.groupBy("bucket").cogroup(found.df.where(f"kind = {OPEN}").groupBy("bucket")).applyInArrow(contexts, SCHEMA)
@@ -309,7 +354,8 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, int]:
     return found.df.where(f"kind = {COVERED}").union(more.df), n_buckets
 
 
-#: Contexts whose suffixes are sorted at once; contexts from which on an anchor's are dealt on window by window.
+#: Contexts whose bytes are taken at once. Contexts whose suffixes are sorted at once; contexts from which on an anchor's are dealt on window by window.
+TAKEN = 1 << 17
 SORTED = 8192
 HOT = 4096
 #: Marks the windows of such contexts; more than windows that a context can have.

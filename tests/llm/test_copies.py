@@ -203,6 +203,30 @@ def test_repeated_substrings(corpus, monkeypatch, hot):
     assert suffix.without_repeats(corpus.limit(0)).count() == 0
 
 
+def test_suffix_records_of_many_buckets_share_rows(spark):
+    """Rows in the exchange follow tasks times buckets, not pairs of buckets; what is removed stays exact."""
+    rng = random.Random(3)
+    passages = ["".join(rng.choice("abcdefgh ") for _ in range(120)) for _ in range(200)]
+    docs = spark.createDataFrame([(i, "#".join(rng.sample(passages, 40))) for i in range(400)], "doc_id long, text string").repartition(16, "doc_id")
+    spans, n_buckets = suffix.removed_spans(docs)
+    assert spans.count() <= (16 + 2 * 4) * n_buckets
+    seen, want = set(), {}
+    for d, t in sorted(texts_of(docs)):
+        gone = np.zeros(len(t), bool)
+        own = {t[i : i + 50] for i in range(len(t) - 49)}
+        for i in range(len(t) - 49):
+            if t[i : i + 50] in seen:
+                gone[i : i + 50] = True
+        want[d] = int(gone.sum())
+        seen |= own
+    assert {r["doc_id"]: r["n_removed"] for r in suffix.without_repeats(docs).collect()} == want
+
+
+def test_suffix_sorts_what_may_be_equal():
+    assert suffix.repeated(np.array([5, 2, 5, 9, 2, 7], np.uint64)).tolist() == [0, 1, 2, 4]
+    assert suffix.repeated(np.zeros(0, np.uint64)).tolist() == [] == suffix.repeated(np.array([1], np.uint64)).tolist()
+
+
 def test_suffix_sort_orders_by_bytes():
     rng = np.random.default_rng(5)
     text = np.concatenate([rng.integers(0, 3, 600).astype(np.uint8), np.full(80, 1, np.uint8), np.zeros(60, np.uint8)])
