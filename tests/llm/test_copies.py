@@ -203,6 +203,28 @@ def test_repeated_substrings(corpus, monkeypatch, hot):
     assert suffix.without_repeats(corpus.limit(0)).count() == 0
 
 
+def test_blocks_of_a_dense_family_are_dealt_to_all_tasks(spark, monkeypatch):
+    """They are few bytes and much work, so they may not be put together into one task; links are those of all pairs."""
+    monkeypatch.setattr(near, "BLOCK", 4)
+    monkeypatch.setattr(near, "ROWS", 3)
+    monkeypatch.setattr(near, "ELEMENTS", 16)
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(80))
+    items = []
+    for _ in range(24):
+        x = list(base)
+        for _ in range(rng.randint(1, 4)):
+            x[rng.randrange(80)] = rng.choice("xyz")
+        items.append("".join(x))
+    postings = spark.createDataFrame([(7, i, i, 80) for i in range(24)], "key long, id long, group long, bytes long")
+    texts = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(items)], "id long, text binary")
+    links = near.long_key_links(postings, texts, lines.SCHEME)
+    assert links.rdd.getNumPartitions() == 4
+    want = groups(range(24), [(i, j) for i in range(24) for j in range(i) if similar_lines(items[i], items[j])])
+    assert len(set(want.values())) < 24
+    assert groups(range(24), [tuple(r) for r in links.collect()]) == want
+
+
 def test_suffix_records_of_many_buckets_share_rows(spark):
     """Rows in the exchange follow tasks times buckets, not pairs of buckets; what is removed stays exact."""
     rng = random.Random(3)
