@@ -4,7 +4,7 @@ Every WIDTH-byte window is assigned to its anchor, the K bytes in it with the sm
 anchors at equal places, so windows are only ever compared with those that lie alike around the same anchor bytes.
 Occurrences of an anchor with all windows around it equal (by a 128-bit BLAKE2b digest of those bytes) form a class; all
 but its first document's are repeats. Where an anchor has several classes, the suffixes
-at all windows of their first members are sorted: two suffixes are compared by binary search for their common extension
+at those windows of their first members whose hash stands more than once there are sorted: two suffixes are compared by binary search for their common extension
 over prefix polynomial hashes, so a comparison in the mergesort takes logarithmic time; neighbours that share WIDTH
 bytes by hash are compared byte by byte before they count. Contexts of an anchor that has very many are dealt on window
 by window, by the hash of each, so no task gets them all.
